@@ -222,7 +222,7 @@ STAGING: dict[str, str] = {
           CAST(HOUR(ts) AS STRING) AS hour, CAST(MINUTE(ts) AS STRING) AS minute, event_type AS channel,
           'n-' || event_type AS channel_number, 'city' AS location,
           CASE WHEN value < 1 THEN NULL ELSE value END AS mac_addr_channel,
-          (user_id % 5 + 1) / 8.0e0 AS location_weight, user_id % 4 AS deco_count FROM events""",
+          (user_id % 5 + 1) / 7.0e0 AS location_weight, user_id % 4 AS deco_count FROM events""",
     "rating_request": f"""
         SELECT DISTINCT CAST(YEAR(t) AS STRING) AS year, CAST(MONTH(t) AS STRING) AS month, CAST(DAY(t) AS STRING) AS day,
           CAST(HOUR(t) AS STRING) AS hour, CASE WHEN k = 1 THEN 'none' ELSE CAST(MINUTE(t) AS STRING) END AS minute,
@@ -279,15 +279,17 @@ STAGING: dict[str, str] = {
           CAST(o_orderkey % 7 AS DOUBLE) AS "ANSR", o_orderkey AS "Entry",
           'book_' || o_orderstatus || '.xlsx' AS "File Name" FROM orders""",
     "comments": """
-        SELECT d.doc_id AS id, CASE WHEN l.quality IS NULL THEN 'n/a' ELSE CAST(l.quality + 2 * l.toxic AS STRING) END
-          AS score, CASE WHEN d.n_chars % 10 = 0 THEN ' NA ' ELSE d.text END AS comment
-        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+        SELECT d.doc_id AS id, CAST(COALESCE(l.quality + 2 * l.toxic, 4) AS STRING) AS score, d.text AS comment
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+        UNION ALL SELECT doc_id + 1000000000000, CAST(quality + 8 * toxic AS STRING), CASE WHEN quality = 1 THEN ' NA ' ELSE '??' END
+        FROM labels
+        UNION ALL SELECT item_id + 2000000000000, 'n/a', text FROM benchmark""",
     "weblog": """
         SELECT DATE '2023-06-01' + CAST(page_id % 28 AS INT) AS "Date", '0' || CAST(page_id % 10 AS STRING) || ':00:00' AS "Time",
           '10.0.0.1' AS "ServerIP", CASE WHEN url LIKE '%utm_source%' THEN 'POST' ELSE 'GET' END AS "Method",
           REGEXP_EXTRACT(url, '://[^/]+(/[^?#]*)', 1) || CASE WHEN url LIKE '%#top' THEN '' ELSE '.aspx' END AS "UriStem",
           CASE WHEN url LIKE '%?%' THEN REGEXP_EXTRACT(url, '[?]([^#]*)', 1) ELSE '-' END AS "UriQuery", '443' AS "Port", '-' AS "UserName",
-          CASE WHEN page_id % 13 = 0 THEN '-' ELSE CAST(page_id % 220 AS STRING) || '.' || CAST(page_id % 256 AS STRING)
+          CASE WHEN url LIKE '%spam-farm%' THEN '-' ELSE CAST(page_id % 220 AS STRING) || '.' || CAST(page_id % 256 AS STRING)
             || '.' || CAST(page_id % 50 AS STRING) || '.7' END AS "ClientIP",
           CASE page_id % 9
             WHEN 0 THEN 'Mozilla/5.0+(Windows+NT+10.0;+Win64;+x64)+AppleWebKit/537.36+Chrome/114.0+Safari/537.36'
@@ -299,7 +301,7 @@ STAGING: dict[str, str] = {
             WHEN 6 THEN 'Mozilla/5.0+(Windows+NT+10.0)+AppleWebKit/537.36+Chrome/114.0+Safari/537.36+Edg/114.0'
             WHEN 7 THEN 'Mozilla/5.0+(iPad;+CPU+OS+16_5)+AppleWebKit/605.1+Version/16.5+Mobile/15E148+Safari/604.1'
             ELSE 'Bingpreview/1.0' END AS "UserAgent",
-          CASE WHEN page_id % 17 = 0 THEN '-' ELSE 'https://example.test/' END AS "Referer",
+          CASE WHEN url LIKE '%?page=%' THEN '-' ELSE 'https://example.test/' END AS "Referer",
           CASE LENGTH(html) % 5 WHEN 0 THEN '404' WHEN 1 THEN '204' WHEN 2 THEN '-' ELSE '200' END AS "HttpStatus",
           '0' AS "Substatus", '0' AS "Win32Status", CAST(LENGTH(html) % 50 AS STRING) AS "TimeTaken"
         FROM pages""",

@@ -22,26 +22,27 @@ WEEKDAYS = {
 }
 
 
-def read_request(spark: SparkSession, text: str) -> DataFrame:
-    """The request document as one row: period (put in order), the three audience lists and the names as sent."""
-    slicers = documents.parse_slicers(F.col("document"), "request")
+def parse_requests(documents_df: DataFrame, column: str) -> DataFrame:
+    """Request documents as rows: period (put in order), the three audience lists and the names as sent."""
+    slicers = F.col("_slicers")
     first, second = (
-        dates.from_iso(F.try_element_at(documents.slicer_values(F.col("slicers"), "date"), F.lit(i))) for i in (1, 2)
+        dates.from_iso(F.try_element_at(documents.slicer_values(slicers, "date"), F.lit(i))) for i in (1, 2)
     )
-    document = F.lit(text).alias("document")
-    return (
-        spark.range(1)
-        .select(document)
-        .select(slicers.alias("slicers"))
-        .select(
-            documents.slicer_names(F.col("slicers")).alias("names"),
-            F.least(first, second).alias("start"),
-            F.greatest(first, second).alias("end"),
-            *[documents.slicer_values(F.col("slicers"), n).alias(n) for n in ("sex", "age_group", "social_class")],
-        )
+    kept = [c for c in documents_df.columns if c != column]
+    return documents_df.withColumn("_slicers", documents.parse_slicers(F.col(column), "request")).select(
+        *kept,
+        documents.slicer_names(slicers).alias("names"),
+        F.least(first, second).alias("start"),
+        F.greatest(first, second).alias("end"),
+        *[documents.slicer_values(slicers, n).alias(n) for n in ("sex", "age_group", "social_class")],
     )
 
 
+def read_request(spark: SparkSession, text: str) -> DataFrame:
+    """One request document."""
+    return parse_requests(spark.range(1).select(F.lit(text).alias("document")), "document")
+
+
 def check_request(request: DataFrame, now: dt.datetime) -> DataFrame:
     """Adds ``names_ok`` (exact names in order) and ``period_ok`` (within the last 30 days)."""
     names = F.array(*[F.lit(n) for n in REQUEST_NAMES])

@@ -122,7 +122,7 @@ def read_workbooks(
 
     A sheet has at most 1,048,576 rows, so one file fits in a task; lock files are ignored.
     """
-    whole = spark.read.option("wholetext", "true").text(path).select("value", file_name().alias(tag))
+    whole = spark.read.text(path, wholetext=True).select("value", file_name().alias(tag))
     lines = (
         whole.where(~is_open_lock(F.col(tag)))
         .select(tag, F.posexplode(F.split("value", "\r?\n")).alias("_line_no", "_line"))
