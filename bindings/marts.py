@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bindings.registry import query
 from bindings.staging import staging, table, with_staging
 from tidemark.plans.mart import mart_tables
+from tidemark.plans.orders import order_validity
 from tidemark.plans.recommendation import hits_of_property
 
 AS_OF = dt.date(2025, 12, 31)
@@ -22,12 +23,16 @@ def mart(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     """A mart table made from the staging tables, with the mart tables it reads made in the same plan."""
     tables = mart_tables(AS_OF)
     names = RENAMED.get(target, {})
-    table = tables[target]
-    inputs = [
-        mart(spark, sf_dir, name) if name in tables else staging(spark, sf_dir, names.get(name, name))
-        for name in table.inputs
-    ]
-    return table.make(*inputs)
+
+    def made(name: str) -> DataFrame:
+        if name == "Fact_Order":
+            # the only reader wants id, time and validity; a refresh reads the written table instead
+            return order_validity(staging(spark, sf_dir, "order"))
+        if name in tables:
+            return mart(spark, sf_dir, name)
+        return staging(spark, sf_dir, names.get(name, name))
+
+    return tables[target].make(*[made(name) for name in tables[target].inputs])
 
 
 def _register(key: str, target: str, used: list[str], sql: str, **ctes: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.registry import query
@@ -536,8 +536,9 @@ def _first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT o_orderkey, COUNT(*) OVER (PARTITION BY o_custkey, o_orderstatus) > 1 AS repeated FROM orders""",
 )
 def _count_over(spark: SparkSession, sf_dir: str) -> DataFrame:
-    group = Window.partitionBy("o_custkey", "o_orderstatus")
-    return table(spark, sf_dir, "orders").select("o_orderkey", (F.count("*").over(group) > 1).alias("repeated"))
+    orders = table(spark, sf_dir, "orders")
+    sized = windows.with_group_size(orders, ["o_custkey", "o_orderstatus"], ["o_orderkey"], "n")
+    return sized.select("o_orderkey", (F.col("n") > 1).alias("repeated"))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.registry import query
-from bindings.staging import staging, with_staging
+from bindings.staging import staging, table, with_staging
 from tidemark.functions import network
 from tidemark.operators import aggregates
 from tidemark.plans import audit, comments, consolidate, planner, rating, weblog
@@ -75,7 +75,7 @@ def _ip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of addresses spread over the whole range, and the way from address text back to its number."""
     number = F.col("ip")
     text = F.concat_ws(".", *[((F.shiftright(number, bits)) % 256).cast("string") for bits in (24, 16, 8, 0)])
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr(
+    pages = table(spark, sf_dir, "pages").selectExpr(
         "page_id", "(page_id * 7919) % 4294967296 * 7 % 4294967296 AS ip"
     )
     hits = pages.withColumns(
@@ -229,7 +229,7 @@ REQUEST_DOCUMENTS = """
 def _request_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with swapped and early periods and wrong names, one per customer."""
     sql = REQUEST_DOCUMENTS.replace("{", "{{").replace("}", "}}").replace("FROM customer", "FROM {customer}")
-    sent = spark.sql(sql, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    sent = spark.sql(sql, customer=table(spark, sf_dir, "customer"))
     checked = planner.check_request(planner.parse_requests(sent, "document"), dt.datetime(2024, 2, 5))
     return checked.select(
         "c_custkey",

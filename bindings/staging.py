@@ -7,7 +7,7 @@ Names with blanks stand in double quotes. Each view is a projection of whole tab
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -319,13 +319,15 @@ def _sources(name: str) -> tuple[str, ...]:
     return tuple(sorted(words & set(TABLES)))
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given test tables."""
+    """One of the given test tables; its files are listed and its schema is read once per session."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=256)
 def staging(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A staging table for Spark."""
+    """A staging table for Spark. Only its plan is kept, no rows."""
     text = STAGING[name]
     inputs = {source: table(spark, sf_dir, source) for source in _sources(name)}
     for source in inputs:

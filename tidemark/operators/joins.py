@@ -35,15 +35,38 @@ def salted_join(
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def scope_join(
-    holders: DataFrame,
-    items: DataFrame,
-    scope: str,
-    spread_by: Sequence[str],
-    salts: int = SALTS,
+def frequent(counts: DataFrame, count: str, share: int = 1000) -> DataFrame:
+    """Keys that hold at least one ``share``-th of everything counted: never more than ``share`` rows.
+
+    That bound is what allows broadcasting them.
+    """
+    total = counts.agg(F.sum(count)).scalar()
+    return counts.where(F.col(count) * share >= total)
+
+
+def hot_key_lookup(
+    many: DataFrame, few: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int = 64
 ) -> DataFrame:
-    """Gives every holder all items of its scope, as an equi join dealt over ``salts`` tasks by item."""
-    return salted_join(items, holders, [scope], spread_by, "inner", salts)
+    """Inner lookup in ``few``, unique per key and too large to repeat, with ``hot`` its rows for the frequent keys.
+
+    ``hot`` must be bounded, as :func:`frequent` is; it is broadcast. Rows with such a key have their answer before the
+    shuffle and travel under salted keys; all other rows meet ``few`` in a plain equi join.
+    """
+    values = [c for c in few.columns if c not in on]
+    known = hot.select(*on, F.struct(*values).alias("_hot"))
+    # always 0, but not a literal: a literal would be folded and the salt would no longer be part of the shuffle key
+    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    rest = few.select(*on, F.struct(*values).alias("_cold"), zero.alias("_salt"))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int") + 1
+    answered = many.join(F.broadcast(known), list(on), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0))
+    )
+    found = F.coalesce("_hot", "_cold")
+    return (
+        answered.join(rest, [*on, "_salt"], "left")
+        .where(found.isNotNull())
+        .select(*many.columns, *[found[v].alias(v) for v in values])
+    )
 
 
 def range_lookup(

@@ -1,9 +1,12 @@
 """Window functions that stay balanced when one key holds a large share of the rows.
 
-A plain ``row_number`` or ``lag`` sorts all rows of a key in one task. Here the rows of a key are cut into chunks along
-the order, each chunk is sorted on its own, and only one small marker row per chunk carries what the next chunk
-needs. The markers travel in the same shuffle as the rows, so there is no join and null keys behave as in a
-plain window.
+A plain ``row_number`` or ``lag`` sorts all rows of a key in one task. Here the rows of every frequent key are cut into
+chunks along the order, each chunk is sorted on its own, and one small marker row per chunk carries what the chunk
+needs to know of the others. Markers travel in the same shuffle as the rows, so there is no second join, and null keys
+behave as in a plain window. All other keys form a single chunk and need no marker. Whether a key counts as frequent
+only decides how the work is split, never the result.
+
+The input is read more than once, so it should be a scan or a written table rather than a long plan.
 """
 
 from __future__ import annotations
@@ -13,6 +16,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import joins
+
+# A key counts as frequent when it holds at least this fraction (one in SHARE) of all rows.
+SHARE = 1000
+
+
+def _cut_frequent_keys(df: DataFrame, keys: Sequence[str], chunk: dict[str, Column], share: int) -> DataFrame:
+    """Adds ``_frequent`` and the chunk columns, which stay null for all other keys."""
+    counts = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias("_count"))
+    # at most ``share`` rows
+    frequent = F.broadcast(joins.frequent(counts, "_count", share))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    is_frequent = F.col("_count").isNotNull()
+    parts = {name: F.when(is_frequent, value) for name, value in chunk.items()}
+    return df.join(frequent, same, "left").select(
+        *df.columns, is_frequent.alias("_frequent"), *[value.alias(name) for name, value in parts.items()]
+    )
+
 
 def number_within(
     df: DataFrame,
@@ -21,15 +44,16 @@ def number_within(
     chunk: Sequence[Column],
     number: str = "rn",
     size: str | None = None,
+    share: int = SHARE,
 ) -> DataFrame:
     """``row_number`` over ``keys`` in ``order``, optionally with the group size.
 
     ``chunk`` holds coarse versions of the order, ascending along it (nulls last): rows of an earlier chunk must all come
     before the rows of a later one.
     """
-    parts = [f"_chunk{i}" for i in range(len(chunk))]
-    tagged = df.withColumns(dict(zip(parts, chunk)))
-    counted = tagged.groupBy(*keys, *parts).agg(F.count("*").alias("_rows"))
+    parts = {f"_chunk{i}": value for i, value in enumerate(chunk)}
+    rows = _cut_frequent_keys(df, keys, parts, share)
+    counted = rows.where("_frequent").groupBy(*keys, *parts).agg(F.count("*").alias("_rows"))
     in_group = Window.partitionBy(*keys)
     along = in_group.orderBy(*[F.col(p).asc_nulls_last() for p in parts])
     markers = counted.select(
@@ -39,16 +63,18 @@ def number_within(
         F.sum("_rows").over(in_group).alias("_size"),
         F.lit(0).alias("_is_row"),
     )
-    rows = tagged.withColumn("_is_row", F.lit(1))
-    local = Window.partitionBy(*keys, *parts).orderBy("_is_row", *order)
-    numbered = rows.unionByName(markers, allowMissingColumns=True).withColumns(
+    together = rows.withColumn("_is_row", F.lit(1)).unionByName(markers, allowMissingColumns=True)
+    whole = Window.partitionBy(*keys, *parts)
+    local = whole.orderBy("_is_row", *order)
+    # the marker comes first in its chunk, so a running maximum hands its values to every row
+    position = F.sum("_is_row").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = together.withColumns(
         {
-            "_local": F.row_number().over(local) - 1,
-            "_offset": F.max("_before").over(local),
-            "_total": F.max("_size").over(local),
+            "_number": position + F.coalesce(F.max("_before").over(local), F.lit(0)),
+            "_total": F.coalesce(F.max("_size").over(local), F.sum("_is_row").over(whole)),
         }
     )
-    columns = [*df.columns, (F.col("_local") + F.col("_offset")).cast("int").alias(number)]
+    columns = [*df.columns, F.col("_number").cast("int").alias(number)]
     if size:
         columns.append(F.col("_total").alias(size))
     return numbered.where(F.col("_is_row") == 1).select(*columns)
@@ -60,31 +86,45 @@ def previous_within(
     order: str,
     values: dict[str, str],
     width: int = 1 << 20,
+    share: int = SHARE,
 ) -> DataFrame:
     """``lag`` over ``keys`` along the unique integer column ``order``; ``values`` maps source to output column.
 
     A chunk spans ``width`` consecutive order values and so holds at most that many rows.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(width)))
-    carried = F.max_by(F.struct(order, *values), F.col(order)).alias("_last")
-    last = chunked.groupBy(*keys, "_chunk").agg(carried)
-    next_chunk = F.lead("_chunk").over(Window.partitionBy(*keys).orderBy("_chunk"))
-    markers = (
-        last.withColumn("_chunk", next_chunk)
-        .where(F.col("_chunk").isNotNull())
-        .select(*keys, "_chunk", "_last.*", F.lit(False).alias("_is_row"))
+    rows = _cut_frequent_keys(df, keys, {"_chunk": F.floor(F.col(order) / F.lit(width))}, share)
+    last = rows.where("_frequent").groupBy(*keys, "_chunk").agg(
+        F.max(order).alias(order), *[F.max_by(value, order).alias(value) for value in values]
     )
+    next_chunk = F.lead("_chunk").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    markers = last.withColumn("_chunk", next_chunk).where(F.col("_chunk").isNotNull())
     along = Window.partitionBy(*keys, "_chunk").orderBy(order)
     lagged = {out: F.lag(source).over(along) for source, out in values.items()}
     return (
-        chunked.withColumn("_is_row", F.lit(True))
-        .unionByName(markers, allowMissingColumns=True)
+        rows.withColumn("_is_row", F.lit(True))
+        .unionByName(markers.withColumn("_is_row", F.lit(False)), allowMissingColumns=True)
         .withColumns(lagged)
         .where("_is_row")
         .select(*df.columns, *values.values())
     )
 
 
+def with_group_size(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], size: str, salts: int = 16) -> DataFrame:
+    """``count(*)`` over ``keys``: counted with partial results, then brought back to the rows of a key in ``salts``
+    tasks, dealt by a hash of ``spread_by``. Null keys form a group, as in a window.
+    """
+    counts = (
+        df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
+        .agg(F.count("*").alias(size))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    dealt = df.withColumn("_deal", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    same = F.col("_deal") == F.col("_salt")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return dealt.join(counts, same).select(*df.columns, size)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key. Catalyst keeps only the best row per key before the shuffle, so hot keys are cheap."""
     return keep_top(df, keys, order, 1)

@@ -24,7 +24,7 @@ def sys_users_member(user_member: DataFrame, sys_user: DataFrame, member: DataFr
     """Members a user sees: the listed ones, and those that come with the role.
 
     A role opens a scope, every member belongs to the global scope and to that of its country. The scopes meet in an
-    equi join, spread by member, so the global scope is never handled by one task.
+    equi join, spread by user, so the global scope is never handled by one task.
     """
     listed = (
         user_member.select(F.col("sys_user").alias("user_id"), "member")
@@ -41,7 +41,7 @@ def sys_users_member(user_member: DataFrame, sys_user: DataFrame, member: DataFr
     )
     scopes = F.array(F.lit(EVERYWHERE), F.col("country_id").cast("string"))
     members = member.select(F.col("id").alias("member"), "country_id", F.explode(scopes).alias("scope"))
-    by_role = joins.scope_join(holders, members, "scope", ["member"])
+    by_role = joins.salted_join(holders, members, ["scope"], ["sys_user"])
     columns = ["sys_user", "member", "sys_user_email", "country_id"]
     return sets.stack_distinct(listed.select(*columns), by_role.select(*columns))
 

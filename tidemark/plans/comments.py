@@ -16,6 +16,9 @@ NO_COMMENTS = "No hay comentarios relevantes."
 FAILED = "Error al resumir: "
 SENTENCE_END = "[.!?\\n]+"
 WORD_GAP = "[ \\t,;:]+"
+ANY_GAP = "[.!?\\n \\t,;:]+"
+# More positions than one comment can hold.
+POSITIONS = 1 << 31
 
 
 def scored_comments(df: DataFrame) -> DataFrame:
@@ -65,40 +68,64 @@ def summarise(
     return parts.withColumn("resumen", run(F.col("comment"), F.col("score")))
 
 
+def _relevant(df: DataFrame) -> DataFrame:
+    return scored_comments(df).where(F.col("comment").isNotNull())
+
+
 def sentences(df: DataFrame, order: str) -> DataFrame:
     """Sentences of the relevant comments with their position."""
-    split = F.split(F.col("comment"), SENTENCE_END)
     return (
-        scored_comments(df)
-        .where(F.col("comment").isNotNull())
-        .select("score", order, F.posexplode(split).alias("pos", "sentence"))
+        _relevant(df)
+        .select("score", order, F.posexplode(F.split("comment", SENTENCE_END)).alias("pos", "sentence"))
         .withColumn("sentence", F.trim("sentence"))
         .where(F.col("sentence") != "")
     )
 
 
+def word_counts(df: DataFrame) -> DataFrame:
+    """How often each word occurs in the comments of a score. Counted in the scan stage, then merged."""
+    words = _relevant(df).select("score", F.explode(F.split("comment", ANY_GAP)).alias("word")).where("word <> ''")
+    return words.groupBy("score", F.lower("word").alias("word")).agg(F.count("*").alias("_count"))
+
+
 def key_sentences(df: DataFrame, order: str, n: int = 3) -> DataFrame:
     """The ``n`` sentences of each score whose words are the most frequent ones within that score.
 
     The built-in summary: words are counted over the whole group, a sentence weighs the mean count of its words (in
-    thousandths, rounded down), ties go to the earlier sentence. Equal sentences are merged first and counted, so
-    copies cost nothing further on; very frequent words are spread before they meet their counts.
+    thousandths, rounded down), ties go to the earlier sentence. Equal sentences are merged before their words are
+    looked up, so copies cost nothing further on; very frequent words are spread before they meet their counts. The
+    text of the chosen sentences is fetched at the end, for a handful of comments only.
     """
-    place = F.struct(F.col(order), F.col("pos"))
-    listed = (
+    # comment and position in one number, so that the first place is a cheap minimum
+    positions = F.lit(POSITIONS).cast("decimal(10,0)")
+    place = F.col(order).cast("decimal(20,0)") * positions + F.col("pos")
+    first = F.col("_first")
+    distinct = (
         sentences(df, order)
         .groupBy("score", "sentence")
-        .agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-        .select("score", f"first.{order}", "first.pos", "copies", "sentence")
+        .agg(F.min(place).alias("_first"), F.count("*").alias("copies"))
+        .select(
+            "score",
+            F.floor(first / positions).cast("long").alias(order),
+            F.pmod(first, positions).cast("int").alias("pos"),
+            "copies",
+            "sentence",
+        )
     )
-    word_list = F.filter(F.split(F.lower("sentence"), WORD_GAP), lambda w: w != "")
-    words = listed.select("score", order, "pos", "copies", F.explode(word_list).alias("word"))
-    counts = words.groupBy("score", "word").agg(F.sum("copies").alias("_count"))
+    words = distinct.select("score", order, "pos", "copies", F.explode(F.split("sentence", WORD_GAP)).alias("word"))
+    words = words.where("word <> ''").withColumn("word", F.lower("word"))
+    counts = word_counts(df)
+    hot = joins.frequent(counts, "_count")
     weighed = (
-        joins.salted_join(words, counts, ["score", "word"], [order, "pos"])
-        .groupBy("score", order, "pos")
+        joins.hot_key_lookup(words, counts, hot, ["score", "word"], [order, "pos"])
+        .groupBy("score", order, "pos", "copies")
         .agg(F.sum("_count").alias("_sum"), F.count("*").alias("_words"))
         .withColumn("weight", F.expr("(_sum * 1000) div _words"))
     )
     best = windows.keep_top(weighed, ["score"], [F.col("weight").desc(), F.col(order), F.col("pos")], n)
-    return best.join(listed, ["score", order, "pos"]).select("score", order, "pos", "copies", "weight", "sentence")
+    sentence = F.trim(F.get(F.split("comment", SENTENCE_END), F.col("pos")))
+    return (
+        _relevant(df)
+        .join(best, ["score", order])
+        .select("score", order, "pos", "copies", "weight", sentence.alias("sentence"))
+    )

@@ -60,6 +60,15 @@ def first_sales_rep(sales_rep: DataFrame, sales_rep_business: DataFrame) -> Data
     )
 
 
+def order_validity(order: DataFrame) -> DataFrame:
+    """Order id, time and validity: what the order fact says about an order without looking anything up."""
+    return order.select("id", "created_at", _valid_order().alias("valid"))
+
+
+def _valid_order() -> Column:
+    return F.when(_status_in(INVALID_ORDER), 0).otherwise(1)
+
+
 def fact_order(order, user, rate, sales_rep, sales_rep_business, order_line, width: int = 1 << 20) -> DataFrame:
     """Orders with validity, monthly rate, sales rep, line totals and the gap to the previous order.
 
@@ -96,7 +105,7 @@ def fact_order(order, user, rate, sales_rep, sales_rep_business, order_line, wid
         .select(
             "id", "client_order_number", "chain_id", "business_id", "user_id", "user_sales_rep_id",
             "distributor_id", "country_id", "status",
-            F.when(_status_in(INVALID_ORDER), 0).otherwise(1).alias("valid"),
+            _valid_order().alias("valid"),
             "original_created_at", "created_at", "updated_at", "observation", "updated_by", "customer",
             "day_of_preference", "delivery_cost",
             text.key_of(F.col("country_id"), dates.period_of(created), sep="|").alias("key_rate"),
