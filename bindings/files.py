@@ -30,16 +30,16 @@ def _write_text(df: DataFrame, folder: str, **options: str) -> None:
 
 
 def _epg_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Guide files, one folder entry per written task, with a header."""
+    """Guide files with a header, one per task."""
     folder = working_folder(spark, "epg")
     events = spark.sql(EPG_ROWS.replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
-    _write_text(events.repartition(3, "senal"), folder, header="true")
+    _write_text(events.repartition("epg_id"), folder, header="true")
     return folder
 
 
 def _log_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = working_folder(spark, "weblog")
-    _write_text(staging(spark, sf_dir, "weblog").repartition(2, "Date"), f"{folder}/site/a", sep=" ")
+    _write_text(staging(spark, sf_dir, "weblog").repartition("UriStem"), f"{folder}/site/a", sep=" ")
     return folder
 
 
@@ -60,6 +60,20 @@ def _text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_text_csv(spark, folder, sep=";")
 
 
+@query(
+    "s04_comment_csv",
+    "SELECT CAST(event_id AS VARCHAR) AS id, CAST(value AS VARCHAR) AS score, props AS comment FROM events",
+)
+def _comment_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments with quotes and commas inside."""
+    folder = working_folder(spark, "comments")
+    said = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("value").alias("score"), F.col("props").alias("comment")
+    )
+    sinks.write_csv(said, folder, sep=",")
+    return sources.read_text_csv(spark, folder)
+
+
 @query(
     "s05_named_datasets",
     """SELECT 'exclusion' AS dataset, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS total FROM customer
@@ -86,7 +100,7 @@ def _partitioned(spark: SparkSession, sf_dir: str, select: Callable[[DataFrame],
     folder = working_folder(spark, "daily")
     parts = {"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")}
     dated = table(spark, sf_dir, "events").withColumns(parts)
-    sinks.write_parquet(dated.repartition("year", "month", "day"), folder, by=["year", "month", "day"])
+    sinks.write_parquet(dated, folder, by=["year", "month", "day"])
     return select(sources.read_daily(spark, folder)).select("event_id", "value")
 
 
@@ -330,7 +344,7 @@ def _weblog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _request_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out = working_folder(spark, "requests"), working_folder(spark, "reports")
     asked = staging(spark, sf_dir, "rating_request").select(*requests.REQUEST_COLUMNS)
-    sinks.write_csv(asked.repartition(2, "hour"), folder)
+    sinks.write_csv(asked.repartition("minute"), folder)
     requests.answer_requests(
         spark, folder, staging(spark, sf_dir, "viewing"), f"{out}/csv", f"{out}/checkpoint", RUN_DATE, "city"
     ).awaitTermination()

@@ -79,7 +79,7 @@ def _ip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "(page_id * 7919) % 4294967296 * 7 % 4294967296 AS ip"
     )
     hits = pages.withColumns(
-        {"ClientIP": text, "Date": F.lit("d"), "Time": F.lit("t"), "UriStem": F.col("page_id").cast("string")}
+        {"ClientIP": text, **{c: F.col("page_id") for c in weblog.SPREAD_BY if c != "ClientIP"}}
     )
     placed = weblog.with_place(hits, staging(spark, sf_dir, "ip_blocks"))
     return placed.select("page_id", network.ip_to_long(F.col("ClientIP")).alias("ip"), *weblog.PLACE)

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins, windows
+from tidemark.operators import rows as row_ops
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,11 @@ def test_range_lookup_is_an_equi_join(spark):
     found = joins.range_lookup(spark.range(5), blocks, F.col("id"), "start_ip", "end_ip", ["id"])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_repeated_rows_are_dealt_in_pieces(spark, rows):
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 0), ("d", None)], "k string, n int")
+    repeated = row_ops.repeat_rows(df, F.col("n"), ["k"], most=4)
+    assert rows(repeated.groupBy("k", "n").count()) == [("a", 25, 25), ("b", 1, 1)]
+    per_task = repeated.where("k = 'a'").groupBy(F.spark_partition_id()).count()
+    assert per_task.count() > 1

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import nulls, text
+from tidemark.operators import rows
 
 ACCOUNT_ID, ACCOUNT_NAME, OWNER = "Account 18 ID", "Account Name", "Owner: Full Name"
 DIRECTOR, MANAGER = "Area Sales Director", "Account Owner Manager"
@@ -45,24 +46,6 @@ def _roles(role_map: DataFrame) -> DataFrame:
     )
 
 
-def account_list(accounts, role_map, audit, exclusion) -> DataFrame:
-    """Accounts with roles, audit flag and exclusion flag, one row per audit of the account."""
-    audits = audits_with_date(audit).select(_c(ACCOUNT_ID), _c(AUDITED).alias("_audit"))
-    excluded = exclusion.select(_c("Account Id").alias(ACCOUNT_ID), _c("Exclude").alias("_exclude"))
-    return (
-        accounts.join(_roles(role_map), OWNER, "left")
-        .join(audits, ACCOUNT_ID, "left")
-        .join(excluded, ACCOUNT_ID, "left")
-        .select(
-            *[_c(c) for c in accounts.columns],
-            _c(DIRECTOR),
-            _c(MANAGER),
-            nulls.flag(F.col("_audit") == 1).alias(AUDITED),
-            nulls.flag(F.col("_exclude") == 1).alias(EXCLUSIONS),
-        )
-    )
-
-
 def weighted_accounts(accounts, role_map, audit, exclusion) -> DataFrame:
     """The account list with its repetitions counted instead of written out.
 
@@ -89,6 +72,22 @@ def weighted_accounts(accounts, role_map, audit, exclusion) -> DataFrame:
     )
 
 
+def account_list(accounts, role_map, audit, exclusion) -> DataFrame:
+    """Accounts with roles, audit flag and exclusion flag, one row per audit of the account.
+
+    Only the number of audits matters, so they are counted before the join and the rows are repeated afterwards.
+    """
+    weighted = weighted_accounts(accounts, role_map, audit, exclusion)
+    kinds = F.array(
+        F.struct(F.lit(1).alias("flag"), F.col("_excluded").alias("n")),
+        F.struct(F.lit(0).alias("flag"), (F.col("_times") - F.col("_excluded")).alias("n")),
+    )
+    counted = weighted.withColumn("_kind", F.explode(kinds)).withColumn(EXCLUSIONS, F.col("_kind.flag"))
+    repeated = rows.repeat_rows(counted, F.col("_kind.n"), [ACCOUNT_ID, EXCLUSIONS])
+    kept = [*accounts.columns, DIRECTOR, MANAGER, AUDITED, EXCLUSIONS]
+    return repeated.select(*[_c(c) for c in kept])
+
+
 def _by_rep(weighted: DataFrame, *measures: Column) -> DataFrame:
     return (
         weighted.groupBy(_c(DIRECTOR), _c(MANAGER), _c(OWNER).alias(REPORT_OWNER))

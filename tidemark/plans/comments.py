@@ -36,12 +36,9 @@ def comments_by_score(df: DataFrame, order: str, width: int = 256) -> DataFrame:
     """
     scored = scored_comments(df)
     parts = aggregates.joined_text(scored, ["score"], "comment", order, width=width)
-    return scored.select("score").distinct().join(parts, "score", "left").select(
-        "score",
-        nulls.null_default(F.col("part"), 0).alias("part"),
-        nulls.null_default(F.col("comment"), "").alias("comment"),
-        nulls.null_default(F.col("texts"), 0).alias("texts"),
-    )
+    silent = scored.groupBy("score").agg(F.count("comment").alias("texts")).where(F.col("texts") == 0)
+    empty = silent.select("score", F.lit(0).cast("long").alias("part"), F.lit("").alias("comment"), "texts")
+    return parts.unionByName(empty)
 
 
 def summarise(

@@ -24,6 +24,8 @@ REQUIRED = ["UriStem", "Port", "ClientIP", "UserAgent", "Referer", "HttpStatus"]
 PAGE_TYPE = ".aspx"
 BOT = "bot"
 UNKNOWN_PLACE = " "
+# What tells the requests of one client apart.
+SPREAD_BY = ["Date", "Time", "ClientIP", "UriStem", "UriQuery", "TimeTaken"]
 PLACE = ["Country", "Region", "Latitude", "Longitude"]
 
 
@@ -62,7 +64,7 @@ def with_place(logs: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     ranges = blocks.select("start_ip", "end_ip", *[F.col(c).cast("string").alias(c) for c in PLACE])
     address = network.ip_to_long(F.col("ClientIP"))
-    placed = joins.range_lookup(logs, ranges, address, "start_ip", "end_ip", ["Date", "Time", "ClientIP", "UriStem"])
+    placed = joins.range_lookup(logs, ranges, address, "start_ip", "end_ip", SPREAD_BY)
     return placed.withColumns({c: nulls.null_default(F.col(c), UNKNOWN_PLACE) for c in PLACE})
 
 

@@ -47,13 +47,22 @@ def exists(spark: SparkSession, path: str, kind: str = "csv", **options: str) ->
     return True
 
 
-def read_datasets(spark: SparkSession, locations: dict[str, str]) -> dict[str, DataFrame]:
-    """Named CSV datasets with inferred types, without empty rows; a dataset that is missing is left out."""
-    return {
-        name: spark.read.options(header="true", inferSchema="true").csv(path).na.drop(how="all")
-        for name, path in locations.items()
-        if exists(spark, path, header="true")
-    }
+def read_datasets(
+    spark: SparkSession, locations: dict[str, str], schemas: dict[str, T.StructType] | None = None
+) -> dict[str, DataFrame]:
+    """Named CSV datasets without empty rows; a dataset that is missing is left out.
+
+    Types are inferred, which reads a file one more time, unless a schema is given for the dataset.
+    """
+    found = {}
+    for name, path in locations.items():
+        if not exists(spark, path, header="true"):
+            continue
+        reader = spark.read.option("header", "true")
+        declared = (schemas or {}).get(name)
+        reader = reader.schema(declared) if declared else reader.option("inferSchema", "true")
+        found[name] = reader.csv(path).na.drop(how="all")
+    return found
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
