@@ -92,7 +92,7 @@ def previous_within(
 
     A chunk spans ``width`` consecutive order values and so holds at most that many rows.
     """
-    rows = _cut_frequent_keys(df, keys, {"_chunk": F.floor(F.col(order) / F.lit(width))}, share)
+    rows = _cut_frequent_keys(df, keys, {"_chunk": F.expr(f"`{order}` div {width}")}, share)
     last = rows.where("_frequent").groupBy(*keys, "_chunk").agg(
         F.max(order).alias(order), *[F.max_by(value, order).alias(value) for value in values]
     )
