@@ -212,14 +212,17 @@ _register(
     "Dim_Promo_by_Business",
     ["business", "promo_business", "promo_channel", "promo_subchannel"],
     """
-    SELECT business_id, COALESCE(channel_id, 0) AS channel_id, COALESCE(sub_channel_id, 0) AS sub_channel_id,
-      COALESCE(product_id, 0) AS product_id
-    FROM (SELECT b.id AS business_id, b.channel_id, b.sub_channel_id, p.product_id FROM st_business b
-            JOIN st_promo_business p ON b.id = p.business_id
-          UNION SELECT b.id, b.channel_id, b.sub_channel_id, p.product_id FROM st_business b
-            JOIN st_promo_channel p ON b.channel_id = p.channel_id
-          UNION SELECT b.id, b.channel_id, b.sub_channel_id, p.product_id FROM st_business b
-            JOIN st_promo_subchannel p ON b.sub_channel_id = p.subchannel_id) t""",
+    SELECT b.id AS business_id, COALESCE(b.channel_id, 0) AS channel_id, COALESCE(b.sub_channel_id, 0) AS sub_channel_id,
+      COALESCE(k.product_id, 0) AS product_id
+    FROM st_business b JOIN (SELECT DISTINCT p.product_id, owner.id FROM owner JOIN promo p USING (kind, key)) k ON b.id = k.id""",
+    owner="""
+        SELECT id, 'business' AS kind, id AS key FROM st_business
+        UNION ALL SELECT id, 'channel', channel_id FROM st_business
+        UNION ALL SELECT id, 'sub_channel', sub_channel_id FROM st_business""",
+    promo="""
+        SELECT 'business' AS kind, business_id AS key, product_id FROM st_promo_business
+        UNION ALL SELECT 'channel', channel_id, product_id FROM st_promo_channel
+        UNION ALL SELECT 'sub_channel', subchannel_id, product_id FROM st_promo_subchannel""",
 )
 
 PROMO_TYPE = """CASE WHEN COUNT(*) OVER (PARTITION BY promo_id) > 1 THEN 'Mixed Bundle' WHEN quantity > 1 THEN 'Multi Buy'
@@ -235,35 +238,34 @@ _register(
 
 ORDER_TABLES = ["order", "user", "rate", "sales_rep", "sales_rep_business", "order_line"]
 FACT_ORDER = """
+    WITH totals AS (
+      SELECT "order" AS id, COUNT(*) AS lines, COUNT(*) FILTER (status = 'cancelled') AS cancelled,
+        COALESCE(SUM(current_quantity * current_unit_price - discount)
+          FILTER (status NOT IN ('cancelled', 'not_approved', 'returned')), 0) AS kept_value,
+        COALESCE(SUM(current_quantity * current_unit_price - discount) FILTER (status = 'cancelled'), 0) AS lost_value
+      FROM st_order_line GROUP BY ALL),
+    reps AS (
+      SELECT MIN(sales_rep_id) AS rep, business_id, chain_id FROM st_sales_rep_business
+      JOIN (SELECT id AS sales_rep_id, chain_id FROM st_sales_rep) USING (sales_rep_id) GROUP BY ALL),
+    dated AS (
+      SELECT *, YEAR(created_at) AS y, MONTH(created_at) AS m,
+        LAG(created_at) OVER (PARTITION BY chain_id, business ORDER BY id) AS before FROM st_order)
     SELECT o.id, o.client_order_number, o.chain_id, o.business AS business_id, o.user_id,
       u.sales_rep AS user_sales_rep_id, o.distributor_id, o.country_id, o.status,
-      CAST(CASE WHEN o.status IN ('cancelled', 'not_approved') THEN 0 ELSE 1 END AS INT) AS valid,
-      o.original_created_at, o.created_at, o.updated_at, o.observation, o.updated_by, o.customer, o.day_of_preference,
-      o.delivery_cost,
-      o.country_id || '|' || CAST(YEAR(o.created_at) * 100 + MONTH(o.created_at) AS VARCHAR) AS key_rate, r.rate,
-      COALESCE(u.sales_rep, f.sales_rep_id) AS sales_rep_id,
-      CAST(o.business AS VARCHAR) || '-' || CAST(o.chain_id AS VARCHAR) AS business_chain, l.total_lines,
-      ROUND(l.total_amount, 2) AS total_amount,
-      CASE WHEN l.total_cancelled_lines > 0 AND l.total_cancelled_lines <> l.total_lines THEN 'Partial'
-        WHEN l.total_cancelled_lines > 0 THEN 'Total' END AS cancellation_status,
-      l.total_cancelled_lines, l.cancelled_amount,
-      LAG(o.created_at) OVER w AS previous_chain_business_order_date,
-      CAST(DATE_DIFF('day', LAG(o.created_at) OVER w, o.created_at) AS INT) AS days_from_last_order
-    FROM st_order o
-    LEFT JOIN st_user u ON o.user_id = u.id
-    LEFT JOIN st_rate r ON o.country_id = r.id_country AND YEAR(o.created_at) = r.calendar_year
-      AND MONTH(o.created_at) = r.calendar_month
-    LEFT JOIN (SELECT sr.chain_id, sb.business_id, MIN(sr.id) AS sales_rep_id FROM st_sales_rep sr
-               JOIN st_sales_rep_business sb ON sr.id = sb.sales_rep_id GROUP BY 1, 2) f
-      ON o.business = f.business_id AND o.chain_id = f.chain_id
-    LEFT JOIN (SELECT "order" AS order_id, COUNT(*) AS total_lines,
-                 CAST(SUM(CASE WHEN status = 'cancelled' THEN 1 ELSE 0 END) AS BIGINT) AS total_cancelled_lines,
-                 SUM(CASE WHEN status IN ('cancelled', 'not_approved', 'returned') THEN 0
-                   ELSE current_quantity * current_unit_price - discount END) AS total_amount,
-                 SUM(CASE WHEN status = 'cancelled' THEN current_quantity * current_unit_price - discount ELSE 0 END)
-                   AS cancelled_amount
-               FROM st_order_line GROUP BY 1) l ON o.id = l.order_id
-    WINDOW w AS (PARTITION BY o.chain_id, o.business ORDER BY o.id)"""
+      CAST(o.status NOT IN ('cancelled', 'not_approved') AS INT) AS valid, o.original_created_at, o.created_at,
+      o.updated_at, o.observation, o.updated_by, o.customer, o.day_of_preference, o.delivery_cost,
+      FORMAT('{}|{}{:02d}', o.country_id, o.y, o.m) AS key_rate, r.rate, COALESCE(u.sales_rep, reps.rep) AS sales_rep_id,
+      FORMAT('{}-{}', o.business, o.chain_id) AS business_chain, t.lines AS total_lines,
+      ROUND(t.kept_value, 2) AS total_amount,
+      IF(t.cancelled > 0, IF(t.cancelled < t.lines, 'Partial', 'Total'), NULL) AS cancellation_status,
+      t.cancelled AS total_cancelled_lines, t.lost_value AS cancelled_amount,
+      o.before AS previous_chain_business_order_date,
+      CAST(CAST(o.created_at AS DATE) - CAST(o.before AS DATE) AS INT) AS days_from_last_order
+    FROM dated o
+    LEFT JOIN st_user u ON u.id = o.user_id
+    LEFT JOIN st_rate r ON (r.id_country, r.calendar_year, r.calendar_month) = (o.country_id, o.y, o.m)
+    LEFT JOIN reps ON (reps.business_id, reps.chain_id) = (o.business, o.chain_id)
+    LEFT JOIN totals t ON t.id = o.id"""
 
 query(
     "m22_fact_order",
@@ -381,20 +383,21 @@ _register(
     "Fact_Notification_Tracking",
     ["notification", "product", "cart", "cart_line", "event_order", "event_order_line"],
     """
-    SELECT country, business, chain, user_id, promotion_id, product, configuration_id, created_at, sent_at, opened_at,
-      add_to_cart_at, CASE WHEN ordered > add_to_cart_at THEN ordered END AS bought_at
-    FROM (SELECT n.country, n.business_id AS business, n.chain, n.user_id, n.promotion_id, p.name AS product,
-            n.configuration_id, n.created_at, n.sent_at, n.opened_at,
-            CASE WHEN c.at > n.opened_at THEN c.at END AS add_to_cart_at, o.at AS ordered
-          FROM st_notification n LEFT JOIN st_product p ON n.promotion_id = p.id
-          LEFT JOIN (SELECT country_id, user_id, business, chain_id, product, MAX(created_at) AS at
-                     FROM st_cart JOIN st_cart_line ON id = cart WHERE product IS NOT NULL GROUP BY ALL) c
-            ON n.country = c.country_id AND n.chain = c.chain_id AND n.business_id = c.business
-              AND n.user_id = c.user_id AND n.promotion_id = c.product
-          LEFT JOIN (SELECT country_id, user_id, business, chain_id, product_id, MAX(created_at) AS at
-                     FROM st_event_order JOIN st_event_order_line ON id = "order" GROUP BY ALL) o
-            ON n.country = o.country_id AND n.chain = o.chain_id AND n.business_id = o.business
-              AND n.user_id = o.user_id AND n.promotion_id = o.product_id) t""",
+    SELECT n.country, n.business_id AS business, n.chain, n.user_id, n.promotion_id,
+      (SELECT name FROM st_product p WHERE p.id = n.promotion_id) AS product, n.configuration_id, n.created_at, n.sent_at,
+      n.opened_at, IF(c.at > n.opened_at, c.at, NULL) AS add_to_cart_at,
+      IF(c.at > n.opened_at AND o.at > c.at, o.at, NULL) AS bought_at
+    FROM st_notification n
+    LEFT JOIN last_event c ON c.kind = 'cart' AND c.key = (n.country, n.business_id, n.chain, n.user_id, n.promotion_id)
+    LEFT JOIN last_event o ON o.kind = 'order' AND o.key = (n.country, n.business_id, n.chain, n.user_id, n.promotion_id)""",
+    last_event="""
+        SELECT kind, key, MAX(created_at) AS at FROM (
+          SELECT 'cart' AS kind, (country_id, business, chain_id, user_id, product) AS key, created_at
+          FROM st_cart JOIN st_cart_line ON id = cart
+          UNION ALL
+          SELECT 'order', (country_id, business, chain_id, user_id, product_id), created_at
+          FROM st_event_order JOIN st_event_order_line ON id = "order")
+        GROUP BY ALL""",
 )
 
 _copy("m29_analytics_search", "Fact_Analytics_Search", "analytics_search")
@@ -410,14 +413,12 @@ _register(
 )
 
 USER_MEMBERS = """
-    SELECT m.sys_user, m.member, u.email AS sys_user_email, u.country_id
-    FROM st_user_member m JOIN st_sys_user u ON m.sys_user = u.user_id
+    SELECT DISTINCT u.user_id AS sys_user, m.id AS member, u.email AS sys_user_email, m.country_id
+    FROM st_sys_user u, st_member m
+    WHERE CONTAINS(u.email, '@') AND (u.role IN ('ADMIN', 'GLOBAL_REPORT')
+      OR (u.role IN ('COUNTRY_ADMIN', 'COUNTRY_MANAGER_ADMIN') AND m.country_id = u.country_id))
     UNION
-    SELECT u.user_id, m.id, u.email, m.country_id FROM st_sys_user u CROSS JOIN st_member m
-    WHERE u.role IN ('ADMIN', 'GLOBAL_REPORT') AND u.email LIKE '%@%'
-    UNION
-    SELECT u.user_id, m.id, u.email, u.country_id FROM st_sys_user u JOIN st_member m ON u.country_id = m.country_id
-    WHERE u.role IN ('COUNTRY_ADMIN', 'COUNTRY_MANAGER_ADMIN') AND u.email LIKE '%@%'"""
+    SELECT u.user_id, l.member, u.email, u.country_id FROM st_user_member l, st_sys_user u WHERE l.sys_user = u.user_id"""
 
 _register("m32_user_members", "Dim_Sys_Users_Member", ["user_member", "sys_user", "member"], USER_MEMBERS)
 
@@ -453,13 +454,11 @@ _register(
     "Fast_Order_Tracking_Found_line",
     ["found_line", "fast_order_tracking", *LINE_TABLES],
     f"""
-    SELECT fa.*, a.product_purchase FROM st_found_line fa JOIN (
-      SELECT fa."productId", fa."fastOrderTrackingId",
-        ROW_NUMBER() OVER (PARTITION BY fa."productId", fa."fastOrderTrackingId" ORDER BY lo.product_id NULLS LAST) AS n,
-        CASE WHEN lo.product_id IS NULL THEN 'NOT PURCHASE' ELSE 'PURCHASE' END AS product_purchase
-      FROM st_found_line fa JOIN st_fast_order_tracking ft ON fa."fastOrderTrackingId" = ft.id
-      LEFT JOIN lines lo ON ft."orderId" = lo."order" AND lo.product_id = fa."productId" AND {AS_SOLD}) a
-      ON fa."fastOrderTrackingId" = a."fastOrderTrackingId" AND fa."productId" = a."productId" AND a.n = 1""",
+    SELECT f.*, IF(EXISTS (SELECT 1 FROM st_fast_order_tracking t JOIN lines lo ON lo."order" = t."orderId"
+        WHERE t.id = f."fastOrderTrackingId" AND lo.product_id = f."productId" AND {AS_SOLD}),
+      'PURCHASE', 'NOT PURCHASE') AS product_purchase
+    FROM st_found_line f
+    WHERE f."productId" IS NOT NULL AND f."fastOrderTrackingId" IN (SELECT id FROM st_fast_order_tracking)""",
     **LINE_CTES,
     lines=FACT_ORDER_LINE,
 )
@@ -468,29 +467,26 @@ _register(
     "m39_fast_order",
     "Fast_Order_Tracking",
     ["fast_order_tracking", "found_line", "promo_product", "product", *ORDER_TABLES],
-    f"""
-    SELECT ft.*, CASE WHEN ft."orderId" IS NULL THEN 'NO PURCHASE' ELSE 'PURCHASE' END AS "RecommendationFunnel1",
-      CASE WHEN l.dropped IS NULL THEN NULL WHEN l.dropped = 0 AND l.added = 0 THEN 'PERFECT_MATCH'
-        WHEN l.dropped = 0 THEN 'ADD' WHEN l.added = 0 THEN 'DROP' ELSE 'PARTIAL_MATCH' END AS "RecommendationFunnel2",
+    """
+    SELECT t.*, IF(t."orderId" IS NULL, 'NO PURCHASE', 'PURCHASE') AS "RecommendationFunnel1",
+      CASE (d.missed > 0, d.extra > 0) WHEN (FALSE, FALSE) THEN 'PERFECT_MATCH' WHEN (FALSE, TRUE) THEN 'ADD'
+        WHEN (TRUE, FALSE) THEN 'DROP' WHEN (TRUE, TRUE) THEN 'PARTIAL_MATCH' END AS "RecommendationFunnel2",
       fo.created_at AS order_created_at, fo.valid AS order_valid
-    FROM st_fast_order_tracking ft
-    LEFT JOIN fact_order fo ON ft."orderId" = fo.id
-    LEFT JOIN (
-      SELECT oid, SUM(CASE WHEN bought IS NULL AND advised IS NOT NULL THEN 1 ELSE 0 END) AS dropped,
-        SUM(CASE WHEN advised IS NULL AND bought IS NOT NULL THEN 1 ELSE 0 END) AS added
-      FROM (SELECT ft."orderId" AS oid, lo.product_id AS bought, fa."productId" AS advised
-            FROM st_fast_order_tracking ft JOIN st_found_line fa ON fa."fastOrderTrackingId" = ft.id
-            LEFT JOIN lines lo ON ft."orderId" = lo."order" AND lo.product_id = fa."productId" AND {AS_SOLD}
-            UNION ALL
-            SELECT ft."orderId", lo.product_id, fa."productId"
-            FROM st_fast_order_tracking ft JOIN lines lo ON ft."orderId" = lo."order"
-            LEFT JOIN st_found_line fa ON fa."fastOrderTrackingId" = ft.id AND lo.product_id = fa."productId"
-              AND {AS_SOLD}
-            WHERE fa."productId" IS NULL) u
-      GROUP BY oid) l ON l.oid = ft."orderId" """,
+    FROM st_fast_order_tracking t LEFT JOIN fact_order fo ON fo.id = t."orderId"
+    LEFT JOIN (SELECT oid, SUM(missed) AS missed, SUM(extra) AS extra FROM differences GROUP BY oid) d
+      ON d.oid = t."orderId" """,
     **LINE_CTES,
     lines=FACT_ORDER_LINE,
     fact_order=FACT_ORDER,
+    differences=f"""
+        SELECT t."orderId" AS oid, 0 AS extra, CAST(f."productId" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lines lo
+            WHERE lo."order" = t."orderId" AND lo.product_id = f."productId" AND {AS_SOLD}) AS INT) AS missed
+        FROM st_fast_order_tracking t JOIN st_found_line f ON f."fastOrderTrackingId" = t.id
+        UNION ALL BY NAME
+        SELECT t."orderId" AS oid, 0 AS missed, CAST(lo.product_id IS NOT NULL AS INT) AS extra
+        FROM st_fast_order_tracking t JOIN lines lo ON lo."order" = t."orderId"
+        WHERE NOT ({AS_SOLD} AND EXISTS (SELECT 1 FROM st_found_line f
+            WHERE f."fastOrderTrackingId" = t.id AND f."productId" = lo.product_id))""",
 )
 
 _copy("m40_not_found_line", "Fast_Order_Tracking_Not_Found_line", "not_found_line")

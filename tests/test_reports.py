@@ -301,3 +301,22 @@ def test_column_document_keeps_nulls_and_order(spark):
     df = spark.createDataFrame([("b", None), ("a", 1)], "k string, v int")
     text = documents.column_document(df, ["k"]).first().document
     assert json.loads(text) == {"data": [{"k": {"0": "a", "1": "b"}, "v": {"0": 1, "1": None}}]}
+
+
+def test_report_reads_only_the_days_asked_for(spark, tmp_path):
+    from tidemark.sinks.files import write_parquet
+    from tidemark.sources.files import read_daily, read_text_csv
+
+    seen = spark.range(48).select(
+        F.lit(2024).alias("year"), F.lit(1).alias("month"), (F.col("id") % 24 + 1).cast("int").alias("day"),
+        F.lit("10").alias("hour"), F.lit("1").alias("minute"), F.lit("News").alias("channel"),
+        F.lit("7").alias("channel_number"), F.lit("here").alias("location"), F.lit(3.0).alias("mac_addr_channel"),
+        F.lit(0.5).alias("location_weight"), F.lit(4).alias("deco_count"),
+    )
+    write_parquet(seen, str(tmp_path / "viewing"), by=["year", "month", "day"])
+    (tmp_path / "ask.csv").write_text("year;month;day;hour;minute;channel_number\n2024;1;5;10;1;7\n")
+    request = read_text_csv(spark, str(tmp_path / "ask.csv"), sep=";")
+    report = rating.rating_report(request, read_daily(spark, str(tmp_path / "viewing")), "here")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert [(r.day, r.rating) for r in report.collect()] == [(5, 0.75)]

@@ -23,7 +23,9 @@ def _integers(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def requested_days(request: DataFrame) -> DataFrame:
-    return _integers(request.select(*DAY), DAY).distinct()
+    """The calendar days a request asks for. The range check also tells Spark that the set is worth pruning with."""
+    days = _integers(request.select(*DAY), DAY).distinct()
+    return days.where(F.col("month").between(1, 12) & F.col("day").between(1, 31))
 
 
 def rating_by_minute(viewing: DataFrame, location: str | None = None) -> DataFrame:
