@@ -68,6 +68,10 @@ def test_missing_input(spark, tmp_path):
     found = sources.read_datasets(spark, {"a": str(tmp_path / "there"), "b": str(tmp_path / "gone")})
     assert list(found) == ["a"] and found["a"].collect() == [(1, 2)]
     assert sources.read_day_folders(spark, str(tmp_path), [dt.date(2024, 1, 1)]) is None
+    spark.range(3).write.parquet(sources.day_folder(str(tmp_path), dt.date(2024, 1, 2)))
+    spark.range(4).write.parquet(sources.day_folder(str(tmp_path), dt.date(2024, 2, 2)))
+    asked = [dt.date(2024, 1, 1), dt.date(2024, 2, 2), dt.date(2024, 1, 2), dt.date(2024, 2, 2)]
+    assert sources.read_day_folders(spark, str(tmp_path), asked).count() == 7
     assert sources.day_folder("/x/", dt.date(2024, 3, 4)) == "/x/2024/03/04"
 
 

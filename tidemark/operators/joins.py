@@ -54,8 +54,9 @@ def hot_key_lookup(
     """
     values = [c for c in few.columns if c not in on]
     known = hot.select(*on, F.struct(*values).alias("_hot"))
-    # always 0, but not a literal: a literal would be folded and the salt would no longer be part of the shuffle key
-    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    # always 0, but not a literal: a literal would be folded and the salt would no longer be part of the shuffle key.
+    # Being visibly never null, it adds no filter that would keep Spark from reusing the shuffle below ``few``.
+    zero = F.coalesce(F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"), F.lit(0))
     rest = few.select(*on, F.struct(*values).alias("_cold"), zero.alias("_salt"))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int") + 1
     answered = many.join(F.broadcast(known), list(on), "left").withColumn(

@@ -81,8 +81,9 @@ def sentences(df: DataFrame, order: str) -> DataFrame:
 
 def word_counts(df: DataFrame) -> DataFrame:
     """How often each word occurs in the comments of a score. Counted in the scan stage, then merged."""
-    words = _relevant(df).select("score", F.explode(F.split("comment", ANY_GAP)).alias("word")).where("word <> ''")
-    return words.groupBy("score", F.lower("word").alias("word")).agg(F.count("*").alias("_count"))
+    pieces = _relevant(df).select("score", F.explode(F.split("comment", ANY_GAP)).alias("piece")).where("piece <> ''")
+    words = pieces.select("score", F.lower("piece").alias("word")).where(F.col("word").isNotNull())
+    return words.groupBy("score", "word").agg(F.count("*").alias("_count"))
 
 
 def key_sentences(df: DataFrame, order: str, n: int = 3) -> DataFrame:

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None) -> None:
-    """CSV with header, replacing what is there. ``files=1`` suits a small report that is handed on as one file."""
-    out = df if files is None else df.coalesce(files)
+    """CSV with header, replacing what is there. A number of files suits a small report that is handed on."""
+    out = df if files is None else df.repartition(files)
     out.write.mode("overwrite").options(header="true", sep=sep).csv(path)
 
 
 def write_report(df: DataFrame, path: str, order: Sequence[Column | str], sep: str = ";") -> None:
-    """A small report as one sorted CSV file."""
-    df.coalesce(1).sortWithinPartitions(*order).write.mode("overwrite").options(header="true", sep=sep).csv(path)
+    """A small report as one sorted CSV file; only the writing is left to one task, not the work before it."""
+    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").options(header="true", sep=sep).csv(path)
 
 
 def report_name(input_name: str, run_date: dt.date) -> str:

@@ -36,15 +36,19 @@ def read_text_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.options(header="true", sep=sep, inferSchema="false").csv(path)
 
 
-def exists(spark: SparkSession, path: str, kind: str = "csv", **options: str) -> bool:
-    """Whether an input is there and opens. Only a missing path counts as absent; other errors are raised."""
+def open_if_there(spark: SparkSession, path: str, kind: str = "csv", **options: str) -> DataFrame | None:
+    """The input, or None when it is missing. Only a missing path counts as that; other errors are raised."""
     try:
-        spark.read.options(**options).format(kind).load(path)
+        return spark.read.options(**options).format(kind).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
+
+
+def exists(spark: SparkSession, path: str, kind: str = "csv", **options: str) -> bool:
+    """Whether an input is there and opens."""
+    return open_if_there(spark, path, kind, **options) is not None
 
 
 def read_datasets(
@@ -101,10 +105,12 @@ def day_folder(root: str, day: dt.date) -> str:
 
 
 def read_day_folders(spark: SparkSession, root: str, days: Iterable[dt.date]) -> DataFrame | None:
-    """The days of a plain ``YYYY/MM/DD`` layout in one scan; days without a folder are skipped, none gives None."""
-    paths = [day_folder(root, day) for day in sorted(set(days))]
-    present = [path for path in paths if exists(spark, path, "parquet")]
-    return spark.read.parquet(*present) if present else None
+    """The days of a plain ``YYYY/MM/DD`` layout in one scan; days without a folder are skipped, none gives None.
+
+    One path pattern names all days, so the folders are listed once and no day is probed on its own.
+    """
+    folders = ",".join(f"{day:%Y/%m/%d}" for day in sorted(set(days)))
+    return open_if_there(spark, f"{root.rstrip('/')}/{{{folders}}}", "parquet")
 
 
 def file_name() -> Column:
