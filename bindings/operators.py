@@ -202,10 +202,9 @@ def _right_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").where(
         F.col("l_returnflag").isin("A", "N") & (F.col("l_quantity") > 40)
     )
-    return (
-        table(spark, sf_dir, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select("o_orderkey", "l_partkey", "l_linenumber")
+    lines = lines.withColumnRenamed("l_orderkey", "o_orderkey")
+    return joins.left_join_many(table(spark, sf_dir, "orders"), lines, ["o_orderkey"]).select(
+        "o_orderkey", "l_partkey", "l_linenumber"
     )
 
 

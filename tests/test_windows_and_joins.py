@@ -70,6 +70,13 @@ def test_salted_join_equals_plain_join(skewed, spark, rows, how):
     assert rows(salted, "k", "seq", "w") == rows(plain, "k", "seq", "w")
 
 
+def test_left_join_many_equals_left_join(skewed, spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (999, "c"), (None, "d")], "k bigint, name string")
+    right = skewed.select("k", "seq")
+    found = joins.left_join_many(left, right, ["k"])
+    assert rows(found, "k", "name", "seq") == rows(left.join(right, "k", "left"), "k", "name", "seq")
+
+
 def test_salted_join_refuses_other_kinds(skewed):
     with pytest.raises(ValueError):
         joins.salted_join(skewed, skewed, ["k"], ["seq"], "full")

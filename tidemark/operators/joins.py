@@ -35,6 +35,17 @@ def salted_join(
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """LEFT join to a side with any number of rows per key.
+
+    Adaptive execution splits a skewed right side in an inner join but not in a left one, so the rows with a partner
+    and those without are found separately; the latter need the distinct keys only.
+    """
+    keys = right.select(*on).distinct()
+    without = left.join(keys, list(on), "left_anti")
+    return left.join(right, list(on)).unionByName(without, allowMissingColumns=True)
+
+
 def frequent(counts: DataFrame, count: str, share: int = 1000) -> DataFrame:
     """Keys that hold at least one ``share``-th of everything counted: never more than ``share`` rows.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, nulls, text
+from tidemark.operators import joins
 
 # Codes and labels shared with the consumers of the mart.
 NINE_LITRE_CASE = "9LC"
@@ -234,7 +235,7 @@ def dim_business_chain_user(business_user: DataFrame, sales_rep_business: DataFr
         "role",
         text.key_with_blanks(F.col("business"), F.col("chain"), sep="-").alias("business_chain"),
     )
-    return users.join(pairs, "business_chain", "left").join(reps, "sales_rep_id", "left").select(
+    return joins.left_join_many(users, pairs, ["business_chain"]).join(reps, "sales_rep_id", "left").select(
         "business_id", "chain_id", "user_id", "status", "role", "business_chain",
         "sales_rep_id", "sales_rep_email", "sales_rep",
     )

@@ -4,19 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import agents, network, nulls
 from tidemark.operators import joins
 
-# Columns of a log line, all text but the date.
-LOG_COLUMNS = [
-    "Time", "ServerIP", "Method", "UriStem", "UriQuery", "Port", "UserName", "ClientIP", "UserAgent",
-    "Referer", "HttpStatus", "Substatus", "Win32Status", "TimeTaken",
-]
-LOG_SCHEMA = T.StructType(
-    [T.StructField("Date", T.DateType()), *[T.StructField(c, T.StringType()) for c in LOG_COLUMNS]]
-)
 # What stands in for a missing entry, and texts only header lines carry.
 MISSING = "-"
 HEADER_STATUSES = ["undefined", "cs(Referer)"]
