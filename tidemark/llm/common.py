@@ -1,0 +1,49 @@
+"""Small helpers that several operators share."""
+
+from __future__ import annotations
+
+import gc
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.session import working_folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = working_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are stored; it does so when its objects are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def map_rows(df: DataFrame, function: Callable[[list], Iterable[tuple]], schema: str, batch: int = 2000) -> DataFrame:
+    """Call ``function`` with the columns of at most ``batch`` rows (as lists) and make rows of the tuples it yields.
+
+    Output goes out in record batches of about ``batch`` rows, so a task holds one batch of texts at a time.
+    """
+    spark = df.sparkSession
+    out_schema = spark.createDataFrame([], schema).schema
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(out_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, batch):
+                part = whole.slice(start, batch)
+                rows = list(function([column.to_pylist() for column in part.columns]))
+                if rows:
+                    columns = list(zip(*rows))
+                    arrays = [pa.array(column, type=field.type) for column, field in zip(columns, arrow)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return df.mapInArrow(run, out_schema)
