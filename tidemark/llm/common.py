@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.session import working_folder
 
@@ -25,25 +27,43 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def map_rows(df: DataFrame, function: Callable[[list], Iterable[tuple]], schema: str, batch: int = 2000) -> DataFrame:
-    """Call ``function`` with the columns of at most ``batch`` rows (as lists) and make rows of the tuples it yields.
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as ``df`` has such a column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
-    Output goes out in record batches of about ``batch`` rows, so a task holds one batch of texts at a time.
-    """
-    spark = df.sparkSession
-    out_schema = spark.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(out_schema)
+def map_rows(
+    df: DataFrame,
+    inputs: list[str],
+    function: Callable[..., Iterable[tuple]],
+    schema: str,
+    keep: list[str] | None = None,
+    batch: int = 1000,
+) -> DataFrame:
+    """Call ``function`` with the ``inputs`` columns (lists) of at most ``batch`` rows; its tuples become rows.
+
+    With ``keep``, ``function`` has to yield one tuple per input row, and the columns of ``keep`` stand before its own.
+    Output goes out in record batches, so a task holds the texts of one batch at a time.
+    """
+    added = StructType.fromDDL(schema)
+    kept = keep or []
+    out = StructType([df.schema[c] for c in kept] + added.fields)
+    arrow_added, arrow_out = to_arrow_schema(added), to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, batch):
                 part = whole.slice(start, batch)
-                rows = list(function([column.to_pylist() for column in part.columns]))
-                if rows:
-                    columns = list(zip(*rows))
-                    arrays = [pa.array(column, type=field.type) for column, field in zip(columns, arrow)]
-                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+                rows = list(function(*[part.column(i).to_pylist() for i in range(len(kept), part.num_columns)]))
+                if not rows:
+                    continue
+                arrays = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), arrow_added)]
+                old = [part.column(i).cast(f.type) for i, f in zip(range(len(kept)), arrow_out)]
+                yield pa.RecordBatch.from_arrays(old + arrays, schema=arrow_out)
 
-    return df.mapInArrow(run, out_schema)
+    quoted = [f"`{c}`" for c in kept]
+    picked = df.select(*quoted, *[df[f"`{c}`"].alias(f"__in{i}") for i, c in enumerate(inputs)])
+    return picked.mapInArrow(run, out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, topk
+from tidemark.llm import chat, quality, simhash, topk
 
 MODULUS = 20
 
@@ -66,9 +66,25 @@ SELECT conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id
 """
 
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surface counts and the verdict of the perplexity bands for every document."""
+    judged = quality.judge(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "bits"
+    )
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 QUERIES = {
     "op2_topk": op2_topk,
     "op3_chat": op3_chat,
+    "op8_quality": op8_quality,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL = {
