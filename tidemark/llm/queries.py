@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, quality, simhash, topk
+from tidemark.llm import chat, html, mixing, packing, pii, quality, simhash, topk
 
 MODULUS = 20
 
@@ -13,6 +14,28 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# target shares of tokens; None stands for all other values
+SOURCES: dict[str | None, float] = {f"src{i}": 0.05 for i in range(20)} | {None: 0.05}
+LANGUAGES: dict[str | None, float] = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2, None: 0.05}
+TOPICS: dict[str | None, float] = {"prose": 0.8, "table": 0.1, "licensed": 0.05, "shouting": 0.05}
+
+
+def topic_of(text: Column) -> Column:
+    """A coarse topic by the marks a text carries."""
+    return (
+        F.when(F.contains(text, F.lit(" | ")), "table")
+        .when(F.contains(text, F.lit("!! ")) & (F.upper(text) == text), "shouting")
+        .when(F.contains(F.lower(text), F.lit("license")), "licensed")
+        .otherwise("prose")
+    )
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document under raked source, language and topic shares, and whether it is drawn."""
+    docs = _read(spark, sf_dir, "documents")
+    return mixing.mix(docs, topic_of(F.col("text")), SOURCES, LANGUAGES, TOPICS, share=0.5)
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return topk.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % MODULUS == 0, k=20, scale=64.0)
@@ -67,6 +90,35 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document, base kinds counted and digested."""
+    found = pii.find(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def joined(spans: Column) -> Column:
+        shown = F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        )
+        return F.array_join(shown, ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_read(spark, sf_dir, "documents"), path, capacity=2048, end_id=0)
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(_read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surface counts and the verdict of the perplexity bands for every document."""
     judged = quality.judge(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -81,8 +133,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
     "op3_chat": op3_chat,
+    "op4_pii": op4_pii,
+    "op6_packing": op6_packing,
+    "op7_html": op7_html,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
 }
