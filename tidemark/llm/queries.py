@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, html, mixing, packing, pii, quality, simhash, topk
+from tidemark.llm import chat, html, mixing, packing, passages, pii, quality, simhash, suffixes, topk
 
 MODULUS = 20
 
@@ -108,6 +108,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without the strings of 50 bytes that an earlier document has."""
+    left = suffixes.remove_repeated(_read(spark, sf_dir, "documents"), window=50)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -132,15 +138,23 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without the passages of 20 words that occur earlier."""
+    left = passages.remove_repeated(_read(spark, sf_dir, "documents"), window=20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
     "op3_chat": op3_chat,
     "op4_pii": op4_pii,
+    "op5_suffixes": op5_suffixes,
     "op6_packing": op6_packing,
     "op7_html": op7_html,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
+    "op10_passages": op10_passages,
 }
 
 ORACLE_SQL = {
