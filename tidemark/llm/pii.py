@@ -184,15 +184,18 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, **o
         lambda s: F.struct(F.element_at(kinds, s["kind"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     )
     has_new = F.exists(held, lambda u: ~u["known"])
-    keyed = found.withColumn("__key", F.when(has_new, F.xxhash64(held))).withColumn(
-        "__sha", F.when(has_new, F.sha2(F.to_json(held), 256))
+    key, sha = unused_name(found, "of_key"), unused_name(found, "of_sha")
+    accepted = accepted.toDF(f"{key}_", f"{sha}_", f"{key}_added")
+    keyed = found.withColumn(key, F.when(has_new, F.xxhash64(held))).withColumn(
+        sha, F.when(has_new, F.sha2(F.to_json(held), 256))
     )
-    plain = keyed.where("__key IS NULL").select(*[f"`{c}`" for c in kept], base.cast(SPANS).alias(name))
-    joined = keyed.where("__key IS NOT NULL").join(
-        accepted, (F.col("__key") == F.col("of_key")) & (F.col("__sha") == F.col("of_sha")), "left"
+    columns = [f"`{c}`" for c in kept]
+    plain = keyed.where(F.col(key).isNull()).select(*columns, base.cast(SPANS).alias(name))
+    joined = keyed.where(F.col(key).isNotNull()).join(
+        accepted, (F.col(key) == F.col(f"{key}_")) & (F.col(sha) == F.col(f"{sha}_")), "left"
     )
-    more = F.concat(base.cast(SPANS), F.coalesce(F.col("added").cast(SPANS), F.array().cast(SPANS)))
-    return plain.unionByName(joined.select(*[f"`{c}`" for c in kept], more.alias(name)))
+    added = F.coalesce(F.col(f"{key}_added").cast(SPANS), F.array().cast(SPANS))
+    return plain.unionByName(joined.select(*columns, F.concat(base.cast(SPANS), added).alias(name)))
 
 
 def redact(docs: DataFrame, text: str = "text", **options) -> DataFrame:

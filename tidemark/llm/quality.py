@@ -125,8 +125,10 @@ class Model:
     """Sorted packed n-grams of one order each, their log2 probabilities, and back-off weights of their contexts."""
 
     keys: list[np.ndarray]
+    times: list[np.ndarray]  # how often each n-gram stands in the documents
     logp: list[np.ndarray]
     backoff: list[np.ndarray]
+    unseen: float  # log2 probability of a character class the model has not met
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
@@ -142,21 +144,24 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
 def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> Model:
     """The model of one language from its counted n-grams."""
     order = np.argsort(grams)
-    levels = [(grams[order].astype(np.int64), counts[order].astype(np.int64))]
+    levels = [(grams[order].astype(np.int64), counts[order].astype(np.int64), counts[order].astype(np.int64))]
     for _ in range(ORDER - 1):
         # lower orders count the different characters that stand before
-        keys = levels[-1][0]
-        shorter, n = np.unique(keys & ((1 << BITS * (ORDER - len(levels))) - 1), return_counts=True)
-        levels.append((shorter, n))
+        keys, _, times = levels[-1]
+        shorter, inverse, n = np.unique(
+            keys & ((1 << BITS * (ORDER - len(levels))) - 1), return_inverse=True, return_counts=True
+        )
+        levels.append((shorter, n, np.bincount(inverse, weights=times).astype(np.int64)))
     levels.reverse()
-    model = Model([], [], [])
-    for size, (keys, n) in enumerate(levels, 1):
+    model = Model([], [], [], [], 0.0)
+    for size, (keys, n, times) in enumerate(levels, 1):
         context, inverse = np.unique(keys >> BITS, return_inverse=True)
         total = np.bincount(inverse, weights=n)
         discount = _discounts(n)[np.minimum(n, 3)]
         left = np.bincount(inverse, weights=discount) / total
         if size == 1:
             lower = np.full(len(keys), 1 / (1 << BITS))
+            model.unseen = float(np.log2(left[0] / (1 << BITS)))
         else:
             suffix = keys & ((1 << BITS * (size - 1)) - 1)
             lower = 2.0 ** model.logp[-1][np.searchsorted(model.keys[-1], suffix)]
@@ -168,33 +173,64 @@ def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> Model:
             weights[at[known]] = np.log2(left[known])
             model.backoff.append(weights)
         model.keys.append(keys)
+        model.times.append(times)
         model.logp.append(np.log2(p))
     return model
 
 
-def log_probability(model: Model, packed: np.ndarray) -> np.ndarray:
-    """log2 probabilities; n-grams the model has not seen back off to shorter ones."""
-    out = np.empty(len(packed))
-    penalty = np.zeros(len(packed))
-    todo = np.arange(len(packed))
+def _totals(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    different, inverse = np.unique(keys, return_inverse=True)
+    return different, np.bincount(inverse, weights=n).astype(np.int64)
+
+
+def log_probability(model: Model, grams: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+    """log2 probabilities of different n-grams; those the model has not seen back off to shorter ones.
+
+    ``own`` says how often each stands in the document that is scored. What only that document has counts as unseen:
+    else a document of noise would vouch for itself.
+    """
+    own = np.zeros(len(grams), np.int64) if own is None else own
+    out = np.empty(len(grams))
+    penalty = np.zeros(len(grams))
+    todo = np.arange(len(grams))
+
+    def look_up(size: int, keys: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        known = model.keys[size - 1]
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return at, (known[at] == keys) & (model.times[size - 1][at] > used)
+
+    def own_times(size: int, keys: np.ndarray) -> np.ndarray:
+        if size == ORDER:
+            return own[todo]
+        different, n = _totals(grams & ((1 << BITS * size) - 1), own)
+        at = np.minimum(np.searchsorted(different, keys), len(different) - 1)
+        return np.where(different[at] == keys, n[at], 0)
+
     for size in range(ORDER, 0, -1):
-        keys = packed[todo] & ((1 << BITS * size) - 1)
-        at = np.minimum(np.searchsorted(model.keys[size - 1], keys), len(model.keys[size - 1]) - 1)
-        known = model.keys[size - 1][at] == keys
-        out[todo[known]] = penalty[todo[known]] + model.logp[size - 1][at[known]]
-        todo, keys = todo[~known], keys[~known]
+        keys = grams[todo] & ((1 << BITS * size) - 1)
+        at, seen = look_up(size, keys, own_times(size, keys))
+        out[todo[seen]] = penalty[todo[seen]] + model.logp[size - 1][at[seen]]
+        todo, keys = todo[~seen], keys[~seen]
         if not len(todo):
             break
         if size > 1:
             context = keys >> BITS
-            at = np.minimum(np.searchsorted(model.keys[size - 2], context), len(model.keys[size - 2]) - 1)
-            seen = model.keys[size - 2][at] == context
+            at, seen = look_up(size - 1, context, own_times(size - 1, context))
             penalty[todo[seen]] += model.backoff[size - 2][at[seen]]
         else:
-            out[todo] = penalty[todo] - 2 * BITS
+            out[todo] = penalty[todo] + model.unseen
     return out
 
 
+def bits_per_character(model: Model, text: str | None) -> float | None:
+    """-log2 probability per character, each document scored by what the others have; null without words."""
+    parts = [np.unique(p, return_counts=True) for p in packed_ngrams(text)]
+    if not parts:
+        return None
+    grams, n = parts[0] if len(parts) == 1 else _totals(*map(np.concatenate, zip(*parts)))
+    return -float((log_probability(model, grams, n) * n).sum()) / int(n.sum())
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Model]:
     """One model for each language (a null language counts as the empty name), from the n-grams of all documents."""
     counted = count_ngrams(docs, text, lang).toArrow()
@@ -212,12 +248,8 @@ def score(docs: DataFrame, models: dict[str, Model], text: str, lang: str, keep:
 
     def run(texts: list, langs: list) -> Iterator[tuple]:
         for t, name in zip(texts, langs):
-            model, total, n = shared.value.get(name or ""), 0.0, 0
-            if model is not None:
-                for packed in packed_ngrams(t):
-                    total -= float(log_probability(model, packed).sum())
-                    n += len(packed)
-            yield (*surface_counts(t), total / n if n else None)
+            model = shared.value.get(name or "")
+            yield (*surface_counts(t), None if model is None else bits_per_character(model, t))
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = ", ".join(f"{unused_name(docs, c)} long" for c in names) + f", {unused_name(docs, 'bits')} double"
@@ -273,14 +305,16 @@ def judge(
     scored = stored(score(source, models, text, lang, list(dict.fromkeys([*kept, lang]))), "quality-scored")
     name = {c: unused_name(source, c) for c in ("n_words", "n_repeat_words", "bits", "base_failed", "kept")}
     limits = bands(scored, lang, name["bits"], reach, least)
+    of_lang, low, high = (unused_name(scored, c) for c in limits.columns)
+    limits = limits.toDF(of_lang, low, high)
     failed = (F.col(name["n_words"]) < min_words) | (
         100 * F.col(name["n_repeat_words"]) > max_repeat_percent * F.col(name["n_words"])
     )
     # one row per language; Spark broadcasts it by its measured size
-    known = scored.join(limits, F.coalesce(F.col(lang), F.lit("")) == F.col("band_lang"), "left")
-    fits = F.coalesce(F.col(name["bits"]).between(F.col("low"), F.col("high")), F.lit(True))
+    known = scored.join(limits, F.coalesce(F.col(lang), F.lit("")) == F.col(of_lang), "left")
+    fits = F.coalesce(F.col(name["bits"]).between(F.col(low), F.col(high)), F.lit(True))
     out = known.withColumn(name["base_failed"], failed).withColumn(name["kept"], ~failed & fits)
-    dropped = ["band_lang", "low", "high"] + ([lang] if lang not in kept else [])
+    dropped = [of_lang, low, high] + ([lang] if lang not in kept else [])
     return out.select(*[f"`{c}`" for c in out.columns if c not in dropped])
 
 

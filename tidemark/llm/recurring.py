@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import map_rows, release, stored
+from tidemark.llm.common import map_rows, release, stored, unused_name
 
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Units worked on at once; positions within them have 24 bits.
@@ -138,16 +138,19 @@ def recurring_ranges(
             data = (t or "").encode()
             key, units, slice_of = text_key(data), units_of(data), slicer_of(data)
             numbers = np.array(numbers, dtype=np.int64)
-            frequent = -1 - numbers[numbers < 0]
-            chosen_here = np.sort(np.where(numbers < 0, -1 - numbers, numbers))
+            hot = numbers < 0
+            numbers = np.where(hot, -1 - numbers, numbers)
+            # rows that share an id share their numbers, which may then hold an anchor in both ways
+            order = np.argsort(numbers, kind="stable")
+            numbers, hot = numbers[order], hot[order]
             at = 0
             for h, first, last in anchors(units, k, window):
-                own = chosen_here[(chosen_here >= at) & (chosen_here < at + len(h))] - at
-                is_frequent = np.isin(own + at, frequent)
+                here = slice(*np.searchsorted(numbers, [at, at + len(h)]))
+                own, frequent = (numbers[here] - at).tolist(), hot[here].tolist()
                 at += len(h)
-                for n, hot in zip(own.tolist(), is_frequent.tolist()):
+                for n, often_seen in zip(own, frequent):
                     low, high = int(first[n]), int(last[n]) + window
-                    if not hot:
+                    if not often_seen:
                         yield int(h[n]) % shards, i, key, low, slice_of(low, high), None, None
                         continue
                     piece = units[low:high]
@@ -209,17 +212,15 @@ def apply_ranges(
     found = stored(ranges, "recurring-ranges")
     release(docs.sparkSession)
     # all texts of an id stand in one row, so that documents meet their ranges by id alone
-    by_id = found.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_list(F.struct("text_key", "ranges")).alias("__ranges")
-    )
-    keyed = docs.withColumn("__key", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID)))
-    joined = keyed.join(by_id, F.col("__key") == F.col("__id"), "left")
+    of_id, own, key = (unused_name(docs, c) for c in ("of_id", "own_ranges", "id_key"))
+    by_id = found.groupBy(F.col("doc_id").alias(of_id)).agg(F.collect_list(F.struct("text_key", "ranges")).alias(own))
+    keyed = docs.withColumn(key, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID)))
+    joined = keyed.join(by_id, F.col(key) == F.col(of_id), "left")
 
     def run(texts: list, all_ranges: list) -> Iterator[tuple]:
         for t, options in zip(texts, all_ranges):
             data = (t or "").encode()
             key = text_key(data) if options else None
-            own = [r for o in options or [] if o["text_key"] == key for r in o["ranges"]]
-            yield function(data, own)
+            yield function(data, [r for o in options or [] if o["text_key"] == key for r in o["ranges"]])
 
-    return map_rows(joined, [text, "__ranges"], run, schema, keep=keep, batch=500)
+    return map_rows(joined, [text, own], run, schema, keep=keep, batch=500)

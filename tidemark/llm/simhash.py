@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import map_rows, release, stored
+from tidemark.llm.common import map_rows, release, stored, unused_name
 from tidemark.llm.graph import components, local_roots
 
 SEED = 42
@@ -239,13 +239,17 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3
+) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near-duplicates the one with the smallest id, once.
 
     Rows with a null id cannot be compared and stay. All columns are kept as they are.
     """
-    first = near_duplicates(docs, doc_id, text, shingle, max_bits).where("doc_id = component_id").select(
-        F.col("doc_id").alias("__first")
-    ).distinct()
-    known = docs.where(F.col(doc_id).isNotNull()).join(first, F.col(doc_id) == F.col("__first"), "left_semi")
-    return known.dropDuplicates([doc_id]).unionByName(docs.where(F.col(doc_id).isNull()))
+    name = unused_name(docs, "first_id")
+    first = (
+        near_duplicates(docs, doc_id, text, shingle, max_bits)
+        .where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    )
+    known = docs.where(F.col(f"`{doc_id}`").isNotNull()).join(first, F.col(f"`{doc_id}`") == F.col(name), "left_semi")
+    return known.dropDuplicates([doc_id]).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
