@@ -16,7 +16,7 @@ from tidemark.plans import consolidate
 from tidemark.session import working_folder
 from tidemark.sinks import documents, files as sinks
 from tidemark.sources import files as sources
-from tidemark.streaming import ingest, requests
+from tidemark.streaming import arrivals, ingest, requests
 
 RUN_DATE = dt.date(2024, 1, 16)
 EPG_ROWS = """
@@ -130,13 +130,12 @@ def _day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, event_type FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-02', DATE '2024-01-04')",
 )
 def _day_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain YYYY/MM/DD folders; one of the asked days has none."""
-    root = working_folder(spark, "folders")
-    events = table(spark, sf_dir, "events")
-    for day in (2, 3, 4):
-        one = dt.date(2024, 1, day)
-        of_day = events.where(F.col("ts").cast("date") == one)
-        sinks.write_parquet(of_day.select("event_id", "event_type"), sources.day_folder(root, one))
+    """Plain YYYY/MM/DD folders for all days, written in one job; one of the asked days has none."""
+    root, staged = working_folder(spark, "folders"), working_folder(spark, "folders-staged")
+    dated = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("date").alias("of_day"))
+    sinks.write_parquet(dated, staged, by=["of_day"])
+    for row in dated.select("of_day").where("of_day IS NOT NULL").distinct().collect():
+        arrivals.move(spark, f"{staged}/of_day={row.of_day}", sources.day_folder(root, row.of_day))
     return sources.read_day_folders(spark, root, [dt.date(2024, 1, d) for d in (2, 4)] + [dt.date(2030, 1, 1)])
 
 
@@ -208,7 +207,7 @@ WORKBOOK_SCHEMA = T.StructType(
     ),
 )
 def _workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exports of 1,000 rows each with six banner rows and a header, and a lock file that is no export."""
+    """Exports of 1,000 rows each with six banner rows and a header."""
     names = WORKBOOK_SCHEMA.fieldNames()
     rows = staging(spark, sf_dir, "workbook").withColumn("_book", F.floor(F.col("Entry") / 1000))
     line = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))
@@ -312,9 +311,7 @@ def _epg_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a drop folder: the second finds only what came in between."""
     folder, out = _epg_folder(spark, sf_dir), working_folder(spark, "epg-out")
     for _ in range(2):
-        ingest.ingest_epg(
-            spark, folder, f"{out}/parquet", f"{out}/checkpoint", archive=f"{out}/processed"
-        ).awaitTermination()
+        ingest.ingest_epg(spark, folder, f"{out}/parquet", f"{out}/ledger", archive=f"{out}/processed")
     return spark.read.parquet(f"{out}/parquet").withColumn("s3_file", F.left("s3_file", F.lit(5)))
 
 
@@ -344,10 +341,15 @@ def _weblog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _request_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out = working_folder(spark, "requests"), working_folder(spark, "reports")
     asked = staging(spark, sf_dir, "rating_request").select(*requests.REQUEST_COLUMNS)
-    sinks.write_csv(asked.repartition("minute"), folder)
+    turned = [F.lit("free text").alias("note"), *reversed(requests.REQUEST_COLUMNS)]
+    for mine, columns in ((F.col("minute") == "none", turned), (F.col("minute") != "none", requests.REQUEST_COLUMNS)):
+        sinks.write_csv(asked.where(mine).repartition("minute").select(*columns), f"{folder}-part")
+        # both kinds of files come from the same writer; they meet in the folder under names of their own
+        for row in arrivals.listed(spark, f"{folder}-part").collect():
+            arrivals.move(spark, row.path, f"{folder}/{row.path.rsplit('/', 1)[-1]}")
     requests.answer_requests(
-        spark, folder, staging(spark, sf_dir, "viewing"), f"{out}/csv", f"{out}/checkpoint", RUN_DATE, "city"
-    ).awaitTermination()
+        spark, folder, staging(spark, sf_dir, "viewing"), f"{out}/csv", f"{out}/ledger", RUN_DATE, "city"
+    )
     schema = (
         "year int, month int, day int, hour int, minute int, channel_number string, channel string, rating float, "
         "report string"

@@ -156,9 +156,10 @@ STAGING: dict[str, str] = {
           l_extendedprice AS cost_per_unit
         FROM lineitem""",
     "rate": f"""
-        SELECT DISTINCT CAST(o_custkey % 25 AS STRING) AS id_country, CAST(YEAR({ORDERED_AT}) AS INT) AS calendar_year,
+        SELECT DISTINCT CAST(o_custkey % 25 AS STRING) AS id_country, CAST(YEAR({ORDERED_AT}) AS INT)
+          + CASE WHEN MONTH({ORDERED_AT}) = 12 THEN 100 ELSE 0 END AS calendar_year,
           CAST(MONTH({ORDERED_AT}) AS INT) AS calendar_month, CAST(o_custkey % 25 + 1 AS DOUBLE) AS rate
-        FROM orders WHERE MONTH({ORDERED_AT}) < 12""",
+        FROM orders""",
     "target": f"""
         SELECT CAST(o_custkey % 25 AS STRING) AS id_country, CAST(YEAR({ORDERED_AT}) AS INT) AS calendar_year,
           CAST(MONTH({ORDERED_AT}) AS INT) AS calendar_month, CAST(COUNT(*) * 1000 AS DOUBLE) AS target
@@ -208,14 +209,14 @@ STAGING: dict[str, str] = {
           o_custkey AS business_id FROM orders
         UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "found_line": """
-        SELECT l_orderkey * 2 AS "fastOrderTrackingId",
+        SELECT CASE WHEN l_quantity > 3 THEN l_orderkey * 2 ELSE -l_orderkey END AS "fastOrderTrackingId",
           CASE WHEN l_quantity > 48 THEN l_partkey + 1000000 ELSE l_partkey END AS "productId",
-          l_suppkey AS position FROM lineitem WHERE l_quantity > 3
+          l_suppkey AS position FROM lineitem
         UNION ALL
         SELECT l_orderkey * 2 + 1, CASE WHEN l_tax > 0.07 THEN NULL ELSE l_partkey END, l_suppkey
         FROM lineitem WHERE l_returnflag = 'N'""",
     "not_found_line": """SELECT l_orderkey * 2 AS "fastOrderTrackingId", l_partkey + 1000000 AS "productId"
-          FROM lineitem WHERE l_quantity > 48""",
+          FROM lineitem""",
     # ---- ratings and planner
     "viewing": """
         SELECT CAST(YEAR(ts) AS STRING) AS year, CAST(MONTH(ts) AS STRING) AS month, CAST(DAY(ts) AS STRING) AS day,

@@ -36,12 +36,14 @@ def test_epg_scan_tags_and_cleans(spark, tmp_path, rows):
 
 def test_workbooks_skip_banner_and_lock_files(spark, tmp_path, rows):
     banner = "".join(f"line {i}\n" for i in range(6))
-    (tmp_path / "a.csv").write_text(banner + "Rank,Hours\nManager,1.5\n\n\"Staff, new\",2\n")
+    (tmp_path / "a.csv").write_text(banner + "Rank,Hours\nManager,1.5\n\n\"Staff, new\",2\n\"Two\nlines\",4\n")
     (tmp_path / "b.csv").write_text(banner.replace("\n", "\r\n") + "Rank,Hours\r\n,3\r\n")
     (tmp_path / "~$a.csv").write_text("lock")
     schema = T.StructType([T.StructField("Rank", T.StringType()), T.StructField("Hours", T.DoubleType())])
     found = sources.read_workbooks(spark, str(tmp_path), schema)
-    assert rows(found) == [("Manager", 1.5, "a.csv"), ("Staff, new", 2.0, "a.csv"), (None, 3.0, "b.csv")]
+    assert rows(found) == [
+        ("Manager", 1.5, "a.csv"), ("Staff, new", 2.0, "a.csv"), ("Two\nlines", 4.0, "a.csv"), (None, 3.0, "b.csv"),
+    ]
 
 
 def test_daily_partitions_are_pruned(spark, tmp_path):
@@ -121,9 +123,7 @@ def test_epg_ingest_takes_each_file_once(spark, tmp_path, rows):
     drop.mkdir()
 
     def run():
-        ingest.ingest_epg(
-            spark, str(drop), str(out / "parquet"), str(out / "checkpoint"), archive=str(out / "processed")
-        ).awaitTermination()
+        ingest.ingest_epg(spark, str(drop), str(out / "parquet"), str(out / "ledger"), archive=str(out / "processed"))
         return rows(spark.read.parquet(str(out / "parquet")), "epg_id", "s3_file")
 
     guide(drop / "one.csv", 1, None)
@@ -133,25 +133,45 @@ def test_epg_ingest_takes_each_file_once(spark, tmp_path, rows):
     guide(drop / "three.csv", 3)
     assert run() == [("1", "one"), ("2", "two"), ("3", "three")]
     # files of earlier runs were moved away, none was lost
-    left = sorted(p.name for p in drop.iterdir())
-    archived = sorted(p.name for p in (out / "processed").rglob("*.csv"))
-    assert "one.csv" in archived and sorted(left + archived) == ["one.csv", "three.csv", "two.csv"]
+    assert not [p for p in drop.iterdir() if p.suffix == ".csv"]
+    assert sorted(p.name for p in (out / "processed").rglob("*.csv")) == ["one.csv", "three.csv", "two.csv"]
+    # a file that comes again under its old name replaces its rows
+    guide(drop / "two.csv", 4, 5)
+    assert run() == [("1", "one"), ("3", "three"), ("4", "two"), ("5", "two")]
+    assert run() == [("1", "one"), ("3", "three"), ("4", "two"), ("5", "two")]
+
+
+def test_ingest_without_archive_takes_changed_files_only(spark, tmp_path, rows):
+    drop, out = tmp_path / "drop", tmp_path / "out"
+    drop.mkdir()
+    guide(drop / "one.csv", 1)
+    guide(drop / "two.csv", 2)
+    args = (spark, str(drop), str(out / "parquet"), str(out / "ledger"))
+    assert len(ingest.ingest_epg(*args)) == 2 and ingest.ingest_epg(*args) == []
+    guide(drop / "two.csv", 7)
+    os.utime(drop / "two.csv", (2_000_000_000, 2_000_000_000))
+    assert [p.rsplit("/", 1)[-1] for p in ingest.ingest_epg(*args)] == ["two.csv"]
+    assert rows(spark.read.parquet(str(out / "parquet")), "epg_id", "s3_file") == [("1", "one"), ("7", "two")]
 
 
 def test_requests_are_answered_per_file(spark, tmp_path, rows):
     drop, out = tmp_path / "drop", tmp_path / "out"
     drop.mkdir()
     head = "year;month;day;hour;minute;channel_number\n"
-    (drop / "first.csv").write_text(head + "2024;1;5;10;1;7\n")
+    # columns go by name, whatever their order; a file that lacks one is refused
+    (drop / "first.csv").write_text("channel_number;note;minute;hour;day;month;year\n7;x;1;10;5;1;2024\n")
+    (drop / "lacking.csv").write_text("channel_number;minute\n7;1\n")
     (drop / "second.csv").write_text(head + "2024;1;5;10;1;8\n2024;1;5;10;2;7\n")
     viewing = spark.createDataFrame(
         [("2024", "01", "05", "10", "01", "News", "7", "here", 3.0, 0.5, 4)],
         "year string, month string, day string, hour string, minute string, channel string, channel_number string, "
         "location string, mac_addr_channel double, location_weight double, deco_count int",
     )
-    requests.answer_requests(
-        spark, str(drop), viewing, str(out / "csv"), str(out / "checkpoint"), dt.date(2024, 1, 6), "here"
-    ).awaitTermination()
+    answered = requests.answer_requests(
+        spark, str(drop), viewing, str(out / "csv"), str(out / "ledger"), dt.date(2024, 1, 6), "here"
+    )
+    assert len(answered) == 2 and [p.name for p in drop.iterdir() if p.suffix == ".csv"] == ["lacking.csv"]
+    assert all(len(list(p.glob("*.csv"))) == 1 for p in (out / "csv").glob("report=*"))
     reports = spark.read.options(header="true", sep=";").csv(str(out / "csv"))
     assert rows(reports, "report", "channel_number", "minute", "channel", "rating") == [
         ("first_2024-01-06", "7", "1", "News", "0.375"),
@@ -167,6 +187,20 @@ def test_failed_answer_keeps_the_request(spark, tmp_path):
     broken = spark.range(1)  # no viewing table at all
     with pytest.raises(Exception):
         requests.answer_requests(
-            spark, str(drop), broken, str(out / "csv"), str(out / "checkpoint"), dt.date(2024, 1, 6)
-        ).awaitTermination()
+            spark, str(drop), broken, str(out / "csv"), str(out / "ledger"), dt.date(2024, 1, 6)
+        )
     assert [p.name for p in drop.iterdir()] == ["ask.csv"]
+
+
+def test_request_delivered_again_is_answered_again(spark, tmp_path, rows):
+    drop, out = tmp_path / "drop", tmp_path / "out"
+    drop.mkdir()
+    viewing = spark.createDataFrame(
+        [], "year string, month string, day string, hour string, minute string, channel string, channel_number string, "
+        "location string, mac_addr_channel double, location_weight double, deco_count int",
+    )
+    for day, minute in ((6, 1), (8, 2), (8, 3)):
+        (drop / "ask.csv").write_text(f"year;month;day;hour;minute;channel_number\n2024;1;5;10;{minute};7\n")
+        requests.answer_requests(spark, str(drop), viewing, str(out / "csv"), str(out / "ledger"), dt.date(2024, 1, day))
+    reports = spark.read.options(header="true", sep=";").csv(str(out / "csv"))
+    assert rows(reports, "report", "minute") == [("ask_2024-01-06", "1"), ("ask_2024-01-08", "3")]

@@ -24,7 +24,9 @@ def test_null_helpers(spark):
         nulls.flag(F.lit(None).cast("boolean")),
         nulls.as_number(F.lit(" 7.5 ")),
         nulls.as_number(F.lit("seven")),
-    ) == (True, False, True, None, None, 66.7, 0, 7.5, None)
+        nulls.as_number(F.lit("\t-1e3\n")),
+        *[nulls.as_number(F.lit(t)) for t in ("NaN", "5d", "1f", "Infinity", "0x1", "")],
+    ) == (True, False, True, None, None, 66.7, 0, 7.5, None, -1000.0, *[None] * 6)
 
 
 def test_text_helpers(spark):
@@ -42,9 +44,9 @@ def test_text_helpers(spark):
 
 
 def test_noise_comments(spark):
-    noise = ["na", " NA ", "??", ".", "...", "", "  "]
+    noise = ["na", " NA ", "??", ".", "...", "", "  ", "na\t", "\n"]
     df = spark.createDataFrame([(c,) for c in [*noise, "ok", "n.a."]], "c string")
-    assert [r[0] for r in df.select(text.is_noise(F.col("c"))).collect()] == [True] * 7 + [False] * 2
+    assert [r[0] for r in df.select(text.is_noise(F.col("c"))).collect()] == [True] * 9 + [False] * 2
 
 
 def test_fiscal_calendar(spark):

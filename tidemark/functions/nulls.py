@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+DECIMAL = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def null_default(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))
 
@@ -34,5 +37,6 @@ def flag(condition: Column) -> Column:
 
 
 def as_number(text: Column) -> Column:
-    """Text to double; anything else becomes null."""
-    return F.trim(text).try_cast("double")
+    """Text to double; anything but a plain decimal number (``nan``, ``5d``, words) becomes null."""
+    trimmed = F.btrim(text, F.lit(" \t\n\r\f\v"))
+    return F.when(trimmed.rlike(DECIMAL), trimmed.try_cast("double"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Comments that carry no opinion.
 NOISE_COMMENTS = ["na", "??", ".", "...", ""]
+# Every kind of ASCII white space.
+WHITE = " \t\n\r\f\v"
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -30,7 +32,7 @@ def key_with_blanks(*parts: Column, sep: str = "") -> Column:
 
 
 def is_noise(comment: Column) -> Column:
-    return F.lower(F.trim(comment)).isin(NOISE_COMMENTS)
+    return F.lower(F.btrim(comment, F.lit(WHITE))).isin(NOISE_COMMENTS)
 
 
 def file_stem(name: Column) -> Column:

@@ -41,19 +41,18 @@ def comments_by_score(df: DataFrame, order: str, width: int = 256) -> DataFrame:
     return parts.unionByName(empty)
 
 
-def summarise(
-    parts: DataFrame, summariser: Callable[[str, float], str], max_chars: int | None = None
-) -> DataFrame:
+def summarise(parts: DataFrame, summariser: Callable[[str, float], str]) -> DataFrame:
     """Adds ``resumen``: the answer of a pluggable ``summariser(text, score)`` for every part.
 
-    Empty text gets a fixed answer, a failing call the error text. ``max_chars`` cuts the input for models that need it.
+    Empty text gets a fixed answer, a failing call the error text. Parts are bounded by the ``width`` they were joined
+    with, so nothing is cut here.
     """
 
     def answer(comment: str, score: float) -> str:
         if not comment.strip():
             return NO_COMMENTS
         try:
-            return summariser(comment[:max_chars], score)
+            return summariser(comment, score)
         except Exception as error:  # noqa: BLE001 - the error text is the result
             return f"{FAILED}{error}"
 

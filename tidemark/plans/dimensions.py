@@ -187,11 +187,11 @@ def dim_sales_rep(sales_rep, sales_rep_business, business, country) -> DataFrame
         F.min("business_id").alias("_business")
     )
     countries = country.select(
-        F.col("id").alias("_country"), country_language(F.col("name")).alias("language")
+        F.col("id").cast("string").alias("_country"), country_language(F.col("name")).alias("language")
     )
     homes = (
         first_business.join(
-            business.select(F.col("id").alias("_business"), F.col("country_id").alias("_country")), "_business"
+            business.select(F.col("id").alias("_business"), F.col("country_id").cast("string").alias("_country")), "_business"
         )
         .join(countries, "_country")
         .select("id", "language")

@@ -70,9 +70,21 @@ class Audience:
     def of(request: DataFrame) -> "Audience":
         """From the single row of :func:`read_request`."""
         row = request.select("start", "end", "sex", "age_group", "social_class").first()
+        if row is None or None in tuple(row):
+            raise ValueError("the request lacks a period or an audience list")
         return Audience(row.start.date(), row.end.date(), row.sex, row.age_group, row.social_class)
 
 
+def accepted_audience(request: DataFrame, now: dt.datetime) -> Audience:
+    """The audience of a request that passes :func:`check_request`; any other request is refused with its reason."""
+    row = check_request(request, now).select("names_ok", "period_ok").first()
+    if row is None or not row.names_ok:
+        raise ValueError(f"a request has to carry {', '.join(REQUEST_NAMES)} in this order")
+    if not row.period_ok:
+        raise ValueError(f"the period has to lie within the last {REQUEST_DAYS} days")
+    return Audience.of(request)
+
+
 def audience_factors(sociodemographic: DataFrame, audience: Audience) -> DataFrame:
     """Summed probability per location and social class of the chosen audience."""
     chosen = sociodemographic

@@ -1,4 +1,4 @@
-"""Single JSON documents for a report client. They are for bounded results; JSON lines have no limit."""
+"""Single JSON documents for a report client: one row by their form. Results of any size go out as JSON lines."""
 
 from __future__ import annotations
 
@@ -7,25 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROWS = 100_000
 
-
-def _check_size(df: DataFrame, limit: int) -> None:
-    # limit + 1 rows are enough to know
-    if df.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} rows: write JSON lines instead")
-
-
-def slicer_document(catalogue: DataFrame, envelope: str = "parameters", max_rows: int = MAX_ROWS) -> DataFrame:
+def slicer_document(catalogue: DataFrame, envelope: str = "parameters") -> DataFrame:
     """The catalogue as one document ``{"<envelope>": [...]}``, slicers by name."""
-    _check_size(catalogue, max_rows)
     entries = F.sort_array(F.collect_list(F.struct(*catalogue.columns)))
     return catalogue.agg(F.to_json(F.struct(entries.alias(envelope))).alias("document"))
 
 
-def column_document(df: DataFrame, order: Sequence[Column | str], max_rows: int = MAX_ROWS) -> DataFrame:
+def column_document(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """The result as one document ``{"data": [{column: {row number: value}}]}``, rows numbered from 0 in ``order``."""
-    _check_size(df, max_rows)
     number = (F.row_number().over(Window.orderBy(*order)) - 1).cast("string")
     numbered = df.withColumn("_row", number)
     columns = [

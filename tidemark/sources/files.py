@@ -26,6 +26,8 @@ LOG_SCHEMA = T.StructType(
 LOG_OPTIONS = {"header": "false", "sep": " ", "recursiveFileLookup": "true"}
 PARTITION_COLUMNS = ["year", "month", "day"]
 BANNER_ROWS = 6
+# A control character that text exports do not hold.
+ROW_END = "\u001e"
 
 
 def read_weblog(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +35,7 @@ def read_weblog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**LOG_OPTIONS).schema(LOG_SCHEMA).csv(path)
 
 
-def read_epg(spark: SparkSession, path: str) -> DataFrame:
+def read_epg(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Programme guide CSV files: the header is skipped, columns go by position; other files are ignored."""
     return spark.read.options(header="true", pathGlobFilter="*.csv").schema(EPG_SCHEMA).csv(path)
 
@@ -142,13 +144,19 @@ def read_workbooks(
 ) -> DataFrame:
     """CSV exports of workbooks: banner rows and the header are skipped, every row is tagged with its file.
 
-    A sheet has at most 1,048,576 rows, so one file fits in a task; lock files are ignored.
+    Line breaks inside quoted cells are kept. A sheet has at most 1,048,576 rows, so one file fits in a task; lock files
+    are ignored.
     """
     whole = spark.read.text(path, wholetext=True).select("value", file_name().alias(tag))
+    rest = F.try_element_at(F.split("value", "\r?\n", banner + 2), F.lit(banner + 2))
+    # between quotes every second piece is the inside of a cell; breaks outside end a row
+    outside = F.transform(
+        F.split(rest, '"', -1),
+        lambda piece, i: F.when(i % 2 == 0, F.regexp_replace(piece, "\r?\n", ROW_END)).otherwise(piece),
+    )
+    rows = F.split(F.array_join(outside, '"'), ROW_END)
     lines = (
-        whole.where(~is_open_lock(F.col(tag)))
-        .select(tag, F.posexplode(F.split("value", "\r?\n")).alias("_line_no", "_line"))
-        .where((F.col("_line_no") > banner) & (F.col("_line") != ""))
+        whole.where(~is_open_lock(F.col(tag))).select(tag, F.explode(rows).alias("_line")).where(F.col("_line") != "")
     )
     parsed = F.from_csv("_line", _ddl(schema))
     return lines.select(parsed.alias("_row"), tag).select("_row.*", tag)

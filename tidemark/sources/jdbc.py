@@ -61,14 +61,19 @@ def wait_for(spark: SparkSession, source: Connection, probe_table: str, sleep: f
 
 
 def overwrite_table(
-    df: DataFrame, target: Connection, table: str, connections: int = 16, sleep: float = retry.WRITE_WAIT
+    df: DataFrame, target: Connection, table: str, connections: int | None = None, sleep: float = retry.WRITE_WAIT
 ) -> None:
-    """Replaces the rows of a table, keeping its definition; a deadlock is retried, other errors are raised."""
+    """Replaces the rows of a table, keeping its definition; a deadlock is retried, other errors are raised.
+
+    Every task writes through a connection of its own. ``connections`` bounds them for a database that needs it: rows
+    are then dealt to so many tasks behind the last stage, which itself keeps its parallelism.
+    """
+    if connections:
+        df = df.repartition(connections)
     options = target.options() | {
         "dbtable": table,
         "truncate": "true",
         "batchsize": "10000",
-        "numPartitions": str(connections),
     }
     save: Callable[[], None] = df.write.mode("overwrite").format("jdbc").options(**options).save
     retry.with_retry(save, retry.WRITE_ATTEMPTS, sleep, retry.is_deadlock)

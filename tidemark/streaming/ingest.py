@@ -1,42 +1,29 @@
-"""Drop folders as file streams: every file is taken once, and only after its output is committed is it put away."""
+"""Drop folders: every file is taken once as it is, and only after its output is committed is it put away."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import text
-from tidemark.sources.files import EPG_SCHEMA, LOG_OPTIONS, LOG_SCHEMA, file_name
 from tidemark.plans.weblog import enriched_log
+from tidemark.sinks.files import write_parquet
+from tidemark.sources.files import LOG_OPTIONS, LOG_SCHEMA, read_epg, with_file_stem
+from tidemark.streaming import arrivals
 
 
-def _put_away(archive: str | None, delete: bool) -> dict[str, str]:
-    """Options for what happens to a processed file. The files of the last run are put away in the next one."""
-    if archive:
-        return {"cleanSource": "archive", "sourceArchiveDir": archive}
-    return {"cleanSource": "delete"} if delete else {}
+def ingest_epg(
+    spark: SparkSession, folder: str, target: str, ledger: str, archive: str | None = None, delete: bool = False
+) -> list[str]:
+    """Takes the guide files that arrived into Parquet, one partition per file stem; returns their paths.
 
+    Empty rows are dropped. A guide that is delivered again replaces its rows; the others stay as they are.
+    """
 
-def stream_epg(
-    spark: SparkSession, folder: str, archive: str | None = None, delete: bool = False, files_per_batch: int = 1000
-) -> DataFrame:
-    """Programme guide rows as they arrive, tagged with the stem of their file; empty rows are dropped."""
-    options = {"header": "true", "pathGlobFilter": "*.csv", "maxFilesPerTrigger": str(files_per_batch)}
-    rows = spark.readStream.schema(EPG_SCHEMA).options(**options, **_put_away(archive, delete)).csv(folder)
-    data = rows.columns
-    return rows.select(*data, text.file_stem(file_name()).alias("s3_file")).na.drop(how="all", subset=data)
+    def process(paths: list[str]) -> list[str]:
+        write_parquet(with_file_stem(read_epg(spark, paths)), target, by=["s3_file"])
+        return paths
 
-
-def ingest_epg(spark: SparkSession, folder: str, target: str, checkpoint: str, archive: str | None = None) -> StreamingQuery:
-    """Takes all waiting files into Parquet, one partition per file."""
-    return (
-        stream_epg(spark, folder, archive)
-        .writeStream.format("parquet")
-        .partitionBy("s3_file")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
+    return arrivals.take(spark, folder, ledger, process, archive, delete)
 
 
 def append_weblog(spark: SparkSession, folder: str, blocks: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

@@ -3,28 +3,39 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import text
 from tidemark.plans.rating import MINUTE, rating_report
-from tidemark.sources.files import file_name
+from tidemark.sources.files import file_name, read_text_csv
+from tidemark.streaming import arrivals
 
 REQUEST_COLUMNS = [*MINUTE, "channel_number"]
 
 
-def stream_requests(spark: SparkSession, folder: str, delete: bool = True) -> DataFrame:
-    """Request rows with the stem of their file. Files go away only once their answer is committed."""
-    schema = ", ".join(f"{c} string" for c in REQUEST_COLUMNS)
-    options = {"header": "true", "sep": ";", "pathGlobFilter": "*.csv", "cleanSource": "delete" if delete else "off"}
-    return (
-        spark.readStream.schema(schema)
-        .options(**options)
-        .csv(folder)
-        .select(*REQUEST_COLUMNS, text.file_stem(file_name()).alias("request_file"))
-    )
+def read_requests(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, list[str]]:
+    """Request rows by the names in each file's header, tagged with the stem of the file; and the files that were read.
+
+    Files with the same header are read together. A file that lacks a column is refused.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path in paths:
+        header = tuple(read_text_csv(spark, path, sep=";").columns)
+        if set(REQUEST_COLUMNS) <= {name.strip() for name in header}:
+            by_header[header].append(path)
+    parts = []
+    for header, files in by_header.items():
+        schema = ", ".join(f"_c{i} string" for i in range(len(header)))
+        place = [name.strip() for name in header]
+        rows = spark.read.schema(schema).options(header="true", sep=";").csv(files)
+        named = [F.col(f"_c{place.index(name)}").alias(name) for name in REQUEST_COLUMNS]
+        parts.append(rows.select(*named, text.file_stem(file_name()).alias("request_file")))
+    accepted = sorted(path for files in by_header.values() for path in files)
+    return (reduce(DataFrame.unionByName, parts) if parts else None), accepted
 
 
 def answer_requests(
@@ -32,28 +43,34 @@ def answer_requests(
     folder: str,
     viewing: DataFrame,
     target: str,
-    checkpoint: str,
+    ledger: str,
     run_date: dt.date,
     location: str | None = None,
-) -> StreamingQuery:
-    """Writes one CSV report per request file below ``target``, in a folder ``report=<name>_<day>``."""
+    delete: bool = True,
+) -> list[str]:
+    """Writes one sorted CSV report per request file below ``target``, in a folder ``report=<name>_<day>``.
+
+    Returns the requests that were answered; they go away once their answer is committed. A request that is delivered
+    again is answered again, and replaces the report of the same day. A refused or failed one stays in its folder.
+    """
 
-    def answer(batch: DataFrame, batch_id: int) -> None:
+    def process(paths: list[str]) -> list[str]:
+        asked, accepted = read_requests(spark, paths)
+        if asked is None:
+            return []
         named = F.concat("request_file", F.lit(f"_{run_date:%Y-%m-%d}"))
-        reports = rating_report(batch.withColumn("report", named), viewing, location, carry=["report"])
-        # a batch that is repeated after a failure replaces its own reports
+        reports = rating_report(asked.withColumn("report", named), viewing, location, carry=["report"])
+        order = ["report", *MINUTE, F.col("rating").desc(), "channel_number", "channel"]
+        # a request is a small file that somebody wrote, so its report fits in one
         (
-            reports.write.mode("overwrite")
+            reports.repartition("report")
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .options(header="true", sep=";")
             .partitionBy("report")
             .csv(target)
         )
+        return accepted
 
-    return (
-        stream_requests(spark, folder)
-        .writeStream.foreachBatch(answer)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return arrivals.take(spark, folder, ledger, process, delete=delete)
