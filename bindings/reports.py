@@ -88,10 +88,11 @@ def _ip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- ratings
 
 RATED = """
-    SELECT CAST(year AS INT) AS year, CAST(month AS INT) AS month, CAST(day AS INT) AS day, CAST(hour AS INT) AS hour,
-      CAST(minute AS INT) AS minute, channel, channel_number,
-      ROUND(SUM(COALESCE(mac_addr_channel, 0) * location_weight) / NULLIF(MAX(deco_count), 0), 3) AS rating
-    FROM st_viewing GROUP BY ALL"""
+    SELECT CAST(YEAR(seen_at) AS INT) AS year, CAST(MONTH(seen_at) AS INT) AS month, CAST(DAY(seen_at) AS INT) AS day,
+      CAST(HOUR(seen_at) AS INT) AS hour, CAST(MINUTE(seen_at) AS INT) AS minute, event_type AS channel,
+      'n-' || event_type AS channel_number, IF(boxes > 0, ROUND(viewers / boxes, 3), NULL) AS rating
+    FROM (SELECT TIME_BUCKET(INTERVAL 1 MINUTE, ts) AS seen_at, event_type, MAX(user_id % 4) AS boxes,
+            SUM(IF(value >= 1, value, 0) * ((user_id % 5 + 1) / 7e0)) AS viewers FROM events GROUP BY 1, 2)"""
 
 
 @query("r02_rating_by_minute", with_staging(["viewing"], "SELECT * FROM rated", rated=RATED))
@@ -244,26 +245,34 @@ def _request_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- audits
 
 AUDIT_TABLES = ["accounts", "role_map", "audits", "exclusions"]
+# an account is a customer; it is visited by the orders of half its number and excluded once or twice. Every visit
+# repeats the account for every exclusion entry.
+VISITED = """
+    SELECT c_custkey, c_nationkey, c_acctbal, 'A' || c_custkey AS account, COALESCE(visits, 0) AS visits,
+      LIST_CONCAT([CAST(c_acctbal < 1000 AS INT)], IF(c_acctbal < -800, [1], [])) AS flags,
+      GREATEST(COALESCE(visits, 0), 1) AS times
+    FROM customer LEFT JOIN (SELECT o_custkey * 2 AS of_customer, COUNT(*) AS visits FROM orders GROUP BY 1)
+      ON of_customer = c_custkey"""
+# the sales rep with number n answers for nation n - 2; region 4 has no manager
+OWNERS = """
+    SELECT n_nationkey + 2 AS rep, 'Director ' || n_regionkey AS director,
+      IF(n_regionkey = 4, NULL, 'Manager ' || n_nationkey) AS manager FROM nation"""
 ACCOUNT_LIST = """
-    SELECT ac.*, ro."Area Sales Director", ro."Account Owner Manager/Sales Manager" AS "Account Owner Manager",
-      CAST(CASE WHEN au."Account 18 ID" IS NOT NULL THEN 1 ELSE 0 END AS INT) AS "Audit Complete",
-      CAST(CASE WHEN ex."Exclude" = 1 THEN 1 ELSE 0 END AS INT) AS "Exclusions"
-    FROM st_accounts ac
-    LEFT JOIN st_role_map ro ON ac."Owner: Full Name" = ro."Account Owner/Sales Rep"
-    LEFT JOIN st_audits au ON ac."Account 18 ID" = au."Account 18 ID"
-    LEFT JOIN st_exclusions ex ON ac."Account 18 ID" = ex."Account Id" """
-REP = '"Area Sales Director", "Account Owner Manager", "Owner: Full Name"'
-REP_OUT = '"Area Sales Director", "Account Owner Manager", "Owner: Full Name" AS "Account (EU): Owner Name"'
-PAIR = '"Account Owner Manager" || "Owner: Full Name" AS concatenated_names'
-PREVIOUS = f"""
-    SELECT *, ROUND("Sum of Audits Completed" / NULLIF("Count of Account Name", 0) * 100, 0) AS "MTD Audit %"
-    FROM (SELECT {REP_OUT}, {PAIR}, COUNT("Account Name") AS "Count of Account Name",
-            CAST(SUM("Audit Complete") AS BIGINT) AS "Sum of Audits Completed" FROM account_list GROUP BY {REP})"""
-PIVOT = f"""
-    SELECT t.*, p."Count of Account Name" AS "Previous # of Accounts"
-    FROM (SELECT {REP_OUT}, {PAIR}, COUNT("Account 18 ID") AS "Count of Account 18 ID",
-            COUNT(DISTINCT "Account 18 ID") AS "Distinct Count of Account 18 ID" FROM account_list GROUP BY {REP}) t
-    LEFT JOIN previous p ON t.concatenated_names = p.concatenated_names"""
+    SELECT ac.*, o.director AS "Area Sales Director", o.manager AS "Account Owner Manager",
+      CAST(v.visits > 0 AS INT) AS "Audit Complete",
+      UNNEST(FLATTEN(LIST_TRANSFORM(RANGE(v.times), lambda i: v.flags))) AS "Exclusions"
+    FROM st_accounts ac JOIN visited v ON v.account = ac."Account 18 ID" LEFT JOIN owners o ON o.rep = v.c_nationkey"""
+ACCOUNT_CTES = {"visited": VISITED, "owners": OWNERS, "account_list": ACCOUNT_LIST}
+# all counts of a rep at once
+REPS = """
+    SELECT ANY_VALUE(director) AS "Area Sales Director", ANY_VALUE(manager) AS "Account Owner Manager",
+      'Owner ' || c_nationkey AS "Account (EU): Owner Name", ANY_VALUE(manager) || 'Owner ' || c_nationkey
+        AS concatenated_names,
+      COUNT(*) AS accounts, CAST(SUM(entries) AS BIGINT) AS entries,
+      CAST(SUM(IF(c_acctbal < -500, 0, entries)) AS BIGINT) AS named, CAST(SUM(IF(visits > 0, entries, 0)) AS BIGINT) AS audits
+    FROM (SELECT *, times * LEN(flags) AS entries FROM visited LEFT JOIN owners ON rep = c_nationkey) GROUP BY c_nationkey"""
+REP_CTES = {"visited": VISITED, "owners": OWNERS, "reps": REPS}
+REP_COLUMNS = '"Area Sales Director", "Account Owner Manager", "Account (EU): Owner Name"'
 GAP_KEYS = ", ".join(
     f'"{c}"'
     for c in (
@@ -281,17 +290,34 @@ def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.weighted_accounts(*_audit_tables(spark, sf_dir))
 
 
-@query("r10_account_list", with_staging(AUDIT_TABLES, ACCOUNT_LIST))
+@query("r10_account_list", with_staging(["accounts"], "SELECT * FROM account_list", **ACCOUNT_CTES))
 def _account_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.account_list(*_audit_tables(spark, sf_dir))
 
 
-@query("r11_previous", with_staging(AUDIT_TABLES, PREVIOUS, account_list=ACCOUNT_LIST))
+@query(
+    "r11_previous",
+    with_staging(
+        [],
+        f"""SELECT {REP_COLUMNS}, concatenated_names, named AS "Count of Account Name", audits AS "Sum of Audits Completed",
+          ROUND(IF(named > 0, audits / named * 100, NULL), 0) AS "MTD Audit %" FROM reps""",
+        **REP_CTES,
+    ),
+)
 def _previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.previous(_weighted(spark, sf_dir))
 
 
-@query("r12_pivot_report", with_staging(AUDIT_TABLES, PIVOT, account_list=ACCOUNT_LIST, previous=PREVIOUS))
+@query(
+    "r12_pivot_report",
+    with_staging(
+        [],
+        f"""SELECT {REP_COLUMNS}, concatenated_names, entries AS "Count of Account 18 ID",
+          accounts AS "Distinct Count of Account 18 ID",
+          IF(concatenated_names IS NULL, NULL, named) AS "Previous # of Accounts" FROM reps""",
+        **REP_CTES,
+    ),
+)
 def _pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.pivot_report(_weighted(spark, sf_dir))
 
@@ -299,10 +325,10 @@ def _pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "r13_gap_list",
     with_staging(
-        AUDIT_TABLES,
+        ["accounts"],
         f"""SELECT {GAP_KEYS}, CAST(SUM("Exclusions") AS BIGINT) AS "Sum of Exclusions" FROM account_list
         GROUP BY {GAP_KEYS}""",
-        account_list=ACCOUNT_LIST,
+        **ACCOUNT_CTES,
     ),
 )
 def _gap_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,20 +338,14 @@ def _gap_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "r14_audit_summary",
     with_staging(
-        AUDIT_TABLES,
-        """
-        SELECT v."Area Sales Director", v."Account Owner Manager", v."Account (EU): Owner Name",
-          v."Count of Account 18 ID" AS "Count of Account Name",
-          v."Distinct Count of Account 18 ID" AS "Sum of Audits Completed",
-          ROUND(COALESCE(v."Distinct Count of Account 18 ID" / NULLIF(v."Count of Account 18 ID", 0), 0) * 100, 0)
-            AS "MTD Audit %",
-          p."MTD Audit %" AS "Prior Week", p."Count of Account Name" AS "Previous # of Accounts",
-          v."Count of Account 18 ID" - p."Count of Account Name" AS "Database Movement",
-          v."Count of Account 18 ID" - v."Distinct Count of Account 18 ID" AS "No of Accounts Not Audited"
-        FROM pivot_report v LEFT JOIN previous p ON v.concatenated_names = p.concatenated_names""",
-        account_list=ACCOUNT_LIST,
-        previous=PREVIOUS,
-        pivot_report=PIVOT,
+        [],
+        f"""
+        SELECT {REP_COLUMNS}, entries AS "Count of Account Name", accounts AS "Sum of Audits Completed",
+          ROUND(accounts / entries * 100, 0) AS "MTD Audit %",
+          ROUND(IF(before > 0, audits / before * 100, NULL), 0) AS "Prior Week", before AS "Previous # of Accounts",
+          entries - before AS "Database Movement", entries - accounts AS "No of Accounts Not Audited"
+        FROM (SELECT *, IF(concatenated_names IS NULL, NULL, named) AS before FROM reps)""",
+        **REP_CTES,
     ),
 )
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
