@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from bindings.check import compare, connect
+from bindings.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not there")
@@ -32,5 +33,11 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-def test_every_query_reads_a_given_table():
+def test_every_statement_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_every_query_scans_files(spark, key):
+    plan = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [" in plan

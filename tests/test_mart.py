@@ -305,7 +305,7 @@ def test_members_of_a_user(spark, rows):
     ]
     brand = spark.createDataFrame([(100, 11), (101, 10)], "id int, member int")
     product = spark.createDataFrame([(100, 5), (100, 5), (100, 6), (101, None)], "brand_id int, product_category_id int")
-    categories = access.sysuser_product_category(found, brand, product)
+    categories = access.sysuser_product_category(listed, user, member, brand, product)
     assert rows(categories.where("sys_user in (2, 3)"), "sys_user", "product_category_id") == [(2, 5), (2, 6), (3, None)]
 
 

@@ -242,6 +242,14 @@ def test_summaries(answers, rows):
     ]
 
 
+def test_one_summary_per_score(spark, rows):
+    parts = spark.createDataFrame(
+        [(1.0, i * 7, f"w{i:03d} x") for i in range(50)] + [(2.0, 0, "")], "score double, part long, comment string"
+    )
+    found = comments.summary_by_score(parts, lambda text, score: min(text.split()), fan_in=3)
+    assert rows(found) == [(1.0, "w000"), (2.0, "No hay comentarios relevantes.")]
+
+
 def test_key_sentences_count_copies_once(answers, rows):
     # good 3, place 2, food 2, bad 1, late 1, answer 1
     best = comments.key_sentences(answers, "id", n=2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins, sets
@@ -20,36 +20,53 @@ def sys_users_chain(user_chain: DataFrame, sys_user: DataFrame) -> DataFrame:
     )
 
 
-def sys_users_member(user_member: DataFrame, sys_user: DataFrame, member: DataFrame) -> DataFrame:
-    """Members a user sees: the listed ones, and those that come with the role.
-
-    A role opens a scope, every member belongs to the global scope and to that of its country. The scopes meet in an
-    equi join, spread by user, so the global scope is never handled by one task.
-    """
-    listed = (
+def _listed(user_member: DataFrame, sys_user: DataFrame) -> DataFrame:
+    """Members a user is listed for, with the user's address and country."""
+    users = sys_user.select("user_id", F.col("email").alias("sys_user_email"), "country_id")
+    return (
         user_member.select(F.col("sys_user").alias("user_id"), "member")
-        .join(sys_user.select("user_id", F.col("email").alias("sys_user_email"), "country_id"), "user_id")
+        .join(users, "user_id")
         .withColumnRenamed("user_id", "sys_user")
     )
+
+
+def _holders(sys_user: DataFrame) -> DataFrame:
+    """Users whose role opens a scope: everything, or everything of their country."""
     opened = F.when(F.col("role").isin(GLOBAL_ROLES), F.lit(EVERYWHERE)).when(
         F.col("role").isin(COUNTRY_ROLES), F.col("country_id").cast("string")
     )
-    holders = (
+    return (
         sys_user.where(F.col("email").like("%@%"))
         .select(F.col("user_id").alias("sys_user"), F.col("email").alias("sys_user_email"), opened.alias("scope"))
         .where(F.col("scope").isNotNull())
     )
-    scopes = F.array(F.lit(EVERYWHERE), F.col("country_id").cast("string"))
-    members = member.select(F.col("id").alias("member"), "country_id", F.explode(scopes).alias("scope"))
-    by_role = joins.salted_join(holders, members, ["scope"], ["sys_user"])
+
+
+def _scopes() -> Column:
+    """The scopes a member belongs to."""
+    return F.explode(F.array(F.lit(EVERYWHERE), F.col("country_id").cast("string")))
+
+
+def sys_users_member(user_member: DataFrame, sys_user: DataFrame, member: DataFrame) -> DataFrame:
+    """Members a user sees: the listed ones, and those that come with the role.
+
+    A role opens a scope, every member belongs to the global scope and to that of its country. The scopes meet in an
+    equi join, spread by user, so the global scope is never handled by one task. The table names every member that a user
+    of a global role sees: users times members is its meaning.
+    """
+    members = member.select(F.col("id").alias("member"), "country_id", _scopes().alias("scope"))
+    by_role = joins.salted_join(_holders(sys_user), members, ["scope"], ["sys_user"])
     columns = ["sys_user", "member", "sys_user_email", "country_id"]
-    return sets.stack_distinct(listed.select(*columns), by_role.select(*columns))
+    return sets.stack_distinct(_listed(user_member, sys_user).select(*columns), by_role.select(*columns))
 
 
-def sysuser_product_category(users_member: DataFrame, brand: DataFrame, product: DataFrame) -> DataFrame:
+def sysuser_product_category(
+    user_member: DataFrame, sys_user: DataFrame, member: DataFrame, brand: DataFrame, product: DataFrame
+) -> DataFrame:
     """Product categories a user sees through the brands of the members.
 
-    The categories of a member are made distinct first, so that users never meet single products.
+    The categories of a member are made distinct first, then those of a scope. Users with a role meet the categories of
+    their scope and never single members; only listed users go through members.
     """
     brands = brand.select(F.col("id").alias("brand_id"), "member")
     categories = (
@@ -59,11 +76,16 @@ def sysuser_product_category(users_member: DataFrame, brand: DataFrame, product:
         .select("member", "product_category_id")
         .distinct()
     )
-    return (
-        joins.salted_join(users_member, categories, ["member"], ["sys_user"])
-        .select("sys_user_email", "sys_user", "country_id", "product_category_id")
+    columns = ["sys_user_email", "sys_user", "country_id", "product_category_id"]
+    of_scope = (
+        categories.join(member.select(F.col("id").alias("member"), "country_id"), "member")
+        .select("country_id", "product_category_id")
         .distinct()
+        .select("*", _scopes().alias("scope"))
     )
+    by_role = joins.salted_join(_holders(sys_user), of_scope, ["scope"], ["sys_user"])
+    listed = joins.salted_join(_listed(user_member, sys_user).distinct(), categories, ["member"], ["sys_user"])
+    return sets.stack_distinct(by_role.select(*columns), listed.select(*columns))
 
 
 def member_business(member_chain: DataFrame, chain_business: DataFrame) -> DataFrame:

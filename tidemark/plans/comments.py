@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nulls, text
 from tidemark.operators import aggregates, joins, windows
+from tidemark.session import working_folder
 
 # Answers of the summary step when there is nothing to summarise or the step fails.
 NO_COMMENTS = "No hay comentarios relevantes."
@@ -64,6 +65,30 @@ def summarise(parts: DataFrame, summariser: Callable[[str, float], str]) -> Data
     return parts.withColumn("resumen", run(F.col("comment"), F.col("score")))
 
 
+def summary_by_score(parts: DataFrame, summariser: Callable[[str, float], str], fan_in: int = 64) -> DataFrame:
+    """One ``resumen`` per score: answers of up to ``fan_in`` neighbouring parts are joined and summarised again, until
+    one is left. Every round is written to the shared folder; no call gets more than ``fan_in`` answers.
+    """
+    spark = parts.sparkSession
+    answers = summarise(parts, summariser).select("score", "part", "resumen")
+    while True:
+        path = working_folder(spark, "summaries")
+        answers.write.parquet(path)
+        answers = spark.read.parquet(path)
+        if not answers.agg(F.max("part")).first()[0]:
+            return answers.select("score", "resumen")
+        answered = F.array_sort(F.collect_list(F.struct("part", "resumen")))
+        merged = answers.groupBy("score", F.floor(F.col("part") / fan_in).alias("part")).agg(answered.alias("_answers"))
+        # an answer that stands alone is final for this round
+        alone = merged.where(F.size("_answers") == 1)
+        several = merged.where(F.size("_answers") > 1).select(
+            "score", "part", F.array_join(F.transform("_answers", lambda a: a["resumen"]), " ").alias("comment")
+        )
+        answers = alone.select("score", "part", F.col("_answers")[0]["resumen"].alias("resumen")).unionByName(
+            summarise(several, summariser).select("score", "part", "resumen")
+        )
+
+
 def _relevant(df: DataFrame) -> DataFrame:
     return scored_comments(df).where(F.col("comment").isNotNull())
 

@@ -61,7 +61,7 @@ def mart_tables(as_of: dt.date) -> dict[str, Table]:
         "Dim_Sys_Users_Chain": _table(access.sys_users_chain, "sys_user_chain", "sys_user"),
         "Dim_Sys_Users_Member": _table(access.sys_users_member, "user_member", "sys_user", "member"),
         "Dim_SysUser_ProductCategory": _table(
-            access.sysuser_product_category, "Dim_Sys_Users_Member", "brand", "product"
+            access.sysuser_product_category, "user_member", "sys_user", "member", "brand", "product"
         ),
         "Dim_Product_Category": _table(dims.dim_product_category, "product_category"),
         "Dim_Member_Business": _table(access.member_business, "member_chain", "chain_business"),
