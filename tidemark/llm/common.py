@@ -35,6 +35,27 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_columns(
+    df: DataFrame, inputs: list[str], function: Callable[..., Iterable[tuple]], schema: str, batch: int = 200
+) -> DataFrame:
+    """Call ``function`` with the ``inputs`` columns (lists) of at most ``batch`` rows; it yields tuples of whole columns.
+
+    For output of many small rows: columns may be arrays, so no row is ever an object.
+    """
+    out = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, batch):
+                part = whole.slice(start, batch)
+                for columns in function(*[column.to_pylist() for column in part.columns]):
+                    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return df.select(*[df[f"`{c}`"].alias(f"__in{i}") for i, c in enumerate(inputs)]).mapInArrow(run, out)
+
+
 def map_rows(
     df: DataFrame,
     inputs: list[str],

@@ -84,9 +84,9 @@ def cut_documents(
             for piece, (start, end) in enumerate(zip(cuts, cuts[1:])):
                 own = ids[start:end]
                 row = (i, piece, start, end - start, zlib.crc32(own.tobytes()))
-                yield (*row, own.tolist()) if with_ids else row
+                yield (*row, own.astype(np.int32)) if with_ids else row
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return map_rows(docs, [doc_id, text], run, schema, batch=500)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import map_rows, release, stored, unused_name
+from tidemark.llm.common import map_columns, map_rows, release, stored, unused_name
 
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Units worked on at once; positions within them have 24 bits.
@@ -108,22 +108,27 @@ def recurring_ranges(
                 found.append(own if within_documents else np.unique(own))
         if found:
             values, n = np.unique(np.concatenate(found), return_counts=True)
-            yield from zip(values.tolist(), n.tolist())
+            yield values, n
 
-    counted = map_rows(source, ["text"], count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = map_columns(source, ["text"], count, "h long, n long", batch=2000).groupBy("h").agg(F.sum("n").alias("n"))
     recurring = stored(counted.where("n > 1"), f"{name}-anchors")
     release(spark)
     usual = recurring.where(F.col("n") <= often).agg(F.sum("n")).first()[0] or 0
     shards = max(1, int(usual) // shard_rows)
 
     def place(ids: list, texts: list) -> Iterator[tuple]:
+        hashes, owners, numbers = [], [], []
         for i, t in zip(ids, texts):
-            number = 0
-            for h, _, _ in anchors(units_of((t or "").encode()), k, window):
-                yield from zip(h.tolist(), [i] * len(h), range(number, number + len(h)))
-                number += len(h)
-
-    placed = map_rows(source, ["id", "text"], place, "h long, of_id long, number int", batch=200)
+            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window)]
+            if own:
+                hashes += own
+                n = sum(map(len, own))
+                owners.append(np.full(n, i, np.int64))
+                numbers.append(np.arange(n, dtype=np.int32))
+        if hashes:
+            yield np.concatenate(hashes), np.concatenate(owners), np.concatenate(numbers)
+
+    placed = map_columns(source, ["id", "text"], place, "h long, of_id long, number int")
     # numbers of a document's recurring anchors; those that occur often are marked by a negative number
     lists = (
         placed.join(recurring, "h")
@@ -146,25 +151,37 @@ def recurring_ranges(
             at = 0
             for h, first, last in anchors(units, k, window):
                 here = slice(*np.searchsorted(numbers, [at, at + len(h)]))
-                own, frequent = (numbers[here] - at).tolist(), hot[here].tolist()
+                own, often_seen = numbers[here] - at, hot[here]
                 at += len(h)
-                for n, often_seen in zip(own, frequent):
-                    low, high = int(first[n]), int(last[n]) + window
-                    if not often_seen:
-                        yield int(h[n]) % shards, i, key, low, slice_of(low, high), None, None
-                        continue
-                    piece = units[low:high]
-                    for step, (a, b) in enumerate(
-                        zip(run_hashes(piece, window, 1).view(np.int64).tolist(),
-                            run_hashes(piece, window, 2).view(np.int64).tolist())
-                    ):
-                        yield -1, i, key, low + step, None, a, b
+                low, high = first[own], last[own] + window
+                if len(own) > often_seen.sum():
+                    some = ~often_seen
+                    n = int(some.sum())
+                    content = [slice_of(a, b) for a, b in zip(low[some].tolist(), high[some].tolist())]
+                    same = (np.full(n, i), np.full(n, key), low[some].astype(np.int32))
+                    yield (h[own[some]] % shards).astype(np.int32), *same, content, [None] * n, [None] * n
+                for a, b in zip(low[often_seen].tolist(), high[often_seen].tolist()):
+                    one, two = (run_hashes(units[a:b], window, seed).view(np.int64) for seed in (1, 2))
+                    n = len(one)
+                    same = (np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32))
+                    yield np.full(n, -1, np.int32), *same, [None] * n, one, two
+
+    def joined_columns(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
+        """The pieces of a whole batch of documents as one set of columns."""
+        parts = list(cut(ids, texts, chosen))
+        for wanted in (True, False):
+            own = [p for p in parts if (p[4][0] is not None) == wanted]
+            if own:
+                columns = list(zip(*own))
+                yield tuple(
+                    np.concatenate(c) if isinstance(c[0], np.ndarray) else [x for part in c for x in part] for c in columns
+                )
 
     joined = source.join(lists, F.col("id") == F.col("of_id"))
     pieces = stored(
-        map_rows(
-            joined, ["id", "text", "numbers"], cut,
-            "shard int, doc_id long, text_key long, start int, content binary, a long, b long", batch=200,
+        map_columns(
+            joined, ["id", "text", "numbers"], joined_columns,
+            "shard int, doc_id long, text_key long, start int, content binary, a long, b long",
         ),
         f"{name}-windows",
     )
