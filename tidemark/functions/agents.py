@@ -1,7 +1,7 @@
 """Operating system, device, browser and mobile flag of a user agent.
 
-Ordered rules, first match wins, evaluated as one CASE per column inside the scan stage: no Python worker and
-no shuffle, so a popular agent costs nothing extra.
+Ordered rules, first match wins, evaluated as one CASE per column inside the scan stage: no worker outside the
+JVM and no shuffle, so a popular agent costs nothing extra.
 """
 
 from __future__ import annotations
