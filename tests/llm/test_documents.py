@@ -219,6 +219,7 @@ TEXT = "\n".join(f"{sentence(i, 30)}, and more, {i}." for i in range(4))
         f"<main><section>{ARTICLE}</section><form><p>name, and, so on<input></form></main><div id=comments><p>{sentence(8, 80)}</p></div>",
         f"<header><h2>Site</h2></header><script>var t='</p>';</script><div>{ARTICLE}<!-- <p>no</p> --></div><aside>{sentence(2, 40)}</aside>",
         f"<div class=cookie-notice>We, use, cookies.</div><div><div><div>{ARTICLE}</div></div></div><ul><li><a href=x>{sentence(3, 30)}</a></ul>",
+        f"<div class='page has-sidebar'><div class='text'>{ARTICLE}</div></div><ol class=commentlist><li>{sentence(7, 90)}</ol>",
         f"<table><tr><td>{ARTICLE}</td><td class=ad>{sentence(4, 20)}</td></tr></table>",
         f"<article>{ARTICLE.replace('</p>', '')}<div class='share-buttons'>Share</div></article><dialog>hi</dialog>",
     ],

@@ -184,9 +184,3 @@ def test_pipeline_stages_against_brute_force(spark, docs, nasty):
         found.setdefault(r["doc_id"], []).extend(r["ids"])
     for r in drawn.where("doc_id IS NOT NULL").collect():
         assert found[r["doc_id"]] == [*plain.encode(r["text"], add_special_tokens=False).ids, 0]
-
-
-@tables
-def test_pipeline_runs_over_the_tables(spark, texts):
-    rows = corpus_pipeline.run(spark, SF_DIR).collect()
-    assert rows and {r["doc_id"] for r in rows} < set(texts)

@@ -48,6 +48,9 @@ UNWANTED_NAMES = frozenset(
     " comment comments disqus reply replies respond pagination pager toolbar widget copyright disclaimer skip hidden"
     " toc".split()
 )
+UNWANTED_STARTS = ("comment", "advert", "sponsor", "breadcrumb", "sidebar", "newsletter")
+# classes such as "has-sidebar" say what stands beside an element, not what it is
+BESIDE = ("has", "no", "with", "without", "is", "not")
 UNWANTED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -90,8 +93,12 @@ def _unwanted(tag: str, attributes: str, in_content: bool) -> bool:
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            if any(part.lower() in UNWANTED_NAMES for part in NAME_PART.findall(value)):
-                return True
+            for word in value.split():
+                parts = [part.lower() for part in NAME_PART.findall(word)]
+                if parts and parts[0] in BESIDE:
+                    continue
+                if any(part in UNWANTED_NAMES or part.startswith(UNWANTED_STARTS) for part in parts):
+                    return True
         elif name == "role" and value.lower() in UNWANTED_ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
