@@ -20,6 +20,8 @@ WORD_GAP = "[ \\t,;:]+"
 ANY_GAP = "[.!?\\n \\t,;:]+"
 # More positions than one comment can hold.
 POSITIONS = 1 << 31
+# Rows that may be broadcast: some megabytes at most.
+FEW_ROWS = 100_000
 
 
 def scored_comments(df: DataFrame) -> DataFrame:
@@ -145,6 +147,9 @@ def key_sentences(df: DataFrame, order: str, n: int = 3) -> DataFrame:
         .withColumn("weight", F.expr("(_sum * 1000) div _words"))
     )
     best = windows.keep_top(weighed, ["score"], [F.col("weight").desc(), F.col(order), F.col("pos")], n)
+    # ``n`` rows per score: sent to the comments if that is little, so that no comment text is shuffled to meet them
+    if _relevant(df).select("score").distinct().count() * n <= FEW_ROWS:
+        best = F.broadcast(best)
     sentence = F.trim(F.get(F.split("comment", SENTENCE_END), F.col("pos")))
     return (
         _relevant(df)
