@@ -310,8 +310,8 @@ def judge(
     failed = (F.col(name["n_words"]) < min_words) | (
         100 * F.col(name["n_repeat_words"]) > max_repeat_percent * F.col(name["n_words"])
     )
-    # one row per language; Spark broadcasts it by its measured size
-    known = scored.join(limits, F.coalesce(F.col(lang), F.lit("")) == F.col(of_lang), "left")
+    # one row for each language that has a model, and the models were broadcast before
+    known = scored.join(F.broadcast(limits), F.coalesce(F.col(lang), F.lit("")) == F.col(of_lang), "left")
     fits = F.coalesce(F.col(name["bits"]).between(F.col(low), F.col(high)), F.lit(True))
     out = known.withColumn(name["base_failed"], failed).withColumn(name["kept"], ~failed & fits)
     dropped = [of_lang, low, high] + ([lang] if lang not in kept else [])
