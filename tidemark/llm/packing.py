@@ -231,7 +231,7 @@ def pack(
     capacity: int = 2048,
     end_id: int = 0,
     with_ids: bool = False,
-    bucket_rows: int = 500_000,
+    bucket_rows: int = 20_000,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
 
