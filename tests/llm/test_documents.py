@@ -330,6 +330,22 @@ def test_substring_operators_without_documents(docs):
     assert passages.remove_repeated(docs([])).count() == 0 and suffixes.remove_repeated(docs([])).count() == 0
 
 
+def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
+    rng = random.Random(2)
+    words = ["a", "b", "ab", "ba", "é", "a" * 40, "\x1c", "word", "wordy", "\0", "\0\0"]
+    for part in (7, 1 << 18):
+        monkeypatch.setattr(passages, "PART", part)
+        hashes = {}
+        for _ in range(400):
+            text = "".join(rng.choice(words) + rng.choice([" ", "  ", "\t\n", "\x0b "]) for _ in range(rng.randint(0, 20)))
+            data = text.encode()
+            units, slice_of = passages.word_units(data), passages._word_slicer(data)
+            assert len(units) == len(data.split())
+            for n, (word, unit) in enumerate(zip(data.split(), units.tolist())):
+                assert hashes.setdefault(word, unit) == unit and slice_of(n, n + 1) == word
+        assert len(set(hashes.values())) == len(hashes) == len(words)
+
+
 def test_suffix_array_against_sorting():
     rng = random.Random(1)
     for _ in range(1500):

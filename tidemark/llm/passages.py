@@ -7,33 +7,65 @@ the first are removed. Text away from recurring anchors cannot hold a recurring
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import unused_name
-from tidemark.llm.recurring import apply_ranges, merged_starts, recurring_ranges, removed_mask
+from tidemark.llm.recurring import _mixed, apply_ranges, merged_starts, power_sums, recurring_ranges, removed_mask
 
 ANCHOR_WORDS = 4
+PART = 1 << 18
+# which bytes are ASCII white space
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+
+
+def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last (exclusive) byte of each word."""
+    edges = np.flatnonzero(np.diff(~SPACE[raw], prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def _blocks(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts of some hundred thousand bytes with their place; no word is cut."""
+    raw, start = np.frombuffer(data, np.uint8), 0
+    while start < len(data):
+        end = start + PART
+        if end < len(data):
+            space = re.compile(rb"[ \t\n\v\f\r]").search(data, end)
+            end = space.start() if space else len(data)
+        yield start, raw[start:end]
+        start = end
 
 
 def word_units(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words (runs without ASCII white space)."""
-    words = data.split()
-    known: dict[bytes, int] = {}
-    digest = xxhash.xxh64_intdigest
-    for word in set(words):
-        known[word] = digest(word)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    """64-bit hashes of the words (runs without ASCII white space): sums of bytes times powers, made free of the place."""
+    units = [np.zeros(0, np.uint64)]
+    for _, raw in _blocks(data):
+        first, last = _words(raw)
+        total, inverse = power_sums(raw + np.uint64(1))
+        units.append(_mixed((total[last] - total[first]) * inverse[first], (last - first).astype(np.uint64)))
+    return np.concatenate(units)
 
 
 def _word_slicer(data: bytes):
-    words = data.split()
-    return lambda low, high: b" ".join(words[low:high])
+    parts = [(first + start, last + start) for start, raw in _blocks(data) for first, last in [_words(raw)]]
+    first, last = (np.concatenate(x).tolist() for x in zip(*parts)) if parts else ([], [])
+    return lambda low, high: data[first[low] : last[high - 1]]
+
+
+class _Letters(dict):
+    """One character for each different word of a shard; surrogates are left out."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self) + 1
+        value = self[word] = chr(n if n < 0xD800 else n + 0x800)
+        return value
 
 
 def automaton_solver(window: int):
@@ -41,41 +73,46 @@ def automaton_solver(window: int):
 
     def solve(table: pa.Table) -> pa.Table:
         ids, keys, starts = (table.column(c).to_numpy() for c in ("doc_id", "text_key", "start"))
-        # one character for each different word of the shard; surrogates are left out
-        letters: dict[bytes, str] = {}
-
-        def letter(word: bytes) -> str:
-            known = letters.get(word)
-            if known is None:
-                n = len(letters) + 1
-                known = letters[word] = chr(n if n < 0xD800 else n + 0x800)
-            return known
-
-        phrases = ["".join(map(letter, content.split(b" "))) for content in table.column("content").to_pylist()]
-        seen = Counter(p[i : i + window] for p in phrases for i in range(len(p) - window + 1))
-        confirmed = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        n = 0
-        for phrase, times in seen.items():
-            if times > 1:
-                confirmed.add_word(phrase, n)
-                n += 1
+        # equal pieces are streamed once, for all the places where they stand
+        piece_of: dict[bytes, int] = {}
+        which = np.array([piece_of.setdefault(c, len(piece_of)) for c in table.column("content").to_pylist()], np.int64)
+        letters = _Letters()
+        phrases = ["".join(map(letters.__getitem__, content.split())) for content in piece_of]
+        several = (np.bincount(which, minlength=len(phrases)) > 1).tolist()
+        seen: set[str] = set()
+        again: set[str] = set()
+        for phrase, repeated in zip(phrases, several):
+            windows = [phrase[i : i + window] for i in range(len(phrase) - window + 1)]
+            again.update(windows if repeated else [w for w in windows if w in seen])
+            seen.update(windows)
+            if not repeated and len(set(windows)) < len(windows):
+                again.update(w for w, n in Counter(windows).items() if n > 1)
         del seen
-        rows, places, numbers = [], [], []
-        if n:
-            confirmed.make_automaton()
-            for row, phrase in enumerate(phrases):
-                for end, number in confirmed.iter(phrase):
-                    rows.append(row)
-                    places.append(end - window + 1)
-                    numbers.append(number)
-        row = np.array(rows, dtype=np.int64)
-        start = starts[row] + np.array(places, dtype=np.int64)
+        if not again:
+            return _ranges(ids, keys, which[:0], which[:0], window)
+        confirmed = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for number, phrase in enumerate(again):
+            confirmed.add_word(phrase, number)
+        confirmed.make_automaton()
+        ends, numbers, found = [], [], np.zeros(len(phrases), np.int64)
+        for n, phrase in enumerate(phrases):
+            hits = list(confirmed.iter(phrase))
+            found[n] = len(hits)
+            ends += [end for end, _ in hits]
+            numbers += [number for _, number in hits]
+        offset = np.array(ends, dtype=np.int64) - window + 1
         number = np.array(numbers, dtype=np.int64)
+        # every hit at every place of its piece
+        times = found[which]
+        row = np.repeat(np.arange(len(which)), times)
+        begins = np.cumsum(found) - found
+        hit = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) + begins[which[row]]
+        start, number = starts[row] + offset[hit], number[hit]
         order = np.lexsort((start, ids[row], number))
         row, start, number = row[order], start[order], number[order]
         new = np.ones(len(row), bool)
         new[1:] = number[1:] != number[:-1]
-        first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(row) else row
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
         later = (ids[row] != ids[row[first]]) | (start != start[first])
         return _ranges(ids, keys, row[later], start[later], window)
 

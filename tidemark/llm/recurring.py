@@ -9,6 +9,7 @@ is not dealt to one shard: its windows are hashed, and the first place of each i
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +33,30 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+@lru_cache(maxsize=64)
+def powers(size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number and of its inverse, modulo 2**64."""
+    base = (int(MIX) * (2 * seed + 1)) % (1 << 64)
+    return tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def power_sums(values: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the values before each place, times powers; and the inverse powers that make differences free of it."""
+    power, inverse = powers(1 << max(12, len(values).bit_length()), seed)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return total, inverse
+
+
 def run_hashes(units: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
-    """64-bit hashes of all runs of ``length`` units, by doubling."""
-    power, size, done, out = units + np.uint64(seed) * MIX, 1, 0, None
-    while True:
-        if length & size:
-            if out is None:
-                out, done = power, size
-            else:
-                n = len(units) - done - size + 1
-                out, done = _mixed(out[:n], power[done : done + n]), done + size
-        if size * 2 > length:
-            return out
-        power = _mixed(power[:-size], power[size:])
-        size *= 2
+    """64-bit hashes of all runs of ``length`` units."""
+    total, inverse = power_sums(units, seed)
+    x = total[length:] - total[:-length]
+    x *= inverse[: len(x)]
+    x ^= x >> np.uint64(31)
+    x *= MIX
+    x ^= x >> np.uint64(29)
+    return x
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -85,7 +96,7 @@ def recurring_ranges(
     solve: Callable[[pa.Table], pa.Table],
     within_documents: bool,
     name: str,
-    often: int = 4096,
+    often: int = 32768,
     shard_rows: int = 16384,
 ) -> DataFrame:
     """``doc_id, text_key, ranges``: the units of each document to remove, ``array<struct<low, high>>``.
@@ -95,6 +106,8 @@ def recurring_ranges(
     a window also recurs inside a document, and is removed wherever it does not start first; otherwise it is removed in
     every document that does not have the smallest id. Null ids count as the largest. Rows that share an id are one
     document to this order, but each text gets its own ranges.
+
+    A shard holds about ``shard_rows`` pieces, and of one anchor at most ``often``: some ten megabytes of text.
     """
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
@@ -138,68 +151,65 @@ def recurring_ranges(
     lists = stored(lists, f"{name}-candidates")
     release(spark)
 
+    def chosen_anchors(data: bytes, numbers: list, often_seen: bool) -> Iterator[tuple]:
+        """Hash, first unit and last unit (exclusive) of the windows of the document's chosen anchors, and all units."""
+        units, at = units_of(data), 0
+        wanted = np.array(numbers, dtype=np.int64)
+        wanted = np.sort(-1 - wanted[wanted < 0] if often_seen else wanted[wanted >= 0])
+        for h, first, last in anchors(units, k, window):
+            own = wanted[slice(*np.searchsorted(wanted, [at, at + len(h)]))] - at
+            at += len(h)
+            if len(own):
+                yield h[own], first[own], last[own] + window, units
+
     def cut(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
+        """The pieces of a batch of documents, for the shards."""
+        found, content = [], []
+        for i, t, numbers in zip(ids, texts, chosen):
+            data = (t or "").encode()
+            key, slice_of = text_key(data), slicer_of(data)
+            for h, low, high, _ in chosen_anchors(data, numbers, False):
+                found.append(((h % shards).astype(np.int32), np.full(len(h), i), np.full(len(h), key), low.astype(np.int32)))
+                content += [slice_of(a, b) for a, b in zip(low.tolist(), high.tolist())]
+        if content:
+            yield *map(np.concatenate, zip(*found)), content
+
+    def hashed(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
+        """Every window of the anchors that occur often, by two hashes."""
         for i, t, numbers in zip(ids, texts, chosen):
             data = (t or "").encode()
-            key, units, slice_of = text_key(data), units_of(data), slicer_of(data)
-            numbers = np.array(numbers, dtype=np.int64)
-            hot = numbers < 0
-            numbers = np.where(hot, -1 - numbers, numbers)
-            # rows that share an id share their numbers, which may then hold an anchor in both ways
-            order = np.argsort(numbers, kind="stable")
-            numbers, hot = numbers[order], hot[order]
-            at = 0
-            for h, first, last in anchors(units, k, window):
-                here = slice(*np.searchsorted(numbers, [at, at + len(h)]))
-                own, often_seen = numbers[here] - at, hot[here]
-                at += len(h)
-                low, high = first[own], last[own] + window
-                if len(own) > often_seen.sum():
-                    some = ~often_seen
-                    n = int(some.sum())
-                    content = [slice_of(a, b) for a, b in zip(low[some].tolist(), high[some].tolist())]
-                    same = (np.full(n, i), np.full(n, key), low[some].astype(np.int32))
-                    yield (h[own[some]] % shards).astype(np.int32), *same, content, [None] * n, [None] * n
-                for a, b in zip(low[often_seen].tolist(), high[often_seen].tolist()):
+            key = text_key(data)
+            for _, low, high, units in chosen_anchors(data, numbers, True):
+                for a, b in zip(low.tolist(), high.tolist()):
                     one, two = (run_hashes(units[a:b], window, seed).view(np.int64) for seed in (1, 2))
                     n = len(one)
-                    same = (np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32))
-                    yield np.full(n, -1, np.int32), *same, [None] * n, one, two
-
-    def joined_columns(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
-        """The pieces of a whole batch of documents as one set of columns."""
-        parts = list(cut(ids, texts, chosen))
-        for wanted in (True, False):
-            own = [p for p in parts if (p[4][0] is not None) == wanted]
-            if own:
-                columns = list(zip(*own))
-                yield tuple(
-                    np.concatenate(c) if isinstance(c[0], np.ndarray) else [x for part in c for x in part] for c in columns
-                )
-
-    joined = source.join(lists, F.col("id") == F.col("of_id"))
-    pieces = stored(
-        map_columns(
-            joined, ["id", "text", "numbers"], joined_columns,
-            "shard int, doc_id long, text_key long, start int, content binary, a long, b long",
-        ),
-        f"{name}-windows",
-    )
-    release(spark)
-    solved = (
-        pieces.where("shard >= 0").select("shard", "doc_id", "text_key", "start", "content").groupBy("shard")
-        .applyInArrow(lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int")
+                    yield np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32), one, two
+
+    def candidates(often_seen: bool) -> DataFrame:
+        kind = F.exists("numbers", lambda x: (x < 0) if often_seen else (x >= 0))
+        return source.join(lists.where(kind), F.col("id") == F.col("of_id"))
+
+    pieces = map_columns(
+        candidates(False), ["id", "text", "numbers"], cut,
+        "shard int, doc_id long, text_key long, start int, content binary",
     )
-    often_seen = pieces.where("shard < 0").select("doc_id", "text_key", "start", "a", "b")
-    place_of = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
-    firsts = often_seen.groupBy("a", "b").agg(F.min(place_of).alias("first"))
-    later = often_seen.join(firsts, ["a", "b"]).where(place_of > F.col("first")).select(
-        "doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + window).alias("high")
+    ranges = pieces.groupBy("shard").applyInArrow(
+        lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int"
     )
-    return (
-        solved.unionByName(later).groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    )
+    if recurring.where(F.col("n") > often).limit(1).count():
+        ranges = stored(ranges, f"{name}-ranges")
+        release(spark)
+        seen = map_columns(
+            candidates(True), ["id", "text", "numbers"], hashed, "doc_id long, text_key long, start int, a long, b long"
+        )
+        seen = stored(seen, f"{name}-windows")
+        place_of = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
+        firsts = seen.groupBy("a", "b").agg(F.min(place_of).alias("first"))
+        later = seen.join(firsts, ["a", "b"]).where(place_of > F.col("first"))
+        ranges = ranges.unionByName(
+            later.select("doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + window).alias("high"))
+        )
+    return ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
 
 def merged_starts(rows: np.ndarray, starts: np.ndarray, window: int) -> Iterable[np.ndarray]:
