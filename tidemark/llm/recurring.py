@@ -151,64 +151,56 @@ def recurring_ranges(
     lists = stored(lists, f"{name}-candidates")
     release(spark)
 
-    def chosen_anchors(data: bytes, numbers: list, often_seen: bool) -> Iterator[tuple]:
-        """Hash, first unit and last unit (exclusive) of the windows of the document's chosen anchors, and all units."""
-        units, at = units_of(data), 0
-        wanted = np.array(numbers, dtype=np.int64)
-        wanted = np.sort(-1 - wanted[wanted < 0] if often_seen else wanted[wanted >= 0])
-        for h, first, last in anchors(units, k, window):
-            own = wanted[slice(*np.searchsorted(wanted, [at, at + len(h)]))] - at
-            at += len(h)
-            if len(own):
-                yield h[own], first[own], last[own] + window, units
-
     def cut(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
-        """The pieces of a batch of documents, for the shards."""
-        found, content = [], []
-        for i, t, numbers in zip(ids, texts, chosen):
-            data = (t or "").encode()
-            key, slice_of = text_key(data), slicer_of(data)
-            for h, low, high, _ in chosen_anchors(data, numbers, False):
-                found.append(((h % shards).astype(np.int32), np.full(len(h), i), np.full(len(h), key), low.astype(np.int32)))
-                content += [slice_of(a, b) for a, b in zip(low.tolist(), high.tolist())]
-        if content:
-            yield *map(np.concatenate, zip(*found)), content
-
-    def hashed(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
-        """Every window of the anchors that occur often, by two hashes."""
+        """Pieces for the shards, and every window of the anchors that occur often by two hashes."""
+        found, content, windows = [], [], []
         for i, t, numbers in zip(ids, texts, chosen):
             data = (t or "").encode()
-            key = text_key(data)
-            for _, low, high, units in chosen_anchors(data, numbers, True):
-                for a, b in zip(low.tolist(), high.tolist()):
+            key, units, slice_of = text_key(data), units_of(data), slicer_of(data)
+            wanted = np.array(numbers, dtype=np.int64)
+            # rows that share an id share their numbers, which may then hold an anchor in both ways
+            usual, frequent = np.sort(wanted[wanted >= 0]), np.sort(-1 - wanted[wanted < 0])
+            at = 0
+            for h, first, last in anchors(units, k, window):
+                own, often_seen = (x[slice(*np.searchsorted(x, [at, at + len(h)]))] - at for x in (usual, frequent))
+                at += len(h)
+                if len(own):
+                    low, high = first[own], last[own] + window
+                    n = len(own)
+                    found.append(((h[own] % shards).astype(np.int32), np.full(n, i), np.full(n, key), low.astype(np.int32)))
+                    content += [slice_of(a, b) for a, b in zip(low.tolist(), high.tolist())]
+                for a, b in zip(first[often_seen].tolist(), (last[often_seen] + window).tolist()):
                     one, two = (run_hashes(units[a:b], window, seed).view(np.int64) for seed in (1, 2))
                     n = len(one)
-                    yield np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32), one, two
-
-    def candidates(often_seen: bool) -> DataFrame:
-        kind = F.exists("numbers", lambda x: (x < 0) if often_seen else (x >= 0))
-        return source.join(lists.where(kind), F.col("id") == F.col("of_id"))
-
-    pieces = map_columns(
-        candidates(False), ["id", "text", "numbers"], cut,
-        "shard int, doc_id long, text_key long, start int, content binary",
+                    windows.append((np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32), one, two))
+        if found:
+            yield *map(np.concatenate, zip(*found)), content, [None] * len(content), [None] * len(content)
+        if windows:
+            columns = list(map(np.concatenate, zip(*windows)))
+            n = len(columns[0])
+            yield np.full(n, -1, np.int32), *columns[:3], [None] * n, *columns[3:]
+
+    # texts meet their anchors once; both kinds of pieces are read from the table they are written to
+    joined = source.join(lists, F.col("id") == F.col("of_id"))
+    pieces = stored(
+        map_columns(
+            joined, ["id", "text", "numbers"], cut,
+            "shard int, doc_id long, text_key long, start int, content binary, a long, b long",
+        ),
+        f"{name}-pieces",
+    )
+    release(spark)
+    ranges = (
+        pieces.where("shard >= 0").select("shard", "doc_id", "text_key", "start", "content").groupBy("shard")
+        .applyInArrow(lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int")
     )
-    ranges = pieces.groupBy("shard").applyInArrow(
-        lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int"
+    seen = pieces.where("shard < 0").select("doc_id", "text_key", "start", "a", "b")
+    place_of = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
+    firsts = seen.groupBy("a", "b").agg(F.min(place_of).alias("first"))
+    later = seen.join(firsts, ["a", "b"]).where(place_of > F.col("first"))
+    ranges = ranges.unionByName(
+        later.select("doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + window).alias("high"))
     )
-    if recurring.where(F.col("n") > often).limit(1).count():
-        ranges = stored(ranges, f"{name}-ranges")
-        release(spark)
-        seen = map_columns(
-            candidates(True), ["id", "text", "numbers"], hashed, "doc_id long, text_key long, start int, a long, b long"
-        )
-        seen = stored(seen, f"{name}-windows")
-        place_of = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
-        firsts = seen.groupBy("a", "b").agg(F.min(place_of).alias("first"))
-        later = seen.join(firsts, ["a", "b"]).where(place_of > F.col("first"))
-        ranges = ranges.unionByName(
-            later.select("doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + window).alias("high"))
-        )
     return ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
 
