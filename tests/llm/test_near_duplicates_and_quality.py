@@ -11,7 +11,7 @@ import xxhash
 from llm_texts import sentence
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, quality, simhash
+from tidemark.llm import graph, quality, simhash, wordmodel
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -227,3 +227,55 @@ def test_verdicts_hold_out(docs, nasty):
     expected = [i for i, n, *_, repeated in counts if n >= 10 and 100 * repeated <= 20 * n]
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, expected))
     assert quality.judge(docs([])).count() == 0
+
+
+def brute_word_bits(texts):
+    """Bits a word of each text by what the other different texts hold, in plain Python."""
+    texts = list(dict.fromkeys(texts))
+    words = [["<", "<<", *re.sub("[0-9]+", "0", t.lower()).split()] for t in texts]
+    held = [{tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)} for w in words]
+    size = [len(set(w[2:])) for w in words]
+    out = {}
+    for d, w in enumerate(words):
+        others = Counter(g for e, own in enumerate(held) if e != d for g in own)
+        others[()] = sum(size) - size[d]
+        total = 0.0
+        for i in range(2, len(w)):
+            for n in (3, 2, 1):
+                gram = tuple(w[i - n + 1 : i + 1])
+                if others[gram]:
+                    total -= math.log2(0.4 ** (3 - n) * others[gram] / others[gram[:-1]])
+                    break
+            else:
+                total -= math.log2(0.4**3 / (others[()] + 1))
+        out[texts[d]] = total / (len(w) - 2)
+    return out
+
+
+def test_word_model_against_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(wordmodel, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(wordmodel, "RANGE_GRAMS", 50)
+    rows = [(i, sentence(i % 9, 5 + 3 * (i % 9)), ["en", "de"][i % 2], "a") for i in range(40)] + [(90, " ", "en", "a")]
+    texts, ranges = wordmodel.texts_by_block(docs(rows), "text", "lang")
+    assert ranges > 3
+    a, b = wordmodel.text_key(F.col("lang"), F.col("text"))
+    keys = {(r["a"], r["b"]): (r["lang"], r["text"]) for r in docs(rows).select("lang", "text", a.alias("a"), b.alias("b")).collect()}
+    got = {keys[r["a"], r["b"]]: r["word_bits"] for r in wordmodel.score_words(texts, ranges).collect()}
+    wanted = {(x, t): v for x in ("en", "de") for t, v in brute_word_bits([r[1] for r in rows if r[2] == x and r[1].strip()]).items()}
+    assert got == pytest.approx(wanted)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghij", "абвгдежзик", "".join(map(chr, range(0x4E00, 0x5200)))], ids=["latin", "cyrillic", "han"])
+def test_words_in_no_order_are_noise(docs, letters):
+    """Texts from a few phrases stay; the same words without their order go, in any script."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices(letters, k=5)) for _ in range(300)]
+    phrases = [rng.sample(words, 6) for _ in range(60)]
+    good = [(i, " ".join(w for p in rng.choices(phrases, k=20) for w in p), "xx", "a") for i in range(150)]
+    mixed = []
+    for i in range(6):
+        own = good[i][1].split()
+        rng.shuffle(own)
+        mixed.append((1000 + i, " ".join(own), "xx", "a"))
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs(good + mixed), max_repeat_percent=100).collect()}
+    assert all(got[i] for i, *_ in good) and not any(got[i] for i, *_ in mixed)

@@ -1,8 +1,9 @@
-"""Quality rules: surface counts, and perplexity bands of a character n-gram model.
+"""Quality rules: surface counts, perplexity bands of a character n-gram model, and a limit by a word n-gram model.
 
-The model is modified Kneser-Ney over three characters, one for each language. Spark counts the n-grams of all
-documents; probabilities are kept in sorted arrays of packed n-grams that tasks search. Characters fall in 128 classes,
-so a language has at most 128**3 n-grams, however many documents there are.
+The character model is modified Kneser-Ney over three characters, one for each language. Spark counts the n-grams of all
+documents; probabilities are kept in sorted arrays of packed n-grams that tasks search. Characters fall in 128
+classes, so a language has at most 128**3 n-grams. What characters do not show, such as the order of words or texts in
+other scripts, is left to the word model of ``wordmodel``, which grows with the documents and is looked up by shuffles.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import map_rows, stored, unused_name
+from tidemark.llm import wordmodel
+from tidemark.llm.common import map_rows, release, stored, unused_name
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -280,6 +282,22 @@ def bands(scored: DataFrame, lang: str, bits: str, reach: float, least: float, b
     )
 
 
+def surprising_texts(texts: DataFrame, ranges: int, reach: float, bins: int = 1000) -> DataFrame:
+    """``a, b``: keys of the texts whose words the other texts do not lead to expect.
+
+    The limit lies ``reach`` times the measured spread above the upper quartile of the language: the quartile distance, or
+    for texts of few words the standard error of their mean. There is no lower limit: what others have too is no noise.
+    """
+    words = stored(wordmodel.score_words(texts, ranges), "quality-words")
+    limits = bands(words, "lang", "word_bits", 0.0, 0.0, bins).join(
+        words.groupBy(F.col("lang").alias("of_lang")).agg(F.avg("word_spread").alias("spread")),
+        F.col("band_lang") == F.col("of_lang"),
+    )
+    room = F.greatest(F.col("high") - F.col("low"), F.sqrt(F.col("spread") / F.col("n"))) * reach
+    known = words.join(limits, F.col("lang") == F.col("band_lang"))
+    return known.where(F.col("word_bits") > F.col("high") + room + 1 / bins).select("a", "b")
+
+
 def judge(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -295,14 +313,22 @@ def judge(
 
     ``base_failed``: fewer than ``min_words`` words, or over ``max_repeat_percent`` percent of the words in 5-word
     windows that come twice or more. Otherwise a document is kept if its bits per character (log2 of its perplexity)
-    lie within the band of its language. Null texts count as empty, null languages as one language of their own, null ids
+    lie within the band of its language and its words are not beyond the limit of ``surprising_texts``. The word model
+    counts a text once, however many copies there are. Null texts count as empty, null languages as one language of their own, null ids
     and repeated rows stay as they are. New columns whose names are taken get underscores in front.
     """
     spark = docs.sparkSession
     kept = keep or [doc_id]
     source = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, doc_id, text, lang])])
+    texts, ranges = wordmodel.texts_by_block(source, text, lang)
     models = train(source, text, lang)
-    scored = stored(score(source, models, text, lang, list(dict.fromkeys([*kept, lang]))), "quality-scored")
+    release(spark)
+    surprising = stored(surprising_texts(texts, ranges, reach), "quality-surprising")
+    release(spark)
+    of_a, of_b = (unused_name(source, c) for c in ("of_a", "of_b"))
+    a, b = wordmodel.text_key(F.coalesce(F.col(f"`{lang}`"), F.lit("")), F.col(f"`{text}`"))
+    keyed = source.withColumn(of_a, a).withColumn(of_b, b)
+    scored = stored(score(keyed, models, text, lang, list(dict.fromkeys([*kept, lang, of_a, of_b]))), "quality-scored")
     name = {c: unused_name(source, c) for c in ("n_words", "n_repeat_words", "bits", "base_failed", "kept")}
     limits = bands(scored, lang, name["bits"], reach, least)
     of_lang, low, high = (unused_name(scored, c) for c in limits.columns)
@@ -312,9 +338,12 @@ def judge(
     )
     # one row for each language that has a model, and the models were broadcast before
     known = scored.join(F.broadcast(limits), F.coalesce(F.col(lang), F.lit("")) == F.col(of_lang), "left")
-    fits = F.coalesce(F.col(name["bits"]).between(F.col(low), F.col(high)), F.lit(True))
+    key_a, key_b, odd = (unused_name(known, c) for c in ("key_a", "key_b", "odd"))
+    surprising = surprising.toDF(key_a, key_b).withColumn(odd, F.lit(True))
+    known = known.join(surprising, (F.col(of_a) == F.col(key_a)) & (F.col(of_b) == F.col(key_b)), "left")
+    fits = F.coalesce(F.col(name["bits"]).between(F.col(low), F.col(high)), F.lit(True)) & F.col(odd).isNull()
     out = known.withColumn(name["base_failed"], failed).withColumn(name["kept"], ~failed & fits)
-    dropped = [of_lang, low, high] + ([lang] if lang not in kept else [])
+    dropped = [of_lang, low, high, of_a, of_b, key_a, key_b, odd] + ([lang] if lang not in kept else [])
     return out.select(*[f"`{c}`" for c in out.columns if c not in dropped])
 
 
