@@ -279,3 +279,14 @@ def test_words_in_no_order_are_noise(docs, letters):
         mixed.append((1000 + i, " ".join(own), "xx", "a"))
     got = {r["doc_id"]: r["kept"] for r in quality.judge(docs(good + mixed), max_repeat_percent=100).collect()}
     assert all(got[i] for i, *_ in good) and not any(got[i] for i, *_ in mixed)
+
+
+def test_copies_of_noise_do_not_vouch_for_it(docs):
+    rng = random.Random(8)
+    rows = [(i, sentence(i, rng.randint(20, 200)), "en", "a") for i in range(150)]
+    copies = []
+    for times in (2, 5, 20):
+        noise = " ".join("".join(chr(rng.randint(33, 126)) for _ in range(7)) for _ in range(60))
+        copies += [(1000 * times + i, noise, "en", "a") for i in range(times)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs(rows + copies)).collect()}
+    assert all(got[i] for i, *_ in rows) and not any(got[i] for i, *_ in copies)

@@ -1,7 +1,7 @@
 """Quality rules: surface counts, perplexity bands of a character n-gram model, and a limit by a word n-gram model.
 
 The character model is modified Kneser-Ney over three characters, one for each language. Spark counts the n-grams of all
-documents; probabilities are kept in sorted arrays of packed n-grams that tasks search. Characters fall in 128
+different texts; probabilities are kept in sorted arrays of packed n-grams that tasks search. Characters fall in 128
 classes, so a language has at most 128**3 n-grams. What characters do not show, such as the order of words or texts in
 other scripts, is left to the word model of ``wordmodel``, which grows with the documents and is looked up by shuffles.
 """
@@ -313,15 +313,15 @@ def judge(
 
     ``base_failed``: fewer than ``min_words`` words, or over ``max_repeat_percent`` percent of the words in 5-word
     windows that come twice or more. Otherwise a document is kept if its bits per character (log2 of its perplexity)
-    lie within the band of its language and its words are not beyond the limit of ``surprising_texts``. The word model
-    counts a text once, however many copies there are. Null texts count as empty, null languages as one language of their own, null ids
+    lie within the band of its language and its words are not beyond the limit of ``surprising_texts``. Both models count
+    a text once, however many copies there are: copied noise does not vouch for itself. Null texts count as empty, null languages as one language of their own, null ids
     and repeated rows stay as they are. New columns whose names are taken get underscores in front.
     """
     spark = docs.sparkSession
     kept = keep or [doc_id]
     source = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, doc_id, text, lang])])
     texts, ranges = wordmodel.texts_by_block(source, text, lang)
-    models = train(source, text, lang)
+    models = train(wordmodel.distinct_texts(texts), "text", "lang")
     release(spark)
     surprising = stored(surprising_texts(texts, ranges, reach), "quality-surprising")
     release(spark)

@@ -117,6 +117,16 @@ def different(table: pa.Table) -> list[tuple[int, int, str, str]]:
     return sorted(set(zip(*columns)))
 
 
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    """``lang, text``: every text once for each language."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = different(table)
+        return pa.table({"lang": pa.array([r[2] for r in rows]), "text": pa.array([r[3] for r in rows])})
+
+    return texts.groupBy("block").applyInArrow(run, "lang string, text string")
+
+
 def text_key(lang: Column, text: Column) -> tuple[Column, Column]:
     """128 bits that stand for a text of a language."""
     return F.xxhash64(lang, text), F.xxhash64(F.lit(1), text, lang)
