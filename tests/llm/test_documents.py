@@ -172,6 +172,46 @@ def test_plan_against_brute_force_and_bound():
     assert planned([20] * 5, 20) == 5
 
 
+def one_by_one(lengths, capacity):
+    """Best-fit decreasing, piece by piece."""
+    spaces = []
+    for length in sorted(lengths, reverse=True):
+        fits = [s for s in spaces if s >= length]
+        if fits:
+            spaces.remove(min(fits))
+        spaces.append((min(fits) if fits else capacity) - length)
+    return sorted(spaces)
+
+
+def test_bulk_best_fit_against_one_by_one():
+    rng = random.Random(5)
+    for _ in range(300):
+        capacity = rng.choice([5, 20, 50])
+        lengths = rng.choices(rng.sample(range(1, capacity + 1), rng.randint(1, min(capacity, 8))), k=rng.randint(0, 60))
+        plan = packing.best_fit(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+        assert sorted(capacity - sum(config) for config, n in plan for _ in range(n)) == one_by_one(lengths, capacity)
+        assert sorted(x for config, n in plan for x in config * n) == sorted(lengths)
+
+
+def test_plan_of_hot_lengths_is_in_bulk():
+    rng = np.random.default_rng(3)
+    hot = np.zeros(2049, np.int64)
+    hot[1:2049] = rng.integers(0, 2000, 2048)
+    hot[1400] = 50_000_000
+    middle = np.zeros(2049, np.int64)
+    middle[1030:1900] = rng.integers(50_000, 100_000, 870)
+    for counts in (hot, middle):
+        plan = packing.plan_sequences(counts, 2048)
+        held = np.zeros(2049, np.int64)
+        for config, n in plan:
+            assert sum(config) <= 2048 and n > 0
+            np.add.at(held, list(config), n)
+        assert (held == counts).all() and len(plan) < 20_000
+        # no two of the long pieces fit one sequence
+        assert sum(n for _, n in plan) >= counts[1025:].sum()
+    assert sum(n for _, n in plan) == middle.sum()
+
+
 def test_pack_places_every_piece(docs, nasty):
     df = docs(nasty, clashing=True)
     plain = Tokenizer.from_file(PATH)

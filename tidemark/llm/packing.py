@@ -152,25 +152,45 @@ def fractional_cover(counts: np.ndarray, capacity: int, step: float = 0.5, at_on
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
-    """Longest pieces first, each into the fullest sequence it fits; equal sequences are listed once."""
-    by_space: dict[int, list[list[int]]] = {}
-    spaces = np.zeros(capacity + 1, np.int64)
+    """Longest pieces first, each into the fullest sequence it fits; equal sequences are listed once.
+
+    Pieces of a length go into equal sequences together. A length adds at most three kinds of sequences, so the work
+    depends on the number of lengths and not on the number of pieces.
+    """
+    by_space: dict[int, dict[tuple, int]] = {}
+    spaces = np.zeros(capacity + 1, bool)
+
+    def put(space: int, content: tuple, n: int) -> None:
+        if n:
+            same = by_space.setdefault(space, {})
+            same[content] = same.get(content, 0) + n
+            spaces[space] = True
+
     for length in np.flatnonzero(counts)[::-1].tolist():
-        for _ in range(int(counts[length])):
-            fits = np.flatnonzero(spaces[length:])
-            if len(fits):
-                space = int(fits[0]) + length
-                content = by_space[space].pop()
-                spaces[space] -= 1
+        left = int(counts[length])
+        while left:
+            at = int(spaces[length:].argmax()) + length
+            if spaces[at]:
+                space = at
+                content, n = by_space[space].popitem()
+                if not by_space[space]:
+                    spaces[space] = False
             else:
-                space, content = capacity, []
-            content.append(length)
-            by_space.setdefault(space - length, []).append(content)
-            spaces[space - length] += 1
+                space, content, n = capacity, (), left
+            # the fullest sequence stays the fullest one until no piece of this length fits any more
+            each = space // length
+            full = min(n, left // each)
+            put(space - each * length, content + (length,) * each, full)
+            left -= full * each
+            if full < n:
+                put(space - left * length, content + (length,) * left, 1 if left else 0)
+                if content:
+                    put(space, content, n - full - (left > 0))
+                left = 0
     found: dict[tuple, int] = {}
     for contents in by_space.values():
-        for content in contents:
-            found[tuple(content)] = found.get(tuple(content), 0) + 1
+        for content, n in contents.items():
+            found[content] = found.get(content, 0) + n
     return list(found.items())
 
 
@@ -194,7 +214,7 @@ def plan_sequences(counts: np.ndarray, capacity: int, few: int = 20_000, rounds:
         for config, amount in sorted(fractional_cover(rest, capacity), key=lambda x: (-sum(x[0]), x[0])):
             kinds, times = np.unique(config, return_counts=True)
             n = min(int(amount + 1e-6), int((rest[kinds] // times).min()))
-            # a configuration that leaves much space waits for the best fit
+            # a configuration that leaves much space waits for the best fit, which places equal pieces together
             if n and sum(config) >= 0.995 * capacity:
                 rest[kinds] -= times * n
                 whole.append((config, n))
