@@ -131,6 +131,18 @@ def test_tokenizer_gives_the_ids_of_the_vocabulary():
         assert own.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_of_the_file(docs):
+    """Against the file loaded as it is."""
+    plain = Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    pieces = ["a", " ", "  ", "\n", "Hello", "<|endoftext|>", "<|endof", "text|>", "é", "1", "<|endoftext|>"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> ", *("".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(300))]
+    got = packing.pack(docs([(i, t, "en", "a") for i, t in enumerate(texts)]), PATH, with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {
+        i: [*plain.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)
+    }
+
+
 def brute_fewest(lengths, capacity):
     """Fewest sequences of a handful of pieces, by trying every place."""
     best = len(lengths)

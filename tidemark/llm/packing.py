@@ -30,13 +30,21 @@ CACHED = 200_000
 
 
 class Tokenizer:
-    """Ids of a byte-level BPE vocabulary file; special tokens in texts are ordinary text.
+    """Ids of a byte-level BPE vocabulary file.
 
-    Texts are cut before single spaces, where tokens never reach across, and the ids of each part are kept.
+    ``encode`` finds the added tokens of the file in a text, as ``tokenizers`` does with the file as it is; in ``ids`` they are
+    ordinary text. Texts are cut before single spaces, where tokens never reach across, and the ids of each part are kept.
     """
 
     def __init__(self, vocabulary: str) -> None:
-        tokens = json.loads(vocabulary)["model"]["vocab"]
+        file = json.loads(vocabulary)
+        tokens = file["model"]["vocab"]
+        self.added = {token["content"]: token["id"] for token in file.get("added_tokens") or []}
+        flags = ("single_word", "lstrip", "rstrip", "normalized")
+        if any(token.get(flag) for token in file.get("added_tokens") or [] for flag in flags) or file.get("normalizer"):
+            raise ValueError("added tokens with conditions and normalizers are not supported")
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.added_token = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         hidden = [b for b in range(256) if b not in set(SHOWN_BYTES)]
         byte_of = {chr(b): b for b in SHOWN_BYTES} | {chr(256 + i): b for i, b in enumerate(hidden)}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in tokens.items() if all(c in byte_of for c in token)}
@@ -45,8 +53,16 @@ class Tokenizer:
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.parts: dict[str, bytes] = {}
 
+    def encode(self, text: str) -> np.ndarray:
+        """Unsigned 32-bit ids; the parts between added tokens are texts of their own."""
+        parts = self.added_token.split(text) if self.added_token else [text]
+        if len(parts) == 1:
+            return self.ids(text)
+        found = [np.array([self.added[p]], "<u4") if i % 2 else self.ids(p) for i, p in enumerate(parts) if i % 2 or p]
+        return np.concatenate(found)
+
     def ids(self, text: str) -> np.ndarray:
-        """Unsigned 32-bit ids."""
+        """Unsigned 32-bit ids of ordinary text."""
         if BETWEEN_SPACES.search(text):
             return np.array(self.encoding.encode_ordinary(text), dtype="<u4")
         first, *rest = text.split(" ")
@@ -78,7 +94,7 @@ def cut_documents(
     def run(doc_ids: list, texts: list) -> Iterator[tuple]:
         tokenizer = _tokenizer(vocabulary.value)
         for i, t in zip(doc_ids, texts):
-            ids = np.append(tokenizer.ids(t or ""), np.uint32(end_id)).astype("<u4")
+            ids = np.append(tokenizer.encode(t or ""), np.uint32(end_id)).astype("<u4")
             first = len(ids) % capacity or capacity
             cuts = [0, *range(first, len(ids) + 1, capacity)]
             for piece, (start, end) in enumerate(zip(cuts, cuts[1:])):
