@@ -110,6 +110,31 @@ def test_contexts_find_unseen_identifiers(docs, nasty):
     assert pii.find(docs([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "shape",
+    ["Email: {}", "{} is my address", "Contact address\n\n  {}\nthanks", "Contact:\n{}", "word{n} email: {} word{n}", "say{n} {} replied"],
+)
+def test_contexts_of_labels_and_words_behind(docs, shape):
+    def text(n, value):
+        return f"{sentence(n, 12)}\n" + shape.replace("{n}", "abcdefghijkl"[n]).replace("{}", value)
+
+    rows = [(i, text(i, f"user{i}@site{i}.example.org"), "en", "a") for i in range(8)]
+    rows += [(9, text(9, "user9_at_home_dot_org"), "en", "a"), (10, f"{sentence(3, 9)}\nsee version9.beta there", "en", "a")]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs(rows)).collect()}
+    assert got[9] == text(9, "<id>") and got[10] == rows[-1][1]
+
+
+def test_contexts_settle_after_many_hops(spark):
+    """Two patterns on each level stand beside six instances of it and three of the next one."""
+    rows = []
+    for level in range(8):
+        for p in range(2):
+            rows += [(f"{level}{p}", f"{level}-{i}", level == 0) for i in range(6)]
+            rows += [(f"{level}{p}", f"{level + 1}-{3 * p + i}", False) for i in range(3)]
+    uses = spark.createDataFrame(rows, "pattern string, instance string, known boolean")
+    assert {r["pattern"] for r in pii.score_patterns(uses).collect()} == {f"{n}{p}" for n in range(8) for p in range(2)}
+
+
 def test_spans_of_a_whole_long_text(docs):
     text = "word " * 200_000 + "mail a@b.co"
     (row,) = pii.find(docs([(1, text)]), keep=["doc_id"]).collect()

@@ -1,7 +1,7 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
-Base entities are the seeds. The words before a seed form lexical patterns; Spark scores patterns by how many of the
-instances they stand before are known, takes the instances of good patterns in, and repeats. Instances of patterns that
+Base entities are the seeds. One and two words on either side of a seed form lexical patterns; Spark scores patterns by how
+many of the instances they stand beside are known, takes the instances of good patterns in, and repeats until none is added. Instances of patterns that
 end up with high confidence become spans of kind ``id``.
 """
 
@@ -76,24 +76,56 @@ def _shape(instance: str) -> str:
     return re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", instance))[:32]
 
 
-def _pattern(text: str, start: int, words: int = 2) -> str | None:
-    """The last ``words`` words before ``start``, in lower case, up to ``REACH`` characters back; digits count alike."""
-    before = text[max(0, start - REACH) : start].split("\n")[-1].lower()
-    found = WORD.findall(before)
-    if len(found) < words:
-        return None
-    return re.sub(r"[0-9]+", "0", " ".join(found[-words:]))
+def _words_before(text: str, start: int) -> tuple[str, list[str]]:
+    """``""`` and the words before ``start`` on its line, or ``"/"`` and those of the line above if there are none.
+
+    Up to ``REACH`` characters are read; ``^`` stands for the beginning of the line.
+    """
+    for above in ("", "/"):
+        low = max(0, start - REACH)
+        line = text.rfind("\n", low, start) + 1
+        words = WORD.findall(text[line or low : start])
+        if line or not low:
+            words = ["^", *words]
+        elif words and not text[low - 1].isspace() and not text[low].isspace():
+            words = words[1:]  # cut in the middle
+        if len(words) > 1 or words != ["^"] or not line:
+            return above, words
+        # the label may stand on the line above, behind empty lines
+        start = len(text[max(0, line - 1 - REACH) : line - 1].rstrip()) + max(0, line - 1 - REACH)
+    return "/", words
+
+
+def _words_after(text: str, end: int) -> list[str]:
+    """The words behind ``end`` on its line, up to ``REACH`` characters on; ``$`` stands for the end of the line."""
+    high = min(len(text), end + REACH)
+    line = text.find("\n", end, high)
+    words = WORD.findall(text[end : line if line >= 0 else high])
+    if line >= 0 or high == len(text):
+        return [*words, "$"]
+    return words[:-1] if words and not text[high - 1].isspace() and not text[high].isspace() else words
+
+
+def _patterns(text: str, start: int, end: int) -> list[str]:
+    """Patterns of one and two words on either side, in lower case, digits alike; at least one is a word of the text."""
+    above, before = _words_before(text, start)
+    after = _words_after(text, end)
+    sides = [(above + "<", before[-n:], n) for n in (1, 2)] + [(">", after[:n], n) for n in (1, 2)]
+    return [
+        f"{side} " + re.sub(r"[0-9]+", "0", " ".join(words).lower())
+        for side, words, n in sides
+        if len(words) == n and any(word not in ("^", "$") for word in words)
+    ]
 
 
 def occurrences(text: str | None) -> tuple[list[dict], list[dict]]:
-    """Base spans, and every candidate instance with its pattern; ``known`` marks the seeds."""
+    """Base spans, and every candidate instance with each of its patterns; ``known`` marks the seeds."""
     text = text or ""
     base = base_spans(text)
     spans = [{"kind": k, "start": s, "end": e} for k, s, e in base]
     context = []
     for _, s, e in base:
-        pattern = _pattern(text, s)
-        if pattern:
+        for pattern in _patterns(text, s, e):
             context.append({"pattern": pattern, "instance": text[s:e], "start": s, "end": e, "known": True})
     # longest end so far of the spans that begin at or before a place
     taken = sorted((s, e) for _, s, e in base)
@@ -104,8 +136,7 @@ def occurrences(text: str | None) -> tuple[list[dict], list[dict]]:
         i = bisect_right(starts, m.end() - 1)
         if i and ends[i - 1] > m.start():
             continue
-        pattern = _pattern(text, m.start())
-        if pattern:
+        for pattern in _patterns(text, m.start(), m.end()):
             context.append(
                 {"pattern": pattern, "instance": m[0], "start": m.start(), "end": m.end(), "known": False}
             )
@@ -113,16 +144,17 @@ def occurrences(text: str | None) -> tuple[list[dict], list[dict]]:
 
 
 def score_patterns(
-    uses: DataFrame, rounds: int = 3, min_known: int = 3, confidence: float = 0.6
+    uses: DataFrame, rounds: int | None = None, min_known: int = 3, confidence: float = 0.6
 ) -> DataFrame:
     """``pattern`` of high confidence, from the graph ``pattern, instance, known``.
 
     A round counts for each pattern the different instances and how many are known; a pattern is good if at least
-    ``min_known`` are known and they make up ``confidence`` of all, and its instances are known in the next round. Counts
-    are aggregated in every task before they meet, so a pattern or instance may stand in any share of the documents.
+    ``min_known`` are known and they make up ``confidence`` of all, and its instances are known in the next round. It ends
+    when a round adds no instance (or after ``rounds``); what is known only grows, so that comes. Counts are aggregated in every task before they meet, so a pattern or instance may stand in any share of the documents.
     """
     graph = stored(uses.groupBy("pattern", "instance").agg(F.max("known").alias("known")), "pii-graph")
-    for _ in range(rounds):
+    n_known, done = graph.where("known").count(), 0
+    while rounds is None or done < rounds:
         good = (
             graph.groupBy("pattern")
             .agg(F.count("*").alias("n"), F.sum(F.col("known").cast("long")).alias("n_known"))
@@ -136,6 +168,9 @@ def score_patterns(
             ),
             "pii-graph",
         )
+        before, n_known, done = n_known, graph.where("known").count(), done + 1
+        if n_known == before:
+            break
     return (
         graph.groupBy("pattern")
         .agg(F.count("*").alias("n"), F.sum(F.col("known").cast("long")).alias("n_known"))
