@@ -305,6 +305,27 @@ def test_main_text_of_pages(body):
     assert html.main_text(page(body)) == TEXT
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<nav>Home</nav><div class='elementor-widget-container'>{ARTICLE}</div><div class=sidebar>{sentence(2, 30)}</div>",
+        f"<div class=page>" + "".join(f"<div class='widget-container'>{p}</p></div>" for p in ARTICLE.split("</p>")[:-1]) + "</div>",
+        f"<div class=commentary>{ARTICLE}</div><div class=comments><p>{sentence(8, 80)}</p></div>",
+        f"<article>{ARTICLE}<div class='share'><a href=x>Share</a></div><div class=related><a href=y>{sentence(3, 9)}</a></div></article>",
+        f"<div id=overlay><div class='toc'><a href=a>One</a></div><section class=comments-on>{ARTICLE}</section></div>",
+    ],
+)
+def test_names_alone_do_not_drop_text(body):
+    assert html.main_text(page(body)) == TEXT
+
+
+def test_headline_formulas_and_short_pages_stay():
+    headed = page(f"<article><div class='post-header'><h1>The headline</h1></div>{ARTICLE}</article>")
+    assert html.main_text(headed) == "The headline\n" + TEXT
+    assert html.main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == "so x=1 holds"
+    assert html.main_text(page("<div class=comments><p>The only text of this page.</p></div>")) == "The only text of this page."
+
+
 def test_blocks_references_and_white_space():
     text = "<article><h1>A &amp; B</h1><p>one<br>two \n\t <b>three</b>four &lt;p&gt; &eacute;&#33;<p>x < y, z > 1<ul><li>i<li>j</ul></article>"
     assert html.main_text(text) == "A & B\none two threefour <p> é!\nx < y, z > 1\ni\nj"

@@ -1,7 +1,8 @@
 """Main text of web pages by scoring the tree.
 
 Paragraphs pass points for their length and commas on to their ancestors, discounted by link density; the best container
-and siblings like it are kept. Menus, adverts, forms and the like are left out by element and by class before that.
+and siblings like it are kept. Menus, forms and the like are left out by element before that, and by class or id if their text
+fails as well.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ PARAGRAPH_LIKE = frozenset("p pre blockquote li td dd dt h1 h2 h3 h4 h5 h6 figca
 CONTENT = frozenset(("article", "main"))
 
 UNWANTED = frozenset(
-    "nav aside footer form dialog menu button select option object canvas svg math template head search audio video"
+    "nav aside footer form dialog menu button select option object canvas svg template head search audio video"
     " fieldset datalist map".split()
 ) | RAW
 UNWANTED_NAMES = frozenset(
@@ -48,6 +49,11 @@ UNWANTED_NAMES = frozenset(
     " comment comments disqus reply replies respond pagination pager toolbar widget copyright disclaimer skip hidden"
     " toc".split()
 )
+# names of layout as much as of clutter: a block so named stays if it reads like text
+LAYOUT_NAMES = frozenset(
+    "widget header masthead banner rail overlay modal popup notice notices alert hidden skip toc toolbar share sharing".split()
+)
+NOT_UNWANTED_STARTS = ("commentar", "commentat")
 UNWANTED_STARTS = ("comment", "advert", "sponsor", "breadcrumb", "sidebar", "newsletter")
 # classes such as "has-sidebar" say what stands beside an element, not what it is
 BESIDE = ("has", "no", "with", "without", "is", "not")
@@ -72,6 +78,7 @@ class _Node:
     unwanted: bool
     link: bool
     content: bool
+    named: int = 0  # 1: its class or id is a name of layout, 2: of clutter
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
@@ -83,33 +90,43 @@ class _Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # owner, text, characters in links
 
 
-def _unwanted(tag: str, attributes: str, in_content: bool) -> bool:
-    if tag in UNWANTED:
-        return True
-    if tag == "header" and not in_content:
-        return True
+def _named(word: str) -> int:
+    """What a class or id says of its element, see ``_Node.named``."""
+    parts = [part.lower() for part in NAME_PART.findall(word)]
+    if parts and parts[0] in BESIDE:
+        return 0
+    found = [
+        part for part in parts
+        if part in UNWANTED_NAMES or part.startswith(UNWANTED_STARTS) and not part.startswith(NOT_UNWANTED_STARTS)
+    ]
+    return 0 if not found else 1 if all(part in LAYOUT_NAMES for part in found) else 2
+
+
+def _unwanted(tag: str, attributes: str, in_content: bool) -> tuple[bool, int]:
+    """Whether an element is left out whatever it holds, and what its names say."""
+    if tag in UNWANTED or tag == "header" and not in_content:
+        return True, 0
     if not attributes or tag in ("html", "body", *CONTENT):
-        return False
+        return False, 0
+    named = 0
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            for word in value.split():
-                parts = [part.lower() for part in NAME_PART.findall(word)]
-                if parts and parts[0] in BESIDE:
-                    continue
-                if any(part in UNWANTED_NAMES or part.startswith(UNWANTED_STARTS) for part in parts):
-                    return True
+            named = max([named, *map(_named, value.split())])
         elif name == "role" and value.lower() in UNWANTED_ROLES:
-            return True
+            return True, 0
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, 0
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return True, 0
+    return False, named
 
 
-def parse(html: str) -> _Page:
-    """The elements in page order and the text blocks outside unwanted elements; tags that do not fit are put up with."""
+def parse(html: str, by_name: bool = True) -> _Page:
+    """The elements in page order and the text blocks outside unwanted elements; tags that do not fit are put up with.
+
+    Blocks are not left out for their class or id here, but inline elements are, unless ``by_name`` is false.
+    """
     page = _Page([_Node("html", -1, False, False, False)])
     nodes, stack = page.nodes, [0]
     buffer: list[tuple[str, bool]] = []
@@ -197,8 +214,11 @@ def parse(html: str) -> _Page:
             flush()
         top = nodes[stack[-1]]
         content = top.content or tag in CONTENT
+        unwanted, named = _unwanted(tag, attributes, top.content)
+        if named and by_name and tag not in BLOCKS:
+            unwanted = True
         nodes.append(
-            _Node(tag, stack[-1], top.unwanted or _unwanted(tag, attributes, top.content), top.link or tag == "a", content)
+            _Node(tag, stack[-1], top.unwanted or unwanted, top.link or tag == "a", content, named if by_name else 0)
         )
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*(?:/?\s*)>", re.IGNORECASE).search(html, at)
@@ -210,15 +230,65 @@ def parse(html: str) -> _Page:
     return page
 
 
+def _points(text: str, linked: int) -> float:
+    return (len(COMMAS.findall(text)) + min(len(text) / 100, 3) + (len(text) >= 25)) * (1 - linked / len(text))
+
+
+def _wanted_blocks(page: _Page) -> list[tuple[int, str, int]]:
+    """The blocks outside elements that both their names and their text speak against.
+
+    An element stays if it has most of the page's points; one with a name of layout also if it holds the headline, or a text
+    of some length with commas and few links.
+    """
+    nodes = page.nodes
+    if not any(node.named for node in nodes):
+        return page.blocks
+    points, chars, links, commas, headline = ([0] * len(nodes) for _ in range(5))
+    total = 0.0
+    for owner, text, linked in page.blocks:
+        own = _points(text, linked)
+        total += own
+        at, level_one = owner, nodes[owner].tag == "h1"
+        while at >= 0:
+            points[at] += own
+            chars[at] += len(text)
+            links[at] += linked
+            commas[at] += len(COMMAS.findall(text))
+            headline[at] += level_one
+            at = nodes[at].parent
+    gone = [False] * len(nodes)
+    for n, node in enumerate(nodes):
+        if node.named and chars[n]:
+            few_links = links[n] < 0.3 * chars[n]
+            reads = few_links and (headline[n] or chars[n] >= 140 and commas[n] >= 1 + chars[n] // 1000)
+            stays = few_links and points[n] > total / 2 or node.named == 1 and reads
+            gone[n] = not stays
+        gone[n] = gone[n] or node.parent >= 0 and gone[node.parent]
+    return [block for block in page.blocks if not gone[block[0]]]
+
+
 def main_text(html: str | None) -> str:
-    """The blocks of the best container and its like siblings, one per line."""
+    """The blocks of the best container and its like siblings, one per line.
+
+    If leaving out by names leaves next to nothing of the page's text, names do not count.
+    """
     page = parse(html or "")
+    text = _best_text(page, _wanted_blocks(page))
+    if len(text) < 200 and any(node.named for node in page.nodes):
+        plain = parse(html or "", by_name=False)
+        whole = _best_text(plain, plain.blocks)
+        if 4 * len(text) < len(whole):
+            return whole
+    return text
+
+
+def _best_text(page: _Page, blocks: list[tuple[int, str, int]]) -> str:
     nodes = page.nodes
-    if not page.blocks:
+    if not blocks:
         return ""
-    for owner, text, linked in page.blocks:
+    for owner, text, linked in blocks:
         own = nodes[owner]
-        points = (len(COMMAS.findall(text)) + min(len(text) / 100, 3) + (len(text) >= 25)) * (1 - linked / len(text))
+        points = _points(text, linked)
         # a paragraph's points go to its container, then to those above, less with every level
         at, level = (own.parent, 1) if own.tag in PARAGRAPH_LIKE and own.parent >= 0 else (owner, 1)
         while at >= 0:
@@ -250,7 +320,7 @@ def main_text(html: str | None) -> str:
     inside = [False] * len(nodes)
     for n, node in enumerate(nodes):
         inside[n] = n in kept or node.parent >= 0 and inside[node.parent]
-    return "\n".join(text for owner, text, _ in page.blocks if inside[owner])
+    return "\n".join(text for owner, text, _ in blocks if inside[owner])
 
 
 def _ancestors(nodes: list[_Node], n: int) -> Iterator[int]:
