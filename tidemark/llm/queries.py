@@ -1,11 +1,11 @@
-"""Registered queries of the ten operators, each over its whole table, and the SQL they are compared with."""
+"""Registered queries of the operators, each over its whole table, and the SQL they are compared with."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, html, mixing, packing, passages, pii, quality, simhash, suffixes, topk
+from tidemark.llm import alignment, chat, html, linededup, mixing, negatives, packing, passages, pii, quality, simhash, suffixes, topk
 
 MODULUS = 20
 
@@ -144,6 +144,68 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the five nearest rows of its label of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_read(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0, share=80, scale=256.0)
+
+
+OP11_SQL = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT * FROM given QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, e) = 1
+), scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+    CAST(list_inner_product(a.e, o.e) AS BIGINT) AS score
+  FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id AND len(a.e) = len(o.e)
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under two vocabularies, aligned, with the corpus counts of their links."""
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_read(spark, sf_dir, "documents"), *paths, keep=["doc_id"]).documents
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of 40 code points that five documents hold, but in the last of them."""
+    left = linededup.remove_repeated(_read(spark, sf_dir, "documents"), min_chars=40, min_docs=5, keep=["doc_id"])
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, number, lines[number] AS line, translate(trim(lines[number], chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS number
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), frequent AS (
+  SELECT key, max(doc_id) AS holder FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT l.doc_id, number, line, holder IS NOT NULL AND l.doc_id < holder AS dropped
+  FROM lines l LEFT JOIN frequent f ON l.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
@@ -155,9 +217,14 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_passages": op10_passages,
+    "op11_negatives": op11_negatives,
+    "op12_alignment": op12_alignment,
+    "op13_lines": op13_lines,
 }
 
 ORACLE_SQL = {
     "op2_topk": OP2_SQL,
     "op3_chat": OP3_SQL,
+    "op11_negatives": OP11_SQL,
+    "op13_lines": OP13_SQL,
 }
