@@ -9,19 +9,17 @@ the blocks, and the measures of a text to all documents that have it.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, compress, islice, pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tokenizers
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -29,9 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import release, stored, unused_name
+from tidemark.llm.packing import Tokenizer
 
-# fixed values of byte-level vocabularies: the bytes that stand for themselves; the others follow from U+0100 on
-SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: No token of either kind reaches across a place where a blank or a line feed follows what is no white space.
 CHUNK = re.compile(r"\s*+\S++(?:[^\S \n]\s*+\S++)*+(?:[^\S \n]\s*+\Z)?+|\s++\Z")
 #: A block ends with this many chunks, different chunks, characters of these, or texts.
@@ -52,21 +49,31 @@ class Aligned(NamedTuple):
     pairs: DataFrame
 
 
+class ByteLevel(Tokenizer):
+    """A byte-level BPE file whose special tokens are plain text in texts."""
+
+    def bytes_of_ids(self) -> list[bytes]:
+        found = [b""] * (max([self.encoding.max_token_value, *self.added.values()]) + 1)
+        for token in self.encoding.token_byte_values():
+            found[self.encoding.encode_single_token(token)] = token
+        return found
+
+
 class Tokenizers:
     """Both vocabularies: A is byte-level BPE, B has pieces with U+2581 for a blank."""
 
     def __init__(self, a_file: str, b_file: bytes) -> None:
-        self.a = tokenizers.Tokenizer.from_str(a_file)
-        self.a.encode_special_tokens = True
-        hidden = [b for b in range(256) if b not in set(SHOWN_BYTES)]
-        byte_of = {chr(b): b for b in SHOWN_BYTES} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        shown = json.loads(a_file)["model"]["vocab"]
-        self.a_bytes = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in shown.items()}
+        self.a = ByteLevel(a_file)
+        self.a_bytes = self.a.bytes_of_ids()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.lengths = [np.array([len(t) for t in tokens], np.int64) for tokens in (self.a_bytes, self.b_bytes)]
+        # ids with what may stand behind them: the end of a chunk, a token of the same side, of the other, a group
+        ids = range(max(len(self.a_bytes), len(pieces)))
+        self.shown = np.array([[f"{i}{mark}" for i in ids] for mark in ("", ",", "|", ";")], object)
         self.blank = self.b.piece_to_id("▁")
         # texts may be cut only if no piece reaches across
         self.in_chunks = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
@@ -74,35 +81,41 @@ class Tokenizers:
     def chunks(self, text: str) -> list[str]:
         return CHUNK.findall(" " + text) if self.in_chunks else [" " + text]
 
-    def encode(self, chunks: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B for each chunk, which begins with a blank or a line feed."""
-        a = self.a.encode_batch(chunks, add_special_tokens=False)
+        a = [self.a.encoding.encode_ordinary(c) for c in chunks]
         # B puts a blank before a text: it stands for that of the chunk, or is taken off again
         b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        for chunk, own_a, own_b in zip(chunks, a, b):
-            yield own_a.ids, [self.blank] if chunk == " " else own_b if chunk[0] == " " else own_b[1:]
+        return a, [[self.blank] if c == " " else own if c[0] == " " else own[1:] for c, own in zip(chunks, b)]
 
-    def align(self, chunk: str, a: list[int], b: list[int]) -> tuple[int, str, list[int]] | None:
-        """Number of groups, the groups as text, and the linked pairs; None if the tokens are not those bytes."""
+    def sound(self, chunk: str, a: list[int], b: list[int]) -> bool:
+        """Whether both kinds of tokens are the bytes of the chunk."""
         data = chunk.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
-            return None
-        links, groups = [], []
-        i = j = first_i = first_j = 0
-        end_a, end_b = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            links.append(a[i] << 32 | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                first_i, first_j = i, j
-                if i == len(a):
-                    return len(groups), ";".join(groups), links
-            if step_a:
-                end_a += len(self.a_bytes[a[i]])
-            if step_b:
-                end_b += len(self.b_bytes[b[j]])
+        sides = (a, self.a_bytes), (b, self.b_bytes)
+        return all(b"".join(map(tokens.__getitem__, ids)) == data for ids, tokens in sides)
+
+    def align(self, a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """For sound chunks, one after the other: number of groups, groups as text, number of links; and all links."""
+        flat = [np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b)]
+        ends = [np.cumsum(length[ids]) for length, ids in zip(self.lengths, flat)]
+        n_tokens = [np.fromiter(map(len, ids), np.int64) for ids in (a, b)]
+        chunk_ends = ends[0][np.cumsum(n_tokens[0]) - 1]
+        # a stretch between neighbouring ends lies in one token of each side: a link; common ends cut groups
+        stretches, cuts = np.union1d(*ends), np.intersect1d(*ends)
+        links = flat[0][np.searchsorted(ends[0], stretches)] << 32 | flat[1][np.searchsorted(ends[1], stretches)]
+        group = np.concatenate([np.searchsorted(cuts, own) for own in ends])
+        side = np.repeat([0, 1], [len(own) for own in flat])
+        order = np.lexsort((side, group))  # stable: tokens of a side stay in order
+        group, side, ids = group[order], side[order], np.concatenate(flat)[order]
+        behind = np.zeros(len(ids), np.int64)
+        behind[:-1] = np.where(group[1:] != group[:-1], 3, np.where(side[1:] != side[:-1], 2, 1))
+        last = np.cumsum(n_tokens[0] + n_tokens[1])
+        behind[last - 1] = 0
+        shown = self.shown[behind, ids].tolist()
+        texts = ["".join(shown[i:j]) for i, j in pairwise([0, *last.tolist()])]
+        per_chunk = (np.diff(np.searchsorted(points, chunk_ends, side="right"), prepend=0) for points in (cuts, stretches))
+        n_groups, n_links = per_chunk
+        return n_groups, texts, n_links, links
 
 
 @lru_cache(maxsize=2)
@@ -153,15 +166,20 @@ class Block:
 
     def _align_new(self) -> None:
         new = list(islice(self.number_of, len(self.shown), None))
-        for chunk, (a, b) in zip(new, self.tools.encode(new) if new else ()):
-            found = self.tools.align(chunk, a, b)
-            n_groups, shown, links = found or (0, "", [])
-            for column, size in zip(self.sizes, (len(a), len(b), n_groups, len(links))):
-                column.append(size)
-            self.shown.append(shown)
-            self.links.extend(links)
-            self.sound.append(found is not None)
-            self.n_characters += len(chunk)
+        if not new:
+            return
+        a, b = self.tools.encode(new)
+        sound = np.fromiter(map(self.tools.sound, new, a, b), bool)
+        n_groups, n_links = np.zeros((2, len(new)), np.int64)
+        shown = np.full(len(new), "", object)
+        if sound.any():
+            n_groups[sound], shown[sound], n_links[sound], links = self.tools.align(*(list(compress(x, sound)) for x in (a, b)))
+            self.links.frombytes(links.tobytes())
+        self.sound.extend(sound.tolist())
+        self.shown += shown.tolist()
+        for column, values in zip(self.sizes, (map(len, a), map(len, b), n_groups.tolist(), n_links.tolist())):
+            column.extend(values)
+        self.n_characters += sum(map(len, new))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
         """Different pairs and how often they are linked; the links of a chunk, and each as the number of its pair."""
