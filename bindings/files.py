@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +16,9 @@ from bindings.staging import staging, table, with_staging
 from tidemark.plans import consolidate
 from tidemark.session import working_folder
 from tidemark.sinks import documents, files as sinks
+from tidemark.sinks.versions import Change, Versions
 from tidemark.sources import files as sources
-from tidemark.streaming import arrivals, ingest, requests
+from tidemark.streaming import arrivals, ingest, requests, tails
 
 RUN_DATE = dt.date(2024, 1, 16)
 EPG_ROWS = """
@@ -256,7 +258,35 @@ def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     sinks.write_table(nations, folder, "overwrite")
     sinks.write_table(nations, folder, "append")
-    return spark.read.parquet(folder)
+    return sinks.read_table(spark, folder)
+
+
+@query(
+    "k04_versions",
+    """SELECT o_orderkey, o_orderstatus, CAST(0 AS INTEGER) AS version, TRUE AS failed, FALSE AS added_again FROM orders
+    UNION ALL SELECT o_orderkey, o_orderstatus, 1, TRUE, FALSE FROM orders
+    UNION ALL SELECT o_orderkey, o_orderstatus, 1, TRUE, FALSE FROM orders WHERE o_orderstatus = 'F'""",
+)
+def _table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions of a table after a load, an appended batch, the same batch again and an overwrite that fails."""
+    store = Versions(spark, working_folder(spark, "versioned"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    store.publish({"rows": Change(orders, "overwrite")})
+    finished = orders.where(F.col("o_orderstatus") == "F")
+    store.publish({"rows": Change(finished)}, batch="finished")
+    again = store.publish({"rows": Change(finished)}, batch="finished")
+    # the last row breaks the write after others are on the disk
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    broken = orders.withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("broken row"))).otherwise(F.col("o_orderstatus"))
+    )
+    try:
+        store.publish({"rows": Change(broken, "overwrite")})
+        failed = False
+    except PySparkException:
+        failed = True
+    parts = [store.read(number=n).withColumn("version", F.lit(n)) for n in store.numbers()]
+    return parts[0].unionByName(parts[1]).withColumns({"failed": F.lit(failed), "added_again": F.lit(again)})
 
 
 @query(
@@ -315,13 +345,23 @@ def _epg_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/parquet").withColumn("s3_file", F.left("s3_file", F.lit(5)))
 
 
+def _write_start(spark: SparkSession, source: str, target: str, size: int) -> None:
+    """The first bytes of a file, as a server that is still writing it would leave them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(files.open(path(source)), files.create(path(target), True), size, True)
+
+
 @query("t02_weblog_append", with_staging(["weblog", "ip_blocks"], WEBLOG_SQL))
 def _weblog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, out = _log_folder(spark, sf_dir), working_folder(spark, "weblog-out")
+    """Three runs: over half of the lines, over files that have grown to all of them, and over the same files."""
+    whole, folder, out = _log_folder(spark, sf_dir), working_folder(spark, "growing"), working_folder(spark, "weblog-out")
     blocks = staging(spark, sf_dir, "ip_blocks")
-    for _ in range(2):
-        ingest.append_weblog(spark, folder, blocks, f"{out}/logs", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/logs")
+    for share in (0.5, 1.0, 1.0):
+        for row in tails.listed(spark, whole).collect():
+            _write_start(spark, row.log_file, f"{folder}/site/{row.log_file.rsplit('/', 1)[-1]}", int(row.size * share))
+        ingest.append_weblog(spark, folder, blocks, f"{out}/logs", f"{out}/agents")
+    return ingest.read_weblog_table(spark, f"{out}/logs")
 
 
 @query(

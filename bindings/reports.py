@@ -28,6 +28,13 @@ REQUEST = json.dumps(
 
 # ---------------------------------------------------------------- web log
 
+IN_BLOCK = """
+  CASE WHEN {ip} LIKE '%.%' THEN
+      TRY_CAST(SPLIT_PART({ip}, '.', 1) AS BIGINT) * 16777216 + TRY_CAST(SPLIT_PART({ip}, '.', 2) AS BIGINT) * 65536
+        + TRY_CAST(SPLIT_PART({ip}, '.', 3) AS BIGINT) * 256 + TRY_CAST(SPLIT_PART({ip}, '.', 4) AS BIGINT)
+        BETWEEN TRY_CAST(b.start_ip AS BIGINT) AND TRY_CAST(b.end_ip AS BIGINT)
+    ELSE SPLIT_PART({ip}, ':', 3) = SPLIT_PART(b.start_ip, ':', 3) AND b.start_ip LIKE '2001:db8:%'
+      AND LPAD(SPLIT_PART({ip}, ':', 4), 4, '0') < '8000' END"""
 AGENT_TEXT = "REPLACE(\"UserAgent\", '+', ' ')"
 WEBLOG_SQL = f"""
     SELECT w.*,
@@ -45,11 +52,7 @@ WEBLOG_SQL = f"""
       {AGENT_TEXT} LIKE '%iPhone%' OR {AGENT_TEXT} LIKE '%Android%Mobile%' AS "Is_Mobile",
       COALESCE(b."Country", ' ') AS "Country", COALESCE(b."Region", ' ') AS "Region",
       COALESCE(b."Latitude", ' ') AS "Latitude", COALESCE(b."Longitude", ' ') AS "Longitude"
-    FROM st_weblog w LEFT JOIN st_ip_blocks b
-      ON CAST(SPLIT_PART(w."ClientIP", '.', 1) AS BIGINT) * 16777216
-        + CAST(SPLIT_PART(w."ClientIP", '.', 2) AS BIGINT) * 65536
-        + CAST(SPLIT_PART(w."ClientIP", '.', 3) AS BIGINT) * 256
-        + CAST(SPLIT_PART(w."ClientIP", '.', 4) AS BIGINT) BETWEEN b.start_ip AND b.end_ip
+    FROM st_weblog w LEFT JOIN st_ip_blocks b ON {IN_BLOCK.format(ip='w."ClientIP"')}
     WHERE w."Method" = 'GET' AND TRY_CAST(w."HttpStatus" AS INT) BETWEEN 200 AND 299
       AND TRY_CAST(w."TimeTaken" AS INT) > 0 AND w."ClientIP" <> '-' AND w."Referer" <> '-'
       AND w."UserAgent" NOT LIKE '%bot%' AND w."UriStem" LIKE '%.aspx%'"""
@@ -60,29 +63,36 @@ def _weblog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weblog.enriched_log(staging(spark, sf_dir, "weblog"), staging(spark, sf_dir, "ip_blocks"))
 
 
+J20_FOUR = "(page_id * 7919) % 4294967296 * 7 % 4294967296"
+J20_SIX = """'2001:Db8:' || CAST(page_id % 33 AS STRING) || ':' || CAST(page_id * 7 % 10000 AS STRING) || '::'
+    || CAST(page_id % 1000 AS STRING)"""
+
+
 @query(
     "j20_ip_range_lookup",
     with_staging(
         ["ip_blocks"],
-        """
-        SELECT p.page_id, p.ip, COALESCE(b."Country", ' ') AS "Country", COALESCE(b."Region", ' ') AS "Region",
-          COALESCE(b."Latitude", ' ') AS "Latitude", COALESCE(b."Longitude", ' ') AS "Longitude"
-        FROM (SELECT page_id, (page_id * 7919) % 4294967296 * 7 % 4294967296 AS ip FROM pages) p
-        LEFT JOIN st_ip_blocks b ON p.ip BETWEEN b.start_ip AND b.end_ip""",
+        f"""
+        SELECT p.page_id, p.number AS ip, p.ip AS address, COALESCE(b."Country", ' ') AS "Country",
+          COALESCE(b."Region", ' ') AS "Region", COALESCE(b."Latitude", ' ') AS "Latitude", COALESCE(b."Longitude", ' ') AS "Longitude"
+        FROM (SELECT page_id, n AS number, CAST(n // 16777216 AS VARCHAR) || '.' || CAST(n // 65536 % 256 AS VARCHAR) || '.'
+                || CAST(n // 256 % 256 AS VARCHAR) || '.' || CAST(n % 256 AS VARCHAR) AS ip
+              FROM (SELECT page_id, {J20_FOUR} AS n FROM pages)
+              UNION ALL SELECT page_id, NULL, {J20_SIX.replace("STRING", "VARCHAR")} FROM pages) p
+        LEFT JOIN st_ip_blocks b ON {IN_BLOCK.format(ip="p.ip")}""",
     ),
 )
 def _ip_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places of addresses spread over the whole range, and the way from address text back to its number."""
-    number = F.col("ip")
-    text = F.concat_ws(".", *[((F.shiftright(number, bits)) % 256).cast("string") for bits in (24, 16, 8, 0)])
-    pages = table(spark, sf_dir, "pages").selectExpr(
-        "page_id", "(page_id * 7919) % 4294967296 * 7 % 4294967296 AS ip"
-    )
-    hits = pages.withColumns(
-        {"ClientIP": text, **{c: F.col("page_id") for c in weblog.SPREAD_BY if c != "ClientIP"}}
+    """Places of addresses of both kinds spread over the whole range, and from the text of IPv4 back to the number."""
+    pages = table(spark, sf_dir, "pages")
+    four = pages.select("page_id", F.expr(J20_FOUR).alias("ip"))
+    text = F.concat_ws(".", *[((F.shiftright("ip", bits)) % 256).cast("string") for bits in (24, 16, 8, 0)])
+    hits = four.select("page_id", text.alias("ClientIP")).unionByName(pages.selectExpr("page_id", f"{J20_SIX} AS ClientIP"))
+    spread = hits.withColumns({c: F.col("page_id") for c in weblog.SPREAD_BY if c != "ClientIP"})
+    placed = weblog.with_place(spread, staging(spark, sf_dir, "ip_blocks"))
+    return placed.select(
+        "page_id", network.ip_to_long(F.col("ClientIP")).alias("ip"), F.col("ClientIP").alias("address"), *weblog.PLACE
     )
-    placed = weblog.with_place(hits, staging(spark, sf_dir, "ip_blocks"))
-    return placed.select("page_id", network.ip_to_long(F.col("ClientIP")).alias("ip"), *weblog.PLACE)
 
 
 # ---------------------------------------------------------------- ratings

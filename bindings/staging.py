@@ -290,7 +290,9 @@ STAGING: dict[str, str] = {
           '10.0.0.1' AS "ServerIP", CASE WHEN url LIKE '%utm_source%' THEN 'POST' ELSE 'GET' END AS "Method",
           REGEXP_EXTRACT(url, '://[^/]+(/[^?#]*)', 1) || CASE WHEN url LIKE '%#top' THEN '' ELSE '.aspx' END AS "UriStem",
           CASE WHEN url LIKE '%?%' THEN REGEXP_EXTRACT(url, '[?]([^#]*)', 1) ELSE '-' END AS "UriQuery", '443' AS "Port", '-' AS "UserName",
-          CASE WHEN url LIKE '%spam-farm%' THEN '-' ELSE CAST(page_id % 220 AS STRING) || '.' || CAST(page_id % 256 AS STRING)
+          CASE WHEN url LIKE '%spam-farm%' THEN '-' WHEN page_id % 5 = 2 THEN '2001:DB8:' || CAST(page_id % 40 AS STRING) || ':'
+              || CAST(page_id % 9 * 1111 AS STRING) || '::' || CAST(page_id % 1000 AS STRING)
+            ELSE CAST(page_id % 220 AS STRING) || '.' || CAST(page_id % 256 AS STRING)
             || '.' || CAST(page_id % 50 AS STRING) || '.7' END AS "ClientIP",
           CASE page_id % 9
             WHEN 0 THEN 'Mozilla/5.0+(Windows+NT+10.0;+Win64;+x64)+AppleWebKit/537.36+Chrome/114.0+Safari/537.36'
@@ -306,11 +308,15 @@ STAGING: dict[str, str] = {
           CASE LENGTH(html) % 5 WHEN 0 THEN '404' WHEN 1 THEN '204' WHEN 2 THEN '-' ELSE '200' END AS "HttpStatus",
           '0' AS "Substatus", '0' AS "Win32Status", CAST(LENGTH(html) % 50 AS STRING) AS "TimeTaken"
         FROM pages""",
+    # IPv4 ends as numbers, IPv6 ends as text
     "ip_blocks": """
-        SELECT CAST(n_nationkey * 8 + 1 AS BIGINT) * 16777216 AS start_ip,
-          CAST(n_nationkey * 8 + 5 AS BIGINT) * 16777216 - 1 AS end_ip, n_name AS "Country",
+        SELECT CAST(CAST(n_nationkey * 8 + 1 AS BIGINT) * 16777216 AS STRING) AS start_ip,
+          CAST(CAST(n_nationkey * 8 + 5 AS BIGINT) * 16777216 - 1 AS STRING) AS end_ip, n_name AS "Country",
           'Region, ' || n_name AS "Region", CAST(n_nationkey + 0.5e0 AS STRING) AS "Latitude",
-          CAST(n_nationkey - 30 AS STRING) AS "Longitude" FROM nation""",
+          CAST(n_nationkey - 30 AS STRING) AS "Longitude" FROM nation
+        UNION ALL
+        SELECT '2001:db8:' || CAST(n_nationkey AS STRING) || '::', '2001:db8:' || CAST(n_nationkey AS STRING) || ':7fff:ffff:ffff:ffff:ffff',
+          n_name, 'Net, ' || n_name, CAST(n_nationkey + 0.25e0 AS STRING), CAST(n_nationkey + 30 AS STRING) FROM nation""",
 }
 
 

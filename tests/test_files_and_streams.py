@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans.agents import AgentDictionary
 from tidemark.session import shared_folder, working_folder
 from tidemark.sinks import files as sinks
+from tidemark.sinks.versions import Change, Versions
 from tidemark.sources import files as sources
 from tidemark.sources import jdbc, retry
-from tidemark.streaming import ingest, requests
+from tidemark.streaming import ingest, requests, tails
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -204,3 +206,145 @@ def test_request_delivered_again_is_answered_again(spark, tmp_path, rows):
         requests.answer_requests(spark, str(drop), viewing, str(out / "csv"), str(out / "ledger"), dt.date(2024, 1, day))
     reports = spark.read.options(header="true", sep=";").csv(str(out / "csv"))
     assert rows(reports, "report", "minute") == [("ask_2024-01-06", "1"), ("ask_2024-01-08", "3")]
+
+
+AGENT = "Mozilla/5.0+(iPhone;+CPU)+Safari/604.1"
+
+
+def log_line(n, agent=AGENT, ip="10.0.0.1", status=200):
+    return f"2024-01-01 00:00:{n:02} 10.0.0.1 GET /p{n}.aspx - 443 - {ip} {agent} http://r {status} 0 0 {n + 1}"
+
+
+def test_growing_logs_give_every_line_once(spark, tmp_path):
+    drop, out = tmp_path / "logs" / "day one", str(tmp_path / "out")
+    drop.mkdir(parents=True)
+    blocks = spark.createDataFrame(
+        [("10.0.0.0", "10.0.0.255", "A", "r", "1", "2"), ("2001:db8::", "2001:db8::ffff", "B", "r", "1", "2")],
+        "start_ip string, end_ip string, Country string, Region string, Latitude string, Longitude string",
+    )
+
+    def run():
+        changed = ingest.append_weblog(spark, str(tmp_path / "logs"), blocks, f"{out}/t", f"{out}/agents")
+        table = ingest.read_weblog_table(spark, f"{out}/t")
+        return len(changed), sorted((r["UriStem"], r["Country"], r["Device"]) for r in table.collect()) if table else None
+
+    assert run() == (0, None)
+    one, two = drop / "one.log", drop / "two 100%.log"
+    phone = lambda *numbers: [(f"/p{n}.aspx", "A", "iPhone") for n in numbers]
+    # the last line is not complete yet
+    one.write_text("#Fields: date time\n" + log_line(1) + "\r\n" + log_line(2)[:40])
+    assert run() == (1, phone(1))
+    assert run() == (0, phone(1))
+    one.write_text("#Fields: date time\n" + "".join(log_line(n) + "\r\n" for n in (1, 2, 3)))
+    two.write_text(log_line(4, ip="2001:db8::7") + "\n\n" + log_line(5, status=404) + "\n")
+    assert run() == (2, [*phone(1, 2, 3), ("/p4.aspx", "B", "iPhone")])
+    # equal lines that come again are lines of their own
+    with two.open("a") as file:
+        file.write((log_line(6) + "\n") * 2)
+    assert run() == (1, [*phone(1, 2, 3), ("/p4.aspx", "B", "iPhone"), *phone(6, 6)])
+    # a file that shrank and one that was replaced have their lines replaced
+    one.write_text(log_line(3) + "\n")
+    assert run() == (1, [*phone(3), ("/p4.aspx", "B", "iPhone"), *phone(6, 6)])
+    two.write_text("".join(log_line(n) + "\n" for n in range(10, 40)))
+    assert run()[1] == sorted(phone(*range(10, 40), 3))
+    # an emptied file says nothing until it has a line again
+    two.write_text("")
+    assert run() == (0, sorted(phone(*range(10, 40), 3)))
+    two.write_text(log_line(8) + "\n")
+    assert run() == (1, phone(3, 8))
+
+
+def test_growing_file_of_many_blocks(spark, tmp_path):
+    text = [f"{'é' * (n % 50)} line {n}" for n in range(4000)]
+    path = tmp_path / "a.log"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        ledger, found = None, []
+        for end in (1500, 1501, 4000):
+            path.write_text("".join(line + "\n" for line in text[:end]), newline="")
+            taken = tails.take_lines(spark, str(tmp_path), ledger)
+            found.append([r["value"] for r in taken.lines.collect()])
+            ledger = taken.ledger
+            assert taken.given_up.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [len(f) for f in found] == [1500, 1, 2499] and sorted(sum(found, [])) == sorted(text)
+
+
+def test_failed_log_run_changes_nothing(spark, tmp_path):
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.log").write_text(log_line(1) + "\n")
+    broken = spark.range(1)  # no blocks at all
+    with pytest.raises(Exception):
+        ingest.append_weblog(spark, str(tmp_path / "logs"), broken, str(tmp_path / "t"))
+    assert ingest.read_weblog_table(spark, str(tmp_path / "t")) is None
+
+
+def test_dictionary_classifies_new_agents_only(spark, tmp_path, rows):
+    kept = AgentDictionary(spark, str(tmp_path / "agents"))
+
+    def logs(*agents):
+        return spark.createDataFrame([(a,) for a in agents], "UserAgent string")
+
+    assert kept.read() is None and kept.extend(logs("Windows Edg/1", "Windows Edg/1", None))
+    first = kept.table.manifest()["datasets"]["agents"]
+    assert kept.extend(logs("Windows Edg/1", "Ubuntu Firefox/2")) and not kept.extend(logs("Ubuntu Firefox/2"))
+    folders = kept.table.manifest()["datasets"]["agents"]
+    assert folders[:1] == first and len(folders) == 2
+    added = spark.read.parquet(f"{kept.table.path}/data/{folders[1]}")
+    assert rows(added) == [("Ubuntu Firefox/2", "Ubuntu", "Other", "Firefox", False)]
+    assert rows(kept.read(), "UserAgent", "Browser") == [("Ubuntu Firefox/2", "Firefox"), ("Windows Edg/1", "Edge")]
+
+
+def test_failing_overwrite_leaves_the_old_version(spark, tmp_path):
+    table = Versions(spark, str(tmp_path / "t"))
+    assert table.read() is None
+    table.publish({"rows": Change(spark.range(3))})
+    before = table.read()
+    broken = spark.range(5).select(F.raise_error(F.lit("disk full")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="disk full"):
+        table.publish({"rows": Change(broken, "overwrite")})
+    assert table.read().count() == 3
+    # a reader that has begun keeps its version while another one is published
+    table.publish({"rows": Change(table.read().select((F.col("id") + 10).alias("id")), "overwrite")})
+    assert before.count() == 3 and sorted(r.id for r in table.read().collect()) == [10, 11, 12]
+    assert sorted(r.id for r in table.read(number=0).collect()) == [0, 1, 2]
+
+
+def test_repeated_batch_adds_nothing(spark, tmp_path):
+    table = Versions(spark, str(tmp_path / "t"))
+    assert table.publish({"rows": Change(spark.range(3)), "log": Change(spark.range(1), "overwrite")}, batch="monday")
+    assert not table.publish({"rows": Change(spark.range(3))}, batch="monday")
+    assert table.publish({"rows": Change(spark.range(3, 4))}, batch="tuesday")
+    assert table.read().count() == 4 and table.read("log").count() == 1 and table.numbers() == [0, 1]
+    with pytest.raises(ValueError, match="columns"):
+        table.publish({"rows": Change(spark.range(3).withColumn("more", F.lit(1)))})
+    with pytest.raises(ValueError, match="appended"):
+        table.publish({"rows": Change(spark.range(3), "merge")})
+
+
+def test_two_writers_do_not_lose_each_other(spark, tmp_path, monkeypatch):
+    table, other = Versions(spark, str(tmp_path / "t")), Versions(spark, str(tmp_path / "t"))
+    table.publish({"rows": Change(spark.range(1))})
+    put, waiting = Versions._put, [True]
+
+    def late(self, manifest, number):
+        if self is table and waiting:
+            waiting.clear()
+            other.publish({"rows": Change(spark.range(10, 12))})
+        return put(self, manifest, number)
+
+    monkeypatch.setattr(Versions, "_put", late)
+    assert table.publish({"rows": Change(spark.range(20, 21))})
+    assert sorted(r.id for r in table.read().collect()) == [0, 10, 11, 20] and table.numbers() == [0, 1, 2]
+
+
+def test_compacted_and_expired_table_keeps_its_rows(spark, tmp_path):
+    table = Versions(spark, str(tmp_path / "t"))
+    for n in range(4):
+        table.publish({"rows": Change(spark.range(n * 10, n * 10 + 3))})
+    table.compact("rows", 1)
+    assert len(table.manifest()["datasets"]["rows"]) == 1 and table.expire(1) == 4
+    assert table.read().count() == 12 and table.numbers() == [4]

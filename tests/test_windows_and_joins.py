@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ipaddress
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import network
 from tidemark.operators import joins, windows
 from tidemark.operators import rows as row_ops
 
@@ -113,27 +117,74 @@ def test_frequent_is_bounded(spark):
     assert joins.frequent(counts, "n", share=500).count() == 500
 
 
-def test_range_lookup_edges_and_gaps(spark, rows):
+def brute_place(address, ranges):
+    """The name of the smallest range that holds the address."""
+    try:
+        asked = ipaddress.ip_address(address.split("%")[0])
+    except (ValueError, AttributeError):
+        return None
+    holding = []
+    for start, end, name in ranges:
+        ends = [ipaddress.ip_address(int(x) if x.isdecimal() else x) for x in (start, end)]
+        if ends[0].version == asked.version and ends[0] <= asked <= ends[1]:
+            holding.append((int(ends[1]) - int(ends[0]), name))
+    return min(holding)[1] if holding else None
+
+
+def test_prefix_lookup_of_both_kinds_of_addresses(spark, rows):
+    ranges = [
+        ("0", "9", "a"), ("10", "65535", "b"), ("65536", "200000", "c"), ("4294967290", "4294967295", "z"),
+        ("2001:db8::", "2001:db8::ffff", "d"), ("2001:db8::1:0", "2001:db8:ffff::5", "e"), ("8000::", "ffff:ffff::", "high"),
+        ("::", "::ff", "low"), ("10.0.0.0", "10.255.255.255", "ten"), ("10.1.0.0", "10.1.255.255", "inner"),
+    ]
     blocks = spark.createDataFrame(
-        [(0, 9, "a"), (10, 65535, "b"), (65536, 200000, "c"), (4294967290, 4294967295, "z")],
-        "start_ip bigint, end_ip bigint, name string",
+        [*ranges, ("9", "1", "turned"), ("x", "5", "bad"), ("1.0.0.0", "::5", "mixed"), (None, "1", "none")],
+        "start_ip string, end_ip string, name string",
     )
-    asked = [0, 9, 10, 65535, 65536, 131072, 200000, 200001, 4294967295, None]
-    df = spark.createDataFrame([(v,) for v in asked], "v bigint")
-    found = joins.range_lookup(df, blocks, F.col("v"), "start_ip", "end_ip", ["v"])
-    expected = {0: "a", 9: "a", 10: "b", 65535: "b", 65536: "c", 131072: "c", 200000: "c", 4294967295: "z"}
-    assert rows(found) == sorted(
-        [(v, expected.get(v)) for v in asked], key=lambda t: tuple((x is None, str(x)) for x in t)
-    )
-
-
-def test_range_lookup_is_an_equi_join(spark):
-    blocks = spark.createDataFrame([(0, 9, "a")], "start_ip bigint, end_ip bigint, name string")
-    found = joins.range_lookup(spark.range(5), blocks, F.col("id"), "start_ip", "end_ip", ["id"])
+    asked = ["0.0.0.0", "0.0.0.9", "0.0.0.10", "0.1.0.0", "0.3.13.64", "0.3.13.65", "255.255.255.249", "255.255.255.250",
+             "10.0.0.1", "10.1.0.1", "10.2.0.0", "2001:db8::", "2001:DB8:0:0:0:0:0:ffff", "2001:db8::1:0", "2001:db8:ffff::5",
+             "2001:db8:ffff::6", "2001:db8:1234:5678:9abc:def0:1234:5678", "::", "::1", "::ff", "::100", "8000::1", "ffff:ffff::1",
+             "::ffff:1.2.3.4", "fe80::1%eth0", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", "", "-", "1.2.3", "1:2:3",
+             "1::2::3", ":::", "12345::", "256.1.1.1", "1:2:3:4:5:6:7:8:9", "g::", None]
+    df = spark.createDataFrame([(v, n) for n, v in enumerate([*asked, *["10.1.2.3"] * 40])], "v string, n int")
+    networks = network.networks_of(blocks)
+    found = joins.prefix_lookup(df, networks, network.ip_to_halves(F.col("v")), "v", ["n"])
+    # a mapped address is the IPv4 address
+    expected = {v: brute_place("1.2.3.4" if v == "::ffff:1.2.3.4" else v, ranges) for v in asked}
+    assert {r["v"]: r["name"] for r in found.where("n < 39").collect()} == expected
+    assert found.where("name = 'inner'").count() == 41
+    none = joins.prefix_lookup(df, networks.limit(0), network.ip_to_halves(F.col("v")), "v", ["n"])
+    assert none.where("name IS NULL").count() == len(asked) + 40
+
+
+def test_ranges_become_the_fewest_networks(spark):
+    rng = random.Random(6)
+    ranges = [(rng.getrandbits(128), rng.getrandbits(128)) for _ in range(50)] + [(0, 2**128 - 1), (5, 5), (2**127, 2**128 - 1)]
+    for first, last in (tuple(sorted(r)) for r in ranges):
+        cut = list(network._prefixes(first, last))
+        plain = ipaddress.summarize_address_range(ipaddress.IPv6Address(first), ipaddress.IPv6Address(last))
+        assert cut == [(int(n.network_address), n.prefixlen) for n in plain]
+
+
+def test_prefix_lookup_is_an_equi_join(spark):
+    networks = spark.createDataFrame([(96, 0, 0, "a")], "length int, high long, low long, name string")
+    df = spark.range(5).select(F.col("id").cast("string").alias("v"))
+    found = joins.prefix_lookup(df, networks, network.ip_to_halves(F.col("v")), "v", ["v"])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_frequent_keys_are_found_without_grouping_all_rows(spark, rows):
+    keys = F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 7 == 0, None).otherwise(F.col("id"))
+    df = spark.range(60_000).repartition(6).select(keys.alias("k"), (F.col("id") % 2).alias("part"))
+    exact = df.groupBy("k", "part").count().where("count * 50 >= 60000")
+    found = joins.frequent_keys(df, ["k", "part"], share=50)
+    assert rows(found) == rows(exact) and found.count() == 4
+    plan = joins.frequent_keys(df, ["k", "part"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_approx_top_k" in plan and plan.count("hashpartitioning") == 1
+    assert joins.frequent_keys(df.limit(0), ["k"]).count() == 0
+
+
 def test_repeated_rows_are_dealt_in_pieces(spark, rows):
     df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 0), ("d", None)], "k string, n int")
     repeated = row_ops.repeat_rows(df, F.col("n"), ["k"], most=4)

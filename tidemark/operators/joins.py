@@ -6,7 +6,7 @@ Plain lookups use ``DataFrame.join`` directly: Spark broadcasts a side only when
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +55,22 @@ def frequent(counts: DataFrame, count: str, share: int = 1000) -> DataFrame:
     return counts.where(F.col(count) * share >= total)
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: int = 1000) -> DataFrame:
+    """``keys, _count``: the keys that hold at least one ``share``-th of the rows, never more than ``share`` of them.
+
+    Candidates come from a mergeable summary of frequent items: each task keeps at most 8 ``share`` counters, and only
+    these summaries are exchanged. A key of that size cannot be missing from it, as its error is below half a
+    ``share``-th (for up to 50,000). Only rows of candidates are then counted exactly, by key.
+    """
+    tracked = min(1_000_000, 8 * max(share, 16))
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_hash"))
+    found = hashed.agg(F.expr(f"approx_top_k(_hash, {min(2 * share, 100_000, tracked)}, {tracked})").alias("_top"))
+    candidates = found.select(F.explode("_top").alias("_item")).select(F.col("_item.item").alias("_hash"))
+    counts = hashed.join(F.broadcast(candidates), "_hash").groupBy(*keys).agg(F.count("*").alias("_count"))
+    rows = df.agg(F.count("*")).scalar()
+    return counts.where(F.col("_count") * share >= rows)
+
+
 def hot_key_lookup(
     many: DataFrame, few: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int = 64
 ) -> DataFrame:
@@ -81,44 +97,59 @@ def hot_key_lookup(
     )
 
 
-def range_lookup(
+def lookup_distinct(
     df: DataFrame,
-    blocks: DataFrame,
-    value: Column,
-    start: str,
-    end: str,
+    key: str,
+    answer: Callable[[DataFrame], DataFrame],
     spread_by: Sequence[str],
-    bits: int = 32,
-    prefix_bits: int = 16,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """LEFT lookup of ``value`` in disjoint ``[start, end]`` blocks, as an equi join on a prefix of the value.
+    """LEFT lookup whose answers are made once for each different ``key``, not for each row.
 
-    Blocks are repeated once per prefix they touch: at most ``2 ** prefix_bits`` more rows in all, since they do not
-    overlap. Popular prefixes are spread like in :func:`salted_join`. Both range columns are dropped.
+    ``answer`` gets ``key, _count`` with a row for each key and returns ``key`` and its values, for some or all keys. The keys are those of ``counted``, ``df`` if not given: what ``df`` was made from saves making it twice. Null
+    keys have no answer. Answers of frequent keys are broadcast, their rows spread by ``spread_by``.
     """
-    step = 1 << (bits - prefix_bits)
-    lookup = (
-        blocks.withColumn(
-            "_prefix",
-            F.explode(
-                F.sequence(F.floor(F.col(start) / step).cast("int"), F.floor(F.col(end) / step).cast("int"))
-            ),
-        )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .withColumnsRenamed({"_prefix": "_block_prefix", "_salt": "_block_salt"})
-    )
-    dealt = df.withColumns(
-        {
-            "_value": value,
-            "_prefix": F.floor(value / step).cast("int"),
-            "_salt": F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"),
-        }
-    )
-    inside = (
-        (F.col("_prefix") == F.col("_block_prefix"))
-        & (F.col("_salt") == F.col("_block_salt"))
-        & F.col("_value").between(F.col(start), F.col(end))
-    )
-    return dealt.join(lookup, inside, "left").drop(
-        "_value", "_prefix", "_salt", "_block_prefix", "_block_salt", start, end
-    )
+    named = (df if counted is None else counted).where(F.col(key).isNotNull())
+    counts = named.groupBy(key).agg(F.count("*").alias("_count"))
+    answers = answer(counts).drop("_count")
+    values = [c for c in answers.columns if c != key]
+    # a row for each key, so that the inner lookup keeps all rows; both sides are grouped by key already
+    few = counts.join(answers, key, "left")
+    hot = frequent(few, "_count").select(key, *values)
+    found = hot_key_lookup(df.where(F.col(key).isNotNull()), few.select(key, *values), hot, [key], spread_by)
+    nothing = [F.lit(None).cast(answers.schema[v].dataType).alias(v) for v in values]
+    return found.unionByName(df.where(F.col(key).isNull()).select("*", *nothing))
+
+
+def prefix_lookup(
+    df: DataFrame, networks: DataFrame, address: Column, key: str, spread_by: Sequence[str], counted: DataFrame | None = None
+) -> DataFrame:
+    """LEFT lookup of 128-bit addresses in networks: the longest prefix that contains the address wins.
+
+    ``networks`` has ``length, high, low`` and values, unique by these three; bits behind the length are zero.
+    ``address`` is the address in column ``key`` as ``high, low``. Each different address meets its prefix of every length
+    that occurs in one equi join, so a popular client costs no more than others there; adaptive execution copies a
+    network only if so many addresses lie in it that its partition is skewed. The answers come back to the rows by
+    :func:`lookup_distinct`.
+    """
+    values = [c for c in networks.columns if c not in ("length", "high", "low")]
+    # 129 lengths at most
+    lengths = networks.agg(F.collect_set("length")).scalar()
+
+    def prefix(length: Column) -> Column:
+        def masked(half: str, bits: Column) -> Column:
+            mask = F.when(bits >= 64, F.lit(-1).cast("long")).when(bits <= 0, F.lit(0).cast("long"))
+            mask = mask.otherwise(F.call_function("shiftleft", F.lit(-1).cast("long"), 64 - bits))
+            return F.col(f"_at.{half}").bitwiseAND(mask).alias(half)
+
+        return F.struct(length.alias("length"), masked("high", length), masked("low", length - 64))
+
+    def places(distinct: DataFrame) -> DataFrame:
+        cut = distinct.select(key, address.alias("_at"), lengths.alias("_lengths"))
+        cut = cut.select(key, F.explode(F.transform("_lengths", prefix)).alias("_prefix")).select(key, "_prefix.*")
+        within = networks.select("length", "high", "low", F.struct("length", *values).alias("_network"))
+        found = cut.join(within, ["length", "high", "low"]).groupBy(key)
+        found = found.agg(F.max_by("_network", "_network.length").alias("_network"))
+        return found.select(key, *[F.col("_network")[v].alias(v) for v in values])
+
+    return lookup_distinct(df, key, places, spread_by, counted)

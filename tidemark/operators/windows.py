@@ -24,9 +24,9 @@ SHARE = 1000
 
 def _cut_frequent_keys(df: DataFrame, keys: Sequence[str], chunk: dict[str, Column], share: int) -> DataFrame:
     """Adds ``_frequent`` and the chunk columns, which stay null for all other keys."""
-    counts = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias("_count"))
     # at most ``share`` rows
-    frequent = F.broadcast(joins.frequent(counts, "_count", share))
+    found = joins.frequent_keys(df, keys, share)
+    frequent = F.broadcast(found.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_count"))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
@@ -109,17 +109,22 @@ def previous_within(
     )
 
 
-def with_group_size(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], size: str, salts: int = 16) -> DataFrame:
-    """``count(*)`` over ``keys``: counted with partial results, then brought back to the rows of a key in ``salts``
-    tasks, dealt by a hash of ``spread_by``. Null keys form a group, as in a window.
+def with_group_size(
+    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], size: str, salts: int = 64, share: int = SHARE
+) -> DataFrame:
+    """``count(*)`` over ``keys``: counted with partial results, then brought back to the rows.
+
+    Only the counts of frequent keys are copied, once for each of ``salts`` tasks, to which their rows are dealt by a hash
+    of ``spread_by``. Null keys form a group, as in a window.
     """
-    counts = (
-        df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        .agg(F.count("*").alias(size))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    dealt = df.withColumn("_deal", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    same = F.col("_deal") == F.col("_salt")
+    of_key = [F.col(k).alias(f"_key_{k}") for k in keys]
+    counts = df.groupBy(*of_key).agg(F.count("*").alias(size))
+    rows = df.agg(F.count("*")).scalar()
+    is_frequent = F.col(size) * share >= rows
+    copies = F.explode(F.when(is_frequent, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    counts = counts.withColumn("_salt", copies)
+    dealt = _cut_frequent_keys(df, keys, {"_deal": F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")}, share)
+    same = F.coalesce("_deal", F.lit(0)) == F.col("_salt")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     return dealt.join(counts, same).select(*df.columns, size)

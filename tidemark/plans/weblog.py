@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import agents, network, nulls
+from tidemark.functions import network, nulls
 from tidemark.operators import joins
+from tidemark.plans.agents import with_agent
 
 # What stands in for a missing entry, and texts only header lines carry.
 MISSING = "-"
@@ -36,28 +37,21 @@ def is_page_view(ignore_bot_case: bool = False) -> Column:
     return keep
 
 
-def with_agent(logs: DataFrame) -> DataFrame:
-    agent = F.col("UserAgent")
-    return logs.withColumns(
-        {
-            "OS": agents.agent_os(agent),
-            "Device": agents.agent_device(agent),
-            "Browser": agents.agent_browser(agent),
-            "Is_Mobile": agents.agent_is_mobile(agent),
-        }
-    )
-
-
-def with_place(logs: DataFrame, blocks: DataFrame) -> DataFrame:
+def with_place(logs: DataFrame, blocks: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Country, region and coordinates of the client; a blank where the address is unknown.
 
-    ``blocks`` holds disjoint address ranges as numbers: ``start_ip``, ``end_ip`` and the four place columns.
+    ``blocks`` holds address ranges of both kinds, ``start_ip`` and ``end_ip`` as text or as numbers of IPv4 addresses,
+    and the four place columns. Of networks inside each other the smallest counts. ``counted`` are rows with the same
+    addresses, if ``logs`` are long in the making.
     """
     ranges = blocks.select("start_ip", "end_ip", *[F.col(c).cast("string").alias(c) for c in PLACE])
-    address = network.ip_to_long(F.col("ClientIP"))
-    placed = joins.range_lookup(logs, ranges, address, "start_ip", "end_ip", SPREAD_BY)
+    networks = network.networks_of(ranges).dropDuplicates(["length", "high", "low"])
+    address = network.ip_to_halves(F.col("ClientIP"))
+    placed = joins.prefix_lookup(logs, networks, address, "ClientIP", SPREAD_BY, counted)
     return placed.withColumns({c: nulls.null_default(F.col(c), UNKNOWN_PLACE) for c in PLACE})
 
 
-def enriched_log(logs: DataFrame, blocks: DataFrame) -> DataFrame:
-    return with_place(with_agent(logs.where(is_page_view())), blocks)
+def enriched_log(logs: DataFrame, blocks: DataFrame, agents: DataFrame | None = None) -> DataFrame:
+    """Page views with their agent's classes, from ``agents`` if that knows them, and the client's place."""
+    views = logs.where(is_page_view())
+    return with_place(with_agent(views, SPREAD_BY, agents), blocks, counted=views)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan here is written for. Skewed shuffle joins are split by AQE even when the
 # split costs one more exchange: a hot key must never decide the run time of a whole stage.
@@ -60,3 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
 def working_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and nothing is lost with an executor."""
+    path = working_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

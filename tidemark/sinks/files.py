@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sinks.versions import Change, Versions
+
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None) -> None:
     """CSV with header, replacing what is there. A number of files suits a small report that is handed on."""
@@ -31,9 +33,21 @@ def write_parquet(df: DataFrame, path: str, by: Sequence[str] = (), mode: str =
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", kind: str = "parquet") -> None:
-    """First load with ``overwrite``, scheduled runs with ``append``; ``kind`` may be any installed format."""
-    df.write.format(kind).mode(mode).save(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", kind: str = "versions", batch: str | None = None) -> bool:
+    """First load with ``overwrite``, scheduled runs with ``append``; False if ``batch`` was written before.
+
+    The table changes at once, and a failing write leaves it as it was (see :class:`Versions`). ``kind`` may also be any
+    installed format that does so itself, which then has no batches.
+    """
+    if kind != "versions":
+        df.write.format(kind).mode(mode).save(path)
+        return True
+    return Versions(df.sparkSession, path).publish({"rows": Change(df, mode)}, batch)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` as :func:`write_table` left it; None if there is none."""
+    return Versions(spark, path).read()
 
 
 def write_sheets(sheets: dict[str, DataFrame], path: str) -> dict[str, str]:

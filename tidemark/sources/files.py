@@ -158,11 +158,11 @@ def read_workbooks(
     lines = (
         whole.where(~is_open_lock(F.col(tag))).select(tag, F.explode(rows).alias("_line")).where(F.col("_line") != "")
     )
-    parsed = F.from_csv("_line", _ddl(schema))
+    parsed = F.from_csv("_line", ddl(schema))
     return lines.select(parsed.alias("_row"), tag).select("_row.*", tag)
 
 
-def _ddl(schema: T.StructType) -> str:
+def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
 
 

@@ -1,14 +1,16 @@
-"""Drop folders: every file is taken once as it is, and only after its output is committed is it put away."""
+"""Drop folders and growing logs: what has arrived is taken once, and put away only after its output is committed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
 
-from tidemark.plans.weblog import enriched_log
+from tidemark.plans.agents import AgentDictionary
+from tidemark.plans.weblog import enriched_log, is_page_view
 from tidemark.sinks.files import write_parquet
-from tidemark.sources.files import LOG_OPTIONS, LOG_SCHEMA, read_epg, with_file_stem
-from tidemark.streaming import arrivals
+from tidemark.sinks.versions import Change, Versions
+from tidemark.sources.files import LOG_OPTIONS, LOG_SCHEMA, ddl, read_epg, with_file_stem
+from tidemark.streaming import arrivals, tails
 
 
 def ingest_epg(
@@ -26,14 +28,45 @@ def ingest_epg(
     return arrivals.take(spark, folder, ledger, process, archive, delete)
 
 
-def append_weblog(spark: SparkSession, folder: str, blocks: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Appends the cleaned and enriched lines of new log files."""
-    logs = spark.readStream.schema(LOG_SCHEMA).options(**LOG_OPTIONS).csv(folder)
-    return (
-        enriched_log(logs, blocks)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
+def append_weblog(
+    spark: SparkSession, folder: str, blocks: DataFrame, target: str, dictionary: str | None = None
+) -> list[str]:
+    """Appends the cleaned and enriched lines that log files have gained; returns the files that had changed.
+
+    Logs may be written all day while this runs every half hour: each line is taken once, when it is complete. A file that
+    shrank or was replaced has its lines replaced. Lines and ledger are published as one version of ``target``, so a run
+    that fails changes nothing. User agents are looked up in the table kept at ``dictionary``, if one is given.
+    """
+    table = Versions(spark, target)
+    found = tails.take_lines(spark, folder, table.read("ledger"))
+    if found is None:
+        return []
+    parsed = F.from_csv(F.rtrim(F.col("value"), F.lit("\r")), ddl(LOG_SCHEMA), {"sep": LOG_OPTIONS["sep"]})
+    logs = (
+        found.lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
+        .select("log_file", "generation", parsed.alias("line"))
+        .select("line.*", "log_file", "generation")
     )
+    known = None
+    if dictionary is not None:
+        kept = AgentDictionary(spark, dictionary)
+        kept.extend(logs.where(is_page_view()))
+        known = kept.read()
+    table.publish(
+        {
+            "rows": Change(enriched_log(logs, blocks, known)),
+            "ledger": Change(found.ledger, "overwrite"),
+            "given_up": Change(found.given_up),
+        }
+    )
+    return found.files
+
+
+def read_weblog_table(spark: SparkSession, target: str) -> DataFrame | None:
+    """The lines that :func:`append_weblog` has taken, without those of files that were replaced since."""
+    table = Versions(spark, target)
+    published = table.numbers()
+    if not published:
+        return None
+    rows, given_up = (table.read(name, published[-1]) for name in ("rows", "given_up"))
+    return rows.join(given_up, ["log_file", "generation"], "left_anti").drop("log_file", "generation")
