@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,7 +172,9 @@ def _slicer_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = working_folder(spark, "slicers")
     sinks.write_json_lines(catalogue, folder)
-    return documents.slicer_document(sources.read_catalogue(spark, folder))
+    fragments = documents.slicer_document(sources.read_catalogue(spark, folder))
+    documents.write_document(fragments, f"{folder}-document/slicers.json")
+    return documents.read_document(spark, f"{folder}-document/slicers.json")
 
 
 @query(
@@ -229,13 +231,38 @@ def _probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("k01_single_csv", "SELECT s_suppkey, s_name, 1 AS files FROM supplier")
+@query(
+    "k01_single_csv",
+    """SELECT 1 AS files, 'o_orderkey;o_totalprice;o_comment' AS header, COUNT(*) AS n, TRUE AS in_order,
+      CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM orders""",
+)
 def _single_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = working_folder(spark, "report") + "/" + sinks.report_name("suppliers.csv", RUN_DATE)
-    sinks.write_report(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), folder, ["s_suppkey"])
-    scan = spark.read.schema("s_suppkey bigint, s_name string").options(header="true", sep=";").csv(folder)
-    tagged = scan.select("*", F.col("_metadata.file_name").alias("file"))
-    return tagged.withColumn("files", F.when(F.col("file").startswith("part-00000"), 1)).drop("file")
+    """All orders sorted in 32 ranges and joined into one file; its lines are read back with their places."""
+    folder = working_folder(spark, "report") + "/" + sinks.report_name("orders.csv", RUN_DATE)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), F.col("o_orderpriority").alias("o_comment")
+    )
+    sinks.write_report(orders, folder, [F.col("o_totalprice").desc(), "o_orderkey"])
+    lines = spark.read.text(folder).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    head = F.min_by("value", F.struct("file_block_start", "at"))
+    fields = F.from_csv("value", "o_orderkey bigint, o_totalprice decimal(18,2), o_comment string", {"sep": ";"})
+    rows = lines.where(~F.col("value").startswith("o_orderkey;")).withColumn("row", fields)
+    price = F.col("row.o_totalprice")
+    # each line against the one before it in its block of the file, and each block against the one before it
+    along = Window.partitionBy("file_block_start").orderBy("at")
+    blocks = rows.withColumn("step", F.coalesce(F.lag(price).over(along) >= price, F.lit(True))).groupBy("file_block_start").agg(
+        F.count("*").alias("n"), F.every("step").alias("steps"), F.min(price).alias("low"), F.max(price).alias("high"),
+        F.sum(price).alias("total"), F.collect_set("file_path").alias("paths"),
+    )
+    in_turn = F.sort_array(F.collect_list(F.struct("file_block_start", "low", "high")))
+    turns = F.every("steps") & F.forall(
+        F.sequence(F.lit(1), F.greatest(F.size(in_turn) - 1, F.lit(1))),
+        lambda i: F.coalesce(F.get(in_turn, i - 1)["low"] >= F.get(in_turn, i)["high"], F.lit(True)),
+    )
+    return blocks.agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("paths")))).alias("files"), lines.agg(head).scalar().alias("header"),
+        F.sum("n").alias("n"), turns.alias("in_order"), F.sum("total").cast("double").alias("total"),
+    )
 
 
 @query(
@@ -330,7 +357,9 @@ def _column_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_segment = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(
         F.count("*").alias("n")
     )
-    return documents.column_document(per_segment, ["segment"])
+    path = working_folder(spark, "document") + "/data.json"
+    documents.write_document(documents.column_document(per_segment, ["segment"], size=2), path)
+    return documents.read_document(spark, path)
 
 
 # ---------------------------------------------------------------- streams

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import audit, comments, consolidate, planner, rating, weblog
-from tidemark.sinks import documents
+from tidemark.sinks import documents, ordered
 
 VIEW = (
     "year string, month string, day string, hour string, minute string, channel string, channel_number string, "
@@ -299,10 +300,43 @@ def test_weblog_chain(spark, tmp_path, rows):
     assert strict.count() == 2
 
 
-def test_column_document_keeps_nulls_and_order(spark):
-    df = spark.createDataFrame([("b", None), ("a", 1)], "k string, v int")
-    text = documents.column_document(df, ["k"]).first().document
-    assert json.loads(text) == {"data": [{"k": {"0": "a", "1": "b"}, "v": {"0": 1, "1": None}}]}
+def whole(fragments):
+    return "".join(r.fragment for r in sorted(fragments.collect(), key=lambda r: r.place))
+
+
+def test_column_document_keeps_nulls_and_order(spark, tmp_path):
+    df = spark.createDataFrame([("b", None), ("a", 1)], 'k string, `v "1"` int')
+    expected = {"data": [{"k": {"0": "a", "1": "b"}, 'v "1"': {"0": 1, "1": None}}]}
+    assert json.loads(whole(documents.column_document(df, ["k"]))) == expected
+    assert json.loads(whole(documents.column_document(df.limit(0), ["k"]))) == {"data": [{"k": {}, 'v "1"': {}}]}
+
+
+def test_documents_of_many_fragments_are_one_document(spark, tmp_path):
+    rng = random.Random(2)
+    names = [rng.choice(["a", "é", 'q"', "line\nbreak", "\\", "]}"]) + str(n % 7) for n in range(500)]
+    df = spark.createDataFrame([(n, name, [name] * (n % 3)) for n, name in enumerate(names)], "n int, name string, list array<string>")
+    fragments = documents.column_document(df, [F.col("n").desc()], size=11)
+    assert fragments.count() == 3 * 46 and fragments.agg(F.max(F.length("fragment"))).first()[0] < 600
+    path = str(tmp_path / "d" / "data.json")
+    documents.write_document(fragments, path)
+    expected = {str(i): v for i, v in enumerate(reversed(names))}
+    for text in (open(path, encoding="utf-8").read(), documents.read_document(spark, path).first().document):
+        data = json.loads(text)["data"][0]
+        assert data["name"] == expected and list(data["n"].values()) == list(range(499, -1, -1)) and len(data["list"]) == 500
+    catalogue = df.select("name", F.lit("list").alias("type"), F.col("list").alias("values")).distinct()
+    documents.write_document(documents.slicer_document(catalogue, size=3), path)
+    entries = json.loads(open(path, encoding="utf-8").read())["parameters"]
+    assert [(e["name"], e["values"]) for e in entries] == sorted((r.name, r["values"]) for r in catalogue.collect())
+    assert whole(documents.slicer_document(catalogue.limit(0), "e")) == '{"e":[]}'
+
+
+def test_rows_are_numbered_over_ranges(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id"))
+    rows, total = ordered.numbered(df, [F.col("k").desc()], tasks=8)
+    found = sorted((r._row, r.k) for r in rows.collect())
+    assert total == 3000 and [n for n, _ in found] == list(range(3000)) and [k for _, k in found] == [2] * 1000 + [1] * 1000 + [0] * 1000
+    # a value that a third of the rows share is dealt to several tasks
+    assert ordered.in_ranges(df, ["k"], 8).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 900
 
 
 def test_report_reads_only_the_days_asked_for(spark, tmp_path):

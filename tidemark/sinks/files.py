@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sinks import ordered
 from tidemark.sinks.versions import Change, Versions
 
 
@@ -17,9 +18,21 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", files: int | None = None
     out.write.mode("overwrite").options(header="true", sep=sep).csv(path)
 
 
-def write_report(df: DataFrame, path: str, order: Sequence[Column | str], sep: str = ";") -> None:
-    """A small report as one sorted CSV file; only the writing is left to one task, not the work before it."""
-    df.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").options(header="true", sep=sep).csv(path)
+def write_report(df: DataFrame, path: str, order: Sequence[Column | str], sep: str = ";", tasks: int = ordered.TASKS) -> None:
+    """A report as one sorted CSV file with a header, ``part-00000.csv`` in the folder ``path``.
+
+    ``tasks`` tasks sort and write a range each; their files are joined in order.
+    """
+
+    def quoted(name: str) -> str:
+        special = any(mark in name for mark in (sep, '"', "\n", "\r"))
+        return '"' + name.replace('"', '\\"') + '"' if special else name
+
+    def write_parts(folder: str) -> None:
+        ordered.in_ranges(df, order, tasks).write.options(header="false", sep=sep).csv(folder)
+
+    head = sep.join(map(quoted, df.columns)) + "\n"
+    ordered.write_single(df.sparkSession, write_parts, f"{path.rstrip('/')}/part-00000.csv", head)
 
 
 def report_name(input_name: str, run_date: dt.date) -> str:
