@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query
 from bindings.staging import staging, table, with_staging
+from tidemark.plans import access
 from tidemark.plans.mart import mart_tables
 from tidemark.plans.orders import order_validity
 from tidemark.plans.recommendation import hits_of_property
@@ -449,6 +450,30 @@ USER_MEMBERS = """
 
 _register("m32_user_members", "Dim_Sys_Users_Member", [], USER_MEMBERS)
 
+
+
+@query(
+    "j10_access_totals",
+    with_staging(
+        [],
+        """
+        SELECT sys_user, CAST(SUM(amount) AS BIGINT) AS amount, CAST(SUM(orders) AS BIGINT) AS orders
+        FROM (SELECT DISTINCT sys_user, member FROM user_members)
+        JOIN (SELECT o_custkey % 30 AS member, SUM(o_orderkey % 1000) AS amount, COUNT(*) AS orders FROM orders GROUP BY 1) USING (member)
+        GROUP BY sys_user""",
+        user_members=USER_MEMBERS,
+    ),
+)
+def _access_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of all members a user sees, through scopes; the SQL goes through every user and member."""
+    listed, users, members = (staging(spark, sf_dir, name) for name in ("user_member", "sys_user", "member"))
+    facts = table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_custkey % 30 AS INT) AS member", "o_orderkey % 1000 AS amount", "CAST(1 AS BIGINT) AS orders"
+    )
+    scopes = access.user_scopes(listed, users, members)
+    return access.totals_by_user(facts, scopes, members, "amount", "orders")
+
+
 _register(
     "m33_user_category",
     "Dim_SysUser_ProductCategory",

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import random
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,6 +123,58 @@ def test_jdbc_options():
     assert jdbc.Split("id", "0", "100", 8).options()["numPartitions"] == "8"
 
 
+@pytest.mark.parametrize("kind", ["even", "skewed", "dates", "text", "copies"])
+def test_balanced_splits_hold_every_row_once(kind):
+    rng = random.Random(7)
+    keys = {
+        "even": lambda: rng.randint(-10_000, 10_000),
+        "skewed": lambda: int(2 ** rng.uniform(0, 40)),
+        "dates": lambda: dt.date(2020, 1, 1) + dt.timedelta(days=int(rng.expovariate(0.002))),
+        "text": lambda: rng.choice("aaaab'c") + str(rng.randint(0, 10**9)),
+        "copies": lambda: rng.choice([5, 5, 5, 5, rng.randint(0, 1000)]),
+    }[kind]
+    base = duckdb.connect()
+    rows = [(n, keys() if n % 40 else None) for n in range(4000)]
+    frame = pd.DataFrame({"n": [n for n, _ in rows], "k": pd.Series([k for _, k in rows], dtype="object" if kind in ("dates", "text") else "Int64")})
+    base.register("frame", frame)
+    base.execute(f"CREATE TABLE t AS SELECT n, CAST(k AS {dict(dates='DATE', text='VARCHAR').get(kind, 'BIGINT')}) AS k FROM frame")
+    firsts = [first for _, first in base.execute(jdbc.quantile_statement("t", "k", 16)).fetchall()]
+    predicates = jdbc.range_predicates("k", firsts)
+    found = [[n for (n,) in base.execute(f"SELECT n FROM t WHERE {p}").fetchall()] for p in predicates]
+    assert sorted(sum(found, [])) == list(range(4000)) and len(found[-1]) == 100
+    sizes = list(map(len, found[:-1]))
+    if kind == "copies":  # one key holds most rows, and no range can cut it
+        assert sorted(sizes)[-2] <= 2 * 3900 / 16
+    else:
+        assert len(sizes) == 16 and max(sizes) <= 2 * min(sizes)
+
+
+def test_split_of_an_empty_table_or_a_single_key():
+    assert jdbc.range_predicates("k", []) == ["k IS NOT NULL", "k IS NULL"]
+    assert jdbc.range_predicates("k", [3, 3, None]) == ["k IS NOT NULL", "k IS NULL"]
+    assert jdbc.range_predicates("k", ["a'b", "c"]) == ["k < 'c'", "k >= 'c'", "k IS NULL"]
+
+
+def test_requests_of_many_layouts_are_one_scan(spark, tmp_path, rows):
+    names = ["year", "month", "day", "hour", "minute", "channel_number"]
+    for n in range(12):
+        layout = [*names, *[f"x{i}" for i in range(n)]]
+        random.Random(n).shuffle(layout)
+        cells = {c: f"{c}{n}" for c in layout} | {"channel_number": f'"{n};7"', "x0": '"a ""b"" c"'}
+        head = ";".join(f' "{c}" ' if n % 3 == 0 else c for c in layout)
+        (tmp_path / f"r {n}.csv").write_text("\ufeff" * (n % 2) + head + "\r\n" + ";".join(cells[c] for c in layout) + "\r\n\r\n")
+    (tmp_path / "short.csv").write_text("year;month\n1;2\n")
+    (tmp_path / "empty.csv").write_text("\n")
+    paths = sorted(str(p) for p in tmp_path.iterdir())
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("requests", "")
+    found, accepted = requests.read_requests(spark, paths)
+    assert len(jobs.getJobIdsForGroup("requests")) <= 6
+    assert [p.rsplit("/", 1)[-1] for p in accepted] == sorted(f"r {n}.csv" for n in range(12))
+    expected = sorted(tuple(f"{c}{n}" for c in names[:5]) + (f"{n};7",) for n in range(12))
+    assert sorted(tuple(r) for r in found.select(*names).collect()) == expected
+
+
 def test_epg_ingest_takes_each_file_once(spark, tmp_path, rows):
     drop, out = tmp_path / "drop", tmp_path / "out"
     drop.mkdir()

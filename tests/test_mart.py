@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import datetime as dt
 
 import pytest
@@ -396,3 +398,26 @@ def test_every_mart_table_is_declared_after_its_inputs():
     for name, table in tables.items():
         assert all(i in seen for i in table.inputs if i in tables), name
         seen.add(name)
+
+
+def test_scopes_give_what_users_times_members_give(spark, rows):
+    rng = random.Random(4)
+    members = spark.createDataFrame([(n, None if n == 9 else str(n % 4)) for n in range(12)], "id int, country_id string")
+    roles = ["ADMIN", "GLOBAL_REPORT", "COUNTRY_ADMIN", "COUNTRY_MANAGER_ADMIN", "REP", None]
+    users = [(n, rng.choice(roles), rng.choice(["a@b", "none"]), rng.choice(["0", "1", "9", None])) for n in range(40)]
+    users += [(3, "COUNTRY_ADMIN", "x@y", "2"), (4, "ADMIN", "x@y", None)]  # several roles
+    sys_user = spark.createDataFrame(users, "user_id int, role string, email string, country_id string")
+    listed = spark.createDataFrame([(rng.randint(0, 45), rng.randint(0, 14)) for _ in range(60)], "sys_user int, member int")
+    facts = spark.createDataFrame([(rng.randint(0, 16), n) for n in range(200)], "member int, amount long")
+
+    expanded = access.sys_users_member(listed, sys_user, members).select("sys_user", "member").distinct()
+    plain = expanded.join(facts, "member").groupBy("sys_user").agg(F.sum("amount").alias("amount"))
+    scopes = access.user_scopes(listed, sys_user, members)
+    assert rows(access.totals_by_user(facts, scopes, members, "amount")) == rows(plain)
+    assert scopes.count() == scopes.distinct().count() < expanded.count()
+
+    known = expanded.where("member < 12")
+    for user in (0, 3, 4, 17, 44):
+        assert rows(access.members_of(F.lit(user), scopes, members)) == rows(known.where(F.col("sys_user") == user).select("member"))
+    for member in (0, 9, 11):
+        assert rows(access.users_of(F.lit(member), scopes, members)) == rows(known.where(F.col("member") == member).select("sys_user"))

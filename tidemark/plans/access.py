@@ -60,6 +60,73 @@ def sys_users_member(user_member: DataFrame, sys_user: DataFrame, member: DataFr
     return sets.stack_distinct(_listed(user_member, sys_user).select(*columns), by_role.select(*columns))
 
 
+def user_scopes(user_member: DataFrame, sys_user: DataFrame, member: DataFrame) -> DataFrame:
+    """``sys_user, scope``: the scopes that make up what a user sees, none inside another.
+
+    A scope is everything, a country, or one member. Who sees everything needs no other scope, and a listed member of a
+    country that is seen whole needs none of its own. This is the access of :func:`sys_users_member` without a row for
+    each user and member: a few rows for each user.
+    """
+    held = _holders(sys_user).select("sys_user", "scope").distinct()
+    everywhere = held.where(F.col("scope") == EVERYWHERE)
+    countries = held.where(F.col("scope") != EVERYWHERE).join(everywhere, "sys_user", "left_anti")
+    countries = countries.select("sys_user", _country(F.col("scope")).alias("scope"))
+    known = member.select(
+        F.col("id").alias("member"), F.lit(EVERYWHERE).alias("_all"), _country(F.col("country_id").cast("string")).alias("_of")
+    )
+    listed = (
+        user_member.select("sys_user", "member")
+        .join(sys_user.select(F.col("user_id").alias("sys_user")), "sys_user", "left_semi")
+        .distinct()
+        .join(known, "member", "left")
+    )
+    # members that are listed only, and not in the table of members, are in no wider scope
+    for wide, column in ((everywhere, "_all"), (countries, "_of")):
+        listed = listed.join(wide.withColumnRenamed("scope", column), ["sys_user", column], "left_anti")
+    single = listed.select("sys_user", _single(F.col("member")).alias("scope"))
+    return everywhere.unionByName(countries).unionByName(single)
+
+
+def _country(country: Column) -> Column:
+    return F.concat(F.lit("country "), country)
+
+
+def _single(member: Column) -> Column:
+    return F.concat(F.lit("member "), member.cast("string"))
+
+
+def member_scopes(members: DataFrame, member: DataFrame) -> DataFrame:
+    """``members`` (a column ``member`` and others), once for each scope they belong to: three at most.
+
+    A member that the ``member`` table lacks belongs to no scope but its own.
+    """
+    known = member.select(F.col("id").alias("member"), F.col("country_id").cast("string").alias("_country"), F.lit(EVERYWHERE).alias("_all"))
+    scopes = F.filter(F.array("_all", _country(F.col("_country")), _single(F.col("member"))), lambda s: s.isNotNull())
+    return members.join(known, "member", "left").select(*members.columns, F.explode(scopes).alias("scope"))
+
+
+def totals_by_user(facts: DataFrame, scopes: DataFrame, member: DataFrame, *totals: str) -> DataFrame:
+    """Sums of ``totals`` over all members a user sees, from ``facts`` by ``member``, without joining users to members.
+
+    Facts are summed by member, then by scope; a user adds up the few scopes of :func:`user_scopes`, which do not overlap.
+    """
+    by_member = facts.groupBy("member").agg(*[F.sum(t).alias(t) for t in totals])
+    by_scope = member_scopes(by_member, member).groupBy("scope").agg(*[F.sum(t).alias(t) for t in totals])
+    return scopes.join(by_scope, "scope").groupBy("sys_user").agg(*[F.sum(t).alias(t) for t in totals])
+
+
+def members_of(sys_user: Column, scopes: DataFrame, member: DataFrame) -> DataFrame:
+    """The members of the ``member`` table that one user sees."""
+    members = member_scopes(member.select(F.col("id").alias("member")), member)
+    return members.join(scopes.where(F.col("sys_user") == sys_user).select("scope"), "scope").select("member").distinct()
+
+
+def users_of(one: Column, scopes: DataFrame, member: DataFrame) -> DataFrame:
+    """The users who see one member."""
+    of_member = member_scopes(member.where(F.col("id") == one).select(F.col("id").alias("member")), member)
+    return scopes.join(of_member.select("scope"), "scope").select("sys_user").distinct()
+
+
 def sysuser_product_category(
     user_member: DataFrame, sys_user: DataFrame, member: DataFrame, brand: DataFrame, product: DataFrame
 ) -> DataFrame:
