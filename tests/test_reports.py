@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import audit, comments, consolidate, planner, rating, weblog
+from tidemark.plans import agents, audit, comments, consolidate, planner, rating, weblog
 from tidemark.sinks import documents, ordered
 
 VIEW = (
@@ -356,3 +356,26 @@ def test_report_reads_only_the_days_asked_for(spark, tmp_path):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert [(r.day, r.rating) for r in report.collect()] == [(5, 0.75)]
+
+
+def test_agents_are_looked_up(spark, rows):
+    texts = ["Windows Edg/1", None, "curl", "Ubuntu Firefox/2", "Windows Edg/1"] + ["iPhone Safari/6"] * 60
+    logs = spark.createDataFrame(list(enumerate(texts)), "n int, UserAgent string")
+    plain = agents.classified(logs)
+    found = agents.with_agent(logs, ["n"])
+    assert rows(found) == rows(plain)
+    known = agents.classified(logs.select("UserAgent").distinct().where("UserAgent IS NOT NULL AND UserAgent <> 'curl'"))
+    assert rows(agents.with_agent(logs, ["n"], known).where("UserAgent <> 'curl'")) == rows(plain.where("UserAgent <> 'curl'"))
+    assert rows(agents.with_agent(logs, ["n"], known).where("UserAgent = 'curl'"), "OS") == [(None,)]
+
+
+def test_rules_run_on_different_agents_only(spark):
+    logs = spark.createDataFrame([(1, "a", "1.2.3.4")], "n int, UserAgent string, ClientIP string")
+    plan = agents.with_agent(logs, ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    with_rules = [i for i, line in enumerate(lines) if "SamsungBrowser" in line]
+    # between the rules and the scan below them stands the grouping by agent
+    for i in with_rules:
+        scan = next(j for j in range(i, len(lines)) if "LogicalRDD" in lines[j])
+        assert any("Aggregate [UserAgent" in line for line in lines[i:scan])
+    assert with_rules

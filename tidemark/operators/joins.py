@@ -103,22 +103,29 @@ def lookup_distinct(
     answer: Callable[[DataFrame], DataFrame],
     spread_by: Sequence[str],
     counted: DataFrame | None = None,
+    salts: int = 64,
 ) -> DataFrame:
     """LEFT lookup whose answers are made once for each different ``key``, not for each row.
 
-    ``answer`` gets ``key, _count`` with a row for each key and returns ``key`` and its values, for some or all keys. The keys are those of ``counted``, ``df`` if not given: what ``df`` was made from saves making it twice. Null
-    keys have no answer. Answers of frequent keys are broadcast, their rows spread by ``spread_by``.
+    ``answer`` gets ``key, _count`` with a row for each key and returns ``key`` and its values: for all keys with the
+    count beside them, or without it for some. The keys are those of ``counted``, ``df`` if not given: what ``df`` was made
+    from saves making it twice. Null keys have no answer. Answers of frequent keys are broadcast (see :func:`frequent`),
+    and their rows and those without a key are spread by ``spread_by``, as in :func:`hot_key_lookup`.
     """
-    named = (df if counted is None else counted).where(F.col(key).isNotNull())
-    counts = named.groupBy(key).agg(F.count("*").alias("_count"))
-    answers = answer(counts).drop("_count")
-    values = [c for c in answers.columns if c != key]
-    # a row for each key, so that the inner lookup keeps all rows; both sides are grouped by key already
-    few = counts.join(answers, key, "left")
-    hot = frequent(few, "_count").select(key, *values)
-    found = hot_key_lookup(df.where(F.col(key).isNotNull()), few.select(key, *values), hot, [key], spread_by)
-    nothing = [F.lit(None).cast(answers.schema[v].dataType).alias(v) for v in values]
-    return found.unionByName(df.where(F.col(key).isNull()).select("*", *nothing))
+    counts = (df if counted is None else counted).where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_count"))
+    answers = answer(counts)
+    values = [c for c in answers.columns if c not in (key, "_count")]
+    # both sides are grouped by key already
+    few = answers if "_count" in answers.columns else counts.join(answers, key, "left")
+    packed = F.struct(*[F.col(f"`{v}`") for v in values])
+    hot = F.broadcast(frequent(few, "_count").select(key, packed.alias("_hot")))
+    zero = F.coalesce(F.pmod(F.xxhash64(key), F.lit(1)).cast("int"), F.lit(0))
+    rest = few.select(key, packed.alias("_cold"), zero.alias("_salt"))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int") + 1
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    answered = df.join(hot, key, "left").withColumn("_salt", F.when(settled, spread).otherwise(F.lit(0)))
+    found = F.coalesce("_hot", "_cold")
+    return answered.join(rest, [key, "_salt"], "left").select(*df.columns, *[found[v].alias(v) for v in values])
 
 
 def prefix_lookup(

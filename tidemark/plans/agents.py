@@ -10,6 +10,8 @@ from tidemark.operators import joins
 from tidemark.sinks.versions import Change, Versions
 
 CLASSES = ["OS", "Device", "Browser", "Is_Mobile"]
+# What the rules say of no agent.
+OF_NO_AGENT = ["", "", "", False]
 
 
 def classified(distinct: DataFrame) -> DataFrame:
@@ -54,6 +56,6 @@ def with_agent(logs: DataFrame, spread_by: list[str], known: DataFrame | None =
     def classes(distinct: DataFrame) -> DataFrame:
         return classified(distinct) if known is None else distinct.join(known.select("UserAgent", *CLASSES), "UserAgent", "left")
 
-    named = logs.where("UserAgent IS NOT NULL")
-    looked_up = joins.lookup_distinct(named, "UserAgent", classes, spread_by)
-    return looked_up.unionByName(classified(logs.where("UserAgent IS NULL")))
+    looked_up = joins.lookup_distinct(logs, "UserAgent", classes, spread_by)
+    named = F.col("UserAgent").isNotNull()
+    return looked_up.withColumns({c: F.when(named, F.col(c)).otherwise(F.lit(v)) for c, v in zip(CLASSES, OF_NO_AGENT)})

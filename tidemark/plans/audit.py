@@ -100,36 +100,52 @@ def _times_where_known(name: str) -> Column:
     return F.sum(F.when(_c(name).isNotNull(), F.col("_times")).otherwise(F.lit(0)))
 
 
+def _measures(weighted: DataFrame) -> DataFrame:
+    """All counts of a sales rep, in one grouping of rows that are one for each account and rep.
+
+    Accounts that are listed several times are brought together first, so that distinct ones are counted without a set.
+    """
+    account = _c(ACCOUNT_ID)
+    once = weighted.groupBy(_c(DIRECTOR), _c(MANAGER), _c(OWNER), account).agg(
+        F.when(account.isNotNull(), F.sum("_times")).alias("_rows"),
+        _times_where_known(ACCOUNT_NAME).alias("_named"),
+        F.sum(_c(AUDITED) * F.col("_times")).alias("_audits"),
+    )
+    return _by_rep(
+        once,
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("Count of Account 18 ID"),
+        F.count(account).alias("Distinct Count of Account 18 ID"),
+        F.sum("_named").alias("Count of Account Name"),
+        F.sum("_audits").alias("Sum of Audits Completed"),
+    )
+
+
+def _audit_share() -> Column:
+    return F.round(nulls.safe_ratio(_c("Sum of Audits Completed"), _c("Count of Account Name"), scale=100), 0)
+
+
 def previous(weighted: DataFrame) -> DataFrame:
     """Per sales rep: accounts, audits and the share of audits."""
-    names, audits = "Count of Account Name", "Sum of Audits Completed"
-    return _by_rep(
-        weighted,
-        _times_where_known(ACCOUNT_NAME).alias(names),
-        F.sum(_c(AUDITED) * F.col("_times")).alias(audits),
-    ).select(
-        _c(DIRECTOR), _c(MANAGER), _c(REPORT_OWNER), PAIR, _c(names), _c(audits),
-        F.round(nulls.safe_ratio(_c(audits), _c(names), scale=100), 0).alias("MTD Audit %"),
+    return _measures(weighted).select(
+        _c(DIRECTOR), _c(MANAGER), _c(REPORT_OWNER), PAIR, _c("Count of Account Name"), _c("Sum of Audits Completed"),
+        _audit_share().alias("MTD Audit %"),
     )
 
 
+def _with_previous(measures: DataFrame, **kept: Column) -> DataFrame:
+    """The measures of reps with what is kept of those with the same names. Both sides come from one shuffle of the accounts."""
+    before = measures.select(PAIR, *[value.alias(name) for name, value in kept.items()])
+    return measures.join(before, PAIR, "left")
+
+
 def pivot_report(weighted: DataFrame) -> DataFrame:
     """Per sales rep: account rows, distinct accounts and the previous number of accounts."""
-    before = previous(weighted).select(PAIR, _c("Count of Account Name").alias("Previous # of Accounts"))
-    return _account_counts(weighted).join(before, PAIR, "left").select(
+    return _with_previous(_measures(weighted), _before=_c("Count of Account Name")).select(
         _c(DIRECTOR), _c(MANAGER), _c(REPORT_OWNER), PAIR,
-        _c("Count of Account 18 ID"), _c("Distinct Count of Account 18 ID"), _c("Previous # of Accounts"),
+        _c("Count of Account 18 ID"), _c("Distinct Count of Account 18 ID"), F.col("_before").alias("Previous # of Accounts"),
     )
 
 
-def _account_counts(weighted: DataFrame) -> DataFrame:
-    return _by_rep(
-        weighted,
-        _times_where_known(ACCOUNT_ID).alias("Count of Account 18 ID"),
-        F.count_distinct(_c(ACCOUNT_ID)).alias("Distinct Count of Account 18 ID"),
-    )
-
-
 def gap_list(weighted: DataFrame) -> DataFrame:
     """One row per account and its attributes with the number of exclusions."""
     keys = [ACCOUNT_NAME, AUDITED, "Channel", ACCOUNT_ID, DIRECTOR, MANAGER, OWNER, *GAP_COLUMNS]
@@ -141,18 +157,16 @@ def summary(weighted: DataFrame) -> DataFrame:
 
     ``Sum of Audits Completed`` is the number of distinct accounts, as in the report this column comes from.
     """
-    rows, distinct = _c("Count of Account 18 ID"), _c("Distinct Count of Account 18 ID")
-    before = previous(weighted).select(
-        PAIR, _c("MTD Audit %").alias("Prior Week"), _c("Count of Account Name").alias("Previous # of Accounts")
-    )
-    share = F.coalesce(nulls.safe_ratio(distinct, rows), F.lit(0.0)) * 100
-    return _account_counts(weighted).join(before, PAIR, "left").select(
+    entries, distinct, before = _c("Count of Account 18 ID"), _c("Distinct Count of Account 18 ID"), F.col("_before")
+    share = F.coalesce(nulls.safe_ratio(distinct, entries), F.lit(0.0)) * 100
+    measures = _with_previous(_measures(weighted), _before=_c("Count of Account Name"), _share=_audit_share())
+    return measures.select(
         _c(DIRECTOR), _c(MANAGER), _c(REPORT_OWNER),
-        rows.alias("Count of Account Name"),
+        entries.alias("Count of Account Name"),
         distinct.alias("Sum of Audits Completed"),
         F.round(share, 0).alias("MTD Audit %"),
-        _c("Prior Week"),
-        _c("Previous # of Accounts"),
-        (rows - _c("Previous # of Accounts")).alias("Database Movement"),
-        (rows - distinct).alias("No of Accounts Not Audited"),
+        F.col("_share").alias("Prior Week"),
+        before.alias("Previous # of Accounts"),
+        (entries - before).alias("Database Movement"),
+        (entries - distinct).alias("No of Accounts Not Audited"),
     )

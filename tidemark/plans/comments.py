@@ -20,8 +20,6 @@ WORD_GAP = "[ \\t,;:]+"
 ANY_GAP = "[.!?\\n \\t,;:]+"
 # More positions than one comment can hold.
 POSITIONS = 1 << 31
-# Rows that may be broadcast: some megabytes at most.
-FEW_ROWS = 100_000
 
 
 def scored_comments(df: DataFrame) -> DataFrame:
@@ -118,7 +116,8 @@ def key_sentences(df: DataFrame, order: str, n: int = 3) -> DataFrame:
     The built-in summary: words are counted over the whole group, a sentence weighs the mean count of its words (in
     thousandths, rounded down), ties go to the earlier sentence. Equal sentences are merged before their words are
     looked up, so copies cost nothing further on; very frequent words are spread before they meet their counts. The
-    text of the chosen sentences is fetched at the end, for a handful of comments only.
+    text of the chosen sentences is fetched at the end, by comment: Spark sends the places to the comments if they are few,
+    as it measures, and drops other comments before a shuffle if they are not.
     """
     # comment and position in one number, so that the first place is a cheap minimum
     positions = F.lit(POSITIONS).cast("decimal(10,0)")
@@ -147,9 +146,6 @@ def key_sentences(df: DataFrame, order: str, n: int = 3) -> DataFrame:
         .withColumn("weight", F.expr("(_sum * 1000) div _words"))
     )
     best = windows.keep_top(weighed, ["score"], [F.col("weight").desc(), F.col(order), F.col("pos")], n)
-    # ``n`` rows per score: sent to the comments if that is little, so that no comment text is shuffled to meet them
-    if _relevant(df).select("score").distinct().count() * n <= FEW_ROWS:
-        best = F.broadcast(best)
     sentence = F.trim(F.get(F.split("comment", SENTENCE_END), F.col("pos")))
     return (
         _relevant(df)

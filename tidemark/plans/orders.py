@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, nulls, text
-from tidemark.operators import aggregates, windows
+from tidemark.operators import aggregates, joins, windows
 from tidemark.plans.promotions import promo_components
 
 # Statuses and labels shared with the consumers of the mart.
@@ -142,8 +142,9 @@ def _expansions(promo_product: DataFrame, product: DataFrame) -> DataFrame:
 def fact_order_line(order_line, order, promo_product, product) -> DataFrame:
     """Order lines as sold, plus one line per component of every promotion sold.
 
-    One left join does both: a line that sells no promotion matches nothing and passes once, a line that sells one
-    meets the promotion itself and each of its components. The lines are read and shuffled once.
+    A line that sells no promotion matches nothing and passes once, a line that sells one meets the promotion itself and
+    each of its components. Lines with and without a match are found apart, so that a promotion which is sold very often,
+    or has very many components, can be split.
     """
     orders = order.select(F.col("id").alias("order"), F.col("country_id").alias("_order_country"))
     cancelled = F.col("status") == CANCELLED
@@ -164,8 +165,8 @@ def fact_order_line(order_line, order, promo_product, product) -> DataFrame:
             }
         )
     )
-    expansions = _expansions(promo_product, product).withColumnRenamed("promo_id", "_promo")
-    expanded = base.join(expansions, F.col("product_id") == F.col("_promo"), "left")
+    expansions = _expansions(promo_product, product).withColumn("_promo", F.col("promo_id"))
+    expanded = joins.left_join_many(base, expansions.withColumnRenamed("promo_id", "product_id"), ["product_id"])
 
     is_component = F.coalesce(F.col("_transformed") == 1, F.lit(False))
     units, position = F.col("_units"), F.col("_rn")
