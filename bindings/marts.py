@@ -341,25 +341,6 @@ LINE_CTES = {"components": COMPONENTS}
 _register("m23_fact_order_line", "Fact_Order_Line", LINE_TABLES, FACT_ORDER_LINE, **LINE_CTES)
 
 
-@query(
-    "m24_hours",
-    """
-    SELECT CAST(h AS INT) AS "Hourid", LPAD(CAST(h AS VARCHAR), 2, '0') || ' to ' || LPAD(CAST(h + 1 AS VARCHAR), 2, '0')
-        AS "HourRange",
-      CASE WHEN h BETWEEN 8 AND 12 THEN 'MORNING' WHEN h BETWEEN 13 AND 18 THEN 'AFTERNOON' ELSE 'OOO' END
-        AS "HourDescription",
-      CAST(CASE WHEN h BETWEEN 8 AND 12 THEN 2 WHEN h BETWEEN 13 AND 18 THEN 3 ELSE 1 END AS INT)
-        AS "HourDescriptionOrder",
-      (SELECT COUNT(*) FROM events WHERE HOUR(ts) = h) AS events
-    FROM RANGE(24) t(h)""",
-)
-def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hours with the number of events in each."""
-    hours = mart_tables(AS_OF)["Dim_Hours_Order"].make(staging(spark, sf_dir, "country"))
-    per_hour = table(spark, sf_dir, "events").groupBy(F.hour("ts").alias("Hourid")).agg(F.count("*").alias("events"))
-    return hours.join(per_hour, "Hourid", "left").withColumn("events", F.coalesce("events", F.lit(0)))
-
-
 _register(
     "m25_nps",
     "Fact_NPS_Result",

@@ -145,27 +145,34 @@ FACTORS = """
     SELECT id_location, social_class, SUM(probability_factor) AS probability_factor FROM st_sociodemographic
     WHERE age_group IN ('MACHINERY', 'BUILDING', 'FURNITURE') AND social_class IN ('Medio', 'Alto') AND sex = '1'
     GROUP BY ALL"""
-SHOWINGS = """
-    SELECT DAYNAME(CAST(t.fecha AS DATE)) AS day, t.channel, t.timestamp_from AS s, t.timestamp_to AS e, t.epg_title,
-      d.social_class AS class,
-      SUM(t.cable_box_action * d.probability_factor) / NULLIF(SUM(t.cable_box_count * d.probability_factor), 0) * 100 AS r
-    FROM st_main_table t LEFT JOIN factors d ON t.id_location = d.id_location
-    WHERE CAST(t.fecha AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY ALL"""
-TITLES = """
-    SELECT channel, epg_title, MIN(s) AS epg_start, MIN(e) AS epg_end, SUM(r) AS rating,
-      SUM(CASE class WHEN 'Alto' THEN r ELSE 0 END) AS rating_upper_class,
-      SUM(CASE class WHEN 'Medio' THEN r ELSE 0 END) AS rating_middle_class,
-      SUM(CASE class WHEN 'Bajo' THEN r ELSE 0 END) AS rating_lower_class,
-      SUM(CASE day WHEN 'Sunday' THEN r ELSE 0 END) AS rating_sunday,
-      SUM(CASE day WHEN 'Monday' THEN r ELSE 0 END) AS rating_monday,
-      SUM(CASE day WHEN 'Tuesday' THEN r ELSE 0 END) AS rating_tuesday,
-      SUM(CASE day WHEN 'Wednesday' THEN r ELSE 0 END) AS rating_wednesday,
-      SUM(CASE day WHEN 'Thursday' THEN r ELSE 0 END) AS rating_thursday,
-      SUM(CASE day WHEN 'Friday' THEN r ELSE 0 END) AS rating_friday,
-      SUM(CASE day WHEN 'Saturday' THEN r ELSE 0 END) AS rating_saturday
-    FROM showings GROUP BY ALL"""
+# a location is a customer: the chosen ones have a class and a weight
+CHOSEN = """
+    SELECT c_custkey, IF(c_acctbal < 6000, 'Medio', 'Alto') AS kind, (c_nationkey + 1) / 32e0 AS weight FROM customer
+    WHERE c_acctbal >= 2000 AND c_nationkey < 12 AND c_mktsegment IN ('MACHINERY', 'BUILDING', 'FURNITURE')"""
+# an event is a look at the show with the number in its properties, which runs in the hour of the event
+SHOWS = """
+    SELECT event_type AS channel, title_no, runs_at, kind, SUM(value * weight) / NULLIF(SUM(title_no % 3 * weight), 0) * 100 AS rated
+    FROM (SELECT event_type, user_id, value, TIME_BUCKET(INTERVAL 1 HOUR, ts) AS runs_at,
+            CAST(REGEXP_EXTRACT(props, '[0-9]+') AS INT) AS title_no FROM events)
+    LEFT JOIN chosen ON user_id = c_custkey
+    WHERE runs_at >= TIMESTAMP '2024-01-01' AND runs_at < TIMESTAMP '2024-02-01' GROUP BY ALL"""
+# what each class and each weekday has of a title
+LABELLED = """
+    SELECT channel, title_no, MAP_FROM_ENTRIES(LIST((label, {shows: shows, rated: rated}))) AS of_label
+    FROM (SELECT channel, title_no, label, COUNT(*) AS shows, SUM(rated) AS rated
+          FROM (SELECT channel, title_no, rated, UNNEST([kind, DAYNAME(runs_at)]) AS label FROM shows) GROUP BY ALL)
+    WHERE label IS NOT NULL GROUP BY ALL"""
+LABEL_COLUMNS = ", ".join(
+    f"IF(of_label['{label}'].shows = shows, of_label['{label}'].rated, COALESCE(of_label['{label}'].rated, 0)) AS {name}"
+    for name, label in {**planner.SOCIAL_CLASSES, **planner.WEEKDAYS}.items()
+)
+TITLES = f"""
+    SELECT channel, 'Show ' || title_no AS epg_title, first_run AS epg_start,
+      first_run + IF(title_no = 7, 0, 45) * INTERVAL 1 MINUTE AS epg_end, rating, {LABEL_COLUMNS}
+    FROM (SELECT channel, title_no, MIN(runs_at) AS first_run, COUNT(*) AS shows, SUM(rated) AS rating FROM shows GROUP BY ALL)
+    LEFT JOIN labelled USING (channel, title_no)"""
+TITLE_CTES = {"chosen": CHOSEN, "shows": SHOWS, "labelled": LABELLED, "titles": TITLES}
 RATINGS = ["rating", *planner.SOCIAL_CLASSES, *planner.WEEKDAYS]
-PLANNER_TABLES = ["main_table", "sociodemographic"]
 
 
 def _audience(spark: SparkSession) -> planner.Audience:
@@ -180,12 +187,10 @@ def _factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "r07_planner",
     with_staging(
-        PLANNER_TABLES,
+        [],
         f"""SELECT channel, epg_title, STRFTIME(epg_start, '%Y-%m-%d %H:%M') AS epg_start,
         STRFTIME(epg_end, '%Y-%m-%d %H:%M') AS epg_end, {", ".join(f"ROUND({c}, 4) AS {c}" for c in RATINGS)} FROM titles""",
-        factors=FACTORS,
-        showings=SHOWINGS,
-        titles=TITLES,
+        **TITLE_CTES,
     ),
 )
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,16 +207,14 @@ def _per_minute(source: str, name: str) -> str:
 @query(
     "r08_planner_report",
     with_staging(
-        PLANNER_TABLES,
+        [],
         f"""
         SELECT channel, epg_title, STRFTIME(epg_start, '%Y-%m-%d %H:%M') AS epg_start,
           STRFTIME(epg_end, '%Y-%m-%d %H:%M') AS epg_end, epg_duration, {_per_minute("rating", "rating_promedio")},
           {", ".join(_per_minute(c, c) for c in RATINGS[1:])}
         FROM (SELECT *, CAST(DATE_DIFF('second', epg_start, epg_end) AS DOUBLE) / 60 AS epg_duration FROM titles)
         ORDER BY channel, epg_title, epg_start""",
-        factors=FACTORS,
-        showings=SHOWINGS,
-        titles=TITLES,
+        **TITLE_CTES,
     ),
 )
 def _planner_report(spark: SparkSession, sf_dir: str) -> DataFrame:
