@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +27,26 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # a space between white space belongs to a run that must not be cut
 BETWEEN_SPACES = re.compile(r"\s (?:\s|$)")
-CACHED = 200_000
+#: Parts whose ids a task keeps, twice at most: some hundred bytes each.
+CACHED = 500_000
+
+
+class Parts(dict):
+    """Ids of parts of texts by part, as bytes. When it is full, those not used again until the next time go."""
+
+    def __init__(self, encoding: tiktoken.Encoding, before: str) -> None:
+        self.encoding, self.before, self.older = encoding, before, {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("I", self.encoding.encode_ordinary(self.before + part)).tobytes()
+        if len(part) <= 64:
+            if len(self) >= CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
 
 
 class Tokenizer:
@@ -51,13 +71,13 @@ class Tokenizer:
         special = {token for token in tokens if token.startswith("<|") and token.endswith("|>")}
         ranks = {k: i for k, i in ranks.items() if k.decode("utf-8", "replace") not in special}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.parts: dict[str, bytes] = {}
+        self.first, self.later = Parts(self.encoding, ""), Parts(self.encoding, " ")
 
     def encode(self, text: str) -> np.ndarray:
         """Unsigned 32-bit ids; the parts between added tokens are texts of their own."""
-        parts = self.added_token.split(text) if self.added_token else [text]
-        if len(parts) == 1:
+        if not any(token in text for token in self.added):
             return self.ids(text)
+        parts = self.added_token.split(text)
         found = [np.array([self.added[p]], "<u4") if i % 2 else self.ids(p) for i, p in enumerate(parts) if i % 2 or p]
         return np.concatenate(found)
 
@@ -66,17 +86,7 @@ class Tokenizer:
         if BETWEEN_SPACES.search(text):
             return np.array(self.encoding.encode_ordinary(text), dtype="<u4")
         first, *rest = text.split(" ")
-        known, out = self.parts, []
-        for part in (first, *[" " + r for r in rest]):
-            ids = known.get(part)
-            if ids is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                ids = np.array(self.encoding.encode_ordinary(part), dtype="<u4").tobytes()
-                if len(part) <= 64:
-                    known[part] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype="<u4")
+        return np.frombuffer(b"".join([self.first[first], *map(self.later.__getitem__, rest)]), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
@@ -210,18 +220,18 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
     return list(found.items())
 
 
-def plan_sequences(counts: np.ndarray, capacity: int, few: int = 20_000, rounds: int = 4) -> list[tuple[tuple, int]]:
+def plan_sequences(counts: np.ndarray, capacity: int, rounds: int = 4) -> list[tuple[tuple, int]]:
     """Configurations and whole numbers of sequences that hold exactly ``counts`` pieces of each length.
 
     Whole parts of the fractional solution are taken, the rest is solved again, and the last rest is packed best-fit. If
-    it packs best-fit in fewer sequences altogether (tried up to ``few`` pieces, where both are cheap), that is taken.
+    best fit alone takes fewer sequences, as it may at any number of pieces, that is the plan.
     """
     rest = counts.astype(np.int64).copy()
     plan: list[tuple[tuple, int]] = []
     if rest[capacity]:
         plan.append(((capacity,), int(rest[capacity])))
         rest[capacity] = 0
-    small = best_fit(rest, capacity) if rest.sum() <= few else None
+    plain = best_fit(rest, capacity)
     whole: list[tuple[tuple, int]] = []
     for _ in range(rounds):
         taken = 0
@@ -238,8 +248,8 @@ def plan_sequences(counts: np.ndarray, capacity: int, few: int = 20_000, rounds:
         if not taken:
             break
     whole += best_fit(rest, capacity)
-    if small is not None and sum(n for _, n in small) < sum(n for _, n in whole):
-        whole = small
+    if sum(n for _, n in plain) < sum(n for _, n in whole):
+        whole = plain
     return plan + whole
 
 
