@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_texts import sentence
 from pyspark.sql import functions as F
@@ -424,6 +425,41 @@ def test_strings_against_brute_force(docs, nasty, bounds):
     assert found == brute_strings(rows, 50)
 
 
+def shard(contents):
+    n = len(contents)
+    return pa.table({"doc_id": pa.array(range(n), pa.int64()), "text_key": pa.array(range(n), pa.int64()),
+                     "start": pa.array([0] * n, pa.int32()), "content": pa.array([c.encode() for c in contents], pa.binary())})
+
+
+@pytest.mark.parametrize("limit", [None, 60])
+def test_shard_with_more_words_than_letters(limit, monkeypatch):
+    if limit:
+        monkeypatch.setattr(passages, "LAST", 0x800 + limit)
+        monkeypatch.setattr(passages, "SURROGATES", 22)
+    rng = random.Random(3)
+    passage = [[f"p{n}w{i}" for i in range(25)] for n in range(6)]
+    contents = [" ".join([f"a{n}"] * (n % 3) + rng.choice(passage)[rng.randint(0, 5) :] + [f"b{n} c{n % 7}"]) for n in range(150)]
+    got = passages.automaton_solver(8)(shard(contents)).to_pylist()
+    gone = {}
+    for r in got:
+        gone.setdefault(r["doc_id"], set()).update(range(r["low"], r["high"]))
+    for (i, _, n_removed, _), text in zip(sorted(brute_passages(list(enumerate(contents)), 8), key=lambda r: int(r[0])), contents):
+        assert len(gone.get(int(i), ())) == n_removed
+
+
+def test_shard_with_a_million_different_words():
+    contents = [" ".join(f"{n}x{i}" for i in range(36)) for n in range(33_000)] + ["same " * 3 + " ".join(map(str, range(30)))] * 2
+    got = passages.automaton_solver(20)(shard(contents)).to_pylist()
+    assert [(r["doc_id"], r["low"], r["high"]) for r in got] == [(33_001, 0, 33)]
+
+
+def test_documents_without_id_are_told_apart(docs):
+    """Many texts without an id: each has its own list of places and ranges."""
+    rows = [(None, f"{sentence(n, 30)} {sentence(0, 40)}") for n in range(1000)] + [(5, sentence(0, 40))]
+    got = passages.remove_repeated(docs([(*r, "en", "a") for r in rows])).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute_passages(rows, 20)
+
+
 def test_substring_operators_without_documents(docs):
     assert passages.remove_repeated(docs([])).count() == 0 and suffixes.remove_repeated(docs([])).count() == 0
 

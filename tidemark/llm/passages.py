@@ -8,7 +8,7 @@ the first are removed. Text away from recurring anchors cannot hold a recurring
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import unused_name
-from tidemark.llm.recurring import _mixed, apply_ranges, merged_starts, power_sums, recurring_ranges, removed_mask
+from tidemark.llm.recurring import (
+    MIX, STEP, _mixed, apply_ranges, merged_starts, power_sums, recurring_ranges, removed_mask, run_hashes,
+)
 
 ANCHOR_WORDS = 4
 PART = 1 << 18
@@ -59,13 +61,23 @@ def _word_slicer(data: bytes):
     return lambda low, high: data[first[low] : last[high - 1]]
 
 
-class _Letters(dict):
-    """One character for each different word of a shard; surrogates are left out."""
+#: Code points of letters: the filler, first or only letters, and those that may stand behind another one.
+FILLER, FIRST, SECOND, SURROGATES, LAST = 1, 2, 0x10000, 0xD800, 0x10FFFF
 
-    def __missing__(self, word: bytes) -> str:
-        n = len(self) + 1
-        value = self[word] = chr(n if n < 0xD800 else n + 0x800)
-        return value
+
+def letters_of(n: int) -> tuple[np.ndarray, int]:
+    """For each of ``n`` numbers its letters, and how many these are: one, or two if there are not enough."""
+    numbers = np.arange(n, dtype=np.int64)
+    if n <= LAST - 0x800:
+        single = numbers + FIRST
+        return (single + 0x800 * (single >= SURROGATES))[:, None], 1
+    size = SURROGATES - FIRST
+    # the two kinds of letters do not mix, so that no hit begins in the middle of a word
+    return np.stack([numbers % size + FIRST, numbers // size + SECOND], axis=1), 2
+
+
+def _as_text(letters: np.ndarray) -> str:
+    return letters.astype("<u4").tobytes().decode("utf-32-le")
 
 
 def automaton_solver(window: int):
@@ -76,44 +88,56 @@ def automaton_solver(window: int):
         # equal pieces are streamed once, for all the places where they stand
         piece_of: dict[bytes, int] = {}
         which = np.array([piece_of.setdefault(c, len(piece_of)) for c in table.column("content").to_pylist()], np.int64)
-        letters = _Letters()
-        phrases = ["".join(map(letters.__getitem__, content.split())) for content in piece_of]
-        several = (np.bincount(which, minlength=len(phrases)) > 1).tolist()
-        seen: set[str] = set()
-        again: set[str] = set()
-        for phrase, repeated in zip(phrases, several):
-            windows = [phrase[i : i + window] for i in range(len(phrase) - window + 1)]
-            again.update(windows if repeated else [w for w in windows if w in seen])
-            seen.update(windows)
-            if not repeated and len(set(windows)) < len(windows):
-                again.update(w for w, n in Counter(windows).items() if n > 1)
-        del seen
-        if not again:
+        several = np.bincount(which, minlength=len(piece_of)) > 1
+        # the pieces as numbers of words, each with a gap behind it
+        number_of: defaultdict[bytes, int] = defaultdict()
+        number_of.default_factory = number_of.__len__
+        gap = number_of[b""]
+        words = np.fromiter((n for c in piece_of for n in [*map(number_of.__getitem__, c.split()), gap]), np.int64)
+        ends = np.flatnonzero(words == gap)
+        begins = np.append(0, ends[:-1] + 1)
+        owner = np.repeat(np.arange(len(ends)), ends + 1 - begins)
+        place = np.flatnonzero(owner[:-window] == owner[window:]) if len(words) > window else owner[:0]
+        one, two = (run_hashes(words.astype(np.uint64) * MIX + STEP, window, seed)[place] for seed in (1, 2))
+        _, first, same, times = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
+        likely = (times[same] > 1) | several[owner[place]]
+        if not likely.any():
             return _ranges(ids, keys, which[:0], which[:0], window)
+        # one place for each different window; those that only share a hash are taken as well
+        chosen = np.zeros(len(place), bool)
+        chosen[first] = True
+        chosen = likely & (chosen | (two != two[first[same]]))
+        # a word that stands once, in a piece that stands once, is in no recurring window
+        single = np.bincount(words, minlength=len(number_of)) == 1
+        single[words[several[owner]]] = False
+        single[gap] = True
+        known = np.flatnonzero(~single)
+        letters, width = letters_of(len(known))
+        letter_of = np.full((len(number_of), width), FILLER, np.int64)
+        letter_of[known] = letters
+        text = _as_text(letter_of[words].ravel())
+
         confirmed = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for number, phrase in enumerate(again):
-            confirmed.add_word(phrase, number)
+        for number, at in enumerate((place[chosen] * width).tolist()):
+            confirmed.add_word(text[at : at + window * width], number)
         confirmed.make_automaton()
-        ends, numbers, found = [], [], np.zeros(len(phrases), np.int64)
-        for n, phrase in enumerate(phrases):
-            hits = list(confirmed.iter(phrase))
-            found[n] = len(hits)
-            ends += [end for end, _ in hits]
-            numbers += [number for _, number in hits]
-        offset = np.array(ends, dtype=np.int64) - window + 1
-        number = np.array(numbers, dtype=np.int64)
+        hits = list(confirmed.iter(text))
+        ending, number = (np.fromiter(c, np.int64, len(hits)) for c in zip(*hits))
+        at = (ending + 1) // width - window
+        piece = owner[at]
+        offset, found = at - begins[piece], np.bincount(piece, minlength=len(ends))
         # every hit at every place of its piece
-        times = found[which]
-        row = np.repeat(np.arange(len(which)), times)
-        begins = np.cumsum(found) - found
-        hit = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) + begins[which[row]]
+        often = found[which]
+        row = np.repeat(np.arange(len(which)), often)
+        before = np.cumsum(found) - found
+        hit = np.arange(len(row)) - np.repeat(np.cumsum(often) - often, often) + before[which[row]]
         start, number = starts[row] + offset[hit], number[hit]
         order = np.lexsort((start, ids[row], number))
         row, start, number = row[order], start[order], number[order]
         new = np.ones(len(row), bool)
         new[1:] = number[1:] != number[:-1]
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = (ids[row] != ids[row[first]]) | (start != start[first])
+        earliest = np.flatnonzero(new)[np.cumsum(new) - 1]
+        later = (ids[row] != ids[row[earliest]]) | (start != start[earliest])
         return _ranges(ids, keys, row[later], start[later], window)
 
     return solve

@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import map_columns, map_rows, release, stored, unused_name
 
@@ -82,7 +82,14 @@ def anchors(units: np.ndarray, k: int, window: int) -> Iterator[tuple[np.ndarray
 
 
 def text_key(text: bytes) -> int:
-    return xxhash.xxh64_intdigest(text) - (1 << 63)
+    """As Spark's ``xxhash64`` of the text."""
+    value = xxhash.xxh64_intdigest(text, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def nameless(own_id: Column, text: Column) -> Column:
+    """What tells documents without an id apart: a hash of their text; 0 for the others."""
+    return F.when(own_id.isNull(), F.xxhash64(F.coalesce(text, F.lit("")))).otherwise(F.lit(0).cast("long"))
 
 
 def recurring_ranges(
@@ -110,7 +117,10 @@ def recurring_ranges(
     A shard holds about ``shard_rows`` pieces, and of one anchor at most ``often``: some ten megabytes of text.
     """
     spark = docs.sparkSession
-    source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
+    own_id, content = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
+    source = docs.select(
+        F.coalesce(own_id, F.lit(LAST_ID)).alias("id"), nameless(own_id, content).alias("of_text"), content.alias("text")
+    )
 
     def count(texts: list) -> Iterator[tuple]:
         found = []
@@ -129,23 +139,24 @@ def recurring_ranges(
     usual = recurring.where(F.col("n") <= often).agg(F.sum("n")).first()[0] or 0
     shards = max(1, int(usual) // shard_rows)
 
-    def place(ids: list, texts: list) -> Iterator[tuple]:
-        hashes, owners, numbers = [], [], []
-        for i, t in zip(ids, texts):
+    def place(ids: list, of_texts: list, texts: list) -> Iterator[tuple]:
+        hashes, owners, text_owners, numbers = [], [], [], []
+        for i, of_text, t in zip(ids, of_texts, texts):
             own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window)]
             if own:
                 hashes += own
                 n = sum(map(len, own))
                 owners.append(np.full(n, i, np.int64))
+                text_owners.append(np.full(n, of_text, np.int64))
                 numbers.append(np.arange(n, dtype=np.int32))
         if hashes:
-            yield np.concatenate(hashes), np.concatenate(owners), np.concatenate(numbers)
+            yield tuple(map(np.concatenate, (hashes, owners, text_owners, numbers)))
 
-    placed = map_columns(source, ["id", "text"], place, "h long, of_id long, number int")
+    placed = map_columns(source, ["id", "of_text", "text"], place, "h long, id long, of_text long, number int")
     # numbers of a document's recurring anchors; those that occur often are marked by a negative number
     lists = (
         placed.join(recurring, "h")
-        .groupBy("of_id")
+        .groupBy("id", "of_text")
         .agg(F.collect_set(F.when(F.col("n") > often, -1 - F.col("number")).otherwise(F.col("number"))).alias("numbers"))
     )
     lists = stored(lists, f"{name}-candidates")
@@ -181,7 +192,7 @@ def recurring_ranges(
             yield np.full(n, -1, np.int32), *columns[:3], [None] * n, *columns[3:]
 
     # texts meet their anchors once; both kinds of pieces are read from the table they are written to
-    joined = source.join(lists, F.col("id") == F.col("of_id"))
+    joined = source.join(lists, ["id", "of_text"])
     pieces = stored(
         map_columns(
             joined, ["id", "text", "numbers"], cut,
@@ -230,11 +241,18 @@ def apply_ranges(
     """The columns of ``keep`` and what ``function`` makes of each text and its ranges."""
     found = stored(ranges, "recurring-ranges")
     release(docs.sparkSession)
-    # all texts of an id stand in one row, so that documents meet their ranges by id alone
-    of_id, own, key = (unused_name(docs, c) for c in ("of_id", "own_ranges", "id_key"))
-    by_id = found.groupBy(F.col("doc_id").alias(of_id)).agg(F.collect_list(F.struct("text_key", "ranges")).alias(own))
-    keyed = docs.withColumn(key, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID)))
-    joined = keyed.join(by_id, F.col(key) == F.col(of_id), "left")
+    # all texts of an id stand in one row, so that documents meet their ranges by id; without an id, by text
+    names = ("of_id", "of_text", "own_ranges", "id_key", "text_key")
+    of_id, of_text, own, key, own_text = (unused_name(docs, c) for c in names)
+    told_apart = F.when(F.col("doc_id") == LAST_ID, F.col("text_key")).otherwise(F.lit(0).cast("long"))
+    by_id = found.groupBy(F.col("doc_id").alias(of_id), told_apart.alias(of_text)).agg(
+        F.collect_list(F.struct("text_key", "ranges")).alias(own)
+    )
+    own_id = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID))
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    by_text = F.when(own_id == LAST_ID, F.xxhash64(content)).otherwise(F.lit(0).cast("long"))
+    keyed = docs.withColumns({key: own_id, own_text: by_text})
+    joined = keyed.join(by_id, (F.col(key) == F.col(of_id)) & (F.col(own_text) == F.col(of_text)), "left")
 
     def run(texts: list, all_ranges: list) -> Iterator[tuple]:
         for t, options in zip(texts, all_ranges):
