@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -61,6 +62,8 @@ def _word_slicer(data: bytes):
     return lambda low, high: data[first[low] : last[high - 1]]
 
 
+#: A byte that UTF-8 does not have.
+GAP = b"\xff"
 #: Code points of letters: the filler, first or only letters, and those that may stand behind another one.
 FILLER, FIRST, SECOND, SURROGATES, LAST = 1, 2, 0x10000, 0xD800, 0x10FFFF
 
@@ -89,11 +92,13 @@ def automaton_solver(window: int):
         piece_of: dict[bytes, int] = {}
         which = np.array([piece_of.setdefault(c, len(piece_of)) for c in table.column("content").to_pylist()], np.int64)
         several = np.bincount(which, minlength=len(piece_of)) > 1
-        # the pieces as numbers of words, each with a gap behind it
+        # the pieces as numbers of words, each with a gap behind it, which no text can hold
         number_of: defaultdict[bytes, int] = defaultdict()
         number_of.default_factory = number_of.__len__
-        gap = number_of[b""]
-        words = np.fromiter((n for c in piece_of for n in [*map(number_of.__getitem__, c.split()), gap]), np.int64)
+        gap = number_of[GAP]
+        every = (b" %s " % GAP).join([*piece_of, b""]).split()
+        words = np.fromiter(map(number_of.__getitem__, every), np.int64, len(every))
+        del every
         ends = np.flatnonzero(words == gap)
         begins = np.append(0, ends[:-1] + 1)
         owner = np.repeat(np.arange(len(ends)), ends + 1 - begins)
@@ -121,8 +126,7 @@ def automaton_solver(window: int):
         for number, at in enumerate((place[chosen] * width).tolist()):
             confirmed.add_word(text[at : at + window * width], number)
         confirmed.make_automaton()
-        hits = list(confirmed.iter(text))
-        ending, number = (np.fromiter(c, np.int64, len(hits)) for c in zip(*hits))
+        ending, number = np.fromiter(chain.from_iterable(confirmed.iter(text)), np.int64).reshape(-1, 2).T
         at = (ending + 1) // width - window
         piece = owner[at]
         offset, found = at - begins[piece], np.bincount(piece, minlength=len(ends))
