@@ -58,8 +58,8 @@ def word_units(data: bytes) -> np.ndarray:
 
 def _word_slicer(data: bytes):
     parts = [(first + start, last + start) for start, raw in _blocks(data) for first, last in [_words(raw)]]
-    first, last = (np.concatenate(x).tolist() for x in zip(*parts)) if parts else ([], [])
-    return lambda low, high: data[first[low] : last[high - 1]]
+    first, last = map(np.concatenate, zip(*parts)) if parts else (np.zeros(0, int),) * 2
+    return lambda low, high: [data[a:b] for a, b in zip(first[low].tolist(), last[high - 1].tolist())]
 
 
 #: A byte that UTF-8 does not have.
@@ -120,14 +120,16 @@ def automaton_solver(window: int):
         letters, width = letters_of(len(known))
         letter_of = np.full((len(number_of), width), FILLER, np.int64)
         letter_of[known] = letters
-        text = _as_text(letter_of[words].ravel())
+        # what has no such window is left out of the text that is streamed
+        streamed = np.flatnonzero(np.bincount(owner[place[likely]], minlength=len(ends))[owner])
+        text = _as_text(letter_of[words[streamed]].ravel())
 
         confirmed = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for number, at in enumerate((place[chosen] * width).tolist()):
+        for number, at in enumerate((np.searchsorted(streamed, place[chosen]) * width).tolist()):
             confirmed.add_word(text[at : at + window * width], number)
         confirmed.make_automaton()
         ending, number = np.fromiter(chain.from_iterable(confirmed.iter(text)), np.int64).reshape(-1, 2).T
-        at = (ending + 1) // width - window
+        at = streamed[(ending + 1) // width - window]
         piece = owner[at]
         offset, found = at - begins[piece], np.bincount(piece, minlength=len(ends))
         # every hit at every place of its piece

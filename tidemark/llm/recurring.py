@@ -99,7 +99,7 @@ def recurring_ranges(
     k: int,
     window: int,
     units_of: Callable[[bytes], np.ndarray],
-    slicer_of: Callable[[bytes], Callable[[int, int], bytes]],
+    slicer_of: Callable[[bytes], Callable[[np.ndarray, np.ndarray], list[bytes]]],
     solve: Callable[[pa.Table], pa.Table],
     within_documents: bool,
     name: str,
@@ -108,7 +108,7 @@ def recurring_ranges(
 ) -> DataFrame:
     """``doc_id, text_key, ranges``: the units of each document to remove, ``array<struct<low, high>>``.
 
-    ``units_of`` gives the units of a text as 64-bit hashes, ``slicer_of`` the bytes of a range of them. ``solve`` gets a
+    ``units_of`` gives the units of a text as 64-bit hashes, ``slicer_of`` the bytes of ranges of them. ``solve`` gets a
     shard, ``doc_id, text_key, start, content``, and returns ``doc_id, text_key, low, high``. With ``within_documents``
     a window also recurs inside a document, and is removed wherever it does not start first; otherwise it is removed in
     every document that does not have the smallest id. Null ids count as the largest. Rows that share an id are one
@@ -179,7 +179,7 @@ def recurring_ranges(
                     low, high = first[own], last[own] + window
                     n = len(own)
                     found.append(((h[own] % shards).astype(np.int32), np.full(n, i), np.full(n, key), low.astype(np.int32)))
-                    content += [slice_of(a, b) for a, b in zip(low.tolist(), high.tolist())]
+                    content += slice_of(low, high)
                 for a, b in zip(first[often_seen].tolist(), (last[often_seen] + window).tolist()):
                     one, two = (run_hashes(units[a:b], window, seed).view(np.int64) for seed in (1, 2))
                     n = len(one)

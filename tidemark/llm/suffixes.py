@@ -25,7 +25,7 @@ def byte_units(data: bytes) -> np.ndarray:
 
 
 def _byte_slicer(data: bytes):
-    return lambda low, high: data[low:high]
+    return lambda low, high: [data[a:b] for a, b in zip(low.tolist(), high.tolist())]
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
