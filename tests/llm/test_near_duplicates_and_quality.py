@@ -145,7 +145,7 @@ def triples(text):
 
 
 def brute_model(texts):
-    """Modified Kneser-Ney by its formulas, in plain Python; what only the scored text has counts as unseen."""
+    """Modified Kneser-Ney by its formulas, with dictionaries; what only the scored text has counts as unseen."""
     top = Counter(g for t in texts for g in triples(t))
     levels = [None, None, None, top]
     for n in (2, 1):
@@ -230,7 +230,7 @@ def test_verdicts_hold_out(docs, nasty):
 
 
 def brute_word_bits(texts):
-    """Bits a word of each text by what the other different texts hold, in plain Python."""
+    """Bits a word of each text by what the other different texts hold, with dictionaries."""
     texts = list(dict.fromkeys(texts))
     words = [["<", "<<", *re.sub("[0-9]+", "0", t.lower()).split()] for t in texts]
     held = [{tuple(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)} for w in words]
