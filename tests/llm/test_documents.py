@@ -320,6 +320,25 @@ def test_names_alone_do_not_drop_text(body):
     assert html.main_text(page(body)) == TEXT
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<form id=aspnetForm action=x><input type=hidden><div id=content>{ARTICLE}</div><button>Send</button></form>",
+        f"<form><div><nav>Home</nav><div>{ARTICLE}</div><form><label>Name</label><input></form></div></form>",
+        f"<form><article>{ARTICLE}</article><fieldset><legend>Log in</legend><p>Your name, and word<select><option>one</select></p></fieldset></form>",
+    ],
+)
+def test_a_page_within_a_form_keeps_its_article(body):
+    assert html.main_text(page(body)) == TEXT
+
+
+def test_forms_beside_the_text_go():
+    login = "<form><p>Name, and password, please, to log in here.</p><input><textarea>old</textarea></form>"
+    assert html.main_text(page(f"<div>{ARTICLE}</div>{login}")) == TEXT
+    assert html.main_text(page(f"<article>{ARTICLE}{login}</article>")) == TEXT
+    assert html.main_text(page(login)) == ""
+
+
 def test_headline_formulas_and_short_pages_stay():
     headed = page(f"<article><div class='post-header'><h1>The headline</h1></div>{ARTICLE}</article>")
     assert html.main_text(headed) == "The headline\n" + TEXT

@@ -39,9 +39,11 @@ PARAGRAPH_LIKE = frozenset("p pre blockquote li td dd dt h1 h2 h3 h4 h5 h6 figca
 CONTENT = frozenset(("article", "main"))
 
 UNWANTED = frozenset(
-    "nav aside footer form dialog menu button select option object canvas svg template head search audio video"
-    " fieldset datalist map".split()
+    "nav aside footer dialog menu button select option object canvas svg template head search audio video"
+    " datalist map label legend output progress meter".split()
 ) | RAW
+# left out like clutter, but pages of some servers stand in one form whole
+FORMS = frozenset(("form", "fieldset"))
 UNWANTED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation"
     " menu breadcrumb breadcrumbs sidebar rail footer masthead header cookie cookies consent gdpr notice notices alert"
@@ -78,7 +80,7 @@ class _Node:
     unwanted: bool
     link: bool
     content: bool
-    named: int = 0  # 1: its class or id is a name of layout, 2: of clutter
+    named: int = 0  # 1: its class or id is a name of layout, 2: of clutter; 3: it is a form
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
@@ -106,6 +108,8 @@ def _unwanted(tag: str, attributes: str, in_content: bool) -> tuple[bool, int]:
     """Whether an element is left out whatever it holds, and what its names say."""
     if tag in UNWANTED or tag == "header" and not in_content:
         return True, 0
+    if tag in FORMS:
+        return False, 3
     if not attributes or tag in ("html", "body", *CONTENT):
         return False, 0
     named = 0
@@ -218,7 +222,7 @@ def parse(html: str, by_name: bool = True) -> _Page:
         if named and by_name and tag not in BLOCKS:
             unwanted = True
         nodes.append(
-            _Node(tag, stack[-1], top.unwanted or unwanted, top.link or tag == "a", content, named if by_name else 0)
+            _Node(tag, stack[-1], top.unwanted or unwanted, top.link or tag == "a", content, named if by_name or named == 3 else 0)
         )
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*(?:/?\s*)>", re.IGNORECASE).search(html, at)
@@ -237,8 +241,8 @@ def _points(text: str, linked: int) -> float:
 def _wanted_blocks(page: _Page) -> list[tuple[int, str, int]]:
     """The blocks outside elements that both their names and their text speak against.
 
-    An element stays if it has most of the page's points; one with a name of layout also if it holds the headline, or a text
-    of some length with commas and few links.
+    An element stays if it has most of the page's points, a form only if these come from a text of some length; one with a
+    name of layout also if it holds the headline, or a text of some length with commas and few links.
     """
     nodes = page.nodes
     if not any(node.named for node in nodes):
@@ -261,7 +265,8 @@ def _wanted_blocks(page: _Page) -> list[tuple[int, str, int]]:
         if node.named and chars[n]:
             few_links = links[n] < 0.3 * chars[n]
             reads = few_links and (headline[n] or chars[n] >= 140 and commas[n] >= 1 + chars[n] // 1000)
-            stays = few_links and points[n] > total / 2 or node.named == 1 and reads
+            most = few_links and points[n] > total / 2 and (node.named < 3 or chars[n] >= 400 and commas[n] >= 2)
+            stays = most or node.named == 1 and reads
             gone[n] = not stays
         gone[n] = gone[n] or node.parent >= 0 and gone[node.parent]
     return [block for block in page.blocks if not gone[block[0]]]
@@ -274,9 +279,9 @@ def main_text(html: str | None) -> str:
     """
     page = parse(html or "")
     text = _best_text(page, _wanted_blocks(page))
-    if len(text) < 200 and any(node.named for node in page.nodes):
+    if len(text) < 200 and any(node.named in (1, 2) for node in page.nodes):
         plain = parse(html or "", by_name=False)
-        whole = _best_text(plain, plain.blocks)
+        whole = _best_text(plain, _wanted_blocks(plain))
         if 4 * len(text) < len(whole):
             return whole
     return text
