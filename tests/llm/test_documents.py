@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -136,6 +137,38 @@ def test_contexts_settle_after_many_hops(spark):
     assert {r["pattern"] for r in pii.score_patterns(uses).collect()} == {f"{n}{p}" for n in range(8) for p in range(2)}
 
 
+def test_labelled_keys_are_found_and_common_words_prove_nothing(docs):
+    rng = random.Random(3)
+
+    def key(n=40):
+        return "".join(rng.choices("0123456789abcdef", k=n))
+
+    rows = [(i, f'{sentence(i, 20)} token = "{key()}" and more', "en", "a") for i in range(6)]
+    rows += [(10, f'{sentence(10, 20)} token = "ab12cd" and more', "en", "a")]
+    # keys behind words that mostly stand elsewhere, and one behind a word of its own
+    rows += [(20 + i, f"the river{c} of the hill{c} the {key()} of rain{c} in the house of stone", "en", "a") for i, c in enumerate("abcdef")]
+    rows += [(30, f"seen once beside {key()} only", "en", "a"), (31, "bought for the 1234567890123456 people", "en", "a")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(docs(rows)).collect()}
+    for i, text, *_ in rows:
+        shown = [text[s["start"] : s["end"]] for s in got[i] if s["kind"] == "id"]
+        assert shown == ([text.split('"')[1]] if "token" in text else []), text
+
+
+def test_places_of_words_are_counted_in_whole_texts(docs):
+    texts = [None, "", "Mail me:\nmail ME at 12", "x (mail) me\r\n12", "mail\u00a0me " * 3000]
+    keys = {pii.sequence_key(w): w for w in ("mail me", "me", "^ mail", "me $", "0 $", "never there")}
+    spark_keys = docs([]).sparkSession.createDataFrame([(k,) for k in keys], "key long")
+    got = {keys[r["key"]]: r["places"] for r in pii.count_places(docs([(i, t) for i, t in enumerate(texts)]), "text", spark_keys).collect()}
+    assert got == {"mail me": 3003, "me": 3003, "^ mail": 3, "me $": 3, "0 $": 2}
+
+
+def test_long_runs_take_linear_time():
+    start = time.process_time()
+    for text in ("9" * 1_000_000, "a=" * 300_000, "1." * 200_000, "a@" * 300_000, "+1 " * 200_000):
+        pii.occurrences(text)
+    assert time.process_time() - start < 10
+
+
 def test_spans_of_a_whole_long_text(docs):
     text = "word " * 200_000 + "mail a@b.co"
     (row,) = pii.find(docs([(1, text)]), keep=["doc_id"]).collect()
