@@ -163,8 +163,8 @@ def recurring_ranges(
     release(spark)
 
     def cut(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
-        """Pieces for the shards, and every window of the anchors that occur often by two hashes."""
-        found, content, windows = [], [], []
+        """Pieces for the shards; those around anchors that occur often have shard -1."""
+        found, content = [], []
         for i, t, numbers in zip(ids, texts, chosen):
             data = (t or "").encode()
             key, units, slice_of = text_key(data), units_of(data), slicer_of(data)
@@ -175,28 +175,19 @@ def recurring_ranges(
             for h, first, last in anchors(units, k, window):
                 own, often_seen = (x[slice(*np.searchsorted(x, [at, at + len(h)]))] - at for x in (usual, frequent))
                 at += len(h)
-                if len(own):
-                    low, high = first[own], last[own] + window
-                    n = len(own)
-                    found.append(((h[own] % shards).astype(np.int32), np.full(n, i), np.full(n, key), low.astype(np.int32)))
-                    content += slice_of(low, high)
-                for a, b in zip(first[often_seen].tolist(), (last[often_seen] + window).tolist()):
-                    one, two = (run_hashes(units[a:b], window, seed).view(np.int64) for seed in (1, 2))
-                    n = len(one)
-                    windows.append((np.full(n, i), np.full(n, key), np.arange(a, a + n, dtype=np.int32), one, two))
+                for places, shard in ((own, (h[own] % shards).astype(np.int32)), (often_seen, np.full(len(often_seen), -1, np.int32))):
+                    if len(places):
+                        low, n = first[places], len(places)
+                        found.append((shard, np.full(n, i), np.full(n, key), low.astype(np.int32)))
+                        content += slice_of(low, last[places] + window)
         if found:
-            yield *map(np.concatenate, zip(*found)), content, [None] * len(content), [None] * len(content)
-        if windows:
-            columns = list(map(np.concatenate, zip(*windows)))
-            n = len(columns[0])
-            yield np.full(n, -1, np.int32), *columns[:3], [None] * n, *columns[3:]
+            yield *map(np.concatenate, zip(*found)), content
 
     # texts meet their anchors once; both kinds of pieces are read from the table they are written to
     joined = source.join(lists, ["id", "of_text"])
     pieces = stored(
         map_columns(
-            joined, ["id", "text", "numbers"], cut,
-            "shard int, doc_id long, text_key long, start int, content binary, a long, b long",
+            joined, ["id", "text", "numbers"], cut, "shard int, doc_id long, text_key long, start int, content binary",
         ),
         f"{name}-pieces",
     )
@@ -205,14 +196,72 @@ def recurring_ranges(
         pieces.where("shard >= 0").select("shard", "doc_id", "text_key", "start", "content").groupBy("shard")
         .applyInArrow(lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int")
     )
-    seen = pieces.where("shard < 0").select("doc_id", "text_key", "start", "a", "b")
-    place_of = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
-    firsts = seen.groupBy("a", "b").agg(F.min(place_of).alias("first"))
-    later = seen.join(firsts, ["a", "b"]).where(place_of > F.col("first"))
-    ranges = ranges.unionByName(
-        later.select("doc_id", "text_key", F.col("start").alias("low"), (F.col("start") + window).alias("high"))
+    ranges = ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    frequent = stored(frequent_ranges(pieces.where("shard < 0"), window, units_of, within_documents, name), f"{name}-frequent")
+    release(spark)
+    return (
+        ranges.unionByName(frequent).groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    )
+
+
+def frequent_ranges(
+    pieces: DataFrame, window: int, units_of: Callable[[bytes], np.ndarray], within_documents: bool, name: str
+) -> DataFrame:
+    """``doc_id, text_key, ranges`` of pieces ``doc_id, text_key, start, content`` around anchors that occur often.
+
+    Most of them are copies: each different piece is cut into windows once, whose first places are found by an aggregation
+    over two hashes, and all pieces get the answer of their content.
+    """
+    spark = pieces.sparkSession
+    key = [F.xxhash64("content").alias("p"), F.xxhash64(F.lit(1), "content").alias("q")]
+    different = pieces.groupBy("content").agg(F.min(F.struct("doc_id", "start")).alias("at"))
+    different = different.select(*key, "content", "at.doc_id", "at.start")
+
+    def cut(ps: list, qs: list, contents: list, ids: list, starts: list) -> Iterator[tuple]:
+        rows = []
+        for p, q, content, i, start in zip(ps, qs, contents, ids, starts):
+            units = units_of(content)
+            one, two = (run_hashes(units, window, seed).view(np.int64) for seed in (1, 2))
+            n = len(one)
+            at = np.arange(n, dtype=np.int32)
+            rows.append((np.full(n, p), np.full(n, q), at, np.full(n, i), start + at, one, two))
+        if rows:
+            yield tuple(map(np.concatenate, zip(*rows)))
+
+    windows = stored(
+        map_columns(
+            different, ["p", "q", "content", "doc_id", "start"], cut,
+            "p long, q long, at int, doc_id long, start int, a long, b long", batch=2000,
+        ),
+        f"{name}-windows",
+    )
+    release(spark)
+    place = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
+    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"))
+    answers = (
+        windows.select("p", "q", "at", "a", "b").join(firsts, ["a", "b"])
+        .groupBy("p", "q").agg(F.collect_list(F.struct("at", "first")).alias("firsts"))
+    )
+    met = pieces.select(*key, "doc_id", "text_key", "start").join(answers, ["p", "q"])
+
+    def later(w):
+        if within_documents:
+            return F.struct(F.col("doc_id"), F.col("start") + w["at"]) > w["first"]
+        return F.col("doc_id") > w["first"]["doc_id"]
+
+    gone = F.filter("firsts", later)
+    # a piece that goes whole is one range
+    ranges = F.when(
+        F.size(gone) == F.size("firsts"),
+        F.array(F.struct(F.col("start").alias("low"), (F.col("start") + F.size("firsts") - 1 + window).alias("high"))),
+    ).otherwise(
+        F.transform(
+            gone,
+            lambda w: F.struct((F.col("start") + w["at"]).alias("low"), (F.col("start") + w["at"] + window).alias("high")),
+        )
     )
-    return ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    met = met.select("doc_id", "text_key", ranges.alias("ranges")).where(F.size("ranges") > 0)
+    return met.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def merged_starts(rows: np.ndarray, starts: np.ndarray, window: int) -> Iterable[np.ndarray]:
