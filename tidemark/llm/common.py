@@ -13,11 +13,11 @@ from pyspark.sql.types import StructType
 from tidemark.session import working_folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = working_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

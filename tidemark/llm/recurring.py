@@ -189,7 +189,7 @@ def recurring_ranges(
         map_columns(
             joined, ["id", "text", "numbers"], cut, "shard int, doc_id long, text_key long, start int, content binary",
         ),
-        f"{name}-pieces",
+        f"{name}-pieces", compression="zstd",
     )
     release(spark)
     ranges = (
