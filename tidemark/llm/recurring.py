@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import map_columns, map_rows, release, stored, unused_name
+from tidemark.operators.joins import frequent, hot_key_lookup
 
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Units worked on at once; positions within them have 24 bits.
@@ -210,39 +211,49 @@ def frequent_ranges(
     """``doc_id, text_key, ranges`` of pieces ``doc_id, text_key, start, content`` around anchors that occur often.
 
     Most of them are copies: each different piece is cut into windows once, whose first places are found by an aggregation
-    over two hashes, and all pieces get the answer of their content.
+    over two hashes, and all pieces get the answer of their content. Windows and pieces that make up a thousandth of the
+    rows or more are answered from a broadcast of a thousand rows at most, and their rows are spread.
     """
     spark = pieces.sparkSession
     key = [F.xxhash64("content").alias("p"), F.xxhash64(F.lit(1), "content").alias("q")]
-    different = pieces.groupBy("content").agg(F.min(F.struct("doc_id", "start")).alias("at"))
-    different = different.select(*key, "content", "at.doc_id", "at.start")
+    different = pieces.groupBy("content").agg(F.min(F.struct("doc_id", "start")).alias("at"), F.count("*").alias("times"))
+    different = different.select(*key, "content", "at.doc_id", "at.start", "times")
 
-    def cut(ps: list, qs: list, contents: list, ids: list, starts: list) -> Iterator[tuple]:
+    def cut(ps: list, qs: list, contents: list, ids: list, starts: list, times: list) -> Iterator[tuple]:
         rows = []
-        for p, q, content, i, start in zip(ps, qs, contents, ids, starts):
+        for p, q, content, i, start, t in zip(ps, qs, contents, ids, starts, times):
             units = units_of(content)
             one, two = (run_hashes(units, window, seed).view(np.int64) for seed in (1, 2))
             n = len(one)
             at = np.arange(n, dtype=np.int32)
-            rows.append((np.full(n, p), np.full(n, q), at, np.full(n, i), start + at, one, two))
+            rows.append((np.full(n, p), np.full(n, q), at, np.full(n, i), start + at, one, two, np.full(n, t)))
         if rows:
             yield tuple(map(np.concatenate, zip(*rows)))
 
     windows = stored(
         map_columns(
-            different, ["p", "q", "content", "doc_id", "start"], cut,
-            "p long, q long, at int, doc_id long, start int, a long, b long", batch=2000,
+            different, ["p", "q", "content", "doc_id", "start", "times"], cut,
+            "p long, q long, at int, doc_id long, start int, a long, b long, times long", batch=2000,
         ),
         f"{name}-windows",
     )
     release(spark)
     place = F.struct("doc_id", "start") if within_documents else F.struct("doc_id")
-    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"))
-    answers = (
-        windows.select("p", "q", "at", "a", "b").join(firsts, ["a", "b"])
-        .groupBy("p", "q").agg(F.collect_list(F.struct("at", "first")).alias("firsts"))
+    firsts = stored(
+        windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("held")), f"{name}-firsts"
+    )
+    first_of = firsts.select("a", "b", "first")
+    hot = frequent(firsts, "held").select("a", "b", "first")
+    answered = hot_key_lookup(windows.select("p", "q", "at", "a", "b", "times"), first_of, hot, ["a", "b"], ["p", "q"])
+    answers = stored(
+        answered.groupBy("p", "q").agg(F.collect_list(F.struct("at", "first")).alias("firsts"), F.max("times").alias("times")),
+        f"{name}-answers",
+    )
+    release(spark)
+    met = hot_key_lookup(
+        pieces.select(*key, "doc_id", "text_key", "start"), answers.select("p", "q", "firsts"),
+        frequent(answers, "times").select("p", "q", "firsts"), ["p", "q"], ["doc_id", "start"],
     )
-    met = pieces.select(*key, "doc_id", "text_key", "start").join(answers, ["p", "q"])
 
     def later(w):
         if within_documents:
