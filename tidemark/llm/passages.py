@@ -173,7 +173,7 @@ def remove_repeated(
     A word is removed if it is covered by ``window`` consecutive words that also start earlier: in a document with a
     smaller id, or before in the same one. Documents of fewer words than that lose none. Null texts have no words; null
     ids come after all others and are one document to this order; of repeated rows with the same id none is earlier.
-    New columns whose names are taken get underscores in front.
+    Long texts are read whole, an empty table gives no rows. New columns whose names are taken get underscores in front.
     """
     kept = [doc_id] if keep is None else keep
     ranges = recurring_ranges(

@@ -194,7 +194,8 @@ def near_duplicates(
 
     Words are lower-cased (A-Z) runs without ASCII white space. Documents without words have fingerprint zero and are
     linked like any other, null texts count as empty. Equal fingerprints are always linked. Repeated rows stay. Rows
-    with a null id take no part in linking and get a null component. Other columns are left out.
+    with a null id take no part in linking and get a null component. Long texts are read whole, an empty table gives no
+    rows. Other columns are left out.
 
     ``chunk`` bounds the fingerprints of a tree: a shard with more is cut in chunks that meet pairwise in tiles of their
     own, so no link is lost and no task holds a whole shard.

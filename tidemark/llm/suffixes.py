@@ -135,7 +135,7 @@ def remove_repeated(
     A byte is removed if it is covered by a string of ``window`` bytes that also starts in a document with a smaller id;
     strings are judged on the input and never cross documents. ``n_spans`` counts the runs of removed bytes. Null texts
     count as empty; null ids come after all others and count as equal; repeated rows of one id do not remove each other.
-    New columns whose names are taken get underscores in front.
+    Long texts are read whole, an empty table gives no rows. New columns whose names are taken get underscores in front.
     """
     kept = [doc_id] if keep is None else keep
     ranges = recurring_ranges(
