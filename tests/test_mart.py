@@ -193,6 +193,25 @@ def test_promo_by_business_merges_before_it_fills_nulls(spark, rows):
     ]
 
 
+def test_promo_by_business_needs_no_distinct_over_its_result(spark, rows):
+    business = spark.createDataFrame(
+        [(1, 5, 6), (1, 5, 6), (2, 5, None), (3, None, 6), (4, None, None), (None, 5, 6)],
+        "id int, channel_id int, sub_channel_id int",
+    )
+    named = spark.createDataFrame(
+        [(1, 50), (1, 52), (1, 52), (2, None), (3, None), (4, 7), (None, 9)], "business_id int, product_id int"
+    )
+    channel = spark.createDataFrame([(5, 50), (5, 50), (5, None), (None, 3)], "channel_id int, product_id int")
+    sub = spark.createDataFrame([(6, 50), (6, 60)], "subchannel_id int, product_id int")
+    made = promotions.promo_by_business(business, named, channel, sub)
+    assert rows(made) == sorted([
+        *[(1, 5, 6, p) for p in (0, 50, 52, 60)], (2, 5, 0, 0), (2, 5, 0, 50), (3, 0, 6, 0), (3, 0, 6, 50), (3, 0, 6, 60),
+        (4, 0, 0, 7), *[(None, 5, 6, p) for p in (0, 50, 60)],
+    ], key=str)
+    above_union = made._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
+    assert "Aggregate" not in above_union
+
+
 def test_dim_business(spark, rows):
     business = spark.createDataFrame(
         [

@@ -21,16 +21,20 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int = SALTS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Equi join on low-cardinality keys, where each key matches many rows on both sides.
 
     The rows of a key on the ``many`` side are dealt to ``salts`` tasks by a hash of ``spread_by``; the ``few`` side is
-    repeated once per salt. Every pair still meets exactly once. ``how`` is ``inner`` or ``left``.
+    repeated once per salt. Every pair still meets exactly once. ``how`` is ``inner`` or ``left``. ``tasks`` fixes the
+    number of tasks, for rows so few that adaptive execution would merge them although their pairs are many.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     dealt = many.withColumn("_salt", salt)
+    if tasks:
+        dealt = dealt.repartition(tasks, *on, "_salt")
     repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
 
