@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import datetime as dt
 
@@ -162,6 +163,24 @@ def test_amounts_survive_the_expansion(lines):
     assert sums[0] == sums[1] == (38.0, 19.0)
 
 
+def test_whole_lines_are_read_once(spark, order, tmp_path, rows):
+    equal = line(order=3, product_id=500)
+    made = [equal | {"id": 41}, equal | {"id": 42}, line(id=43, order=3), line(id=44, product_id=500), line(id=45, order=2, product_id=9)]
+    make(spark, LINE, made).write.parquet(f"{tmp_path}/lines")
+    promo = make(spark, PROMO, [{"promo_id": 500, "product_id": 100, "quantity": 3}, {"product_id": 100, "quantity": 1}])
+    product = spark.createDataFrame([(100,)], "id bigint")
+    twice = order.unionByName(order.where("id = 2").withColumn("country_id", F.lit("7")))
+    found = orders.fact_order_line(spark.read.parquet(f"{tmp_path}/lines"), twice, promo, product)
+    assert rows(found, "id_surrogate", "country_id", "product_id", "product_flag") == [
+        ("41", "13", 500, "Promo Product"), ("41/1", "13", 100, "Promo Normal Product"),
+        ("42", "13", 500, "Promo Product"), ("42/1", "13", 100, "Promo Normal Product"),
+        ("43", "13", None, "Normal Product"), ("45", "13", 9, "Normal Product"), ("45", "7", 9, "Normal Product"),
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    reads = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert sum("invoice_number" in columns for columns in reads) == 1 < len(reads)
+
+
 def test_promo_types(spark, rows):
     promo = make(
         spark,

@@ -139,19 +139,35 @@ def _expansions(promo_product: DataFrame, product: DataFrame) -> DataFrame:
     return components.unionByName(itself, allowMissingColumns=True)
 
 
+def _sold(order_line, order, promo_product, product) -> DataFrame:
+    """What each product of an order turns into, with the country of the order: keys and looked-up values only.
+
+    A product that is no promotion meets nothing and passes once, a promotion meets itself and each of its components.
+    Products with and without a match are found apart, so that a promotion which is sold very often, or has very many
+    components, can be split. Products travel in a struct, which is never null: so both sides ask for the same rows, and
+    these are shuffled once.
+    """
+    orders = order.select(F.col("id").alias("order"), F.col("country_id").alias("_order_country"))
+    expansions = _expansions(promo_product, product).where(F.col("promo_id").isNotNull())
+    expansions = expansions.withColumn("_sold", F.struct(F.col("promo_id").alias("product_id")))
+    pairs = order_line.select("order", "product_id").distinct().join(orders, "order")
+    pairs = pairs.select("order", "_order_country", F.struct("product_id").alias("_sold"))
+    found = joins.left_join_many(pairs, expansions.withColumnRenamed("promo_id", "_promo"), ["_sold"])
+    return found.withColumnRenamed("order", "_order").withColumn("_sold", F.col("_sold.product_id"))
+
+
 def fact_order_line(order_line, order, promo_product, product) -> DataFrame:
     """Order lines as sold, plus one line per component of every promotion sold.
 
-    A line that sells no promotion matches nothing and passes once, a line that sells one meets the promotion itself and
-    each of its components. Lines with and without a match are found apart, so that a promotion which is sold very often,
-    or has very many components, can be split.
+    Orders and promotions are looked up for the different products of an order, so whole lines are shuffled once: to meet
+    what their order and product turn into.
     """
-    orders = order.select(F.col("id").alias("order"), F.col("country_id").alias("_order_country"))
     cancelled = F.col("status") == CANCELLED
     invalid = _status_in(INVALID_LINE)
     quantity, value = F.col("current_quantity"), _line_value()
-    base = (
-        order_line.join(orders, "order")
+    same = (F.col("order") == F.col("_order")) & F.col("product_id").eqNullSafe(F.col("_sold"))
+    expanded = (
+        order_line.join(_sold(order_line, order, promo_product, product), same)
         .withColumn("country_id", F.col("_order_country"))
         .withColumns(
             {
@@ -165,8 +181,6 @@ def fact_order_line(order_line, order, promo_product, product) -> DataFrame:
             }
         )
     )
-    expansions = _expansions(promo_product, product).withColumn("_promo", F.col("promo_id"))
-    expanded = joins.left_join_many(base, expansions.withColumnRenamed("promo_id", "product_id"), ["product_id"])
 
     is_component = F.coalesce(F.col("_transformed") == 1, F.lit(False))
     units, position = F.col("_units"), F.col("_rn")
