@@ -259,6 +259,16 @@ def test_key_sentences_count_copies_once(answers, rows):
     ]
 
 
+def test_key_sentences_sort_no_words(answers, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = comments.key_sentences(answers, "id", n=2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = [row for row in plan.splitlines() if "Join" in row and "_salt" in row]
+    assert joined and all("ShuffledHashJoin" in row for row in joined)
+
+
 def test_weblog_chain(spark, tmp_path, rows):
     agent = "Mozilla/5.0+(Windows+NT+10.0)+Chrome/114.0+Safari/537.36"
 
