@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from llm_texts import sentence
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, quality, simhash, wordmodel
+from tidemark.llm import common, graph, quality, simhash, wordmodel
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -290,3 +291,41 @@ def test_copies_of_noise_do_not_vouch_for_it(docs):
         copies += [(1000 * times + i, noise, "en", "a") for i in range(times)]
     got = {r["doc_id"]: r["kept"] for r in quality.judge(docs(rows + copies)).collect()}
     assert all(got[i] for i, *_ in rows) and not any(got[i] for i, *_ in copies)
+
+
+def test_votes_of_more_texts_than_fit_beside_an_ngram():
+    texts = [wordmodel.word_ngrams(f"w{i % 9} w{i % 7} w{i % 9}", "en") for i in range((1 << wordmodel.TEXT_BITS) + 50)]
+    expected = Counter()
+    for grams in texts:
+        expected.update(set(np.concatenate(grams).tolist()))
+        expected[int(grams[0][0])] += len(set(grams[1][2:].tolist())) - 1
+    known, n = wordmodel.block_votes(texts)
+    assert known.tolist() == sorted(expected) and dict(zip(known.tolist(), n.tolist())) == expected
+    assert wordmodel.own_words(texts).tolist() == [len(set(g[1][2:].tolist())) for g in texts]
+
+
+def test_batches_are_bounded(docs, spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, left in (("10000", "2000"), ("0", "2000"), ("50", "50")):
+            spark.conf.set(name, given)
+            quality.judge(docs([(1, sentence(1, 40))]))
+            assert spark.conf.get(name) == left
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_release_drops_shuffles_of_stored_tables(spark):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+    before = shuffles()
+    common.stored(spark.range(10_000).groupBy(F.col("id") % 100).count(), "released")
+    made = shuffles() - before
+    common.release(spark)
+    end = time.time() + 5
+    while made & shuffles() and time.time() < end:
+        time.sleep(0.1)
+    assert made and not made & shuffles()

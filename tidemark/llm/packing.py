@@ -13,7 +13,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -89,11 +88,6 @@ class Tokenizer:
         return np.frombuffer(b"".join([self.first[first], *map(self.later.__getitem__, rest)]), dtype="<u4")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(vocabulary: str) -> Tokenizer:
-    return Tokenizer(vocabulary)
-
-
 def cut_documents(
     docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, capacity: int, end_id: int, with_ids: bool
 ) -> DataFrame:
@@ -101,8 +95,13 @@ def cut_documents(
     with open(tokenizer_path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
 
+    of_task: list[Tokenizer] = []
+
     def run(doc_ids: list, texts: list) -> Iterator[tuple]:
-        tokenizer = _tokenizer(vocabulary.value)
+        # goes with the task: in a reused worker it would keep its parts beside the work of later stages
+        if not of_task:
+            of_task.append(Tokenizer(vocabulary.value))
+        tokenizer = of_task[0]
         for i, t in zip(doc_ids, texts):
             ids = np.append(tokenizer.encode(t or ""), np.uint32(end_id)).astype("<u4")
             first = len(ids) % capacity or capacity

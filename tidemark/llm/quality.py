@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import wordmodel
-from tidemark.llm.common import map_rows, release, stored, unused_name
+from tidemark.llm.common import bound_batches, map_rows, release, stored, unused_name
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -235,7 +235,8 @@ def bits_per_character(model: Model, text: str | None) -> float | None:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Model]:
     """One model for each language (a null language counts as the empty name), from the n-grams of all documents."""
-    counted = count_ngrams(docs, text, lang).toArrow()
+    # stored, so that the shuffled texts can go before the models are used
+    counted = stored(count_ngrams(docs, text, lang), "quality-ngrams").toArrow()
     names = np.array(counted.column("lang").to_pylist(), dtype=object)
     grams, n = (counted.column(c).to_numpy() for c in ("gram", "n"))
     return {name: kneser_ney(grams[names == name], n[names == name]) for name in sorted(set(names))}
@@ -318,6 +319,7 @@ def judge(
     and repeated rows stay as they are. New columns whose names are taken get underscores in front.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     kept = keep or [doc_id]
     source = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, doc_id, text, lang])])
     texts, ranges = wordmodel.texts_by_block(source, text, lang)

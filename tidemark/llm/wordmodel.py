@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.passages import word_units
 
 ORDER, GRAM_BITS = 3, 48
+# texts told apart beside an n-gram in 64 bits
+TEXT_BITS = 64 - GRAM_BITS
 BACK_OFF = 0.4
 BLOCK_BYTES = 6 << 20
 RANGE_GRAMS = 4_000_000
@@ -56,17 +58,23 @@ def word_ngrams(text: str, lang: str) -> list[np.ndarray]:
     return out
 
 
-def own_words(grams: list[np.ndarray]) -> int:
-    """How many different words a text has: its votes for the empty n-gram, the context of single words."""
-    return len(np.unique(grams[1][ORDER - 1 :]))
+def _held(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of each list once, in order of n-grams, and the numbers of their lists."""
+    both = np.concatenate(lists) << np.uint64(TEXT_BITS)
+    both |= np.repeat(np.arange(len(lists), dtype=np.uint64), [len(x) for x in lists])
+    both.sort()
+    new = np.ones(len(both), bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    both = both[new]
+    return both >> np.uint64(TEXT_BITS), (both & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
 
 
-def votes(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The different n-grams of a text and its votes: one each, and for the empty one as many as it has different words."""
-    different = np.unique(np.concatenate(grams))
-    n = np.ones(len(different), np.int64)
-    n[np.searchsorted(different, grams[0][0])] = own_words(grams)
-    return different, n
+def own_words(texts: list[list[np.ndarray]]) -> np.ndarray:
+    """How many different words each text has: its votes for the empty n-gram, the context of single words."""
+    parts = [texts[i : i + (1 << TEXT_BITS)] for i in range(0, len(texts), 1 << TEXT_BITS)]
+    return np.concatenate(
+        [np.bincount(_held([grams[1][ORDER - 1 :] for grams in part])[1], minlength=len(part)) for part in parts]
+    )
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
@@ -132,8 +140,21 @@ def text_key(lang: Column, text: Column) -> tuple[Column, Column]:
     return F.xxhash64(lang, text), F.xxhash64(F.lit(1), text, lang)
 
 
-def _block_votes(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [votes(grams) for grams in texts]
+def block_votes(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of a block and the votes of its texts: one each, and for the empty one as many as a text has
+    different words.
+    """
+    parts = []
+    for start in range(0, len(texts), 1 << TEXT_BITS):
+        some = texts[start : start + (1 << TEXT_BITS)]
+        grams = _held([np.concatenate(g) for g in some])[0]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        known, n = grams[first], np.diff(first, append=len(grams))
+        empty = np.searchsorted(known, np.concatenate([g[0] for g in some]))
+        np.add.at(n, empty, own_words(some) - 1)
+        parts.append((known, n))
+    if len(parts) == 1:
+        return parts[0]
     grams, n = (np.concatenate(x) for x in zip(*parts))
     known, inverse = np.unique(grams, return_inverse=True)
     return known, np.bincount(inverse, weights=n).astype(np.int64)
@@ -145,14 +166,13 @@ def _cuts(grams: np.ndarray, ranges: int) -> np.ndarray:
     return np.append(np.searchsorted(grams, np.array(edges, np.uint64)), len(grams))
 
 
-def bits_of(grams: list[np.ndarray], known: np.ndarray, total: np.ndarray) -> np.ndarray:
+def bits_of(others: list[np.ndarray]) -> np.ndarray:
     """-log2 of the score of each word, backing off from three words to two, one and none.
 
-    The text's own votes are set aside: what no other text holds counts as unseen.
+    ``others`` are the votes of the other texts for each n-gram of a text, in the order of ``word_ngrams``: the text's own
+    are set aside, so that what no other text holds counts as unseen.
     """
-    others = [total[np.searchsorted(known, g)] - 1 for g in grams]
-    others[0] = others[0] + 1 - own_words(grams)
-    n = len(grams[ORDER])
+    n = len(others[ORDER])
     out, todo, weight = np.zeros(n), np.ones(n, bool), 1.0
     for size in range(ORDER, 0, -1):
         seen = others[size][len(others[size]) - n :]
@@ -173,7 +193,7 @@ def score_words(texts: DataFrame, ranges: int) -> DataFrame:
         return rows, [word_ngrams(t, name) for _, _, name, t in rows]
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        grams, n = _block_votes(own_ngrams(table)[1])
+        grams, n = block_votes(own_ngrams(table)[1])
         cuts = _cuts(grams, ranges)
         rows = [
             (key[0].as_py(), r, pack_numbers(np.diff(grams[a:b], prepend=np.uint64(0))), pack_numbers(n[a:b]))
@@ -193,10 +213,19 @@ def score_words(texts: DataFrame, ranges: int) -> DataFrame:
 
     def score(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         rows, own = own_ngrams(table)
-        known = _block_votes(own)[0]
+        words, sizes = own_words(own), [[len(g) for g in grams] for grams in own]
+        flat = np.concatenate([g for grams in own for g in grams])
+        del own
+        # the n-grams of the block in order are those it asked for
+        place = np.unique(flat, return_inverse=True)[1]
         found = sorted(zip(answers.column("r").to_pylist(), answers.column("n").to_pylist()))
-        total = np.concatenate([unpack_numbers(n) for _, n in found])
-        bits = [bits_of(grams, known, total) for grams in own]
+        others = np.concatenate([unpack_numbers(n) for _, n in found])[place] - 1
+        bits, at = [], 0
+        for size, n_words in zip(sizes, words.tolist()):
+            parts = np.split(others[at : at + sum(size)], np.cumsum(size)[:-1])
+            parts[0] = parts[0] + 1 - n_words
+            bits.append(bits_of(parts))
+            at += sum(size)
         out = [(a, b, name, len(x), float(x.mean()), float(x.var())) for (a, b, name, _), x in zip(rows, bits)]
         return pa.table([pa.array(c, t.type) for c, t in zip(zip(*out), scored)], schema=scored)
 
