@@ -533,6 +533,28 @@ def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
         assert len(set(hashes.values())) == len(hashes) == len(words)
 
 
+@pytest.mark.parametrize("operator", [passages, suffixes])
+def test_pieces_of_usual_anchors_are_not_stored(docs, operator, monkeypatch):
+    tables, stored = {}, recurring.stored
+
+    def noted(df, name, **options):
+        tables[name] = stored(df, name, **options)
+        return tables[name]
+
+    monkeypatch.setattr(recurring, "stored", noted)
+    rows = [(i, f"{sentence(i, 30)} {sentence(0, 40)}", "en", "a") for i in range(20)]
+    assert operator.remove_repeated(docs(rows)).count() == 20
+    held = [t for t in tables.values() if "content" in t.columns]
+    assert held and all(t.where("content IS NOT NULL").count() == 0 for t in held)
+
+
+def test_order_of_numbers_of_any_size():
+    rng = np.random.default_rng(5)
+    for top in (1, 3, 1 << 20, 1 << 62):
+        keys = rng.integers(0, top, 3000)
+        assert suffixes._order(keys, top).tolist() == np.argsort(keys, kind="stable").tolist()
+
+
 def test_suffix_array_against_sorting():
     rng = random.Random(1)
     for _ in range(1500):

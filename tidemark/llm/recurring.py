@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import map_columns, map_rows, release, stored, unused_name
+from tidemark.llm.common import bound_batches, map_columns, map_rows, release, stored, unused_name
 from tidemark.operators.joins import frequent, hot_key_lookup
 
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -105,7 +105,7 @@ def recurring_ranges(
     within_documents: bool,
     name: str,
     often: int = 32768,
-    shard_rows: int = 16384,
+    shard_rows: int = 4096,
 ) -> DataFrame:
     """``doc_id, text_key, ranges``: the units of each document to remove, ``array<struct<low, high>>``.
 
@@ -115,9 +115,12 @@ def recurring_ranges(
     every document that does not have the smallest id. Null ids count as the largest. Rows that share an id are one
     document to this order, but each text gets its own ranges.
 
-    A shard holds about ``shard_rows`` pieces, and of one anchor at most ``often``: some ten megabytes of text.
+    A shard holds about ``shard_rows`` pieces, so few that a solver works within the caches of a core, and of one anchor
+    at most ``often``: some megabytes of text. Pieces go from the texts to their shards in one shuffle and are not stored
+    but around anchors that occur often.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     own_id, content = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
     source = docs.select(
         F.coalesce(own_id, F.lit(LAST_ID)).alias("id"), nameless(own_id, content).alias("of_text"), content.alias("text")
@@ -137,8 +140,8 @@ def recurring_ranges(
     counted = map_columns(source, ["text"], count, "h long, n long", batch=2000).groupBy("h").agg(F.sum("n").alias("n"))
     recurring = stored(counted.where("n > 1"), f"{name}-anchors")
     release(spark)
-    usual = recurring.where(F.col("n") <= often).agg(F.sum("n")).first()[0] or 0
-    shards = max(1, int(usual) // shard_rows)
+    seen = recurring.agg(*[F.sum(F.when(c, F.col("n"))) for c in (F.col("n") <= often, F.col("n") > often)]).first()
+    shards, often_shards = (max(1, int(n or 0) // shard_rows) for n in seen)
 
     def place(ids: list, of_texts: list, texts: list) -> Iterator[tuple]:
         hashes, owners, text_owners, numbers = [], [], [], []
@@ -159,12 +162,13 @@ def recurring_ranges(
         placed.join(recurring, "h")
         .groupBy("id", "of_text")
         .agg(F.collect_set(F.when(F.col("n") > often, -1 - F.col("number")).otherwise(F.col("number"))).alias("numbers"))
+        .withColumn("numbers", F.sort_array("numbers"))
     )
-    lists = stored(lists, f"{name}-candidates")
+    lists = stored(lists, f"{name}-candidates", compression="zstd")
     release(spark)
 
     def cut(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
-        """Pieces for the shards; those around anchors that occur often have shard -1."""
+        """Pieces for the shards; those around anchors that occur often are spread over shards below 0."""
         found, content = [], []
         for i, t, numbers in zip(ids, texts, chosen):
             data = (t or "").encode()
@@ -176,29 +180,38 @@ def recurring_ranges(
             for h, first, last in anchors(units, k, window):
                 own, often_seen = (x[slice(*np.searchsorted(x, [at, at + len(h)]))] - at for x in (usual, frequent))
                 at += len(h)
-                for places, shard in ((own, (h[own] % shards).astype(np.int32)), (often_seen, np.full(len(often_seen), -1, np.int32))):
+                spread = -1 - (first[often_seen] + i + key) % often_shards
+                for places, shard in ((own, h[own] % shards), (often_seen, spread)):
                     if len(places):
                         low, n = first[places], len(places)
-                        found.append((shard, np.full(n, i), np.full(n, key), low.astype(np.int32)))
+                        found.append((shard.astype(np.int32), np.full(n, i), np.full(n, key), low.astype(np.int32)))
                         content += slice_of(low, last[places] + window)
         if found:
             yield *map(np.concatenate, zip(*found)), content
 
-    # texts meet their anchors once; both kinds of pieces are read from the table they are written to
+    def deal(key: tuple, table: pa.Table) -> pa.Table:
+        """Ranges of a shard; pieces around anchors that occur often are passed on as ``doc_id, text_key, low, content``."""
+        if key[0].as_py() >= 0:
+            got = solve(table)
+            return got.append_column("content", pa.nulls(len(got), pa.binary()))
+        columns = [*(table.column(c) for c in ("doc_id", "text_key", "start")), pa.nulls(len(table), pa.int32()), table.column("content")]
+        return pa.table(columns, ["doc_id", "text_key", "low", "high", "content"])
+
     joined = source.join(lists, ["id", "of_text"])
-    pieces = stored(
-        map_columns(
-            joined, ["id", "text", "numbers"], cut, "shard int, doc_id long, text_key long, start int, content binary",
-        ),
-        f"{name}-pieces", compression="zstd",
+    pieces = map_columns(
+        joined, ["id", "text", "numbers"], cut, "shard int, doc_id long, text_key long, start int, content binary",
+    )
+    solved = stored(
+        pieces.groupBy("shard").applyInArrow(deal, "doc_id long, text_key long, low int, high int, content binary"),
+        f"{name}-solved", compression="zstd",
     )
     release(spark)
     ranges = (
-        pieces.where("shard >= 0").select("shard", "doc_id", "text_key", "start", "content").groupBy("shard")
-        .applyInArrow(lambda table: solve(table.drop_columns(["shard"])), "doc_id long, text_key long, low int, high int")
+        solved.where("content IS NULL").groupBy("doc_id", "text_key")
+        .agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     )
-    ranges = ranges.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    frequent = stored(frequent_ranges(pieces.where("shard < 0"), window, units_of, within_documents, name), f"{name}-frequent")
+    often_pieces = solved.where("content IS NOT NULL").select("doc_id", "text_key", F.col("low").alias("start"), "content")
+    frequent = stored(frequent_ranges(often_pieces, window, units_of, within_documents, name), f"{name}-frequent")
     release(spark)
     return (
         ranges.unionByName(frequent).groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))

@@ -28,6 +28,16 @@ def _byte_slicer(data: bytes):
     return lambda low, high: [data[a:b] for a, b in zip(low.tolist(), high.tolist())]
 
 
+def _order(keys: np.ndarray, top: int) -> np.ndarray:
+    """Places of numbers below ``top`` in order; equal ones as they stand. Places are sorted behind the numbers if both fit."""
+    bits = len(keys).bit_length()
+    if top > 1 << (63 - bits):
+        return np.argsort(keys, kind="stable")
+    both = (keys << bits) | np.arange(len(keys))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Starts of all suffixes in order. ``symbols`` are positive integers; a suffix precedes its extensions."""
     n = len(symbols)
@@ -43,11 +53,14 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     twos = np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
     triples = (s[sample] * top + s[sample + 1]) * top + s[sample + 2]
-    different, names = np.unique(triples, return_inverse=True)
-    if len(different) < len(sample):
-        order = suffix_array(names + 1)
-    else:
-        order = np.argsort(names, kind="stable")
+    order = _order(triples, top**3)
+    new = np.ones(len(order), np.int64)
+    new[1:] = triples[order[1:]] != triples[order[:-1]]
+    named = np.cumsum(new)
+    if named[-1] < len(sample):
+        names = np.empty(len(sample), np.int64)
+        names[order] = named
+        order = suffix_array(names)
     rank = np.zeros(n + 3, np.int64)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     sampled = sample[order]
@@ -55,10 +68,12 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     # suffixes at 0 mod 3 by first symbol and the rank of the rest
     zeros = np.arange(0, n, 3)
     width = len(sample) + 2
-    zeros = zeros[np.argsort(s[zeros] * width + rank[zeros + 1], kind="stable")]
+    first_rank = s[zeros] * width + rank[zeros + 1]
+    order = _order(first_rank, top * width)
+    zeros, first_rank = zeros[order], first_rank[order]
     # where they go: behind the sampled suffixes that are smaller, which one or two symbols and a rank decide
     one, two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
-    smaller = np.searchsorted(s[one] * width + rank[one + 1], s[zeros] * width + rank[zeros + 1])
+    smaller = np.searchsorted(s[one] * width + rank[one + 1], first_rank)
     smaller += np.searchsorted(
         (s[two] * top + s[two + 1]) * width + rank[two + 2], (s[zeros] * top + s[zeros + 1]) * width + rank[zeros + 2]
     )
