@@ -4,6 +4,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -329,3 +330,27 @@ def test_release_drops_shuffles_of_stored_tables(spark):
     while made & shuffles() and time.time() < end:
         time.sleep(0.1)
     assert made and not made & shuffles()
+
+
+def test_different_texts_are_counted_in_one_pass(docs):
+    rows = [(i, sentence(i % 12, 20 + i % 12), ["en", "de"][i % 2], "a") for i in range(40)] + [(50, " ", "en", "a"), (51, None, "en", "a")]
+    counted = quality.count_distinct_ngrams(wordmodel.texts_by_block(docs(rows), "text", "lang")[0])
+    expected = Counter()
+    for _, text, lang in {(0, r[1], r[2]) for r in rows if r[1] and r[1].strip()}:
+        for part in quality.packed_ngrams(text):
+            expected.update((lang, int(g)) for g in part)
+    assert {(r["lang"], r["gram"]): r["n"] for r in counted.collect()} == expected
+    plan = counted._jdf.queryExecution().sparkPlan().toString()
+    # copies are left out before the shuffle of texts; behind it, each task needs one worker
+    assert plan.count("FlatMapGroupsInArrow") == 1 and plan.count("MapInArrow") == 1
+
+
+def test_votes_of_a_block_take_a_few_times_its_ngrams():
+    texts = [wordmodel.word_ngrams(sentence(i, 1000), "en") for i in range(300)]
+    size = sum(g.nbytes for grams in texts for g in grams)
+    tracemalloc.start()
+    try:
+        wordmodel.block_votes(texts)
+        assert tracemalloc.get_traced_memory()[1] < 2 * size
+    finally:
+        tracemalloc.stop()

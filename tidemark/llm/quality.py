@@ -13,10 +13,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import wordmodel
-from tidemark.llm.common import bound_batches, map_rows, release, stored, unused_name
+from tidemark.llm.common import bound_batches, map_columns, map_rows, release, stored, unused_name
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -95,30 +96,50 @@ def packed_ngrams(text: str | None) -> Iterator[np.ndarray]:
         before = got[-(ORDER - 1) :]
 
 
+def ngram_counts(texts: list, langs: list) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Different n-grams of the texts of a language with their counts, a few million places at a time."""
+    found: dict[str, list[np.ndarray]] = {}
+    size = 0
+
+    def counted() -> Iterator[tuple]:
+        for name, parts in found.items():
+            yield name, *np.unique(np.concatenate(parts), return_counts=True)
+        found.clear()
+
+    for t, name in zip(texts, langs):
+        for part in packed_ngrams(t):
+            found.setdefault(name or "", []).append(part.astype(np.int32))
+            size += len(part)
+            if size > 4 * BLOCK:
+                yield from counted()
+                size = 0
+    yield from counted()
+
+
 def count_ngrams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """``lang, gram, n`` over all documents; counts are combined in each task before the shuffle."""
 
     def run(texts: list, langs: list) -> Iterator[tuple]:
-        found: dict[str, list[np.ndarray]] = {}
-        size = 0
+        for name, grams, counts in ngram_counts(texts, langs):
+            yield [name] * len(grams), grams, counts
 
-        def counted() -> Iterator[tuple]:
-            for name, parts in found.items():
-                grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-                for gram, n in zip(grams.tolist(), counts.tolist()):
-                    yield name, gram, n
-            found.clear()
+    rows = map_columns(docs, [text, lang], run, "lang string, gram int, n long", batch=2000)
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
-        for t, name in zip(texts, langs):
-            for part in packed_ngrams(t):
-                found.setdefault(name or "", []).append(part.astype(np.int32))
-                size += len(part)
-                if size > 4 * BLOCK:
-                    yield from counted()
-                    size = 0
-        yield from counted()
-
-    rows = map_rows(docs, [text, lang], run, "lang string, gram int, n long", batch=2000)
+
+def count_distinct_ngrams(texts: DataFrame) -> DataFrame:
+    """``lang, gram, n`` over the different texts of ``texts_by_block``, each counted once, in one pass over the blocks."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = wordmodel.different(table)
+        parts = [
+            pa.table([pa.array([name] * len(grams)), pa.array(grams), pa.array(counts)], schema=counted)
+            for name, grams, counts in ngram_counts([r[3] for r in rows], [r[2] for r in rows])
+        ]
+        return pa.concat_tables(parts) if parts else counted.empty_table()
+
+    counted = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
+    rows = texts.groupBy("block").applyInArrow(run, "lang string, gram int, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -235,8 +256,13 @@ def bits_per_character(model: Model, text: str | None) -> float | None:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Model]:
     """One model for each language (a null language counts as the empty name), from the n-grams of all documents."""
+    return models_of(count_ngrams(docs, text, lang))
+
+
+def models_of(ngrams: DataFrame) -> dict[str, Model]:
+    """One model for each language of the counted ``lang, gram, n``."""
     # stored, so that the shuffled texts can go before the models are used
-    counted = stored(count_ngrams(docs, text, lang), "quality-ngrams").toArrow()
+    counted = stored(ngrams, "quality-ngrams").toArrow()
     names = np.array(counted.column("lang").to_pylist(), dtype=object)
     grams, n = (counted.column(c).to_numpy() for c in ("gram", "n"))
     return {name: kneser_ney(grams[names == name], n[names == name]) for name in sorted(set(names))}
@@ -323,7 +349,7 @@ def judge(
     kept = keep or [doc_id]
     source = docs.select(*[f"`{c}`" for c in dict.fromkeys([*kept, doc_id, text, lang])])
     texts, ranges = wordmodel.texts_by_block(source, text, lang)
-    models = train(wordmodel.distinct_texts(texts), "text", "lang")
+    models = models_of(count_distinct_ngrams(texts))
     release(spark)
     surprising = stored(surprising_texts(texts, ranges, reach), "quality-surprising")
     release(spark)

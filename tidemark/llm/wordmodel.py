@@ -58,22 +58,29 @@ def word_ngrams(text: str, lang: str) -> list[np.ndarray]:
     return out
 
 
-def _held(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of each list once, in order of n-grams, and the numbers of their lists."""
-    both = np.concatenate(lists) << np.uint64(TEXT_BITS)
-    both |= np.repeat(np.arange(len(lists), dtype=np.uint64), [len(x) for x in lists])
+def _held(texts: list[list[np.ndarray]]) -> np.ndarray:
+    """The n-grams of each text once, in order, with the numbers of their texts in the lower ``TEXT_BITS``."""
+    both = np.empty(sum(len(x) for grams in texts for x in grams), np.uint64)
+    at = 0
+    for number, grams in enumerate(texts):
+        begin = at
+        for x in grams:
+            np.left_shift(x, np.uint64(TEXT_BITS), out=both[at : at + len(x)])
+            at += len(x)
+        both[begin:at] |= np.uint64(number)
     both.sort()
     new = np.ones(len(both), bool)
     np.not_equal(both[1:], both[:-1], out=new[1:])
-    both = both[new]
-    return both >> np.uint64(TEXT_BITS), (both & np.uint64((1 << TEXT_BITS) - 1)).astype(np.int64)
+    return both[new]
 
 
 def own_words(texts: list[list[np.ndarray]]) -> np.ndarray:
     """How many different words each text has: its votes for the empty n-gram, the context of single words."""
     parts = [texts[i : i + (1 << TEXT_BITS)] for i in range(0, len(texts), 1 << TEXT_BITS)]
+    holders = ([[grams[1][ORDER - 1 :]] for grams in part] for part in parts)
+    mask = np.uint64((1 << TEXT_BITS) - 1)
     return np.concatenate(
-        [np.bincount(_held([grams[1][ORDER - 1 :] for grams in part])[1], minlength=len(part)) for part in parts]
+        [np.bincount((_held(part) & mask).astype(np.int64), minlength=len(part)) for part in holders]
     )
 
 
@@ -125,16 +132,6 @@ def different(table: pa.Table) -> list[tuple[int, int, str, str]]:
     return sorted(set(zip(*columns)))
 
 
-def distinct_texts(texts: DataFrame) -> DataFrame:
-    """``lang, text``: every text once for each language."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = different(table)
-        return pa.table({"lang": pa.array([r[2] for r in rows]), "text": pa.array([r[3] for r in rows])})
-
-    return texts.groupBy("block").applyInArrow(run, "lang string, text string")
-
-
 def text_key(lang: Column, text: Column) -> tuple[Column, Column]:
     """128 bits that stand for a text of a language."""
     return F.xxhash64(lang, text), F.xxhash64(F.lit(1), text, lang)
@@ -147,7 +144,8 @@ def block_votes(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     parts = []
     for start in range(0, len(texts), 1 << TEXT_BITS):
         some = texts[start : start + (1 << TEXT_BITS)]
-        grams = _held([np.concatenate(g) for g in some])[0]
+        grams = _held(some)
+        grams >>= np.uint64(TEXT_BITS)
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         known, n = grams[first], np.diff(first, append=len(grams))
         empty = np.searchsorted(known, np.concatenate([g[0] for g in some]))
@@ -160,6 +158,18 @@ def block_votes(texts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return known, np.bincount(inverse, weights=n).astype(np.int64)
 
 
+def _places(values: np.ndarray) -> np.ndarray:
+    """The place of each value among the different ones in order."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.zeros(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    del ordered
+    out = np.empty(len(values), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
+    return out
+
+
 def _cuts(grams: np.ndarray, ranges: int) -> np.ndarray:
     """Where each range begins in the sorted ``grams``; one place more for the end."""
     edges = [-(-(i << GRAM_BITS) // ranges) for i in range(ranges)]
@@ -217,7 +227,8 @@ def score_words(texts: DataFrame, ranges: int) -> DataFrame:
         flat = np.concatenate([g for grams in own for g in grams])
         del own
         # the n-grams of the block in order are those it asked for
-        place = np.unique(flat, return_inverse=True)[1]
+        place = _places(flat)
+        del flat
         found = sorted(zip(answers.column("r").to_pylist(), answers.column("n").to_pylist()))
         others = np.concatenate([unpack_numbers(n) for _, n in found])[place] - 1
         bits, at = [], 0
