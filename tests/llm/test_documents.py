@@ -561,3 +561,31 @@ def test_suffix_array_against_sorting():
         symbols = [rng.randint(1, rng.choice([1, 2, 5])) for _ in range(rng.randint(0, 40))]
         expected = sorted(range(len(symbols)), key=lambda i: symbols[i:])
         assert suffixes.suffix_array(np.array(symbols, dtype=np.int64)).tolist() == expected
+
+
+def test_pieces_alone_around_their_anchor_are_not_sorted(monkeypatch):
+    rng = random.Random(3)
+
+    def noise(n):
+        return bytes(rng.choices(range(97, 123), k=n))
+
+    def solved(texts):
+        pieces = [
+            (i, recurring.text_key(d), int(a), d[a : b + 50])
+            for i, d in enumerate(texts)
+            for _, first, last in recurring.anchors(suffixes.byte_units(d), 16, 50, suffixes.byte_hashes)
+            for a, b in zip(first.tolist(), last.tolist())
+        ]
+        names = ["doc_id", "text_key", "start", "content"]
+        got = suffixes.suffix_solver(50)(pa.table([pa.array(c) for c in zip(*pieces)], names=names)).to_pylist()
+        return sorted((r["doc_id"], b) for r in got for b in range(r["low"], r["high"]))
+
+    sizes = []
+    whole = suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda s: sizes.append(len(s)) or whole(s))
+    text, part = noise(2000), noise(70)
+    assert solved([text] * 3) == [(i, b) for i in (1, 2) for b in range(2000)]
+    assert not sizes  # copies have nothing to be compared with
+    assert solved([noise(300), noise(300)]) == [] and not sizes
+    assert set(solved([noise(100) + part + noise(100), noise(30) + part])) == {(1, b) for b in range(30, 100)}
+    assert 0 < max(sizes) < 470 * 2

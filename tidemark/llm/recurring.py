@@ -69,15 +69,27 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def anchors(units: np.ndarray, k: int, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+@lru_cache(maxsize=16)
+def _numbers(size: int) -> np.ndarray:
+    return np.arange(size, dtype=np.uint64)
+
+
+def anchors(
+    units: np.ndarray, k: int, window: int, hashes_of: Callable[..., np.ndarray] = run_hashes
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Hash of each anchor with the first and last start of the windows it stands for, in order, block by block."""
     for begin in range(0, len(units) - window + 1, BLOCK):
         part = units[begin : begin + BLOCK + window - 1]
-        hashes = run_hashes(part, k)
+        hashes = hashes_of(part, k)
         # the smallest hash, and of equal ones the first
-        packed = (hashes & ~PLACE) | np.arange(len(hashes), dtype=np.uint64)
-        place = (_sliding_min(packed, window - k + 1) & PLACE).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        packed = hashes & ~PLACE
+        packed |= _numbers(1 << max(12, len(hashes).bit_length()))[: len(hashes)]
+        place = _sliding_min(packed, window - k + 1)
+        place &= PLACE
+        place = place.view(np.int64)
+        new = np.ones(len(place), bool)
+        np.not_equal(place[1:], place[:-1], out=new[1:])
+        first = np.flatnonzero(new)
         last = np.append(first[1:], len(place)) - 1
         yield hashes[place[first]].view(np.int64), first + begin, last + begin
 
@@ -106,10 +118,12 @@ def recurring_ranges(
     name: str,
     often: int = 32768,
     shard_rows: int = 4096,
+    hashes_of: Callable[..., np.ndarray] = run_hashes,
 ) -> DataFrame:
     """``doc_id, text_key, ranges``: the units of each document to remove, ``array<struct<low, high>>``.
 
-    ``units_of`` gives the units of a text as 64-bit hashes, ``slicer_of`` the bytes of ranges of them. ``solve`` gets a
+    ``units_of`` gives the units of a text, by default as 64-bit hashes, of whose runs ``hashes_of`` gives the hashes (units,
+    length of the runs, seed); ``slicer_of`` gives the bytes of ranges of units. ``solve`` gets a
     shard, ``doc_id, text_key, start, content``, and returns ``doc_id, text_key, low, high``. With ``within_documents``
     a window also recurs inside a document, and is removed wherever it does not start first; otherwise it is removed in
     every document that does not have the smallest id. Null ids count as the largest. Rows that share an id are one
@@ -129,7 +143,7 @@ def recurring_ranges(
     def count(texts: list) -> Iterator[tuple]:
         found = []
         for t in texts:
-            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window)]
+            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window, hashes_of)]
             if own:
                 own = np.concatenate(own)
                 found.append(own if within_documents else np.unique(own))
@@ -146,7 +160,7 @@ def recurring_ranges(
     def place(ids: list, of_texts: list, texts: list) -> Iterator[tuple]:
         hashes, owners, text_owners, numbers = [], [], [], []
         for i, of_text, t in zip(ids, of_texts, texts):
-            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window)]
+            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window, hashes_of)]
             if own:
                 hashes += own
                 n = sum(map(len, own))
@@ -177,7 +191,7 @@ def recurring_ranges(
             # rows that share an id share their numbers, which may then hold an anchor in both ways
             usual, frequent = np.sort(wanted[wanted >= 0]), np.sort(-1 - wanted[wanted < 0])
             at = 0
-            for h, first, last in anchors(units, k, window):
+            for h, first, last in anchors(units, k, window, hashes_of):
                 own, often_seen = (x[slice(*np.searchsorted(x, [at, at + len(h)]))] - at for x in (usual, frequent))
                 at += len(h)
                 spread = -1 - (first[often_seen] + i + key) % often_shards
@@ -211,7 +225,7 @@ def recurring_ranges(
         .agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     )
     often_pieces = solved.where("content IS NOT NULL").select("doc_id", "text_key", F.col("low").alias("start"), "content")
-    frequent = stored(frequent_ranges(often_pieces, window, units_of, within_documents, name), f"{name}-frequent")
+    frequent = stored(frequent_ranges(often_pieces, window, units_of, within_documents, name, hashes_of), f"{name}-frequent")
     release(spark)
     return (
         ranges.unionByName(frequent).groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
@@ -219,7 +233,8 @@ def recurring_ranges(
 
 
 def frequent_ranges(
-    pieces: DataFrame, window: int, units_of: Callable[[bytes], np.ndarray], within_documents: bool, name: str
+    pieces: DataFrame, window: int, units_of: Callable[[bytes], np.ndarray], within_documents: bool, name: str,
+    hashes_of: Callable[..., np.ndarray] = run_hashes,
 ) -> DataFrame:
     """``doc_id, text_key, ranges`` of pieces ``doc_id, text_key, start, content`` around anchors that occur often.
 
@@ -236,7 +251,7 @@ def frequent_ranges(
         rows = []
         for p, q, content, i, start, t in zip(ps, qs, contents, ids, starts, times):
             units = units_of(content)
-            one, two = (run_hashes(units, window, seed).view(np.int64) for seed in (1, 2))
+            one, two = (hashes_of(units, window, seed).view(np.int64) for seed in (1, 2))
             n = len(one)
             at = np.arange(n, dtype=np.int32)
             rows.append((np.full(n, p), np.full(n, q), at, np.full(n, i), start + at, one, two, np.full(n, t)))

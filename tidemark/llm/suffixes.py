@@ -13,15 +13,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import unused_name
-from tidemark.llm.passages import _ranges
-from tidemark.llm.recurring import MIX, apply_ranges, recurring_ranges, removed_mask
+from tidemark.llm.recurring import MIX, PLACE, STEP, apply_ranges, merged_starts, recurring_ranges, removed_mask, run_hashes
 
 ANCHOR_BYTES = 16
 LETTERS = (np.arange(1, 257, dtype=np.uint64) * MIX) ^ (np.arange(1, 257, dtype=np.uint64) * MIX >> np.uint64(29))
 
 
 def byte_units(data: bytes) -> np.ndarray:
-    return LETTERS[np.frombuffer(data, np.uint8)]
+    return np.frombuffer(data, np.uint8)
+
+
+def byte_hashes(units: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of all runs of ``length`` bytes; those of the length of anchors come from the two halves of a run."""
+    if length != ANCHOR_BYTES or seed:
+        return run_hashes(LETTERS[units], length, seed)
+    halves = np.ndarray((max(0, len(units) - 7),), "<u8", np.ascontiguousarray(units), 0, (1,))
+    x = halves[:-8] * STEP
+    x ^= x >> np.uint64(32)
+    x += halves[8:]
+    x *= MIX
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _byte_slicer(data: bytes):
@@ -98,6 +110,42 @@ def _agree(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.nd
     return same
 
 
+def _only_of_anchor(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a piece is the only one around its anchor, the run with the smallest hash of all in the piece.
+
+    Equal windows have equal anchors, so such a piece shares no window with another one.
+    """
+    hashes = byte_hashes(data, ANCHOR_BYTES) & ~PLACE
+    edges = np.stack([begins, begins + sizes - ANCHOR_BYTES + 1], axis=1).ravel()
+    _, anchor, times = np.unique(np.minimum.reduceat(hashes, edges)[::2], return_inverse=True, return_counts=True)
+    return times[anchor] == 1
+
+
+def first_holders(pieces: list[bytes], smallest: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of the pieces, one after the other, the smallest id that holds it; and where each piece begins.
+
+    ``smallest`` is the smallest id that holds each piece. The pieces differ.
+    """
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+    data = np.frombuffer(b"\0".join(pieces) + b"\0" * (window + 8), np.uint8)
+    size = int((sizes + 1).sum())
+    symbols = data[:size].astype(np.int64) + 2
+    symbols[begins + sizes] = 1
+    order = suffix_array(symbols)
+    # of each place, the piece and whether a whole window of it begins there
+    piece = np.repeat(np.arange(len(pieces)), sizes + 1)
+    whole = np.arange(size) + window <= (begins + sizes)[piece]
+    order = order[whole[order]]
+    new = np.ones(len(order), bool)
+    new[1:] = ~_agree(data, order[:-1], order[1:], window)
+    first = np.minimum.reduceat(smallest[piece[order]], np.flatnonzero(new))
+    holder = np.empty(size, np.int64)
+    holder[order] = first[np.cumsum(new) - 1]
+    windows = sizes - window + 1
+    return holder[whole], np.cumsum(windows) - windows
+
+
 def suffix_solver(window: int):
     """Solve a shard: ranges of bytes covered by windows that also start in a document with a smaller id."""
 
@@ -108,32 +156,41 @@ def suffix_solver(window: int):
         which = np.array([piece_of.setdefault(c, len(piece_of)) for c in table.column("content").to_pylist()], np.int64)
         pieces = list(piece_of)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-        data = np.frombuffer(b"\0".join(pieces) + b"\0" * (window + 8), np.uint8)
-        size = int((sizes + 1).sum())
-        symbols = data[:size].astype(np.int64) + 2
-        symbols[begins + sizes] = 1
-        order = suffix_array(symbols)
-        # of each place, the piece and whether a whole window of it begins there
-        piece = np.repeat(np.arange(len(pieces)), sizes + 1)
-        whole = np.arange(size) + window <= (begins + sizes)[piece]
-        order = order[whole[order]]
-        new = np.ones(len(order), bool)
-        new[1:] = ~_agree(data, order[:-1], order[1:], window)
-        klass = np.empty(size, np.int64)
-        klass[order] = np.cumsum(new) - 1
         smallest = np.full(len(pieces), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
-        classes = int(new.sum())
-        first = np.full(classes, np.iinfo(np.int64).max)
-        np.minimum.at(first, klass[order], smallest[piece[order]])
-        # back to every occurrence of every piece, window by window
-        windows = sizes[which] - window + 1
-        row = np.repeat(np.arange(len(which)), windows)
+        data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
+        compared = np.flatnonzero(~_only_of_anchor(data, np.cumsum(sizes + 1) - sizes - 1, sizes))
+        # of each piece, the smallest and the largest of the ids that hold its windows first
+        low, high, at = smallest.copy(), smallest.copy(), np.zeros(len(pieces), np.int64)
+        first = smallest[:0]
+        if len(compared):
+            first, at[compared] = first_holders([pieces[i] for i in compared.tolist()], smallest[compared], window)
+            low[compared] = np.minimum.reduceat(first, at[compared])
+            high[compared] = np.maximum.reduceat(first, at[compared])
+        # pieces that go whole are one range, of others each window is looked at
+        gone = np.flatnonzero(ids > high[which])
+        some = np.flatnonzero((ids <= high[which]) & (ids > low[which]))
+        windows = sizes[which[some]] - window + 1
+        row = np.repeat(some, windows)
         step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-        later = first[klass[begins[which[row]] + step]] < ids[row]
-        row, step = row[later], step[later]
-        return _ranges(ids, keys, row, starts[row] + step, window)
+        later = first[at[which[row]] + step] < ids[row]
+        row, begin, end = merged_starts(row[later], starts[row[later]] + step[later], window)
+        row = np.concatenate([gone, row])
+        begin = np.concatenate([starts[gone], begin])
+        end = np.concatenate([starts[gone] + sizes[which[gone]], end])
+        # ranges of a text that overlap become one
+        order = np.lexsort((begin, keys[row], ids[row]))
+        own, own_keys, begin, end = ids[row[order]], keys[row[order]], begin[order], end[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (own[1:] != own[:-1]) | (own_keys[1:] != own_keys[:-1]) | (begin[1:] > end[:-1])
+        first_of = np.flatnonzero(new)
+        end = np.maximum.reduceat(end, first_of) if len(end) else end
+        return pa.table(
+            {
+                "doc_id": pa.array(own[first_of], pa.int64()), "text_key": pa.array(own_keys[first_of], pa.int64()),
+                "low": pa.array(begin[first_of].astype(np.int32)), "high": pa.array(end.astype(np.int32)),
+            }
+        )
 
     return solve
 
@@ -154,8 +211,9 @@ def remove_repeated(
     """
     kept = [doc_id] if keep is None else keep
     ranges = recurring_ranges(
-        docs, doc_id, text, ANCHOR_BYTES, window, byte_units, _byte_slicer, suffix_solver(window), False, "suffixes"
-    )
+        docs, doc_id, text, ANCHOR_BYTES, window, byte_units, _byte_slicer, suffix_solver(window), False, "suffixes",
+        hashes_of=byte_hashes,
+    )
 
     def rest(data: bytes, own: list | None) -> tuple:
         if not own:
