@@ -589,3 +589,59 @@ def test_pieces_alone_around_their_anchor_are_not_sorted(monkeypatch):
     assert solved([noise(300), noise(300)]) == [] and not sizes
     assert set(solved([noise(100) + part + noise(100), noise(30) + part])) == {(1, b) for b in range(30, 100)}
     assert 0 < max(sizes) < 470 * 2
+
+
+def grouped(batches, name):
+    table = pa.Table.from_batches(list(batches), recurring.MESSAGE)
+    return {key: table.filter(pa.array(table.column(name).to_numpy() == key)) for key in set(table.column(name).to_pylist())}
+
+
+@pytest.mark.parametrize("within", [True, False])
+def test_anchors_are_counted_by_messages_of_blocks(within):
+    """Against counting one by one; documents that share an id share their numbers."""
+    rng = np.random.default_rng(5)
+    known = rng.integers(-(1 << 63), (1 << 63) - 1, 400)
+    own = [known[(400 * rng.random(rng.integers(1, 30)) ** 3).astype(int)] for _ in range(120)]
+    own[40], ranges, often = own[0], 7, 15
+    blocks = [range(start, start + 20) for start in range(0, 120, 20)]
+    asked = []
+    for n, block in enumerate(blocks):
+        rows = np.array([(i % 40, 0 if i % 40 else 9, 0, len(own[i])) for i in block])
+        asked += recurring.questions(n % 2, n, rows, np.concatenate([own[i] for i in block]), ranges, within)
+    assert sum(len(batch) for batch in asked) <= len(blocks) * (ranges + 1)
+    answered = [t if r < 0 else recurring.answers(t, often) for r, t in grouped(asked, "r").items()]
+    by_block = grouped([b for t in answered for b in t.to_batches()], "block")
+    got = {}
+    for table in by_block.values():
+        for row in recurring.answered_numbers(table).to_pylist():
+            assert row["numbers"] == sorted(set(row["numbers"]))
+            got.setdefault((row["id"], row["of_text"]), set()).update(row["numbers"])
+    times = Counter(h for hashes in own for h in (hashes.tolist() if within else set(hashes.tolist())))
+    expected = {}
+    for i, hashes in enumerate(own):
+        held = {-1 - a if times[h] > often else a for a, h in enumerate(hashes.tolist()) if times[h] > 1}
+        expected.setdefault((i % 40, 0 if i % 40 else 9), set()).update(held)
+    assert got == {k: v for k, v in expected.items() if v} and any(a < 0 for v in got.values() for a in v)
+    # a block that is answered in part takes all its anchors in both ways; one without its record is that of a lost task
+    table = next(iter(by_block.values()))
+    part = table.filter(pa.array(table.column("r").to_numpy() != 0))
+    rows = np.frombuffer(part.filter(pa.array(part.column("r").to_numpy() < 0)).column("more")[0].as_py(), "<i8").reshape(-1, 4)
+    whole = {r["id"]: r["numbers"] for r in recurring.answered_numbers(part).to_pylist()}
+    assert whole == {i: [*range(-n, 0), *range(n)] for i, _, _, n in rows.tolist()}
+    assert not len(recurring.answered_numbers(table.filter(pa.array(table.column("r").to_numpy() >= 0))))
+
+
+def test_recurring_numbers_against_counting(docs):
+    rng = random.Random(4)
+    part = "".join(rng.choices("abcdefgh", k=300))
+    texts = [(i, "".join(rng.choices("abcdefgh", k=rng.randint(0, 900))) + part * (i % 2)) for i in range(30)]
+    source = docs([(*r, "en", "a") for r in texts]).selectExpr("doc_id AS id", "0L AS of_text", "text")
+    found = recurring.recurring_numbers(source, 16, 50, suffixes.byte_units, False, 10, suffixes.byte_hashes).collect()
+    own = {
+        i: [h for part, _, _ in recurring.anchors(suffixes.byte_units(t.encode()), 16, 50, suffixes.byte_hashes) for h in part.tolist()]
+        for i, t in texts
+    }
+    times = Counter(h for hashes in own.values() for h in set(hashes))
+    expected = {i: sorted(-1 - a if times[h] > 10 else a for a, h in enumerate(x) if times[h] > 1) for i, x in own.items()}
+    assert {r["id"]: sorted(r["numbers"]) for r in found} == {i: x for i, x in expected.items() if x}
+    assert any(a < 0 for x in expected.values() for a in x)

@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import bound_batches, map_columns, map_rows, release, stored, unused_name
@@ -24,6 +25,10 @@ MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 BLOCK = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 LAST_ID = (1 << 63) - 1
+#: Anchors of a block that asks, and about as many of a range that answers.
+BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 19, 1 << 21
+#: Bytes of a hash within its range, and of a place within a block.
+LOCAL_BYTES, PLACE_BYTES = 5, 3
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,6 +110,184 @@ def nameless(own_id: Column, text: Column) -> Column:
     return F.when(own_id.isNull(), F.xxhash64(F.coalesce(text, F.lit("")))).otherwise(F.lit(0).cast("long"))
 
 
+def narrow(values: np.ndarray, width: int) -> np.ndarray:
+    """The lower ``width`` bytes of each number."""
+    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].ravel()
+
+
+def widen(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.reshape(-1).view("<u8")
+
+
+def _binaries(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes between neighbouring edges."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    )
+
+
+def _sorted_places(values: np.ndarray, used: int) -> np.ndarray:
+    """Places of the values in order of their leading bits, of ``used`` in all; equal ones as they stand."""
+    bits = max(1, len(values).bit_length())
+    both = values << np.uint64(64 - used)
+    both >>= np.uint64(bits)
+    both <<= np.uint64(bits)
+    both |= np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    both &= np.uint64((1 << bits) - 1)
+    return both.view(np.int64)
+
+
+MESSAGE = pa.schema([("r", pa.int32()), ("block", pa.int64()), ("data", pa.binary()), ("more", pa.binary())])
+NUMBERS = pa.schema([("id", pa.int64()), ("of_text", pa.int64()), ("numbers", pa.list_(pa.int32()))])
+
+
+def questions(
+    task: int, block: int, rows: np.ndarray, hashes: np.ndarray, ranges: int, within_documents: bool
+) -> Iterator[pa.RecordBatch]:
+    """What a block of anchors asks each range of hashes, and its record, as ``r, block, data, more``.
+
+    ``rows`` are ``id, of_text, number, n``: of each document the number of its first anchor in the block, and how many of
+    ``hashes`` are its own. A range gets the different hashes in order, without the bits it stands for, and where one is
+    held more than once, its place and how often. The record, for ``r`` below 0, is kept for the answers: ``rows``, and the
+    place of each anchor among the different hashes.
+    """
+    x = hashes.view(np.uint64)
+    # anchors have small hashes: spread them
+    x = (x ^ (x >> np.uint64(32))) * MIX
+    order = _sorted_places(x, 64)
+    x = x[order]
+    # hashes that only differ in their last bits may stand more than once, which counts the same
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    counted = np.ones(len(x), np.int64)
+    if not within_documents:
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), rows[:, 3])[order]
+        counted[1:] = new[1:] | (owner[1:] != owner[:-1])
+    times = np.add.reduceat(counted, first)
+    x = x[first]
+    r = (((x >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int32)
+    begins = np.flatnonzero(np.diff(r, prepend=np.int32(-1)))
+    edges = np.append(begins, len(x))
+    several = np.flatnonzero(times > 1)
+    several_edges = np.searchsorted(several, edges)
+    at = several - np.repeat(begins, np.diff(several_edges))
+    more = np.stack([at, times[several] - 1], axis=1).astype("<u4").reshape(-1).view(np.uint8)
+    record = np.ascontiguousarray(rows, "<i8").tobytes()
+    name = text_key(b"%d %d " % (task, block) + record + x.tobytes())
+    yield pa.RecordBatch.from_arrays(
+        [r[begins], np.full(len(begins), name), _binaries(narrow(x, LOCAL_BYTES), edges * LOCAL_BYTES), _binaries(more, several_edges * 8)],
+        schema=MESSAGE,
+    )
+    columns = ([-1 - task], [name], [narrow(place, PLACE_BYTES).tobytes()], [record])
+    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, MESSAGE)], schema=MESSAGE)
+
+
+def answers(table: pa.Table, often: int) -> pa.Table:
+    """Of each hash a range was asked for: 0, 1 if it is held more than once, 2 if more than ``often`` times."""
+    asked, more = table.column("data").to_pylist(), table.column("more").to_pylist()
+    edges = np.cumsum([0, *map(len, asked)]) // LOCAL_BYTES
+    local = widen(b"".join(asked), LOCAL_BYTES)
+    times = np.ones(len(local), np.int64)
+    at, extra = np.frombuffer(b"".join(more), "<u4").astype(np.int64).reshape(-1, 2).T
+    times[np.repeat(edges[:-1], [len(m) // 8 for m in more]) + at] += extra
+    order = _sorted_places(local, 8 * LOCAL_BYTES) if len(local) < 1 << 24 else np.argsort(local, kind="stable")
+    ordered = local[order]
+    new = np.ones(len(order), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(times[order], first)
+    state = (total > 1).astype(np.uint8)
+    state[total > often] = 2
+    out = np.empty(len(order), np.uint8)
+    out[order] = np.repeat(state, np.diff(first, append=len(order)))
+    nothing = pa.nulls(len(table), pa.binary())
+    return pa.table([table.column("r"), table.column("block"), _binaries(out, edges), nothing], schema=MESSAGE)
+
+
+def answered_numbers(table: pa.Table) -> pa.Table:
+    """``id, of_text, numbers`` of the recurring anchors of a block, from its record and its answers.
+
+    If a task is lost and done again over rows in another order, blocks have other names, and some are answered in part.
+    All their anchors are then taken, in both ways: what does not recur is left out by the solver. The records of a task are
+    read together, so each document has one.
+    """
+    r = table.column("r").to_numpy()
+    data = table.column("data").to_pylist()
+    record = np.flatnonzero(r < 0)
+    if not len(record):
+        return NUMBERS.empty_table()
+    place = widen(data[record[0]], PLACE_BYTES).astype(np.int64)
+    rows = np.frombuffer(table.column("more")[int(record[0])].as_py(), "<i8").reshape(-1, 4)
+    states = np.frombuffer(b"".join(data[i] for i in np.argsort(r, kind="stable").tolist() if r[i] >= 0), np.uint8)
+    if len(states) != place.max() + 1:
+        states = np.full(place.max() + 1, 3, np.uint8)
+    state = states[place]
+    row = np.repeat(np.arange(len(rows)), rows[:, 3])
+    number = np.arange(len(row)) + (rows[:, 2] - np.cumsum(rows[:, 3]) + rows[:, 3])[row]
+    usual, often = np.flatnonzero(state & 1), np.flatnonzero(state & 2)
+    # numbers of all rows with the same id and text once
+    keys, of_row = np.unique(rows[:, :2], axis=0, return_inverse=True)
+    of_row = of_row.reshape(-1)
+    both = np.concatenate([number[usual], -1 - number[often]]) + (1 << 32)
+    both += of_row[row[np.concatenate([usual, often])]] << 33
+    both = np.unique(both)
+    edges = np.searchsorted(both, np.arange(len(keys) + 1) << 33)
+    numbers = ((both & ((1 << 33) - 1)) - (1 << 32)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(numbers))
+    found = pa.table([pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists], schema=NUMBERS)
+    return found.filter(pa.array(np.diff(edges) > 0))
+
+
+def recurring_numbers(
+    source: DataFrame, k: int, window: int, units_of: Callable[[bytes], np.ndarray], within_documents: bool, often: int,
+    hashes_of: Callable[..., np.ndarray] = run_hashes,
+) -> DataFrame:
+    """``id, of_text, numbers`` of the documents ``id, of_text, text``: which of their anchors, in order, recur.
+
+    An anchor recurs if it is held by several rows, or with ``within_documents`` at several places. The number of one that
+    is held more than ``often`` times is given as -1 - number. Anchors do not travel as rows: blocks of them send their
+    different hashes to ranges of hashes, in one message each, and are answered in the order they asked; so a hash that
+    stands everywhere arrives once a block, and there are never more messages than hashes.
+    """
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # two anchors for as many units as a window has places for one; a unit has one byte at least
+    ranges = min(1 << 20, size * 2 // (window - k + 2) // RANGE_ANCHORS + 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, block, rows, hashes, held = TaskContext.get().partitionId(), 0, [], [], 0
+        for batch in batches:
+            for i, of_text, t in zip(*[column.to_pylist() for column in batch.columns]):
+                number = 0
+                for h, _, _ in anchors(units_of((t or "").encode()), k, window, hashes_of):
+                    rows.append((i, of_text, number, len(h)))
+                    hashes.append(h)
+                    number += len(h)
+                    held += len(h)
+                    if held >= BLOCK_ANCHORS:
+                        yield from questions(task, block, np.array(rows), np.concatenate(hashes), ranges, within_documents)
+                        block, rows, hashes, held = block + 1, [], [], 0
+        if held:
+            yield from questions(task, block, np.array(rows), np.concatenate(hashes), ranges, within_documents)
+
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        return table if key[0].as_py() < 0 else answers(table, often)
+
+    def settle(key: tuple, table: pa.Table) -> pa.Table:
+        return answered_numbers(table)
+
+    message = "r int, block long, data binary, more binary"
+    asked = source.select("id", "of_text", "text").mapInArrow(ask, message)
+    answered = asked.groupBy("r").applyInArrow(answer, message)
+    found = answered.groupBy("block").applyInArrow(settle, "id long, of_text long, numbers array<int>")
+    return found.groupBy("id", "of_text").agg(F.flatten(F.collect_set("numbers")).alias("numbers"))
+
+
 def recurring_ranges(
     docs: DataFrame,
     doc_id: str,
@@ -140,46 +323,13 @@ def recurring_ranges(
         F.coalesce(own_id, F.lit(LAST_ID)).alias("id"), nameless(own_id, content).alias("of_text"), content.alias("text")
     )
 
-    def count(texts: list) -> Iterator[tuple]:
-        found = []
-        for t in texts:
-            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window, hashes_of)]
-            if own:
-                own = np.concatenate(own)
-                found.append(own if within_documents else np.unique(own))
-        if found:
-            values, n = np.unique(np.concatenate(found), return_counts=True)
-            yield values, n
-
-    counted = map_columns(source, ["text"], count, "h long, n long", batch=2000).groupBy("h").agg(F.sum("n").alias("n"))
-    recurring = stored(counted.where("n > 1"), f"{name}-anchors")
-    release(spark)
-    seen = recurring.agg(*[F.sum(F.when(c, F.col("n"))) for c in (F.col("n") <= often, F.col("n") > often)]).first()
-    shards, often_shards = (max(1, int(n or 0) // shard_rows) for n in seen)
-
-    def place(ids: list, of_texts: list, texts: list) -> Iterator[tuple]:
-        hashes, owners, text_owners, numbers = [], [], [], []
-        for i, of_text, t in zip(ids, of_texts, texts):
-            own = [h for h, _, _ in anchors(units_of((t or "").encode()), k, window, hashes_of)]
-            if own:
-                hashes += own
-                n = sum(map(len, own))
-                owners.append(np.full(n, i, np.int64))
-                text_owners.append(np.full(n, of_text, np.int64))
-                numbers.append(np.arange(n, dtype=np.int32))
-        if hashes:
-            yield tuple(map(np.concatenate, (hashes, owners, text_owners, numbers)))
-
-    placed = map_columns(source, ["id", "of_text", "text"], place, "h long, id long, of_text long, number int")
-    # numbers of a document's recurring anchors; those that occur often are marked by a negative number
-    lists = (
-        placed.join(recurring, "h")
-        .groupBy("id", "of_text")
-        .agg(F.collect_set(F.when(F.col("n") > often, -1 - F.col("number")).otherwise(F.col("number"))).alias("numbers"))
-        .withColumn("numbers", F.sort_array("numbers"))
-    )
-    lists = stored(lists, f"{name}-candidates", compression="zstd")
+    lists = stored(
+        recurring_numbers(source, k, window, units_of, within_documents, often, hashes_of), f"{name}-candidates",
+        compression="zstd",
+    )
     release(spark)
+    usual, seen_often = (F.sum(F.size(F.filter("numbers", c))) for c in (lambda x: x >= 0, lambda x: x < 0))
+    shards, often_shards = (max(1, int(n or 0) // shard_rows) for n in lists.agg(usual, seen_often).first())
 
     def cut(ids: list, texts: list, chosen: list) -> Iterator[tuple]:
         """Pieces for the shards; those around anchors that occur often are spread over shards below 0."""
@@ -187,9 +337,9 @@ def recurring_ranges(
         for i, t, numbers in zip(ids, texts, chosen):
             data = (t or "").encode()
             key, units, slice_of = text_key(data), units_of(data), slicer_of(data)
-            wanted = np.array(numbers, dtype=np.int64)
+            wanted = np.unique(np.array(numbers, dtype=np.int64))
             # rows that share an id share their numbers, which may then hold an anchor in both ways
-            usual, frequent = np.sort(wanted[wanted >= 0]), np.sort(-1 - wanted[wanted < 0])
+            usual, frequent = wanted[wanted >= 0], -1 - wanted[wanted < 0][::-1]
             at = 0
             for h, first, last in anchors(units, k, window, hashes_of):
                 own, often_seen = (x[slice(*np.searchsorted(x, [at, at + len(h)]))] - at for x in (usual, frequent))
