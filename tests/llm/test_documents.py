@@ -645,3 +645,43 @@ def test_recurring_numbers_against_counting(docs):
     expected = {i: sorted(-1 - a if times[h] > 10 else a for a, h in enumerate(x) if times[h] > 1) for i, x in own.items()}
     assert {r["id"]: sorted(r["numbers"]) for r in found} == {i: x for i, x in expected.items() if x}
     assert any(a < 0 for x in expected.values() for a in x)
+
+
+def test_pieces_that_differ_on_both_sides_of_their_anchor_are_not_sorted(monkeypatch):
+    rng = random.Random(6)
+
+    def noise(n, letters=26):
+        return bytes(rng.choices(range(97, 97 + letters), k=n))
+
+    def solved(texts):
+        pieces = [
+            (i, recurring.text_key(d), int(a), d[a : b + 50])
+            for i, d in enumerate(texts)
+            for _, first, last in recurring.anchors(suffixes.byte_units(d), 16, 50, suffixes.byte_hashes)
+            for a, b in zip(first.tolist(), last.tolist())
+        ]
+        names = ["doc_id", "text_key", "start", "content"]
+        got = suffixes.suffix_solver(50)(pa.table([pa.array(c) for c in zip(*pieces)], names=names)).to_pylist()
+        return {(r["doc_id"], b) for r in got for b in range(r["low"], r["high"])}
+
+    sizes = []
+    whole = suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda s: sizes.append(len(s)) or whole(s))
+    part = noise(30)
+    assert solved([noise(60) + part + noise(60) for _ in range(40)]) == set() and not sizes
+    for size in (50, 51, 60, 66, 67, 90):
+        part = noise(size)
+        assert solved([noise(60) + part + noise(60), noise(20) + part + noise(9)]) == {(1, b) for b in range(20, 20 + size)}
+    assert sizes
+    for _ in range(60):
+        texts = [noise(rng.randint(50, 130), rng.choice([1, 2])) + noise(rng.randint(0, 40), 1) for _ in range(6)]
+        rows = list(enumerate(t.decode() for t in texts))
+        got = Counter(i for i, _ in solved(texts))
+        assert [got[int(r[0])] for r in brute_strings(rows, 50)] == [r[2] for r in brute_strings(rows, 50)]
+
+
+def test_mask_of_packed_ranges():
+    ranges = [(0, 2), (5, 9), (7, 8), (9, 10), (12, 13)]
+    mask = recurring.removed_mask([a << 32 | b for a, b in ranges], 13)
+    assert mask.tolist() == [any(a <= x < b for a, b in ranges) for x in range(13)]
+    assert not recurring.removed_mask([], 3).any()

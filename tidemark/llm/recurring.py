@@ -464,11 +464,10 @@ def merged_starts(rows: np.ndarray, starts: np.ndarray, window: int) -> Iterable
     return (rows[first], starts[first], starts[last] + window) if len(rows) else (rows, starts, starts)
 
 
-def removed_mask(ranges: list | None, size: int) -> np.ndarray:
-    edge = np.zeros(size + 1, np.int64)
-    for r in ranges or []:
-        edge[r["low"]] += 1
-        edge[r["high"]] -= 1
+def removed_mask(ranges: list, size: int) -> np.ndarray:
+    """Which of ``size`` units are within a range, ``low << 32 | high``."""
+    packed = np.array(ranges, np.int64)
+    edge = np.bincount(packed >> 32, minlength=size + 1) - np.bincount(packed & ((1 << 32) - 1), minlength=size + 1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -476,8 +475,9 @@ def apply_ranges(
     docs: DataFrame, ranges: DataFrame, doc_id: str, text: str, keep: list[str],
     function: Callable[[bytes, list | None], tuple], schema: str,
 ) -> DataFrame:
-    """The columns of ``keep`` and what ``function`` makes of each text and its ranges."""
-    found = stored(ranges, "recurring-ranges")
+    """The columns of ``keep`` and what ``function`` makes of each text and its ranges, ``low << 32 | high``."""
+    packed = F.transform("ranges", lambda r: F.shiftleft(r["low"].cast("long"), 32) + r["high"]).alias("ranges")
+    found = stored(ranges.select("doc_id", "text_key", packed), "recurring-ranges")
     release(docs.sparkSession)
     # all texts of an id stand in one row, so that documents meet their ranges by id; without an id, by text
     names = ("of_id", "of_text", "own_ranges", "id_key", "text_key")

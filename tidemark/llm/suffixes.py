@@ -13,7 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import unused_name
-from tidemark.llm.recurring import MIX, PLACE, STEP, apply_ranges, merged_starts, recurring_ranges, removed_mask, run_hashes
+from tidemark.llm.recurring import (
+    MIX, PLACE, STEP, _mixed, apply_ranges, merged_starts, recurring_ranges, removed_mask, run_hashes,
+)
 
 ANCHOR_BYTES = 16
 LETTERS = (np.arange(1, 257, dtype=np.uint64) * MIX) ^ (np.arange(1, 257, dtype=np.uint64) * MIX >> np.uint64(29))
@@ -110,15 +112,30 @@ def _agree(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.nd
     return same
 
 
-def _only_of_anchor(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Whether a piece is the only one around its anchor, the run with the smallest hash of all in the piece.
+def _comparable(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
+    """Which pieces may share a window with another one.
 
-    Equal windows have equal anchors, so such a piece shares no window with another one.
+    All windows of a piece have its anchor, the first of the runs with the smallest hash in the piece, and at least half of
+    their other bytes stand together on one side of it. Equal windows agree there, so a piece has none to share if no other
+    one has its anchor with as many bytes on either side. ``data`` has a byte more behind the pieces.
     """
-    hashes = byte_hashes(data, ANCHOR_BYTES) & ~PLACE
-    edges = np.stack([begins, begins + sizes - ANCHOR_BYTES + 1], axis=1).ravel()
-    _, anchor, times = np.unique(np.minimum.reduceat(hashes, edges)[::2], return_inverse=True, return_counts=True)
-    return times[anchor] == 1
+    hashes = byte_hashes(data, ANCHOR_BYTES)
+    runs = sizes - ANCHOR_BYTES + 1
+    edges = np.stack([begins, begins + runs], axis=1).ravel()
+    place = np.arange(len(hashes)) - np.repeat(begins, np.diff(begins, append=len(hashes)))
+    smallest = np.minimum.reduceat(hashes & ~PLACE | place.astype(np.uint64), edges)[::2] & PLACE
+    anchor = begins + smallest.astype(np.int64)
+    half = (window - ANCHOR_BYTES + 1) // 2
+    out = np.zeros(len(sizes), bool)
+    for far in (-half, half):
+        held = np.flatnonzero((anchor + far >= begins) & (anchor + far < begins + runs))
+        at = anchor[held]
+        near = max(-ANCHOR_BYTES, min(far, ANCHOR_BYTES))
+        _, side, times = np.unique(
+            _mixed(_mixed(hashes[at], hashes[at + far]), hashes[at + near]), return_inverse=True, return_counts=True
+        )
+        out[held] |= times[side] > 1
+    return out
 
 
 def first_holders(pieces: list[bytes], smallest: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,19 +169,23 @@ def suffix_solver(window: int):
     def solve(table: pa.Table) -> pa.Table:
         ids, keys, starts = (table.column(c).to_numpy() for c in ("doc_id", "text_key", "start"))
         # equal pieces are sorted once
-        piece_of: dict[bytes, int] = {}
-        which = np.array([piece_of.setdefault(c, len(piece_of)) for c in table.column("content").to_pylist()], np.int64)
-        pieces = list(piece_of)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        smallest = np.full(len(pieces), np.iinfo(np.int64).max)
+        content = table.column("content").combine_chunks()
+        content = pa.concat_arrays(content.chunks) if isinstance(content, pa.ChunkedArray) else content
+        encoded = content.dictionary_encode()
+        which = encoded.indices.to_numpy().astype(np.int64)
+        different = encoded.dictionary
+        _, edges, held = different.buffers()
+        edges = np.frombuffer(edges, np.int32)[different.offset :][: len(different) + 1].astype(np.int64)
+        sizes, begins, text = np.diff(edges), edges[:-1] - edges[0], held[int(edges[0]) : int(edges[-1])].to_pybytes()
+        smallest = np.full(len(different), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
-        data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
-        compared = np.flatnonzero(~_only_of_anchor(data, np.cumsum(sizes + 1) - sizes - 1, sizes))
+        compared = np.flatnonzero(_comparable(np.frombuffer(text + b"\0", np.uint8), begins, sizes, window))
         # of each piece, the smallest and the largest of the ids that hold its windows first
-        low, high, at = smallest.copy(), smallest.copy(), np.zeros(len(pieces), np.int64)
+        low, high, at = smallest.copy(), smallest.copy(), np.zeros(len(different), np.int64)
         first = smallest[:0]
         if len(compared):
-            first, at[compared] = first_holders([pieces[i] for i in compared.tolist()], smallest[compared], window)
+            pieces = [text[a:b] for a, b in zip(begins[compared].tolist(), (begins + sizes)[compared].tolist())]
+            first, at[compared] = first_holders(pieces, smallest[compared], window)
             low[compared] = np.minimum.reduceat(first, at[compared])
             high[compared] = np.maximum.reduceat(first, at[compared])
         # pieces that go whole are one range, of others each window is looked at
